@@ -28,11 +28,12 @@ from panewise.schema import (
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def parse_orders(df: DataFrame, value_col: str = "value", keep_value: bool = True) -> DataFrame:
+def parse_orders(df: DataFrame, value_col: str = "value", keep_value: bool = True, flags: bool = False) -> DataFrame:
     """Raw messages -> parsed rows with a ``reason`` column (NULL for valid rows).
 
     Output: the input columns (``value`` kept unless ``keep_value=False``),
-    then ``event_id, user_id, store_id, amount, event_time, event_ts, reason``.
+    then ``event_id, user_id, store_id, amount, event_time, event_ts, reason``;
+    with ``flags`` also ``<field>_defaulted`` booleans (missing, null or unparsable).
     """
     j = F.from_json(F.col(value_col), RAW_JSON, _JSON_OPTIONS)
     # explode of a one-element array is a plan barrier: a later filter on
@@ -61,10 +62,22 @@ def parse_orders(df: DataFrame, value_col: str = "value", keep_value: bool = Tru
         event_time.alias("event_time"),
         ms_to_timestamp(event_time).alias("event_ts"),
         reason.alias("reason"),
+        *(_default_flags() if flags else []),
     )
     return out
 
 
+def _default_flags():
+    j = F.col("_j")
+    return [
+        j["user_id"].isNull().alias("user_id_defaulted"),
+        j["store_id"].isNull().alias("store_id_defaulted"),
+        j["amount"].try_cast("double").isNull().alias("amount_defaulted"),
+        (j["event_time"].try_cast("bigint").isNull()
+         & j["event_time"].try_cast("double").try_cast("bigint").isNull()).alias("event_time_defaulted"),
+    ]
+
+
 def valid_orders(parsed: DataFrame) -> DataFrame:
     """Rows that became order events (drops the raw text and ``reason``)."""
     return parsed.filter(F.col("reason").isNull()).drop("reason", "value")

@@ -30,6 +30,19 @@ def _distinct_users(df: DataFrame, exact: bool, rsd: float):
     return F.count_distinct("user_id").cast("bigint")
 
 
+def assign_panes(df: DataFrame, params: Params = Params(), ts_col: str = "event_ts") -> DataFrame:
+    """One row per (row, pane) with the pane in ``window`` (batch: an Expand over ``size/slide`` panes)."""
+    return df.select("*", F.window(F.col(ts_col), params.size, params.slide).alias("window"))
+
+
+def aggregate_panes(
+    panes: DataFrame, params: Params = Params(), keys=None, exact: bool = True, rsd: float = 0.05,
+    keep_window: bool = False,
+) -> DataFrame:
+    """Metrics of rows already assigned to panes (see ``assign_panes``)."""
+    return _finish(panes.groupBy("window", *(keys or params.keys)), panes, params, keys, exact, rsd, keep_window)
+
+
 def window_metrics(
     df: DataFrame,
     params: Params = Params(),
@@ -45,9 +58,13 @@ def window_metrics(
     ``order_cnt, gmv_total, user_cnt``; with ``keep_window`` also the window
     struct and ``window_start_ms, window_end_ms`` (for versioned writes).
     """
-    keys = list(keys or params.keys)
     win = F.window(F.col(ts_col), params.size, params.slide).alias("window")
-    agg = df.groupBy(win, *keys).agg(
+    return _finish(df.groupBy(win, *(keys or params.keys)), df, params, keys, exact, rsd, keep_window)
+
+
+def _finish(grouped, df, params, keys, exact, rsd, keep_window):
+    keys = list(keys or params.keys)
+    agg = grouped.agg(
         F.count(F.lit(1)).alias("order_cnt"),
         F.sum("amount").alias("_gmv"),
         _distinct_users(df, exact, rsd).alias("user_cnt"),

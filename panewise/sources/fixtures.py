@@ -30,8 +30,8 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def orders_from_events(events: DataFrame, keep_id: bool = False) -> DataFrame:
-    """``o``: one order event per ``events`` row."""
+def orders_from_events(events: DataFrame, keep_id: bool = False, extra: dict | None = None) -> DataFrame:
+    """``o``: one order event per ``events`` row; ``extra`` adds named dimension columns."""
     cols = [
         F.concat(F.lit("ord_"), F.col("event_id").cast("string")).alias("event_id"),
         F.concat(F.lit("user_"), (F.col("user_id") % USER_MODULUS).cast("string")).alias("user_id"),
@@ -41,6 +41,7 @@ def orders_from_events(events: DataFrame, keep_id: bool = False) -> DataFrame:
     ]
     if keep_id:
         cols.insert(0, F.col("event_id").alias("id"))
+    cols += [c.alias(name) for name, c in (extra or {}).items()]
     return events.select(*cols)
 
 
@@ -50,7 +51,10 @@ def arrivals_from_events(events: DataFrame) -> DataFrame:
     Copies are produced by one ``explode`` over a literal array of copy numbers
     (no union, so the scan and projection happen once).
     """
-    o = orders_from_events(events, keep_id=True)
+    return _explode_copies(orders_from_events(events, keep_id=True)).drop("id")
+
+
+def _explode_copies(o: DataFrame) -> DataFrame:
     copies = F.array(
         F.lit(0),
         F.when(F.col("id") % COPY1_EVERY == 0, F.lit(1)),
@@ -67,7 +71,6 @@ def arrivals_from_events(events: DataFrame) -> DataFrame:
     return (
         exploded.withColumn("arrival_ms", arrival.cast("bigint"))
         .withColumn("batch_id", F.floor(F.col("arrival_ms") / BATCH_MS).cast("bigint"))
-        .drop("id")
     )
 
 
@@ -75,13 +78,8 @@ def _q(text):
     return F.concat(F.lit('"'), text, F.lit('"'))
 
 
-def raw_messages_from_events(events: DataFrame) -> DataFrame:
-    """``raw``: JSON texts of ``o`` with corruptions; first matching rule wins.
-
-    Built by concatenation so the text is byte-identical to the SQL oracle's.
-    Keeps ``id`` so results can be keyed back to their source row.
-    """
-    o = orders_from_events(events, keep_id=True)
+def _raw_value():
+    """Column: the (possibly corrupted) JSON text of an ``o`` row with its ``id``."""
     amount = F.col("amount").cast("string")
     etime = F.col("event_time").cast("string")
     eid = F.concat(F.lit('"event_id":'), _q(F.col("event_id")), F.lit(","))
@@ -94,7 +92,8 @@ def raw_messages_from_events(events: DataFrame) -> DataFrame:
         return F.concat(F.lit("{"), *parts, F.lit("}"))
 
     idc = F.col("id")
-    value = (
+    # Corruption rules, first match wins (FIXTURES.md section 3, "raw").
+    return (
         F.when(idc % 20 == 0, obj(user, store, amt, et))
         .when(idc % 33 == 0, F.concat(F.lit("not json "), idc.cast("string")))
         .when(idc % 41 == 0, obj(F.lit('"event_id":"",'), user, store, amt, et))
@@ -103,4 +102,23 @@ def raw_messages_from_events(events: DataFrame) -> DataFrame:
         .when(idc % 61 == 0, obj(eid, user, store, amt, F.lit('"event_time":"2024-01-01"')))
         .otherwise(obj(eid, user, store, amt, et))
     )
-    return o.select("id", value.alias("value"))
+
+
+def raw_messages_from_events(events: DataFrame) -> DataFrame:
+    """``raw``: JSON texts of ``o`` with corruptions; first matching rule wins.
+
+    Built by concatenation so the text is byte-identical to the SQL oracle's.
+    Keeps ``id`` so results can be keyed back to their source row.
+    """
+    return orders_from_events(events, keep_id=True).select("id", _raw_value().alias("value"))
+
+
+def raw_arrivals_from_events(events: DataFrame) -> DataFrame:
+    """Raw message text of every arrival copy: ``value, arrival_ms, batch_id, copy_no``.
+
+    A copy carries the (possibly corrupted) text of its source row, so the full
+    job can be replayed from text with duplicates, disorder and junk. One pass
+    over ``events``: the text is computed per row, then copies are exploded.
+    """
+    withraw = orders_from_events(events, keep_id=True).withColumn("value", _raw_value())
+    return _explode_copies(withraw).select("value", "arrival_ms", "batch_id", "copy_no")
