@@ -1,4 +1,11 @@
-"""T2 (stream form): per-key TTL dedup as a ``transformWithStateInPandas`` processor.
+"""T2 (stream form): per-key TTL dedup as a stateful Pandas operator.
+
+Two interchangeable engines:
+
+* ``applyInPandasWithState`` (default): the state (accept time) travels with
+  the key's rows in the Arrow batch, so there is no per-key state call. The
+  accept time decides the TTL; a processing-time timeout only cleans state.
+* ``transformWithStateInPandas``: a ``ValueState`` with a native TTL.
 
 State per key is one ``ValueState`` holding the accept time, created with a
 processing-time TTL. It is written only when a row is accepted, so the TTL
@@ -15,7 +22,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -51,13 +59,149 @@ class TTLDedupProcessor(StatefulProcessor):
         pass
 
 
+class TTLDedupRowProcessor(StatefulProcessor):
+    """Row-based twin of ``TTLDedupProcessor`` for ``transformWithState`` (no pandas frame per key)."""
+
+    def __init__(self, ttl_ms: int | None, order_cols: tuple[str, ...] = ()):
+        self.ttl_ms = ttl_ms
+        self.order_cols = list(order_cols)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.accepted = handle.getValueState("accepted", "accepted_ms LONG", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.accepted.exists():
+            return
+        best = None
+        for r in rows:
+            if not self.order_cols:
+                best = r
+                break
+            if best is None or tuple(r[c] for c in self.order_cols) < tuple(best[c] for c in self.order_cols):
+                best = r
+        if best is None:
+            return
+        self.accepted.update((int(timerValues.getCurrentProcessingTimeInMs()),))
+        yield best
+
+    def close(self) -> None:
+        pass
+
+
+class TTLDedupBucketProcessor(StatefulProcessor):
+    """TTL dedup over a hash bucket of keys: one handler call per bucket and batch.
+
+    State is a ``MapState`` from key to accept time; each entry carries the TTL
+    and is written only on accept, so the semantics per key are unchanged.
+    """
+
+    def __init__(self, key: str, ttl_ms: int | None, order_cols: tuple[str, ...] = (), out_cols=()):
+        self.key = key
+        self.ttl_ms = ttl_ms
+        self.order_cols = list(order_cols)
+        self.out_cols = list(out_cols)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.accepted = handle.getMapState("accepted", f"{self.key} STRING", "accepted_ms LONG", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = {}
+        oc = self.order_cols
+        for r in rows:
+            k = r[self.key]
+            cur = first.get(k)
+            if cur is None or (oc and tuple(r[c] for c in oc) < tuple(cur[c] for c in oc)):
+                first[k] = r
+        if not first:
+            return
+        now = int(timerValues.getCurrentProcessingTimeInMs())
+        for k, r in first.items():
+            if self.accepted.containsKey((k,)):
+                continue
+            self.accepted.updateValue((k,), (now,))
+            yield Row(**{c: r[c] for c in self.out_cols})
+
+    def close(self) -> None:
+        pass
+
+
+def _first_row(pdfs, order_cols):
+    """Earliest row by ``order_cols`` over the group's frames (cheap path for the usual single row)."""
+    best = None
+    for pdf in pdfs:
+        n = len(pdf)
+        if n == 0:
+            continue
+        if not order_cols:
+            return pdf.iloc[:1]
+        cand = pdf if n == 1 else pdf.iloc[[int(pdf[order_cols].apply(tuple, axis=1).values.argmin())]]
+        if best is None or tuple(cand[order_cols].iloc[0]) < tuple(best[order_cols].iloc[0]):
+            best = cand
+    return best
+
+
+def _ttl_group_fn(ttl_ms: int | None, order_cols: list[str]):
+    def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = int(state.getCurrentProcessingTimeMs())
+        if state.exists:
+            (accepted_ms,) = state.get
+            if ttl_ms is None or now - accepted_ms < ttl_ms:
+                if ttl_ms is not None:
+                    state.setTimeoutDuration(max(1, accepted_ms + ttl_ms - now))
+                return
+        best = _first_row(pdfs, order_cols)
+        if best is None:
+            return
+        state.update((now,))
+        if ttl_ms is not None:
+            state.setTimeoutDuration(ttl_ms)
+        yield best
+
+    return fn
+
+
 def dedup_stream(
-    df: DataFrame, key: str = "event_id", ttl_ms: int | None = 3_600_000, order_cols: tuple[str, ...] = ()
+    df: DataFrame,
+    key: str = "event_id",
+    ttl_ms: int | None = 3_600_000,
+    order_cols: tuple[str, ...] = (),
+    engine: str = "bucketed",
+    buckets: int = 1024,
 ) -> DataFrame:
-    """Streaming TTL dedup keyed by ``key``; output schema = input schema."""
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=TTLDedupProcessor(ttl_ms, tuple(order_cols)),
+    """Streaming TTL dedup keyed by ``key``; output schema = input schema.
+
+    ``engine="bucketed"`` (default) groups keys into ``buckets`` hash buckets so
+    Python is called once per bucket instead of once per key.
+    """
+    if engine == "bucketed":
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets)))
+        return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(
+            statefulProcessor=TTLDedupBucketProcessor(key, ttl_ms, tuple(order_cols), df.columns),
+            outputStructType=df.schema,
+            outputMode="Append",
+            timeMode="ProcessingTime",
+        )
+    if engine == "transformWithState":
+        return df.groupBy(key).transformWithState(
+            statefulProcessor=TTLDedupRowProcessor(ttl_ms, tuple(order_cols)),
+            outputStructType=df.schema,
+            outputMode="Append",
+            timeMode="ProcessingTime",
+        )
+    if engine == "transformWithStateInPandas":
+        return df.groupBy(key).transformWithStateInPandas(
+            statefulProcessor=TTLDedupProcessor(ttl_ms, tuple(order_cols)),
+            outputStructType=df.schema,
+            outputMode="Append",
+            timeMode="ProcessingTime",
+        )
+    return df.groupBy(key).applyInPandasWithState(
+        _ttl_group_fn(ttl_ms, list(order_cols)),
         outputStructType=df.schema,
-        outputMode="Append",
-        timeMode="ProcessingTime",
+        stateStructType="accepted_ms LONG",
+        outputMode="append",
+        timeoutConf="ProcessingTimeTimeout" if ttl_ms is not None else "NoTimeout",
     )
