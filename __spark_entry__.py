@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from panewise.operators.dedup import dedup_first, dedup_ttl  # noqa: E402
 from panewise.operators.late import (  # noqa: E402
+    batch_watermarks,
     classify_late,
     late_events,
     late_stats,
@@ -111,7 +112,10 @@ def q_dedup_ttl_split(spark, sf):
 
 
 def _classified(spark, sf):
-    return classify_late(dedup_ttl(_arrivals(spark, sf), "event_id", "arrival_ms", 3_600_000), Params(), "batch_id")
+    # The watermark comes from every arrival (before dedup), as in the job.
+    a = _arrivals(spark, sf)
+    wm = batch_watermarks(a, Params(), "batch_id")
+    return classify_late(dedup_ttl(a, "event_id", "arrival_ms", 3_600_000), Params(), "batch_id", watermarks=wm)
 
 
 def q_classify_late(spark, sf):
@@ -314,7 +318,7 @@ d AS (
   FROM firsts f JOIN r ON f.event_id = r.event_id AND f.arrival_ms = r.t)"""
 
 _CLASSIFIED = """,
-pb AS (SELECT batch_id, max(event_time) AS bm FROM d GROUP BY batch_id),
+pb AS (SELECT batch_id, max(event_time) AS bm FROM {pre} GROUP BY batch_id),
 wm AS (
   SELECT batch_id,
          max(bm) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_prev_ms
@@ -386,7 +390,7 @@ r AS (
       WHERE n.t IS NOT NULL)
     SELECT * FROM chain) t),
 d AS (
-  SELECT f.* FROM firsts f JOIN r ON f.event_id = r.event_id AND f.arrival_ms = r.t){_CLASSIFIED}
+  SELECT f.* FROM firsts f JOIN r ON f.event_id = r.event_id AND f.arrival_ms = r.t){_CLASSIFIED.format(pre="a_valid")}
 {final}"""
 
 
@@ -418,10 +422,10 @@ QUALIFY row_number() OVER (PARTITION BY event_id
                            ORDER BY arrival_ms, user_id, store_id, amount, event_time, copy_no, batch_id) = 1""",
         "dedup_ttl": f"WITH {_A}{_DEDUP_TTL}\nSELECT * FROM d",
         "dedup_ttl_split": f"WITH {_A}{_DEDUP_TTL}\nSELECT * FROM d",
-        "classify_late": f"WITH {_A}{_DEDUP_TTL}{_CLASSIFIED}\nSELECT * FROM c",
-        "late_events": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED}
+        "classify_late": f"WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")}\nSELECT * FROM c",
+        "late_events": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")}
 SELECT {dedup_cols}, watermark_ms FROM c WHERE is_late""",
-        "metrics_excluding_late": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED},
+        "metrics_excluding_late": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")},
 {_metrics('c', where='WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms')}""",
         "job_metrics": _job_sql(
             ","
@@ -437,7 +441,7 @@ v AS (
   WHERE ((ws // 60000) % 60) % 2 = 0)
 SELECT * FROM v
 QUALIFY row_number() OVER (PARTITION BY window_start, store_id ORDER BY version DESC) = 1""",
-        "late_stats": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED},
+        "late_stats": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")},
 l AS (SELECT * FROM c WHERE is_late)
 {_late_stats_sql('l')}""",
         "lateness_profile": f"""WITH {_A}

@@ -87,12 +87,13 @@ def on_time_events(classified: DataFrame) -> DataFrame:
 
 
 def metrics_excluding_late(
-    classified: DataFrame, params: Params = Params(), keys=None, exact: bool = True, ts_col: str = "event_ts"
+    classified: DataFrame, params: Params = Params(), keys=None, exact: bool = True, ts_col: str = "event_ts",
+    keep_window: bool = False,
 ) -> DataFrame:
     """T4 final state: window metrics counting each row only in windows still open on its arrival."""
     panes = assign_panes(classified, params, ts_col)
     alive = ~is_dead(timestamp_to_ms(F.col("window.end")), F.col("max_prev_ms"), params)
-    return aggregate_panes(panes.filter(alive), params, keys, exact)
+    return aggregate_panes(panes.filter(alive), params, keys, exact, keep_window=keep_window)
 
 
 def late_stats(late: DataFrame, keys=("store_id",), alert_threshold: int = 10, bucket_ms: int = 3_600_000) -> DataFrame:

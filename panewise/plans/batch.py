@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from panewise.operators.dedup import DEFAULT_MAX_LIGHT, dedup_ttl
-from panewise.operators.late import classify_late, late_events, metrics_excluding_late
+from panewise.operators.late import batch_watermarks, classify_late, late_events, metrics_excluding_late
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
 from panewise.operators.windows import window_metrics
 from panewise.schema import Params
@@ -44,8 +44,11 @@ def run_job(
     """Raw messages with an arrival clock and batch id -> every output of the job."""
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
+    # The job assigns its watermark before dedup: every valid row moves it, duplicates included.
+    # Per-batch maxima are a partial aggregate over the scan, so dedup runs once.
+    watermarks = batch_watermarks(valid, params, batch_col)
     deduped = dedup_ttl(valid, "event_id", arrival_col, params.ttl_ms, max_light=max_light)
-    classified = classify_late(deduped, params, batch_col)
+    classified = classify_late(deduped, params, batch_col, watermarks=watermarks)
     return JobOutputs(
         parsed=parsed,
         anomalies=anomalies(parsed),

@@ -24,3 +24,10 @@ def encode_orders(df: DataFrame, fields: list[str] | None = None, key_col: str |
 def write_messages(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write encoded messages as text files (one JSON per line), the file twin of a topic."""
     df.select("value").write.mode(mode).text(path)
+
+
+def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, **producer) -> None:
+    """S5 producer: a bounded write of ``key``/``value`` rows to a topic (needs the Kafka connector jar)."""
+    from panewise.sources.kafka import kafka_writer_options
+
+    df.write.format("kafka").options(**kafka_writer_options(bootstrap_servers, topic, **producer)).save()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panewise.functions import date_key, timestamp_to_ms
+from panewise.functions import timestamp_to_ms
 from panewise.operators.late import is_dead, last_window_end
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
 from panewise.operators.windows import aggregate_panes, assign_panes
@@ -80,12 +80,12 @@ class LateRouter:
             write_rows(judged.filter("is_late").drop("is_late", "max_prev_ms", "event_ts"), self.path("late"), batch_id)
             on_time = judged.filter(~F.col("is_late")).drop("is_late", "watermark_ms")
             (
-                on_time.withColumn("event_date", date_key(F.col("event_time")))
+                on_time.withColumn("event_day", F.to_date(F.col("event_ts")))
                 .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
                 .drop("event_ts")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("event_date", "batch_id")
+                .partitionBy("event_day", "batch_id")
                 .parquet(self.path("silver"))
             )
             batch_max = df.agg(F.max("event_time")).first()[0]
@@ -118,7 +118,9 @@ class LateRouter:
             return None
         rows = self.silver()
         if lo is not None:
-            rows = rows.filter((F.col("event_date") >= _date_str(lo)) & (F.col("event_time") >= F.lit(lo)))
+            # event_day is read back as DATE, so this bound prunes silver partitions
+            day = F.to_date(F.lit(_date_str(lo)))
+            rows = rows.filter((F.col("event_day") >= day) & (F.col("event_time") >= F.lit(lo)))
         rows = rows.filter(F.col("event_time") < F.lit(fire_upto)).withColumn(
             "event_ts", F.timestamp_millis("event_time")
         )
@@ -149,7 +151,7 @@ def _small(df: DataFrame) -> bool:
 def _date_str(ms: int) -> str:
     import datetime as _dt
 
-    return _dt.datetime.fromtimestamp(max(ms, 0) / 1000, tz=_dt.timezone.utc).strftime("%Y%m%d")
+    return (_dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(milliseconds=ms)).strftime("%Y-%m-%d")
 
 
 def build_staged_stream(messages: DataFrame, params: Params = Params(), order_cols=("ingest_ms",)):
@@ -170,20 +172,31 @@ def start_staged_query(
     trigger_seconds: int | None = 30,
     epoch: int = 0,
     order_cols=("ingest_ms",),
+    with_dead_letters: bool = False,
 ):
     """Start the staged job: dedup (stateful) -> foreachBatch(route late, write silver, fire windows).
 
-    Dead letters are written in the same micro-batch function from the raw rows, so one query and one
-    checkpoint cover every output.
+    With ``with_dead_letters`` a second query on the same source writes the
+    anomalies to ``<root>/anomalies`` (its own checkpoint). Returns the router
+    and the started queries.
     """
     spark = messages.sparkSession
     router = LateRouter(spark, root, table, params, epoch)
-    deduped, _dead = build_staged_stream(messages, params, order_cols)
+    deduped, dead = build_staged_stream(messages, params, order_cols)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         router.process(df, batch_id)
 
-    w = deduped.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(root, "_checkpoint"))
-    if trigger_seconds:
-        w = w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return router, w.start()
+    def dead_sink(df: DataFrame, batch_id: int) -> None:
+        write_rows(df, router.path("anomalies"), batch_id)
+
+    queries = []
+    streams = [(deduped, sink, "_checkpoint")]
+    if with_dead_letters:
+        streams.append((dead, dead_sink, "_checkpoint_anomalies"))
+    for stream, fn, ck in streams:
+        w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", os.path.join(root, ck))
+        if trigger_seconds:
+            w = w.trigger(processingTime=f"{trigger_seconds} seconds")
+        queries.append(w.start())
+    return router, queries

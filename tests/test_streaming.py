@@ -76,10 +76,11 @@ def test_staged_job_routes_too_late_row(spark, scratch):
             ("old", "u3", "s", 5.0, 10_000), ("z", "u9", "s", 1.0, 400_000)]
     _files(src, rows)
     table = MetricsTable(spark, os.path.join(scratch, "t"))
-    router, q = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1),
-                                   os.path.join(scratch, "job"), table, trigger_seconds=None)
-    q.processAllAvailable()
-    q.stop()
+    router, qs = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1),
+                                    os.path.join(scratch, "job"), table, trigger_seconds=None)
+    for q in qs:
+        q.processAllAvailable()
+        q.stop()
     late = spark.read.parquet(router.path("late")).collect()
     assert [(r.event_id, r.watermark_ms) for r in late] == [("old", M + 100_000 - 10_001)]
     got = _latest(table)
@@ -87,3 +88,49 @@ def test_staged_job_routes_too_late_row(spark, scratch):
     assert got[("2024-01-01 00:01:00", "s")] == (3, 3.0, 3)  # fired when z moved the watermark
     assert ("2024-01-01 00:06:00", "s") not in got  # z's windows are not closed yet
     assert all(r.order_cnt < 5 for r in table.versions().collect())  # 'old' counted nowhere
+
+
+def test_staged_stream_equals_batch_pipeline(spark, scratch):
+    """Staged job over the sf0.001 raw arrivals (junk, duplicates, disorder, very late rows) = batch job."""
+    from conftest import SF_SMALL
+    from panewise.operators.dedup import dedup_first
+    from panewise.operators.late import batch_watermarks, classify_late, metrics_excluding_late
+    from panewise.sources.fixtures import load_events, raw_arrivals_from_events
+
+    n_batches = 6
+    raw = raw_arrivals_from_events(load_events(spark, SF_SMALL))
+    lo, hi = raw.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    width = (hi - lo) // n_batches + 1
+    raw = raw.withColumn("cb", F.floor((F.col("arrival_ms") - lo) / width).cast("bigint"))
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    for b, rows in enumerate(
+        [[r.value for r in raw.filter(F.col("cb") == i).orderBy("arrival_ms").collect()] for i in range(n_batches)]
+    ):
+        p = os.path.join(src, f"part-{b:04d}.txt")
+        with open(p, "w") as f:
+            f.write("\n".join(rows) + "\n")
+        os.utime(p, (1_000_000 + b * 10, 1_000_000 + b * 10))
+
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    router, qs = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1),
+                                    os.path.join(scratch, "job"), table, trigger_seconds=None,
+                                    with_dead_letters=True)
+    for q in qs:
+        q.processAllAvailable()
+        q.stop()
+
+    # Batch twin: within one test run the 1 h processing-time TTL never expires -> first arrival wins.
+    valid = valid_orders(parse_orders(raw))
+    wm = batch_watermarks(valid, batch_col="cb")
+    classified = classify_late(dedup_first(valid, "event_id", "arrival_ms"), batch_col="cb", watermarks=wm)
+    final_max = valid.agg(F.max("event_time")).first()[0]
+    exp_rows = metrics_excluding_late(classified, keep_window=True).filter(
+        F.col("window_end_ms") + 10_000 <= final_max).collect()
+    exp = {(r.window_start, r.store_id): (r.order_cnt, r.gmv_total, r.user_cnt) for r in exp_rows}
+    assert len(exp) > 100
+    assert _latest(table) == exp
+    late_stream = {r.event_id for r in spark.read.parquet(router.path("late")).collect()}
+    late_batch = {r.event_id for r in classified.filter("is_late").collect()}
+    assert late_stream == late_batch and late_stream
+    assert spark.read.parquet(router.path("anomalies")).count() == parse_orders(raw).filter("reason IS NOT NULL").count()
