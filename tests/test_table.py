@@ -42,3 +42,17 @@ def test_retry_is_idempotent_and_newest_version_wins(spark, scratch):
 def test_latest_rows_generic(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 1, "c")], "key string, version int, v string")
     assert sorted(map(tuple, latest_rows(df, ["key"], ["version"]).collect())) == [("j", 1, "c"), ("k", 2, "b")]
+
+
+def test_backfill_writes_a_newer_version(spark, scratch):
+    from conftest import SF_SMALL
+    from panewise.plans.batch import backfill, run_job
+    from panewise.sources.fixtures import load_events, raw_arrivals_from_events
+
+    t = MetricsTable(spark, os.path.join(scratch, "metrics"))
+    msgs = raw_arrivals_from_events(load_events(spark, SF_SMALL))
+    t.write_batch(run_job(msgs).metrics.withColumn("order_cnt", F.lit(0).cast("bigint")), batch_id=7)  # stale run
+    fresh = backfill(t, msgs, epoch=1)
+    got = {(r.window_start, r.store_id): r.order_cnt for r in t.latest().collect()}
+    assert got == {(r.window_start, r.store_id): r.order_cnt for r in fresh.collect()}
+    assert {r.epoch for r in t.latest().collect()} == {1}
