@@ -24,6 +24,7 @@ from panewise.schema import Params
 from panewise.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_ROWS = 2_000_000
+VALUE_BLOCK = 4096
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -33,17 +34,27 @@ def sized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(small) if small.count() <= max_rows else small
 
 
+BATCH_BLOCK = 1024
+
+
 def batch_watermarks(
     df: DataFrame, params: Params = Params(), batch_col: str = "batch_id", time_col: str = "event_time"
 ) -> DataFrame:
     """R2: per batch, the max event time of all earlier batches and the watermark it implies.
 
-    The single ordered window runs over the per-batch maxima only (one row per batch).
+    Two-level prefix maximum: within blocks of ``BATCH_BLOCK`` consecutive batch
+    ids (window partitioned by block), plus the maxima of earlier blocks (the only
+    unpartitioned window, over one row per block).
     """
     per_batch = df.groupBy(batch_col).agg(F.max(time_col).alias("batch_max_ms"))
-    earlier = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
-    max_prev = F.max("batch_max_ms").over(earlier)
-    return per_batch.select(
+    per_batch = per_batch.withColumn("_blk", F.floor(F.col(batch_col) / F.lit(BATCH_BLOCK)))
+    in_block = Window.partitionBy("_blk").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = per_batch.groupBy("_blk").agg(F.max("batch_max_ms").alias("_bm"))
+    earlier_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_blk", F.max("_bm").over(earlier_blocks).alias("_prev_blocks"))
+    joined = per_batch.withColumn("_prev_in", F.max("batch_max_ms").over(in_block)).join(blocks, "_blk")
+    max_prev = F.greatest(F.col("_prev_in"), F.col("_prev_blocks"))
+    return joined.select(
         batch_col,
         "batch_max_ms",
         max_prev.alias("max_prev_ms"),
@@ -119,9 +130,20 @@ def exact_quantiles(df: DataFrame, value_col: str, keys, quantiles=(0.5, 0.95, 0
     """
     keys = list(keys)
     hist = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    # Two-level running sum: per value block (window over one row per block and key),
+    # then inside each (key, block); no window partition holds a key's whole histogram.
+    hist = hist.withColumn("_blk", F.floor(F.col(value_col) / F.lit(VALUE_BLOCK)))
+    blocks = hist.groupBy(*keys, "_blk").agg(F.sum("_c").alias("_bc"))
     by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_hi", F.sum("_c").over(running)).withColumn("_n", F.sum("_c").over(by_key))
+    before = by_key.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        *keys, "_blk",
+        F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_before"),
+        F.sum("_bc").over(by_key).alias("_n"),
+    )
+    running = Window.partitionBy(*keys, "_blk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("_in", F.sum("_c").over(running)).join(blocks, [*keys, "_blk"])
+    hist = hist.withColumn("_hi", F.col("_before") + F.col("_in"))
     hist = hist.withColumn("_lo", F.col("_hi") - F.col("_c"))
     aggs = [F.max("_n").alias("n"), F.max(value_col).alias("max_value")]
     for i, q in enumerate(quantiles):

@@ -36,7 +36,11 @@ from panewise.schema import Params
 MAX_BROADCAST_PANES = 1_000_000
 
 WM_SCHEMA = T.StructType(
-    [T.StructField("max_event_ms", T.LongType(), True), T.StructField("batch_id", T.LongType(), True)]
+    [
+        T.StructField("max_event_ms", T.LongType(), True),
+        T.StructField("max_through_ms", T.LongType(), True),
+        T.StructField("batch_id", T.LongType(), True),
+    ]
 )
 
 
@@ -59,11 +63,20 @@ class LateRouter:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     def max_before(self, batch_id: int) -> int | None:
-        """Max event time over all batches before ``batch_id`` (one scalar from a one-row-per-batch table)."""
+        """Max event time over all batches before ``batch_id``.
+
+        Each log row carries the running maximum through its batch, and micro-batch
+        ids are consecutive, so only the previous batch's partition is read (no
+        listing of the whole log). A missing previous entry falls back to a scan.
+        """
+        prev = f"wm_log/batch_id={int(batch_id) - 1}"
+        if batch_id > 0 and self._exists(prev):
+            row = self.spark.read.schema(T.StructType(WM_SCHEMA.fields[:2])).parquet(self.path(prev)).first()
+            return None if row is None else row["max_through_ms"]
         if not self._exists("wm_log"):
             return None
         wm = self.spark.read.schema(WM_SCHEMA).parquet(self.path("wm_log"))
-        return wm.filter(F.col("batch_id") < batch_id).agg(F.max("max_event_ms")).first()[0]
+        return wm.filter(F.col("batch_id") < batch_id).agg(F.max("max_through_ms")).first()[0]
 
     def process(self, df: DataFrame, batch_id: int) -> None:
         p = self.params
@@ -89,8 +102,9 @@ class LateRouter:
                 .parquet(self.path("silver"))
             )
             batch_max = df.agg(F.max("event_time")).first()[0]
+            through = max([m for m in (mp, batch_max) if m is not None], default=None)
             (
-                self.spark.createDataFrame([(batch_max, int(batch_id))], WM_SCHEMA)
+                self.spark.createDataFrame([(batch_max, through, int(batch_id))], WM_SCHEMA)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id")
@@ -104,8 +118,17 @@ class LateRouter:
         finally:
             df.unpersist()
 
-    def silver(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path("silver")).parquet(self.path("silver"))
+    def silver(self, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
+        """Silver rows; with bounds only the ``event_day`` directories in range are listed and read."""
+        base = self.path("silver")
+        reader = self.spark.read.option("basePath", base)
+        if from_ms is None or to_ms is None:
+            return reader.parquet(base)
+        days = _days(from_ms, to_ms)
+        paths = [f"{base}/event_day={d}" for d in days if self._exists(f"silver/event_day={d}")]
+        if not paths:
+            return None
+        return reader.parquet(*paths)
 
     def fire_windows(self, batch_rows: DataFrame, max_prev: int | None, max_now: int) -> DataFrame | None:
         """Windows first closed by this batch, plus closed windows that got allowed-late rows now."""
@@ -116,11 +139,11 @@ class LateRouter:
         lo = None if max_prev is None else max_prev - p.delay_ms - p.size_ms
         if not self._exists("silver"):
             return None
-        rows = self.silver()
+        rows = self.silver() if lo is None else self.silver(lo, fire_upto)
+        if rows is None:
+            return None
         if lo is not None:
-            # event_day is read back as DATE, so this bound prunes silver partitions
-            day = F.to_date(F.lit(_date_str(lo)))
-            rows = rows.filter((F.col("event_day") >= day) & (F.col("event_time") >= F.lit(lo)))
+            rows = rows.filter(F.col("event_time") >= F.lit(lo))
         rows = rows.filter(F.col("event_time") < F.lit(fire_upto)).withColumn(
             "event_ts", F.timestamp_millis("event_time")
         )
@@ -148,10 +171,14 @@ def _small(df: DataFrame) -> bool:
     return df.count() <= MAX_BROADCAST_PANES
 
 
-def _date_str(ms: int) -> str:
+def _days(from_ms: int, to_ms: int) -> list[str]:
+    """UTC days touched by ``[from_ms, to_ms]`` (a handful: the range is size + bound + lateness wide)."""
     import datetime as _dt
 
-    return (_dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc) + _dt.timedelta(milliseconds=ms)).strftime("%Y-%m-%d")
+    epoch = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+    first = (epoch + _dt.timedelta(milliseconds=from_ms)).date()
+    last = (epoch + _dt.timedelta(milliseconds=max(from_ms, to_ms))).date()
+    return [(first + _dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
 def build_staged_stream(messages: DataFrame, params: Params = Params(), order_cols=("ingest_ms",)):

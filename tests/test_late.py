@@ -53,7 +53,8 @@ def test_routing_is_a_partition_and_per_window(spark):
 
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(5)
-    vals = {"a": rng.integers(0, 1000, 501), "b": rng.integers(0, 10, 37), "c": np.array([42])}
+    vals = {"a": rng.integers(0, 1000, 501), "b": rng.integers(0, 10, 37), "c": np.array([42]),
+            "wide": rng.integers(-50_000, 200_000, 3001)}  # spans many value blocks, negatives included
     rows = [(k, int(v)) for k, arr in vals.items() for v in arr]
     df = spark.createDataFrame(rows, "k string, v long")
     got = {r.k: r for r in exact_quantiles(df, "v", ["k"], (0.0, 0.5, 0.95, 0.99, 1.0)).collect()}
