@@ -7,6 +7,7 @@ from panewise.functions.timecols import (
     ms_to_text,
     ms_to_timestamp,
     timestamp_to_ms,
+    utc_date,
 )
 from panewise.functions.jsonish import is_container_json
 
@@ -19,5 +20,6 @@ __all__ = [
     "ms_to_text",
     "ms_to_timestamp",
     "timestamp_to_ms",
+    "utc_date",
     "is_container_json",
 ]

@@ -37,3 +37,8 @@ def ms_to_text(ms: Column, fmt: str = TIME_TEXT_FORMAT) -> Column:
 def date_key(ms: Column) -> Column:
     """Epoch ms -> UTC ``yyyyMMdd`` partition key."""
     return F.date_format(_ms_to_ntz(ms), DATE_KEY_FORMAT)
+
+
+def utc_date(ms: Column) -> Column:
+    """Epoch ms -> DATE of the UTC day, whatever the session time zone is."""
+    return F.to_date(_ms_to_ntz(ms))

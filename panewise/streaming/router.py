@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panewise.functions import timestamp_to_ms
+from panewise.functions import timestamp_to_ms, utc_date
 from panewise.operators.late import is_dead, last_window_end
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
 from panewise.operators.windows import aggregate_panes, assign_panes
@@ -93,7 +93,7 @@ class LateRouter:
             write_rows(judged.filter("is_late").drop("is_late", "max_prev_ms", "event_ts"), self.path("late"), batch_id)
             on_time = judged.filter(~F.col("is_late")).drop("is_late", "watermark_ms")
             (
-                on_time.withColumn("event_day", F.to_date(F.col("event_ts")))
+                on_time.withColumn("event_day", utc_date(F.col("event_time")))
                 .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
                 .drop("event_ts")
                 .write.mode("overwrite")
