@@ -76,3 +76,23 @@ def test_lateness_profile_and_stats(spark):
     st = {r.store_id: r for r in late_stats(late, alert_threshold=2).collect()}
     assert st["s"].late_cnt == 2 and st["s"].max_lateness_ms == 9_000 and st["s"].alert
     assert st["t"].bucket_start == "1970-01-01 01:00:00" and not st["t"].alert
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from panewise.operators import window_metrics  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 400_000), st.integers(0, 10_000), st.sampled_from(["s", "t"]),
+                          st.integers(0, 4)), min_size=1, max_size=60))
+def test_property_disorder_within_bound_loses_nothing(spark, rows):
+    """Arrivals at most 10 s behind their event time: every row counts in every window it belongs to."""
+    data = [(f"e{i}", f"u{u}", s, float(i % 7), t, (t + d) // 1000) for i, (t, d, s, u) in enumerate(rows)]
+    df = _df(spark, data)
+    classified = classify_late(df)
+    assert classified.filter("is_late").count() == 0
+    got = sorted(map(tuple, metrics_excluding_late(classified).collect()))
+    exp = sorted(map(tuple, window_metrics(df.orderBy("event_time")).collect()))
+    assert got == exp
