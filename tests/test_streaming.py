@@ -142,3 +142,24 @@ def test_staged_stream_equals_batch_pipeline(spark, scratch):
     late_batch = {r.event_id for r in classified.filter("is_late").collect()}
     assert late_stream == late_batch and late_stream
     assert spark.read.parquet(router.path("anomalies")).count() == parse_orders(raw).filter("reason IS NOT NULL").count()
+
+
+def test_append_mode_emits_each_closed_window_once_with_sketch(spark, scratch):
+    src = os.path.join(scratch, "in")
+    # without no-data batches, closed windows are emitted by the batch after the one moving the watermark
+    _files(src, REPLAY + [("y", "u9", "s", 1.0, 400_000)])
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), exact=False)
+    q = start_metrics_query(st, table, os.path.join(scratch, "ck"), output_mode="append", trigger_seconds=None)
+    q.processAllAvailable()
+    q.stop()
+    versions = table.versions().collect()
+    keys = [(r.window_start, r.store_id) for r in versions]
+    assert len(keys) == len(set(keys))  # append: one final row per window
+    got = {k: (r.order_cnt, r.gmv_total, r.user_cnt) for k, r in zip(keys, versions)}
+    # z at +400 s closes every window ending by +385 s; z's own windows stay open
+    assert got == {
+        ("2024-01-01 00:00:30", "s"): (1, 2.0, 1),
+        ("2024-01-01 00:01:00", "s"): (3, 3.0, 3),
+        ("2024-01-01 00:01:30", "s"): (2, 1.0, 2),
+    }
