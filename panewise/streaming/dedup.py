@@ -1,20 +1,24 @@
-"""T2 (stream form): per-key TTL dedup as a stateful Pandas operator.
-
-Two interchangeable engines:
-
-* ``applyInPandasWithState`` (default): the state (accept time) travels with
-  the key's rows in the Arrow batch, so there is no per-key state call. The
-  accept time decides the TTL; a processing-time timeout only cleans state.
-* ``transformWithStateInPandas``: a ``ValueState`` with a native TTL.
-
-State per key is one ``ValueState`` holding the accept time, created with a
-processing-time TTL. It is written only when a row is accepted, so the TTL
-clock starts at the accept and rejected duplicates never extend it; once it
-expires the key is accepted again. All rows of one micro-batch share the
-batch's processing time, so at most one row per key and batch is accepted:
-the smallest by ``order_cols`` (arrival order), or the first seen.
-
-Needs the RocksDB state store provider.
+"""T2 (stream form): per-key TTL dedup as a stateful streaming operator.
+
+Per key the state is the accept time with a processing-time TTL. It is
+written only when a row is accepted, so the TTL clock starts at the accept
+and rejected duplicates never extend it; once it expires the key is accepted
+again. All rows of one micro-batch share the batch's processing time, so at
+most one row per key and batch is accepted: the smallest by ``order_cols``
+(arrival order), or the first seen.
+
+Engines (same semantics, different cost):
+
+* ``bucketed`` (default): keys are hashed into ``buckets`` groups of a
+  Row-based ``transformWithState``; a ``MapState`` keeps one TTL'd entry per
+  key. Python runs once per bucket and micro-batch instead of once per key.
+* ``transformWithState``: one group per key, a TTL'd ``ValueState``.
+* ``transformWithStateInPandas``: as above with a pandas frame per key.
+* ``applyInPandasWithState``: the accept time travels with the key's rows;
+  a processing-time timeout removes expired state.
+
+Per-key pandas frames cost milliseconds each, which is why ``bucketed`` is
+the default. Needs the RocksDB state store provider.
 """
 
 from __future__ import annotations
@@ -95,14 +99,16 @@ class TTLDedupBucketProcessor(StatefulProcessor):
     and is written only on accept, so the semantics per key are unchanged.
     """
 
-    def __init__(self, key: str, ttl_ms: int | None, order_cols: tuple[str, ...] = (), out_cols=()):
+    def __init__(self, key: str, ttl_ms: int | None, order_cols: tuple[str, ...] = (), out_cols=(),
+                 key_type: str = "STRING"):
         self.key = key
+        self.key_type = key_type
         self.ttl_ms = ttl_ms
         self.order_cols = list(order_cols)
         self.out_cols = list(out_cols)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.accepted = handle.getMapState("accepted", f"{self.key} STRING", "accepted_ms LONG", self.ttl_ms)
+        self.accepted = handle.getMapState("accepted", f"{self.key} {self.key_type}", "accepted_ms LONG", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         first = {}
@@ -179,7 +185,9 @@ def dedup_stream(
     if engine == "bucketed":
         bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets)))
         return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(
-            statefulProcessor=TTLDedupBucketProcessor(key, ttl_ms, tuple(order_cols), df.columns),
+            statefulProcessor=TTLDedupBucketProcessor(
+                key, ttl_ms, tuple(order_cols), df.columns, df.schema[key].dataType.simpleString().upper()
+            ),
             outputStructType=df.schema,
             outputMode="Append",
             timeMode="ProcessingTime",

@@ -163,3 +163,22 @@ def test_append_mode_emits_each_closed_window_once_with_sketch(spark, scratch):
         ("2024-01-01 00:01:00", "s"): (3, 3.0, 3),
         ("2024-01-01 00:01:30", "s"): (2, 1.0, 2),
     }
+
+
+import pytest  # noqa: E402
+
+from panewise.streaming.dedup import dedup_stream  # noqa: E402
+
+
+@pytest.mark.parametrize("engine", ["transformWithState", "transformWithStateInPandas", "applyInPandasWithState"])
+def test_alternative_dedup_engines(spark, scratch, engine):
+    src = os.path.join(scratch, "in")
+    _files(src, [("a", "u1", "s", 1.0, 1000), ("a", "u1", "s", 5.0, 2000), ("b", "u2", "s", 2.0, 3000)])
+    parsed = valid_orders(parse_orders(read_messages(spark, src, stream=True, files_per_trigger=1)))
+    out = dedup_stream(parsed, ttl_ms=3_600_000, order_cols=("ingest_ms",), engine=engine)
+    q = out.writeStream.format("memory").queryName(f"dedup_{engine}").outputMode("append").option(
+        "checkpointLocation", os.path.join(scratch, "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{engine}").collect())
+    assert got == [("a", 1.0), ("b", 2.0)]
