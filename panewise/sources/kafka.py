@@ -78,7 +78,15 @@ def kafka_reader_options(src: KafkaSource, *, batch: bool = False) -> dict:
 def read_kafka(spark: SparkSession, src: KafkaSource, *, batch: bool = False) -> DataFrame:
     """Raw messages as ``value STRING`` plus ``topic, partition, offset, kafka_ts`` and ``ingest_ms``."""
     reader = spark.read if batch else spark.readStream
-    df = reader.format("kafka").options(**kafka_reader_options(src, batch=batch)).load()
+    try:
+        df = reader.format("kafka").options(**kafka_reader_options(src, batch=batch)).load()
+    except Exception as e:  # the connector is a separate package of the Spark distribution
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError(
+                "the Kafka source needs the spark-sql-kafka-0-10 connector on the classpath "
+                "(spark.jars.packages); files can be replayed with sources.files.read_messages"
+            ) from e
+        raise
     return df.select(
         F.col("value").cast("string").alias("value"),
         "topic",

@@ -42,3 +42,29 @@ def test_reader_and_writer_options():
     assert w["kafka.acks"] == "all" and w["kafka.linger.ms"] == "10" and w["topic"] == "t"
     with pytest.raises(ValueError):
         KafkaSource("", "t")
+
+
+def test_read_kafka_without_connector_explains(spark):
+    from panewise.sources.kafka import read_kafka
+
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_kafka(spark, KafkaSource("localhost:1", "orders"), batch=True)
+
+
+def test_message_files_roundtrip_and_dead_letter_text(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from panewise.operators.parse import anomalies, anomaly_log_lines, parse_orders
+    from panewise.sources.encode import encode_orders, write_messages
+    from panewise.sources.files import read_messages
+
+    orders = spark.createDataFrame([("e1", "u", "s", 1.5, 10)], "event_id string, user_id string, "
+                                   "store_id string, amount double, event_time long")
+    out = str(tmp_path / "msgs")
+    write_messages(encode_orders(orders).union(spark.createDataFrame([("junk",)], "value string")), out)
+    msgs = read_messages(spark, out)
+    assert set(msgs.columns) == {"value", "ingest_ms"} and msgs.count() == 2
+    p = parse_orders(msgs)
+    assert p.filter(F.col("reason").isNull()).first().amount == 1.5
+    lines = [r.value for r in anomaly_log_lines(anomalies(p)).collect()]
+    assert lines == ["Failed to parse message: junk, err=malformed_json"]
