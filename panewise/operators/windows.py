@@ -51,15 +51,31 @@ def window_metrics(
     rsd: float = 0.05,
     ts_col: str = "event_ts",
     keep_window: bool = False,
+    streaming_distinct: str = "collect_set",
 ) -> DataFrame:
     """Parsed events -> one metric row per (window, keys).
 
     Output columns: ``window_start, window_end`` (UTC text), the keys,
     ``order_cnt, gmv_total, user_cnt``; with ``keep_window`` also the window
     struct and ``window_start_ms, window_end_ms`` (for versioned writes).
+
+    ``streaming_distinct="two_level"`` (append-mode streams only) chains two
+    stateful aggregations, (window, keys, user) then (window, keys), so no state
+    row holds a window's whole user set; ``collect_set`` works in every mode.
     """
     win = F.window(F.col(ts_col), params.size, params.slide).alias("window")
-    return _finish(df.groupBy(win, *(keys or params.keys)), df, params, keys, exact, rsd, keep_window)
+    keys = list(keys or params.keys)
+    if df.isStreaming and exact and streaming_distinct == "two_level":
+        per_user = df.groupBy(win, *keys, "user_id").agg(
+            F.count(F.lit(1)).alias("_c"), F.sum("amount").alias("_g")
+        )
+        agg = per_user.groupBy("window", *keys).agg(
+            F.sum("_c").alias("order_cnt"),
+            F.sum("_g").alias("_gmv"),
+            F.count("user_id").alias("user_cnt"),
+        )
+        return _project(agg, keys, keep_window)
+    return _finish(df.groupBy(win, *keys), df, params, keys, exact, rsd, keep_window)
 
 
 def _finish(grouped, df, params, keys, exact, rsd, keep_window):
@@ -69,6 +85,10 @@ def _finish(grouped, df, params, keys, exact, rsd, keep_window):
         F.sum("amount").alias("_gmv"),
         _distinct_users(df, exact, rsd).alias("user_cnt"),
     )
+    return _project(agg, keys, keep_window)
+
+
+def _project(agg, keys, keep_window):
     start_ms = timestamp_to_ms(F.col("window.start"))
     end_ms = timestamp_to_ms(F.col("window.end"))
     cols = [

@@ -34,6 +34,7 @@ class MetricsStream:
     anomalies: DataFrame
     deduped: DataFrame
     metrics: DataFrame
+    output_mode: str = "update"
 
 
 def build_metrics_stream(
@@ -41,26 +42,31 @@ def build_metrics_stream(
     params: Params = Params(),
     exact: bool = True,
     order_cols: tuple[str, ...] = ("ingest_ms",),
+    output_mode: str = "update",
+    engine: str = "bucketed",
 ) -> MetricsStream:
+    """``output_mode="append"`` uses the two-level exact distinct count (chained aggregations)."""
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
     order = tuple(c for c in order_cols if c in valid.columns)
-    deduped = dedup_stream(valid, "event_id", params.ttl_ms, order)
+    deduped = dedup_stream(valid, "event_id", params.ttl_ms, order, engine=engine)
     timed = deduped.withWatermark("event_ts", params.delay)
-    metrics = window_metrics(timed, params, exact=exact, keep_window=True).drop("window")
-    return MetricsStream(parsed, anomalies(parsed), deduped, metrics)
+    distinct = "two_level" if output_mode == "append" else "collect_set"
+    metrics = window_metrics(timed, params, exact=exact, keep_window=True, streaming_distinct=distinct).drop("window")
+    return MetricsStream(parsed, anomalies(parsed), deduped, metrics, output_mode)
 
 
 def start_metrics_query(
     stream: MetricsStream,
     table: MetricsTable,
     checkpoint: str,
-    output_mode: str = "update",
+    output_mode: str | None = None,
     trigger_seconds: int | None = 30,
     epoch: int = 0,
     name: str | None = None,
 ) -> StreamingQuery:
     """Sink the metrics into the versioned table; one table version per micro-batch."""
+    output_mode = output_mode or stream.output_mode
 
     def sink(df: DataFrame, batch_id: int) -> None:
         table.write_batch(df, batch_id=batch_id, epoch=epoch)

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from panewise.operators import parse_orders, valid_orders, window_metrics
@@ -144,13 +146,16 @@ def test_staged_stream_equals_batch_pipeline(spark, scratch):
     assert spark.read.parquet(router.path("anomalies")).count() == parse_orders(raw).filter("reason IS NOT NULL").count()
 
 
-def test_append_mode_emits_each_closed_window_once_with_sketch(spark, scratch):
+@pytest.mark.parametrize("exact", [True, False])
+def test_append_mode_emits_each_closed_window_once(spark, scratch, exact):
     src = os.path.join(scratch, "in")
     # without no-data batches, closed windows are emitted by the batch after the one moving the watermark
     _files(src, REPLAY + [("y", "u9", "s", 1.0, 400_000)])
     table = MetricsTable(spark, os.path.join(scratch, "t"))
-    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), exact=False)
-    q = start_metrics_query(st, table, os.path.join(scratch, "ck"), output_mode="append", trigger_seconds=None)
+    # exact: two chained aggregations (window, store, user) -> (window, store); else a sketch
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), exact=exact,
+                              output_mode="append")
+    q = start_metrics_query(st, table, os.path.join(scratch, "ck"), trigger_seconds=None)
     q.processAllAvailable()
     q.stop()
     versions = table.versions().collect()
@@ -165,8 +170,6 @@ def test_append_mode_emits_each_closed_window_once_with_sketch(spark, scratch):
     }
 
 
-import pytest  # noqa: E402
-
 from panewise.streaming.dedup import dedup_stream  # noqa: E402
 
 
