@@ -169,6 +169,27 @@ def _ttl_group_fn(ttl_ms: int | None, order_cols: list[str]):
     return fn
 
 
+def pre_reduce_batch(df: DataFrame, key: str, order_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Keep the earliest row per key inside each Arrow batch of each partition (stateless, before the shuffle).
+
+    Exact for processing-time dedup: all rows of a micro-batch share one
+    processing time, so only a key's earliest row of the batch can be accepted.
+    A hot key then reaches the stateful exchange as at most one row per input
+    batch instead of all its copies.
+    """
+    order = list(order_cols)
+
+    def reduce(batches):
+        for pdf in batches:
+            if len(pdf) > 1:
+                if order:
+                    pdf = pdf.sort_values(order, kind="stable")
+                pdf = pdf.drop_duplicates(subset=[key], keep="first")
+            yield pdf
+
+    return df.mapInPandas(reduce, df.schema)
+
+
 def dedup_stream(
     df: DataFrame,
     key: str = "event_id",
@@ -176,12 +197,17 @@ def dedup_stream(
     order_cols: tuple[str, ...] = (),
     engine: str = "bucketed",
     buckets: int = 1024,
+    pre_reduce: bool = False,
 ) -> DataFrame:
     """Streaming TTL dedup keyed by ``key``; output schema = input schema.
 
     ``engine="bucketed"`` (default) groups keys into ``buckets`` hash buckets so
-    Python is called once per bucket instead of once per key.
+    Python is called once per bucket instead of once per key. ``pre_reduce``
+    first drops, per input batch, every row that cannot be accepted (see
+    ``pre_reduce_batch``): worth it when single keys carry many copies.
     """
+    if pre_reduce:
+        df = pre_reduce_batch(df, key, order_cols)
     if engine == "bucketed":
         bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets)))
         return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(

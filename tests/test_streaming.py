@@ -173,15 +173,26 @@ def test_append_mode_emits_each_closed_window_once(spark, scratch, exact):
 from panewise.streaming.dedup import dedup_stream  # noqa: E402
 
 
-@pytest.mark.parametrize("engine", ["transformWithState", "transformWithStateInPandas", "applyInPandasWithState"])
+@pytest.mark.parametrize("engine", ["transformWithState", "transformWithStateInPandas", "applyInPandasWithState",
+                                    "bucketed+pre_reduce"])
 def test_alternative_dedup_engines(spark, scratch, engine):
     src = os.path.join(scratch, "in")
     _files(src, [("a", "u1", "s", 1.0, 1000), ("a", "u1", "s", 5.0, 2000), ("b", "u2", "s", 2.0, 3000)])
+    # a hot key: many copies of "h" inside one micro-batch; the earliest (amount 0.0) must win
+    hot = os.path.join(src, "part-0009.json")
+    with open(hot, "w") as f:
+        for i in range(200):
+            f.write(json.dumps({"event_id": "h", "user_id": "u", "store_id": "s", "amount": float(i),
+                                "event_time": M + i}) + "\n")
+    os.utime(hot, (1_000_100, 1_000_100))
     parsed = valid_orders(parse_orders(read_messages(spark, src, stream=True, files_per_trigger=1)))
-    out = dedup_stream(parsed, ttl_ms=3_600_000, order_cols=("ingest_ms",), engine=engine)
-    q = out.writeStream.format("memory").queryName(f"dedup_{engine}").outputMode("append").option(
+    parsed = parsed.withColumn("ingest_ms", F.col("ingest_ms") * 1000 + F.col("event_time") % 1000)
+    name = engine.split("+")[0]
+    out = dedup_stream(parsed, ttl_ms=3_600_000, order_cols=("ingest_ms",), engine=name,
+                       pre_reduce=engine.endswith("pre_reduce"))
+    q = out.writeStream.format("memory").queryName(f"dedup_{name}").outputMode("append").option(
         "checkpointLocation", os.path.join(scratch, "ck")).start()
     q.processAllAvailable()
     q.stop()
-    got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{engine}").collect())
-    assert got == [("a", 1.0), ("b", 2.0)]
+    got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{name}").collect())
+    assert got == [("a", 1.0), ("b", 2.0), ("h", 0.0)]
