@@ -16,6 +16,14 @@ Engines (same semantics, different cost):
 * ``transformWithStateInPandas``: as above with a pandas frame per key.
 * ``applyInPandasWithState``: the accept time travels with the key's rows;
   a processing-time timeout removes expired state.
+* ``watermark``: JVM only. ``dropDuplicatesWithinWatermark`` keyed by the id,
+  with the watermark on the micro-batch's processing time and a delay of
+  TTL/2: an id's state expires once a batch starts more than TTL after the
+  accept. Bounded divergences: re-acceptance can come up to about two trigger
+  intervals after the TTL, and copies inside one micro-batch are not ordered
+  by ``order_cols``. It defines the stream's watermark, so it only fits plans
+  without an event-time watermark after it (the staged job, which judges
+  lateness itself).
 
 Per-key pandas frames cost milliseconds each, which is why ``bucketed`` is
 the default. Needs the RocksDB state store provider.
@@ -208,6 +216,16 @@ def dedup_stream(
     """
     if pre_reduce:
         df = pre_reduce_batch(df, key, order_cols)
+    if engine == "watermark":
+        if ttl_ms is None:
+            return df.dropDuplicates([key])
+        half = max(1, int(ttl_ms) // 2)
+        return (
+            df.withColumn("_proc_ts", F.current_timestamp())
+            .withWatermark("_proc_ts", f"{half} milliseconds")
+            .dropDuplicatesWithinWatermark([key])
+            .drop("_proc_ts")
+        )
     if engine == "bucketed":
         bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets)))
         return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(

@@ -181,14 +181,15 @@ def _days(from_ms: int, to_ms: int) -> list[str]:
     return [(first + _dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
-def build_staged_stream(messages: DataFrame, params: Params = Params(), order_cols=("ingest_ms",)):
+def build_staged_stream(messages: DataFrame, params: Params = Params(), order_cols=("ingest_ms",),
+                        dedup_engine: str = "bucketed"):
     """Parsed + deduplicated stream for the router, and the dead-letter stream."""
     from panewise.streaming.dedup import dedup_stream
 
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
     order = tuple(c for c in order_cols if c in valid.columns)
-    return dedup_stream(valid, "event_id", params.ttl_ms, order), anomalies(parsed)
+    return dedup_stream(valid, "event_id", params.ttl_ms, order, engine=dedup_engine), anomalies(parsed)
 
 
 def start_staged_query(
@@ -200,16 +201,18 @@ def start_staged_query(
     epoch: int = 0,
     order_cols=("ingest_ms",),
     with_dead_letters: bool = False,
+    dedup_engine: str = "bucketed",
 ):
     """Start the staged job: dedup (stateful) -> foreachBatch(route late, write silver, fire windows).
 
     With ``with_dead_letters`` a second query on the same source writes the
-    anomalies to ``<root>/anomalies`` (its own checkpoint). Returns the router
-    and the started queries.
+    anomalies to ``<root>/anomalies`` (its own checkpoint). ``dedup_engine``
+    selects the dedup operator (``"watermark"`` keeps it in the JVM, see
+    ``streaming.dedup``). Returns the router and the started queries.
     """
     spark = messages.sparkSession
     router = LateRouter(spark, root, table, params, epoch)
-    deduped, dead = build_staged_stream(messages, params, order_cols)
+    deduped, dead = build_staged_stream(messages, params, order_cols, dedup_engine)
 
     def sink(df: DataFrame, batch_id: int) -> None:
         router.process(df, batch_id)

@@ -100,7 +100,8 @@ def _staged_too_late(spark, scratch):
     assert all(r.order_cnt < 5 for r in table.versions().collect())  # 'old' counted nowhere
 
 
-def test_staged_stream_equals_batch_pipeline(spark, scratch):
+@pytest.mark.parametrize("dedup_engine", ["bucketed", "watermark"])
+def test_staged_stream_equals_batch_pipeline(spark, scratch, dedup_engine):
     """Staged job over the sf0.001 raw arrivals (junk, duplicates, disorder, very late rows) = batch job."""
     from conftest import SF_SMALL
     from panewise.operators.dedup import dedup_first
@@ -125,7 +126,7 @@ def test_staged_stream_equals_batch_pipeline(spark, scratch):
     table = MetricsTable(spark, os.path.join(scratch, "t"))
     router, qs = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1),
                                     os.path.join(scratch, "job"), table, trigger_seconds=None,
-                                    with_dead_letters=True)
+                                    with_dead_letters=True, dedup_engine=dedup_engine)
     for q in qs:
         q.processAllAvailable()
         q.stop()
