@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panewise.functions import half_up_round, ms_to_text, timestamp_to_ms
+from panewise.functions import ms_to_text, timestamp_to_ms
 from panewise.operators.windows import aggregate_panes, assign_panes
 from panewise.schema import Params
 from panewise.session import ensure_checkpoint_dir
