@@ -92,16 +92,20 @@ class LateRouter:
 
             write_rows(judged.filter("is_late").drop("is_late", "max_prev_ms", "event_ts"), self.path("late"), batch_id)
             on_time = judged.filter(~F.col("is_late")).drop("is_late", "watermark_ms")
-            (
+            silver_rows = (
                 on_time.withColumn("event_day", utc_date(F.col("event_time")))
                 .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
                 .drop("event_ts")
+            )
+            self._silver_schema = silver_rows.schema  # read back with it: no schema inference per batch
+            (
+                silver_rows
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("event_day", "batch_id")
                 .parquet(self.path("silver"))
             )
-            batch_max = df.agg(F.max("event_time")).first()[0]
+            batch_max, batch_rows = df.agg(F.max("event_time"), F.count(F.lit(1))).first()
             through = max([m for m in (mp, batch_max) if m is not None], default=None)
             (
                 self.spark.createDataFrame([(batch_max, through, int(batch_id))], WM_SCHEMA)
@@ -112,7 +116,7 @@ class LateRouter:
             )
             maxes = [m for m in (mp, batch_max) if m is not None]
             if maxes:
-                fired = self.fire_windows(on_time, mp, max(maxes))
+                fired = self.fire_windows(on_time, mp, max(maxes), max_batch_rows=batch_rows)
                 if fired is not None:
                     self.table.write_batch(fired, batch_id=batch_id, epoch=self.epoch)
         finally:
@@ -122,6 +126,8 @@ class LateRouter:
         """Silver rows; with bounds only the ``event_day`` directories in range are listed and read."""
         base = self.path("silver")
         reader = self.spark.read.option("basePath", base)
+        if getattr(self, "_silver_schema", None) is not None:
+            reader = reader.schema(self._silver_schema)
         if from_ms is None or to_ms is None:
             return reader.parquet(base)
         days = _days(from_ms, to_ms)
@@ -130,8 +136,13 @@ class LateRouter:
             return None
         return reader.parquet(*paths)
 
-    def fire_windows(self, batch_rows: DataFrame, max_prev: int | None, max_now: int) -> DataFrame | None:
-        """Windows first closed by this batch, plus closed windows that got allowed-late rows now."""
+    def fire_windows(self, batch_rows: DataFrame, max_prev: int | None, max_now: int,
+                     max_batch_rows: int | None = None) -> DataFrame | None:
+        """Windows first closed by this batch, plus closed windows that got allowed-late rows now.
+
+        The panes touched by the batch are broadcast when ``max_batch_rows`` (or a
+        count) proves them small: each row touches at most ``ceil(size / slide)`` panes.
+        """
         p = self.params
         keys = list(p.keys)
         fire_upto = max_now - p.bound_ms  # windows with end <= this have fired
@@ -161,8 +172,9 @@ class LateRouter:
         panes = panes.withColumn("_ws", timestamp_to_ms(F.col("window.start")))
         newly = F.lit(True) if newly_from is None else end_ms > F.lit(newly_from)
         first_fire = panes.filter(newly)
-        refire = panes.filter(~newly).join(F.broadcast(touched) if _small(touched) else touched, ["_ws", *keys],
-                                           "left_semi")
+        per_row = -(-p.size_ms // p.slide_ms)
+        small = (max_batch_rows * per_row <= MAX_BROADCAST_PANES) if max_batch_rows is not None else _small(touched)
+        refire = panes.filter(~newly).join(F.broadcast(touched) if small else touched, ["_ws", *keys], "left_semi")
         fired = first_fire.unionByName(refire).drop("_ws")
         return aggregate_panes(fired, p, keys, keep_window=True).drop("window")
 
