@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; we never invent one there. Only a local-mode session
     (tests, bench) without that setting gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoint() runs on the server with its spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -52,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder"
             )
         configured = tempfile.mkdtemp(prefix="panewise-ckpt-", dir=os.environ.get("PANEWISE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # a core setting some sessions refuse to change at run time
+            pass
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
