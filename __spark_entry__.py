@@ -82,8 +82,9 @@ def q_order_metrics_multi_dim(spark, sf):
     ev = load_events(spark, sf)
     cat = F.concat(F.lit("cat_"), (F.get_json_object("props", "$.k").cast("bigint") % 4).cast("string"))
     o = orders_from_events(ev, extra={"category": cat})
-    return window_metrics(o.withColumn("event_ts", F.timestamp_millis("event_time")), Params(),
-                          keys=("store_id", "category"))
+    fields = ["event_id", "user_id", "store_id", "amount", "event_time", "category"]
+    parsed = valid_orders(parse_orders(encode_orders(o, fields), extra_fields=("category",)))
+    return window_metrics(parsed, Params(), keys=("store_id", "category"))
 
 
 def q_encode_orders(spark, sf):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panewise.functions import is_container_json, lenient_double, lenient_long, ms_to_timestamp
 from panewise.schema import (
@@ -28,14 +29,23 @@ from panewise.schema import (
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def parse_orders(df: DataFrame, value_col: str = "value", keep_value: bool = True, flags: bool = False) -> DataFrame:
+def parse_orders(
+    df: DataFrame,
+    value_col: str = "value",
+    keep_value: bool = True,
+    flags: bool = False,
+    extra_fields: tuple[str, ...] = (),
+) -> DataFrame:
     """Raw messages -> parsed rows with a ``reason`` column (NULL for valid rows).
 
     Output: the input columns (``value`` kept unless ``keep_value=False``),
     then ``event_id, user_id, store_id, amount, event_time, event_ts, reason``;
-    with ``flags`` also ``<field>_defaulted`` booleans (missing, null or unparsable).
+    with ``flags`` also ``<field>_defaulted`` booleans (missing, null or unparsable);
+    ``extra_fields`` are further JSON fields kept as text (extra metric dimensions, A6).
     """
-    j = F.from_json(F.col(value_col), RAW_JSON, _JSON_OPTIONS)
+    # a new StructType: ``StructType.add`` would mutate the shared RAW_JSON in place
+    schema = T.StructType(RAW_JSON.fields + [T.StructField(n, T.StringType(), True) for n in extra_fields])
+    j = F.from_json(F.col(value_col), schema, _JSON_OPTIONS)
     # explode of a one-element array is a plan barrier: a later filter on
     # ``reason`` cannot be pushed below it and inline ``from_json`` several
     # times, so every message is parsed exactly once.
@@ -63,6 +73,7 @@ def parse_orders(df: DataFrame, value_col: str = "value", keep_value: bool = Tru
         ms_to_timestamp(event_time).alias("event_ts"),
         reason.alias("reason"),
         *(_default_flags() if flags else []),
+        *[F.col("_j")[name].alias(name) for name in extra_fields],
     )
     return out
 

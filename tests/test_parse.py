@@ -85,3 +85,15 @@ def test_from_json_evaluated_once(spark):
     df = spark.createDataFrame([('{"event_id":"x"}',)], "value string")
     plan = valid_orders(parse_orders(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_extra_fields_do_not_leak_into_the_shared_schema(spark):
+    from panewise.schema import RAW_JSON
+
+    before = len(RAW_JSON.fields)
+    df = spark.createDataFrame([('{"event_id":"e","city":"x"}',)], "value string")
+    for _ in range(2):
+        r = parse_orders(df, extra_fields=("city",)).first()
+        assert r.city == "x" and r.reason is None
+    assert len(RAW_JSON.fields) == before
+    assert "city" not in parse_orders(df).columns
