@@ -53,6 +53,7 @@ class LateRouter:
         self.table = table
         self.params = params
         self.epoch = epoch
+        self._through: dict[int, int | None] = {}  # running max by batch id, mirrors wm_log
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -69,6 +70,8 @@ class LateRouter:
         ids are consecutive, so only the previous batch's partition is read (no
         listing of the whole log). A missing previous entry falls back to a scan.
         """
+        if int(batch_id) - 1 in self._through:  # written by this driver; same value as on disk
+            return self._through[int(batch_id) - 1]
         prev = f"wm_log/batch_id={int(batch_id) - 1}"
         if batch_id > 0 and self._exists(prev):
             row = self.spark.read.schema(T.StructType(WM_SCHEMA.fields[:2])).parquet(self.path(prev)).first()
@@ -114,6 +117,7 @@ class LateRouter:
                 .partitionBy("batch_id")
                 .parquet(self.path("wm_log"))
             )
+            self._through = {int(batch_id): through}
             maxes = [m for m in (mp, batch_max) if m is not None]
             if maxes:
                 fired = self.fire_windows(on_time, mp, max(maxes), max_batch_rows=batch_rows)
