@@ -197,3 +197,20 @@ def test_alternative_dedup_engines(spark, scratch, engine):
     q.stop()
     got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{name}").collect())
     assert got == [("a", 1.0), ("b", 2.0), ("h", 0.0)]
+
+
+def test_metrics_stream_dead_letters(spark, scratch):
+    from panewise.streaming.job import start_anomaly_query
+
+    src = os.path.join(scratch, "in")
+    _files(src, REPLAY[:2])
+    junk = os.path.join(src, "part-0005.json")
+    with open(junk, "w") as f:
+        f.write('not json\n{"user_id":"u"}\n{"event_id":"ok","event_time":1}\n')
+    os.utime(junk, (1_000_100, 1_000_100))
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1))
+    q = start_anomaly_query(st, os.path.join(scratch, "dead"), os.path.join(scratch, "ck"), trigger_seconds=None)
+    q.processAllAvailable()
+    q.stop()
+    dead = sorted((r.value, r.reason) for r in spark.read.parquet(os.path.join(scratch, "dead")).collect())
+    assert dead == [('not json', "malformed_json"), ('{"user_id":"u"}', "event_id_missing")]
