@@ -36,7 +36,7 @@ from panewise.plans.batch import flagship_metrics, run_job  # noqa: E402
 from panewise.plans.sql import metrics_sql  # noqa: E402
 from panewise.plans.table import latest_rows  # noqa: E402
 from panewise.schema import Params  # noqa: E402
-from panewise.sources.encode import encode_orders  # noqa: E402
+from panewise.sources.encode import encode_orders, encode_rows  # noqa: E402
 from panewise.sources.fixtures import (  # noqa: E402
     arrivals_from_events,
     load_events,
@@ -91,6 +91,10 @@ def q_encode_orders(spark, sf):
     return encode_orders(_orders(spark, sf))
 
 
+def q_encode_metrics(spark, sf):
+    return encode_rows(flagship_metrics(_orders(spark, sf)))
+
+
 def q_parse_valid(spark, sf):
     return _valid_fields(valid_orders(parse_orders(raw_messages_from_events(load_events(spark, sf)))))
 
@@ -179,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_metrics_daily": q_order_metrics_daily,
         "order_metrics_multi_dim": q_order_metrics_multi_dim,
         "encode_orders": q_encode_orders,
+        "encode_metrics": q_encode_metrics,
         "parse_valid": q_parse_valid,
         "parse_anomalies": q_parse_anomalies,
         "dedup_unbounded": q_dedup_unbounded,
@@ -407,6 +412,11 @@ oc AS (SELECT *, 'cat_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT
         "encode_orders": f"""WITH {_O}
 SELECT to_json(struct_pack(event_id := event_id, user_id := user_id, store_id := store_id,
                            amount := amount, event_time := event_time))::VARCHAR AS value FROM o""",
+        "encode_metrics": f"""WITH {_O},
+m AS (WITH {_metrics('o')})
+SELECT to_json(struct_pack(window_start := window_start, window_end := window_end, store_id := store_id,
+                           order_cnt := order_cnt, gmv_total := gmv_total, user_cnt := user_cnt))::VARCHAR AS value
+FROM m""",
         "parse_valid": f"""WITH {_O},
 raw AS (SELECT id, {_RAW_VALUE} AS value FROM o),
 {_parsed('raw')}

@@ -21,6 +21,11 @@ def encode_orders(df: DataFrame, fields: list[str] | None = None, key_col: str |
     return df.select(*cols)
 
 
+def encode_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """S6 text form: one JSON object per row (``JSONEachRow`` shape), keys in column order, snake_case."""
+    return df.select(F.to_json(F.struct(*(cols or df.columns))).alias("value"))
+
+
 def write_messages(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write encoded messages as text files (one JSON per line), the file twin of a topic."""
     df.select("value").write.mode(mode).text(path)
