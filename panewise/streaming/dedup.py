@@ -205,15 +205,18 @@ def dedup_stream(
     order_cols: tuple[str, ...] = (),
     engine: str = "bucketed",
     buckets: int = 1024,
-    pre_reduce: bool = False,
+    pre_reduce: bool | None = None,
 ) -> DataFrame:
     """Streaming TTL dedup keyed by ``key``; output schema = input schema.
 
     ``engine="bucketed"`` (default) groups keys into ``buckets`` hash buckets so
     Python is called once per bucket instead of once per key. ``pre_reduce``
+    (default on for the Python engines, off for the JVM ``watermark`` engine)
     first drops, per input batch, every row that cannot be accepted (see
-    ``pre_reduce_batch``): worth it when single keys carry many copies.
+    ``pre_reduce_batch``), so copies of a hot key are cut down before the shuffle.
     """
+    if pre_reduce is None:
+        pre_reduce = engine != "watermark"
     if pre_reduce:
         df = pre_reduce_batch(df, key, order_cols)
     if engine == "watermark":

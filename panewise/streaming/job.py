@@ -44,12 +44,13 @@ def build_metrics_stream(
     order_cols: tuple[str, ...] = ("ingest_ms",),
     output_mode: str = "update",
     engine: str = "bucketed",
+    pre_reduce: bool | None = None,
 ) -> MetricsStream:
     """``output_mode="append"`` uses the two-level exact distinct count (chained aggregations)."""
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
     order = tuple(c for c in order_cols if c in valid.columns)
-    deduped = dedup_stream(valid, "event_id", params.ttl_ms, order, engine=engine)
+    deduped = dedup_stream(valid, "event_id", params.ttl_ms, order, engine=engine, pre_reduce=pre_reduce)
     timed = deduped.withWatermark("event_ts", params.delay)
     distinct = "two_level" if output_mode == "append" else "collect_set"
     metrics = window_metrics(timed, params, exact=exact, keep_window=True, streaming_distinct=distinct).drop("window")
