@@ -31,3 +31,29 @@ def test_lenient_numbers(spark):
     df = spark.createDataFrame([("7.5",), ("abc",), (None,), ("1900.0",), ("42",), ("1.9e3",)], "s string")
     got = [tuple(r) for r in df.select(lenient_double(F.col("s")), lenient_long(F.col("s"))).collect()]
     assert got == [(7.5, 7), (0.0, 0), (0.0, 0), (1900.0, 1900), (42.0, 42), (1900.0, 1900)]
+
+
+def test_utc_date_ignores_session_zone(spark):
+    from panewise.functions import utc_date
+
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")  # UTC+14
+    try:
+        df = spark.createDataFrame([(1_704_067_199_999,), (1_704_067_200_000,)], "ms long")
+        got = [str(r[0]) for r in df.select(utc_date(F.col("ms"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["2023-12-31", "2024-01-01"]
+
+
+def test_params_validation_and_delay():
+    import pytest
+
+    from panewise.schema import Params
+
+    p = Params()
+    assert (p.size_ms, p.slide_ms, p.bound_ms, p.lateness_ms, p.ttl_ms, p.delay_ms) == (
+        60_000, 30_000, 10_000, 5_000, 3_600_000, 15_000)
+    with pytest.raises(ValueError):
+        Params(size_ms=30_000, slide_ms=60_000)
+    with pytest.raises(ValueError):
+        Params(size_ms=0)
