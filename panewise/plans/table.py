@@ -105,8 +105,15 @@ class MetricsTable:
             fs = day_dir.getFileSystem(conf)
             for st in fs.listStatus(day_dir):
                 name = st.getPath().getName()
-                if name.startswith("epoch=") and name != f"epoch={epoch}":
+                if not name.startswith("epoch="):
+                    continue
+                if name != f"epoch={epoch}":
                     fs.delete(st.getPath(), True)
+                    continue
+                # same epoch: its other micro-batches would outrank batch 0, drop them too
+                for sub in fs.listStatus(st.getPath()):
+                    if sub.getPath().getName().startswith("batch_id=") and sub.getPath().getName() != "batch_id=0":
+                        fs.delete(sub.getPath(), True)
 
 
 def write_rows(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:

@@ -56,3 +56,13 @@ def test_backfill_writes_a_newer_version(spark, scratch):
     got = {(r.window_start, r.store_id): r.order_cnt for r in t.latest().collect()}
     assert got == {(r.window_start, r.store_id): r.order_cnt for r in fresh.collect()}
     assert {r.epoch for r in t.latest().collect()} == {1}
+
+
+def test_compact_into_an_epoch_that_has_later_batches(spark, scratch):
+    t = MetricsTable(spark, os.path.join(scratch, "metrics"))
+    t.write_batch(_m(spark, [("2024-01-01 00:00:00", "2024-01-01 00:01:00", "s", 1, 1.0, 1)]), batch_id=3)
+    t.write_batch(_m(spark, [("2024-01-01 00:00:00", "2024-01-01 00:01:00", "s", 7, 7.0, 2)]), batch_id=4, epoch=1)
+    t.compact("20240101", "20240101", epoch=0)  # epoch 0 already holds batch 3
+    rows = t.latest().collect()
+    assert [(r.order_cnt, r.epoch, r.batch_id) for r in rows] == [(7, 0, 0)]
+    assert t.versions().count() == 1
