@@ -11,6 +11,7 @@ corrupted or copied, no row is ever filtered out.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -177,7 +178,33 @@ def q_order_metrics_sql(spark, sf):
     return metrics_sql(valid_orders(parse_orders(encode_orders(_orders(spark, sf)))))
 
 
+def _optional(name: str):
+    """A module of the training-data package, None if that package is not there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name not in (name, "panewise.llm"):
+            raise
+        return None
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    entries, pipeline = _optional("panewise.llm.entries"), _optional("corpus_pipeline")
+    out = entries.queries() if entries else {}
+    return out | ({"pipeline": pipeline.run} if pipeline else {})
+
+
+def _llm_oracle_sql() -> dict[str, str]:
+    entries, pipeline = _optional("panewise.llm.entries"), _optional("corpus_pipeline")
+    out = entries.oracle_sql() if entries else {}
+    return out | ({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _job_queries() | _llm_queries()
+
+
+def _job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "order_metrics_sliding": q_order_metrics_sliding,
         "order_metrics_daily": q_order_metrics_daily,
@@ -401,6 +428,10 @@ d AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    return _job_oracle_sql() | _llm_oracle_sql()
+
+
+def _job_oracle_sql() -> dict[str, str]:
     metrics_o = f"WITH {_O},{_metrics('o')}"
     dedup_cols = "event_id, user_id, store_id, amount, event_time, copy_no, arrival_ms, batch_id"
     return {
