@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, langid, tokenfile
+from panewise.llm import bpe, langid, ngramjoin, tokenfile
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -41,11 +41,17 @@ def op5_token_file(spark, sf):
     return tokenfile.digests(tokenfile.read(spark, path))
 
 
+def op9_ngram_jaccard(spark, sf):
+    """doc_id, n_shingles, component_id of every document."""
+    return ngramjoin.near_duplicates(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language_id": op3_language_id,
         "op5_token_file": op5_token_file,
+        "op9_ngram_jaccard": op9_ngram_jaccard,
     }
 
 
