@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, langid, ngramjoin, tokenfile
+from panewise.llm import bpe, langid, ngramjoin, substring, tokenfile
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -34,6 +34,11 @@ def op3_language_id(spark, sf):
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op4_substring_dedup(spark, sf):
+    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+    return substring.remove_repeats(table(spark, sf, "documents"), with_text=False)
+
+
 def op5_token_file(spark, sf):
     """doc_id, start, n_tokens, ids_crc32, read back from the written token files."""
     path = shared_path(spark, "token-file")
@@ -50,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language_id": op3_language_id,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_token_file": op5_token_file,
         "op9_ngram_jaccard": op9_ngram_jaccard,
     }
