@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, langid, ngramjoin, substring, tokenfile
+from panewise.llm import bpe, decontam, embdup, langid, ngramjoin, substring, tokenfile
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -46,6 +46,16 @@ def op5_token_file(spark, sf):
     return tokenfile.digests(tokenfile.read(spark, path))
 
 
+def op6_decontamination(spark, sf):
+    """One row per document and benchmark item that overlap."""
+    return decontam.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op7_embedding_dedup(spark, sf):
+    """vec_id, n_links, component_id, kept of every vector."""
+    return embdup.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op9_ngram_jaccard(spark, sf):
     """doc_id, n_shingles, component_id of every document."""
     return ngramjoin.near_duplicates(table(spark, sf, "documents"))
@@ -57,6 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_token_file": op5_token_file,
+        "op6_decontamination": op6_decontamination,
+        "op7_embedding_dedup": op7_embedding_dedup,
         "op9_ngram_jaccard": op9_ngram_jaccard,
     }
 
