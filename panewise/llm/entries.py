@@ -8,18 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, decontam, embdup, langid, ngramjoin, substring, tokenfile
+from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, substring, tokenfile
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCAB = "word_bpe_49k.json"
 END_ID = 1
+#: Key of the registered query only; a job passes its own.
+PII_KEY = "registered-query"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_surrogates(spark, sf):
+    """doc_id, text with surrogates, n_entities of every document."""
+    return pii.replace_entities(table(spark, sf, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op2_byte_bpe(spark, sf):
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -56,22 +63,35 @@ def op7_embedding_dedup(spark, sf):
     return embdup.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def op8_html_extraction(spark, sf):
+    """page_id, url, text, n_chars, n_template of every page."""
+    return html.extract(table(spark, sf, "pages"))
+
+
 def op9_ngram_jaccard(spark, sf):
     """doc_id, n_shingles, component_id of every document."""
     return ngramjoin.near_duplicates(table(spark, sf, "documents"))
 
 
+def op10_line_dedup(spark, sf):
+    """doc_id, line_no, first_doc_id, first_line_no, edits of every removed line."""
+    return linedup.repeated_lines(table(spark, sf, "documents")).drop("text_tag")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii_surrogates": op1_pii_surrogates,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_language_id": op3_language_id,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_token_file": op5_token_file,
         "op6_decontamination": op6_decontamination,
         "op7_embedding_dedup": op7_embedding_dedup,
+        "op8_html_extraction": op8_html_extraction,
         "op9_ngram_jaccard": op9_ngram_jaccard,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_dedup": linedup.ORACLE_SQL}
