@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panewise.session import ensure_checkpoint_dir
 
@@ -48,6 +49,11 @@ def map_arrow(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(func, schema)
 
 
+def kept_schema(df: DataFrame, n: int, ddl: str) -> T.StructType:
+    """The first ``n`` columns of ``df`` and the fields of ``ddl``."""
+    return T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema.fields[:n]), *T.StructType.fromDDL(ddl).fields])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors and the driver share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

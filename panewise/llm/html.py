@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panewise.llm.common import map_arrow, ship, written
+from panewise.llm.common import kept_schema, map_arrow, ship, written
 
 MIN_PAGES, MOST, MOST_TEMPLATE = 8, 0.6, 0.3
 #: Reference trees and template texts are broadcast up to this many bytes, else joined by host.
@@ -385,8 +385,7 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
             yield pa.record_batch({"id": batch.column(0), "url": batch.column(1), "text": pa.array(out, pa.string()), "n_chars": pa.array([len(t) for t in out], pa.int64()), "n_template": pa.array(left, pa.int64())})
 
     joined = _beside(pages, template).select("id", "url", "html", "shape")
-    kind = joined.schema["id"].dataType.simpleString()
-    return map_arrow(joined, read, f"id {kind}, url string, text string, n_chars long, n_template long").withColumnRenamed("id", id_col)
+    return map_arrow(joined, read, kept_schema(joined, 2, "text string, n_chars long, n_template long")).withColumnRenamed("id", id_col)
 
 
 def _beside(pages: DataFrame, hosts: DataFrame) -> DataFrame:

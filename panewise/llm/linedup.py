@@ -128,16 +128,16 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     All other columns stay as they are.
     """
-    gone = repeated_lines(df, id_col, text_col, min_words).groupBy(F.coalesce(id_col, F.lit(NO_ID)).alias("id_"), F.col("text_tag").alias("tag_")).agg(F.collect_set("line_no").alias("gone_"))
+    gone = repeated_lines(df, id_col, text_col, min_words)
+    gone = gone.groupBy(F.coalesce(id_col, F.lit(NO_ID)).alias("id"), F.col("text_tag").alias("tag")).agg(F.collect_set("line_no").alias("gone"))
+    # the columns travel as one, whatever their names
     text = F.col(text_col).cast("string")
-    names = df.columns
-    keyed = df.withColumn("id__", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("tag__", F.xxhash64(text))
-    joined = keyed.join(gone, (keyed["id__"] == gone["id_"]) & (keyed["tag__"] == gone["tag_"]), "left")
-    kept = F.expr(f"filter(split(cast(`{text_col}` as string), '\\n'), (l, i) -> NOT array_contains(gone_, i + 1))")
-    joined = joined.withColumn("kept__", F.when(F.col("gone_").isNotNull(), kept))
-    blank = F.expr("forall(kept__, l -> trim(BOTH ' \\t\\u000B\\f\\r' FROM l) = '')")
-    joined = joined.filter(F.col("gone_").isNull() | ~blank)
-    return joined.select(*[F.when(F.col("gone_").isNull(), F.col(c)).otherwise(F.array_join("kept__", "\n")).alias(c) if c == text_col else F.col(c) for c in names])
+    rows = df.select(F.struct(*df.columns).alias("row"), text.alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("tag"))
+    kept = F.expr("filter(split(text, '\\n'), (l, i) -> NOT array_contains(gone, i + 1))")
+    joined = rows.join(gone, ["id", "tag"], "left").withColumn("kept", F.when(F.col("gone").isNotNull(), kept))
+    joined = joined.filter(F.col("gone").isNull() | F.exists("kept", lambda line: F.size(words_of(line)) > 0))
+    new_text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
+    return joined.select(*[new_text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns])
 
 
 ORACLE_SQL = f"""

@@ -196,23 +196,20 @@ def _shaped() -> Column:
 
 def replace_entities(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with the entities of ``text_col`` replaced, and ``n_entities``; ``key`` decides the surrogates."""
-    names = [c for c in df.columns if c not in (text_col, "n_entities")]
-    rows = df.select(*names, F.col(text_col).cast("string").alias(text_col))
-    text = F.col(text_col)
+    # the other columns travel as one, whatever their names
+    rows = df.select(F.struct(*df.columns).alias("row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_"), F.col(text_col).cast("string").alias("text"))
+    text = F.col("text")
     has = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    clean = rows.filter(~has).withColumn("n_entities", F.lit(0))
-    found = rows.filter(has).withColumn("id_", F.coalesce(F.col(id_col).cast("string"), F.lit(""))).withColumn("tag_", F.md5(text))
-    found = found.withColumn("entities_", F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    clean = rows.filter(~has).select("row", "text", F.lit(0).alias("n"))
+    found = rows.filter(has).withColumn("tag_", F.md5(text)).withColumn("entities_", F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     mentions = written(_mentions(found.select("id_", "tag_", "entities_").dropDuplicates(["id_", "tag_"])), "mentions")
     surrogate = assign(mentions, key)
     shaped = mentions.join(surrogate, ["kind", "form"]).withColumn("new", _shaped())
     one = shaped.groupBy("id_", "tag_", "k").agg(F.sort_array(F.collect_list(F.struct("part", "new"))).alias("parts"))
     one = one.select("id_", "tag_", F.struct("k", F.expr("transform(parts, p -> p.new)").alias("new"), (F.col("parts")[0]["part"] > 0).alias("person")).alias("one"))
     news = one.groupBy("id_", "tag_").agg(F.sort_array(F.collect_list("one")).alias("news_"))  # the mentions of one text
-    joined = found.join(news, ["id_", "tag_"])
-    pieces = F.split(text, PATTERN, -1)
-    joined = joined.withColumn("pieces_", pieces)
+    joined = found.join(news, ["id_", "tag_"]).withColumn("pieces_", F.split(text, PATTERN, -1))
     put = "CASE WHEN news_[i - 1].person THEN concat_ws(' ', split(entities_[i - 1], ' ')[0], array_join(news_[i - 1].new, ' ')) ELSE news_[i - 1].new[0] END"
     new_text = F.expr(f"array_join(transform(pieces_, (p, i) -> concat(CASE WHEN i = 0 THEN '' ELSE {put} END, p)), '')")
-    out = joined.withColumn(text_col, new_text).withColumn("n_entities", F.size("entities_"))
-    return clean.unionByName(out.select(*names, text_col, "n_entities")).select(*[c for c in df.columns if c != "n_entities"], "n_entities")
+    out = clean.union(joined.select("row", new_text.alias("text"), F.size("entities_").alias("n")))
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in df.columns if c != "n_entities"], F.col("n").alias("n_entities"))

@@ -1,0 +1,307 @@
+"""Substring dedup, n-gram join, embeddings, decontamination and line dedup against brute force."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from panewise.llm import decontam, embdup, linedup, ngramjoin, substring
+from panewise.llm.common import IdFilter, id_filter
+from panewise.llm.components import components
+
+
+def closure(nodes, links):
+    label = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(500, 500), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame([*links, (None, 3)], "a long, b long")).collect()}
+    assert got == closure({x for e in links for x in e}, links)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_id_filter_has_no_false_negatives(spark):
+    ids = [random.Random(1).randrange(-(2**62), 2**62) for _ in range(1)] + list(range(-500, 500))
+    f = id_filter(spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long"), 16)
+    assert isinstance(f, IdFilter) and f.has(np.array(ids)).all()
+    assert f.has(np.arange(10_000, 20_000)).mean() < 0.1
+
+
+# ------------------------------------------------------------ substrings
+
+
+def test_fm_index_against_brute_force():
+    rng = random.Random(1)
+    for shard_words in (10**6, 40):
+        segments = [[rng.choice("abc") for _ in range(rng.randint(4, 14))] for _ in range(70)]
+        docs = [rng.randrange(25) for _ in segments]
+        best = {}
+        for g, d in zip(segments, docs, strict=True):
+            for i in range(len(g) - 3):
+                best[tuple(g[i : i + 4])] = min(best.get(tuple(g[i : i + 4]), 99), d)
+        got = substring.smallest_documents([np.array([ord(c) for c in g], np.uint64) for g in segments], np.array(docs), 4, shard_words)
+        assert [x.tolist() for x in got] == [[best[tuple(g[i : i + 4])] for i in range(len(g) - 3)] for g in segments]
+
+
+def test_matching_statistics():
+    text = np.array([*b"abcabd", 0, *b"zabc", 0], np.int64)
+    text = np.unique(text, return_inverse=True)[1]
+    index = substring.FmIndex(text, int(text.max()) + 1, 4)
+    match, low, high = index.search(text, np.array([2, 5, 10]), 3, 2)
+    assert match.tolist() == [3, 0, 3]  # "abc" occurs twice, nothing that ends in d does
+    assert (high - low).tolist() == [2, 0, 2]
+
+
+def repeats(rows, width=13):
+    first = defaultdict(lambda: 1 << 63)
+    words = [(i if i is not None else (1 << 63) - 1, (t or "").encode().split()) for i, t in rows]
+    for i, w in words:
+        for j in range(len(w) - width + 1):
+            key = tuple(w[j : j + width])
+            first[key] = min(first[key], i)
+    out = []
+    for (i, _), (k, w) in zip(rows, words, strict=True):
+        gone = [False] * len(w)
+        for j in range(len(w) - width + 1):
+            if first[tuple(w[j : j + width])] < k:
+                gone[j : j + width] = [True] * width
+        kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept).hexdigest(), kept.decode()))
+    return out
+
+
+def test_repeats_against_brute_force(frame, prose):
+    passage = prose(99, 60)
+    rows = [(i, prose(i, 40) + " " + (passage if i % 3 == 0 else prose(50 + i, 12)) + " " + prose(200 + i, 20)) for i in range(40)]
+    rows += [(100 + i, rows[i][1]) for i in range(6)] + [(200, passage), (201, prose(99, 13)), (202, " ".join(prose(99, 12).split())), (203, "a " * 3000), (204, "a " * 14)]
+    rows += [(300, None), (301, ""), (302, " \t\n"), (None, passage), (5, rows[5][1]), (6, prose(777, 30)), (303, "Ünï code " * 20), (304, "Ünï code\x0b" * 20)]
+    df = frame(rows, "doc_id long, text string", extra=("words", "tag", "at"))
+    got = sorted(map(tuple, substring.remove_repeats(df, shard_words=300).collect()), key=repr)
+    assert got == sorted(repeats(rows), key=repr)
+    assert substring.remove_repeats(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ n-gram join
+
+
+def jaccard_groups(rows, width=5, percent=75):
+    sets = []
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        k = min(width, len(w))
+        sets.append((i, frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if w else frozenset()))
+    ids = [(n, i, s) for n, (i, s) in enumerate(sets)]
+    links = [(i, j) for n, i, s in ids for m, j, t in ids if m < n and s and t and i is not None and j is not None and 100 * len(s & t) >= percent * len(s | t)]
+    label = closure({i for i, _ in sets if i is not None}, links)
+    return sorted(((i, len(s), label.get(i)) for i, s in sets), key=repr), len(links)
+
+
+def test_jaccard_against_brute_force(frame, prose):
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        base = prose(g, rng.choice([6, 9, 30, 120, 400])).split()
+        for _ in range(rng.choice([1, 2, 5, 9])):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(1, len(w) // 25) + 1)):
+                w[rng.randrange(len(w))] = rng.choice(["new", "other", "words"])
+            rows.append((len(rows) * 3, " ".join(w)))
+    common = prose(500, 40)
+    rows += [(1000 + i, f"{common} {prose(600 + i, 12)}") for i in range(25)]
+    rows += [(2000, "one two"), (2001, "ONE  two"), (2002, "one two three"), (2003, None), (2004, ""), (2005, " \n"), (None, rows[0][1]), (2006, "É a b c d"), (2007, "é a b c d"), (0, rows[0][1]), (2008, rows[0][1])]
+    want, n = jaccard_groups(rows)
+    assert n > 40
+    df = frame(rows, "doc_id long, text string", extra=("class", "token", "n"))
+    assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect()), key=repr) == want
+
+
+def test_jaccard_threshold_is_exact(frame):
+    # sets of 7 and 6 shingles: 6 of 7 shared; and 3 of 4 exactly at the threshold
+    rows = [(1, "a b c d e f g h"), (2, "a b c d e f g"), (3, "p q r s t u v"), (4, "p q r s t u v w")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (4, 1), 2: (3, 1), 3: (3, 3), 4: (4, 3)}
+
+
+def test_prefixes_meet_often_enough():
+    """Every pair that links shares at least l prefix shingles for every l it may be asked for."""
+    rng = np.random.default_rng(3)
+    sketch = np.zeros(1 << ngramjoin.SKETCH_LOG2, np.float32)
+    common = rng.integers(0, 2**63, 30).astype(np.uint64) * np.uint64(2)
+    sketch[ngramjoin.cells(common)] = 5000
+    prefixes = ngramjoin.Prefixes(sketch, 75)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        x = np.unique(np.concatenate((rng.integers(0, 2**63, n).astype(np.uint64), common[: rng.integers(0, 30)])))
+        y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.9], rng.integers(0, 2**63, int(n * 0.08)).astype(np.uint64))))
+        both = len(np.intersect1d(x, y))
+        if not len(y) or 100 * both < 75 * (len(x) + len(y) - both):
+            continue
+        (a, sa, la), (b, sb, lb) = prefixes.of(x), prefixes.of(y)
+        need = min(max(la, lb), -(-75 * len(x) // 100), -(-75 * len(y) // 100))
+        assert len(np.intersect1d(a[sa <= need], b[sb <= need])) >= need
+
+
+def test_jaccard_empty(frame):
+    df = frame([(1, None), (2, "")], "doc_id long, text string")
+    assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect())) == [(1, 0, 1), (2, 0, 2)]
+    assert ngramjoin.near_duplicates(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ embeddings
+
+
+def test_code_bounds_hold():
+    rng = np.random.default_rng(1)
+    for dim in (1, 3, 64, 100):
+        v, q = (x / np.linalg.norm(x, axis=1)[:, None] for x in (rng.standard_normal((200, dim)), rng.standard_normal((150, dim))))
+        q[:100] = v[:100] + 0.2 * rng.standard_normal((100, dim)) / np.sqrt(dim)
+        q /= np.linalg.norm(q, axis=1)[:, None]
+        turn = embdup.rotation(dim)
+        bits, factor = embdup.codes(v, turn)
+        estimates, upper = embdup.estimate(bits, factor, q @ turn, dim)
+        assert (upper >= v @ q.T - embdup.SLACK).all()
+        if dim == 64:
+            assert abs((estimates - v @ q.T).mean()) < 0.01
+
+
+def test_estimates_are_unbiased_over_rotations():
+    rng = np.random.default_rng(2)
+    v, q = rng.standard_normal((1, 16)), rng.standard_normal((1, 16))
+    v, q = v / np.linalg.norm(v), q / np.linalg.norm(q)
+    out = []
+    for seed in range(1500):
+        turn = embdup.rotation(16, seed)
+        out.append(embdup.estimate(*embdup.codes(v, turn), q @ turn, 16)[0][0, 0])
+    assert np.mean(out) == pytest.approx(float((v @ q.T)[0, 0]), abs=0.02)
+
+
+def test_embeddings_against_brute_force(frame):
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(40):
+        base = rng.standard_normal(24)
+        for _ in range(int(rng.integers(1, 8))):
+            v = base + rng.choice([0.0, 0.15, 0.4]) * rng.standard_normal(24)
+            rows.append((len(rows) * 2, [float(np.float32(x)) for x in v], int(g % 3) if g % 7 else None))
+    rows += [(1000 + i, rows[0][1], 0) for i in range(30)] + [(2000, None, 1), (2001, [], 1), (2002, [0.0] * 24, 1), (2003, [float("nan")] * 24, 1), (2004, [float("inf")] + [1.0] * 23, 1), (2005, [None] + [1.0] * 23, 1), (2006, [1e300, 1e300], 2), (2007, [1e300, 1.01e300], 2), (2008, [1e-300, 1e-300], 2), (2009, [1.0, -1.0], 2), (None, rows[0][1], 0)]
+    df = frame(rows, "vec_id long, embedding array<double>, label int", extra=("v", "bits", "copies"))
+    got = sorted(map(tuple, embdup.near_duplicates(df, block=20).collect()), key=repr)
+
+    def usable(r):
+        return r[0] is not None and r[2] is not None and r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])
+
+    def unit(v):
+        v = np.array(v) / np.abs(v).max()
+        return v / np.linalg.norm(v)
+
+    good = [r for r in rows if usable(r)]
+    links = [(a[0], b[0]) for n, a in enumerate(good) for b in good[:n] if a[2] == b[2] and len(a[1]) == len(b[1]) and unit(a[1]) @ unit(b[1]) >= 0.93]
+    label = closure({r[0] for r in rows if r[0] is not None}, links)
+    count = defaultdict(int)
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    want = sorted([(i, count[i] if i is not None else 0, label.get(i), i is not None and label[i] == i) for i, _, _ in rows], key=repr)
+    assert got == want and len(links) > 100
+    assert embdup.near_duplicates(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ decontamination
+
+
+def test_overlap_is_the_best_stretch():
+    item = np.arange(30, dtype=np.uint64)
+    doc = np.concatenate((np.arange(100, 110), np.arange(30), np.arange(200, 205))).astype(np.uint64)
+    assert decontam.overlap(doc, item, 10) == (30, 0, 30)
+    doc[15] = 999
+    assert decontam.overlap(doc, item, 10) == (29, 0, 30)
+    assert decontam.overlap(doc, item, 100) == (0, 0, 0)
+
+
+def test_decontamination(frame, prose):
+    items = [(i, prose(1000 + i, 15 + 4 * i)) for i in range(10)] + [(50, "Only seven words stand in this."), (51, "too short"), (52, None), (53, ""), (54, prose(1000, 15))]
+    docs, want = [], set()
+    for i in range(60):
+        words = prose(i, 80).split()
+        if i % 3 == 0:
+            item = items[i % 10][1].split()
+            for k in range(6, len(item), 9):  # every ninth word is another one
+                item[k] = "substitute"
+            words[30:30] = [w.upper() + "," for w in item]
+            want.add((i, i % 10))
+        docs.append((i, " ".join(words)))
+    docs += [(100, None), (101, ""), (102, "x only SEVEN words, stand in this! y"), (103, "only seven words lie in this"), (104, "too short"), (None, items[3][1]), (105, items[4][1]), (105, items[4][1])]
+    want |= {(102, 50), (None, 3), (105, 4)}
+    want |= {(i, 54) for i, k in want if k == 0}
+    df, bench = frame(docs, "doc_id long, text string", extra=("item", "seed", "words")), frame(items, "item_id long, text string", extra=("n",))
+    out = decontam.overlaps(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == want and len(out) == len(want)
+    whole = next(r for r in out if r.doc_id == 105)
+    assert (whole.n_match, whole.n_differ, whole.doc_start, whole.item_start, whole.item_words) == (31, 0, 0, 0, 31)
+    kept = decontam.decontaminate(df, bench)
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in want} and kept.columns == df.columns
+    assert decontam.overlaps(df.limit(0), bench).count() == 0
+    assert decontam.overlaps(df, bench.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ lines
+
+
+def test_lines_against_sql(spark, frame, prose):
+    rng, rows = random.Random(6), []
+    pool = [prose(i, rng.choice([1, 3, 7, 8, 9, 25, 60])) for i in range(40)]
+    for i in range(60):
+        lines = []
+        for _ in range(rng.randrange(0, 8)):
+            w = rng.choice(pool).split()
+            change = rng.random()
+            if change < 0.25:
+                w[rng.randrange(len(w))] = "other"
+            elif change < 0.4:
+                w.insert(rng.randrange(len(w) + 1), "more")
+            elif change < 0.5:
+                del w[rng.randrange(len(w))]
+            lines.append(rng.choice([" ", "  ", "\t"]).join(w))
+        rows.append((i * 2, "\n".join(lines)))
+    rows += [(500, None), (501, ""), (502, "\n\n"), (503, "a a a a a a a a\na a a a a a a\na a a a a a a a a"), (504, ("long " * 5000).strip() + "\n" + ("long " * 4999).strip()), (505, "one two three four five six seven eight\none two four five six seven eight nine")]
+    df = frame(rows, "doc_id long, text string", extra=("line", "words", "first", "near"))
+    got = sorted(map(tuple, linedup.repeated_lines(df).drop("text_tag").collect()))
+    documents = df.select("doc_id", "text").toPandas()
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = sorted(con.sql(linedup.ORACLE_SQL).fetchall())
+    assert got == want and sum(r[4] for r in want) > 10
+    gone = defaultdict(set)
+    for i, no, *_ in want:
+        gone[i].add(no)
+    kept = {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        left = [x for n, x in enumerate(lines, 1) if n not in gone[i]]
+        if not gone[i] or any(x.split() for x in left):
+            kept[i] = "\n".join(left) if t is not None else None
+    out = linedup.dedup_lines(df)
+    assert {r.doc_id: r.text for r in out.collect()} == kept and out.columns == df.columns
+    assert linedup.repeated_lines(df.limit(0)).count() == 0
+
+
+def test_lines_of_repeated_rows(frame):
+    line = "this line has got a few more than eight words"
+    rows = [(1, line), (1, line), (None, line), (2, "x\n" + line), (2, "y")]
+    df = frame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, linedup.repeated_lines(df).drop("text_tag").collect()), key=repr)
+    assert got == [(2, 2, 1, 1, 0), (None, 1, 1, 1, 0)]
+    assert sorted(r.text for r in linedup.dedup_lines(df).collect()) == [line, line, "x", "y"]
