@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panewise.llm.common import U64, map_arrow, mix
+from panewise.llm.common import U64, kept_schema, map_arrow, mix
 
 ORDER = 5
 #: Bounds of the training sample and of the model (see the module docstring).
@@ -206,10 +206,10 @@ def count_ngrams(sample: DataFrame) -> DataFrame:
                 rows = [t for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x == lang]
                 parts = [s for s in map(symbols, rows) if len(s)]
                 for k in range(1, ORDER + 1):
-                    pad = np.full(max(k - 2, 0), 32, U64)
+                    pad = np.full(ORDER - 2, 32, U64)  # the first letter has a full context, of blanks
                     grams, ctx, suf = [], [], []
                     for s in parts:
-                        s = np.concatenate([pad, s]) if k > 1 else s[1:]
+                        s = np.concatenate([pad, s])
                         g = gram_hashes(s, k)
                         grams.append(g)
                         if k > 1:
@@ -236,7 +236,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     sample = training_sample(df, text_col, lang_col, id_col, rows_per_lang)
     counts = count_ngrams(sample)
     w = Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram")
-    t = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_ngrams).drop("r").toPandas()  # bounded: max_ngrams per language and order
+    t = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_ngrams).drop("r").toArrow().to_pandas()  # bounded: max_ngrams per language and order
     if not len(t):
         return None
     model = assemble(t)
@@ -333,5 +333,4 @@ def predict(df: DataFrame, model: KneserNey | None, text_col: str = "text", keep
                     lang, score, low, ok = model.predict(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score), pa.array(low, from_pandas=True), pa.array(ok)], names=[*[f"c{i}" for i in range(n_keep)], "lang_pred", "score", "cross_entropy", "accepted"])
 
-    fields = ", ".join([*[f"c{i} {picked.schema[i].dataType.simpleString()}" for i in range(n_keep)], "lang_pred string, score double, cross_entropy double, accepted boolean"])
-    return map_arrow(picked, run, fields).toDF(*keep, "lang_pred", "score", "cross_entropy", "accepted")
+    return map_arrow(picked, run, kept_schema(picked, n_keep, "lang_pred string, score double, cross_entropy double, accepted boolean")).toDF(*keep, "lang_pred", "score", "cross_entropy", "accepted")
