@@ -6,6 +6,11 @@ rejected duplicates do not restart it; once the clock runs out the next
 arrival is accepted again (an arrival exactly ``ttl_ms`` later is accepted).
 In batch form the processing-time clock is a given arrival column.
 
+Nulls: a null key is a key like any other (its rows are duplicates of each other).
+A row without an arrival time has no place on the clock: it is always kept and
+starts no clock. Both are settled before rows take one of the two paths below,
+so the result never depends on how many rows a key has.
+
 Kept rows of one key form the chain ``s, nxt(s), nxt(nxt(s)), ...`` where
 ``s`` is the first arrival and ``nxt(x)`` the first arrival ``>= x + ttl``.
 
@@ -14,11 +19,13 @@ Scale plan:
   aggregate, partial before the shuffle, so a hot key costs one row per task.
 * With a TTL, keys are split by their row count. Ordinary keys (at most
   ``max_light`` rows) fold their sorted arrivals in one JVM ``aggregate``
-  (bounded by ``max_light``). Hot keys never gather in one task: their
-  distinct arrival times are linked to ``nxt`` with a window partitioned by
-  (key, ttl bucket) - bounded by the number of distinct times in one TTL,
-  not by the key's size - and the chain is found by pointer doubling
+  (bounded by ``max_light``). Hot keys link their distinct arrival times to
+  ``nxt`` with windows partitioned by (key, slot of time). A slot is the smaller of
+  the TTL / ``SLOTS_PER_TTL`` and ``MAX_SLOT_MS``, so one window holds few distinct times
+  whatever the TTL; the next later slot with rows is found in two levels (within
+  ``SLOT_BLOCK`` slots, then over blocks). The chain is found by pointer doubling
   (``log2`` of the chain length joins on (key, time), checkpointed).
+* No side is broadcast by hint: Spark decides by the bytes it has seen at run time.
 """
 
 from __future__ import annotations
@@ -32,8 +39,7 @@ from panewise.session import ensure_checkpoint_dir
 
 # A key with more rows than this goes through the split (hot-key) path.
 DEFAULT_MAX_LIGHT = 1000
-# Upper bound on hot keys whose names are broadcast; beyond it a shuffle join is used.
-MAX_BROADCAST_KEYS = 200_000
+SLOTS_PER_TTL, MAX_SLOT_MS, SLOT_BLOCK = 64, 60_000, 1024
 _MAX_LONG = (1 << 63) - 1
 
 
@@ -56,16 +62,17 @@ def dedup_ttl(
         return dedup_first(df, key, time_col)
     if ttl_ms <= 0:
         return df
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    heavy_keys = counts.filter(F.col("_n") > max_light).select(key)
-    n_heavy = heavy_keys.count()
-    if n_heavy == 0:
-        return _fold_light(df, key, time_col, ttl_ms)
-    hk = F.broadcast(heavy_keys) if n_heavy <= MAX_BROADCAST_KEYS else heavy_keys
-    light = df.join(hk, key, "left_anti")
-    heavy = df.join(hk, key, "left_semi")
-    out = _fold_light(light, key, time_col, ttl_ms).unionByName(_chain_heavy(heavy, key, time_col, ttl_ms))
-    return out
+    untimed = df.filter(F.col(time_col).isNull())
+    timed = df.filter(F.col(time_col).isNotNull())
+    heavy_keys = timed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_light)
+    heavy_keys = heavy_keys.select(F.col(key).alias("_hk"))
+    if heavy_keys.isEmpty():
+        return _fold_light(timed, key, time_col, ttl_ms).unionByName(untimed)
+    same = F.col(key).eqNullSafe(F.col("_hk"))
+    light = timed.join(heavy_keys, same, "left_anti")
+    heavy = timed.join(heavy_keys, same, "left_semi")
+    kept = _fold_light(light, key, time_col, ttl_ms).unionByName(_chain_heavy(heavy, key, time_col, ttl_ms))
+    return kept.unionByName(untimed)
 
 
 def _fold_light(df: DataFrame, key: str, time_col: str, ttl_ms: int) -> DataFrame:
@@ -95,57 +102,58 @@ def _chain_heavy(df: DataFrame, key: str, time_col: str, ttl_ms: int) -> DataFra
     ensure_checkpoint_dir(spark)
     rest = [c for c in df.columns if c not in (key, time_col)]
     ttl = F.lit(ttl_ms).cast("bigint")
-    t = F.col(time_col)
+    slot = F.lit(max(1, min(ttl_ms // SLOTS_PER_TTL, MAX_SLOT_MS))).cast("bigint")
 
     # Distinct arrival times per key; only the first row at a time can be accepted.
-    firsts = df.groupBy(key, time_col).agg(F.min(F.struct(*rest)).alias("_r")) if rest else df.select(key, time_col).distinct()
-    firsts = firsts.withColumn("_b", F.floor(t / ttl).cast("bigint")).checkpoint()
-
-    # Per (key, bucket): earliest time; S = earliest time in any bucket >= b + 2.
-    bmin = firsts.groupBy(key, "_b").agg(F.min(time_col).alias("_m"))
-    desc_prev = Window.partitionBy(key).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    asc = Window.partitionBy(key).orderBy("_b")
-    bmin = bmin.withColumn("_later1", F.min("_m").over(desc_prev))
-    bmin = bmin.withColumn(
-        "_s",
-        F.when(F.lead("_b").over(asc) == F.col("_b") + 1, F.lead("_later1").over(asc)).otherwise(F.col("_later1")),
+    item = F.struct(*rest) if rest else F.struct(F.lit(0).alias("_none"))
+    firsts = df.groupBy(F.col(key).alias("_k"), F.col(time_col).cast("bigint").alias("_t")).agg(F.min(item).alias("_r"))
+    firsts = firsts.checkpoint()
+    times = firsts.select("_k", "_t")
+
+    # nxt(x) = min{t >= x + ttl}. A probe at x + ttl lands in a slot; the answer is the
+    # first time in that slot from the probe on, else the first time of a later slot.
+    null = F.lit(None).cast("bigint")
+    reals = times.select("_k", F.col("_t").alias("_pos"), F.lit(0).alias("_kind"), F.col("_t").alias("_val"), null.alias("_src"))
+    probes = times.select("_k", (F.col("_t") + ttl).alias("_pos"), F.lit(1).alias("_kind"), null.alias("_val"),
+                          F.col("_t").alias("_src"))
+    marks = reals.unionByName(probes).withColumn("_slot", F.floor(F.col("_pos") / slot).cast("bigint"))
+    slots = marks.groupBy("_k", "_slot").agg(F.min("_val").alias("_m"))
+    slots = slots.withColumn("_blk", F.floor(F.col("_slot") / SLOT_BLOCK).cast("bigint"))
+    blocks = slots.groupBy("_k", "_blk").agg(F.min("_m").alias("_bm"))
+    after_block = Window.partitionBy("_k").orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("_k").alias("_bk"), F.col("_blk").alias("_bb"), F.min("_bm").over(after_block).alias("_in_later"))
+    after_slot = Window.partitionBy("_k", "_blk").orderBy(F.col("_slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    seeds = slots.withColumn("_in_block", F.min("_m").over(after_slot)).join(
+        blocks, F.col("_k").eqNullSafe(F.col("_bk")) & (F.col("_blk") == F.col("_bb"))
     )
-    n_buckets_max = bmin.groupBy(key).count().agg(F.max("count")).first()[0] or 1
-
-    # nxt(x) = min{t >= x + ttl}: probes x + ttl land in bucket b + 1; a running
-    # min in descending time order over that bucket's times, seeded with S.
-    reals = firsts.select(key, F.col("_b").alias("_p"), t.alias("_pos"), F.lit(0).alias("_kind"),
-                          t.alias("_val"), F.lit(None).cast("bigint").alias("_src"))
-    probes = firsts.select(key, (F.col("_b") + 1).alias("_p"), (t + ttl).alias("_pos"), F.lit(1).alias("_kind"),
-                           F.lit(None).cast("bigint").alias("_val"), t.alias("_src"))
-    seeds = bmin.select(key, (F.col("_b") + 1).alias("_p"), F.lit(_MAX_LONG).cast("bigint").alias("_pos"),
-                        F.lit(0).alias("_kind"), F.col("_s").alias("_val"), F.lit(None).cast("bigint").alias("_src"))
-    run = (Window.partitionBy(key, "_p").orderBy(F.col("_pos").desc(), F.col("_kind"))
+    seeds = seeds.select("_k", F.lit(_MAX_LONG).alias("_pos"), F.lit(0).alias("_kind"),
+                         F.coalesce("_in_block", "_in_later").alias("_val"), null.alias("_src"), "_slot")
+    run = (Window.partitionBy("_k", "_slot").orderBy(F.col("_pos").desc(), F.col("_kind"))
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    links = (reals.unionByName(probes).unionByName(seeds)
+    links = (marks.unionByName(seeds)
              .withColumn("_nxt", F.min("_val").over(run))
              .filter(F.col("_kind") == 1)
-             .select(key, F.col("_src").alias("_t"), "_nxt")
+             .select("_k", F.col("_src").alias("_t"), "_nxt")
              .checkpoint())
 
-    # Pointer doubling: jumps[j] maps a time to the accept 2^j steps later.
-    levels = max(0, math.ceil(math.log2(max(1, n_buckets_max))))
+    # Pointer doubling: jumps[j] maps a time to the accept 2^j steps later. Accepts of a key are a TTL apart.
+    span = times.groupBy("_k").agg((F.floor((F.max("_t") - F.min("_t")) / ttl) + 1).alias("_n"), F.count(F.lit(1)).alias("_c"))
+    longest = span.agg(F.max(F.least("_n", "_c"))).first()[0] or 1
+    levels = max(1, math.ceil(math.log2(max(2, longest))))
     jumps = [links]
     for _ in range(1, levels):
-        prev = jumps[-1]
-        hop = prev.alias("a").join(
-            prev.alias("b"),
-            (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a._nxt") == F.col("b._t")),
-            "left",
-        ).select(F.col(f"a.{key}").alias(key), F.col("a._t").alias("_t"), F.col("b._nxt").alias("_nxt"))
-        jumps.append(hop.checkpoint())
+        a, b = jumps[-1], jumps[-1].select(F.col("_k").alias("_bk"), F.col("_t").alias("_bt"), F.col("_nxt").alias("_far"))
+        hop = a.join(b, F.col("_k").eqNullSafe(F.col("_bk")) & (F.col("_nxt") == F.col("_bt")), "left")
+        jumps.append(hop.select("_k", "_t", F.col("_far").alias("_nxt")).checkpoint())
 
     # Chain = start plus every sum of distinct powers of two below 2^levels.
-    chain = firsts.groupBy(key).agg(F.min(time_col).alias("_t")).checkpoint()
+    chain = times.groupBy("_k").agg(F.min("_t").alias("_t")).checkpoint()
     for hop in reversed(jumps):
-        step = chain.join(hop, [key, "_t"]).filter(F.col("_nxt").isNotNull()).select(key, F.col("_nxt").alias("_t"))
-        chain = chain.unionByName(step).checkpoint()
-
-    kept = firsts.join(chain.withColumnRenamed("_t", time_col), [key, time_col], "left_semi")
-    cols = [key, time_col] + ([F.col(f"_r.{c}").alias(c) for c in rest] if rest else [])
-    return kept.select(*cols).select(*df.columns)
+        far = hop.filter(F.col("_nxt").isNotNull()).select(F.col("_k").alias("_bk"), F.col("_t").alias("_bt"), "_nxt")
+        step = chain.join(far, F.col("_k").eqNullSafe(F.col("_bk")) & (F.col("_t") == F.col("_bt")))
+        chain = chain.unionByName(step.select("_k", F.col("_nxt").alias("_t"))).checkpoint()
+
+    chain = chain.select(F.col("_k").alias("_ck"), F.col("_t").alias("_ct"))
+    kept = firsts.join(chain, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_t") == F.col("_ct")), "left_semi")
+    cols = [F.col("_k").alias(key), F.col("_t").cast(df.schema[time_col].dataType).alias(time_col)]
+    return kept.select(*cols, *[F.col("_r")[c].alias(c) for c in rest]).select(*df.columns)
