@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-Each pre-token is merged with a queue that has one bucket per merge rank. A
-bucket holds positions of a doubly linked list of parts; a three-level bitmap of
+Pre-tokens are merged with a queue that has one bucket per merge rank. A bucket
+holds positions of a doubly linked list of parts; a three-level bitmap of
 non-empty buckets gives the lowest rank by find-first-set in constant time. An
 entry whose pair has changed since it was queued is stale and skipped. The cost
 is linear in the pushes, so one very long pre-token is no worse than many short
-ones. Word-sized chunks are remembered per worker, in a bounded memory.
+ones; short ones share a queue. Chunks are remembered per worker, in a bounded memory.
 
 Null text counts as empty. Repeated and tied rows each get their own result row;
 other columns of the input are not looked at.
@@ -22,11 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panewise.llm.common import map_arrow
+from panewise.llm.common import kept_schema, map_arrow
 
 #: Chunks and pre-tokens a worker remembers; cleared when full.
-CHUNK_MEMORY = 300_000
-SCHEMA = "ids binary, n_tokens long, decoded binary"
+CHUNK_MEMORY = 900_000
+#: A chunk of more characters is not remembered.
+LONG_CHUNK = 2_000
+#: Bytes of pre-tokens merged together (one longer pre-token goes alone); slots of the memory of pair ranks.
+MERGE_BYTES, PAIR_LOG2 = 1 << 20, 18
+#: Documents encoded together, and characters at most (one longer text goes alone).
+ROWS, CHARS = 2_000, 8_000_000
+KINDS = {pa.binary(): "binary", pa.int64(): "long", pa.string(): "string"}
 _TWO_BLANKS = re.compile(r"\s\s")
 
 
@@ -37,24 +43,24 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Buckets of list positions by merge rank under a three-level bitmap."""
+    """Buckets of list positions by merge rank under a three-level bitmap of non-empty buckets."""
 
     def __init__(self, n_ranks: int):
-        self.buckets: list[list[int] | None] = [None] * n_ranks
+        self.buckets: list[list | None] = [None] * n_ranks
         self.leaf = [0] * ((n_ranks >> 6) + 1)
         self.mid = [0] * ((n_ranks >> 12) + 1)
         self.top = 0
 
-    def push(self, rank: int, position: int) -> None:
+    def push(self, rank: int, entry) -> None:
         bucket = self.buckets[rank]
         if bucket is None:
-            self.buckets[rank] = [position]
+            self.buckets[rank] = [entry]
             leaf, mid = rank >> 6, rank >> 12
             self.leaf[leaf] |= 1 << (rank & 63)
             self.mid[mid] |= 1 << (leaf & 63)
             self.top |= 1 << mid
         else:
-            bucket.append(position)
+            bucket.append(entry)
 
     def first(self) -> int:
         """Lowest rank with entries, -1 if there is none."""
@@ -67,7 +73,7 @@ class RankQueue:
         word = self.leaf[leaf]
         return (leaf << 6) + (word & -word).bit_length() - 1
 
-    def take(self, rank: int) -> list[int]:
+    def take(self, rank: int) -> list:
         """Remove the whole bucket of a rank."""
         bucket = self.buckets[rank]
         self.buckets[rank] = None
@@ -91,36 +97,42 @@ class ByteBpe:
         self.vocab: list[bytes] = [b""] * size
         for token, rank in ranks.items():
             self.vocab[rank] = token
-        self.byte_ids = [ranks.get(bytes([b]), -1) for b in range(256)]
-        if -1 in self.byte_ids:
+        self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)])
+        if (self.byte_ids < 0).any():
             raise ValueError("the rank table lacks single bytes")
         self.queue = RankQueue(size)
-        self.pairs: dict[int, int] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pair_keys = np.full(1 << PAIR_LOG2, -1, np.int64)  # a direct-mapped memory of pair ranks
+        self.pair_values = np.full(1 << PAIR_LOG2, -1, np.int64)
         self.chunks: dict[str, bytes] = {}
 
     def pair_rank(self, a: int, b: int) -> int:
+        return self.ranks.get(self.vocab[a] + self.vocab[b], -1)
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Merge rank of each pair of ids, -1 if the vocabulary lacks it."""
         key = a << 32 | b
-        rank = self.pairs.get(key)
-        if rank is None:
-            if len(self.pairs) >= 2 * CHUNK_MEMORY:
-                self.pairs.clear()
-            rank = self.pairs[key] = self.ranks.get(self.vocab[a] + self.vocab[b], -1)
-        return rank
-
-    def merge(self, piece: bytes) -> list[int]:
+        slot = (key * 0x9E3779B97F4A7C1) >> 20 & (1 << PAIR_LOG2) - 1
+        out = self.pair_values[slot]
+        miss = np.flatnonzero(self.pair_keys[slot] != key)
+        if len(miss):
+            unknown, back = np.unique(key[miss], return_inverse=True)
+            value = np.array([self.pair_rank(k >> 32, k & 0xFFFFFFFF) for k in unknown.tolist()])
+            out[miss] = value[back]
+            spot = (unknown * 0x9E3779B97F4A7C1) >> 20 & (1 << PAIR_LOG2) - 1
+            for k in range(len(unknown)):  # one by one, so that a slot's key and value belong together
+                self.pair_keys[spot[k]], self.pair_values[spot[k]] = unknown[k], value[k]
+        return out
+
+    def merge_one(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: always the lowest rank first, the leftmost of equal ranks first."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
         n, queue, rank_of = len(piece), self.queue, self.pair_rank
-        ids = [self.byte_ids[b] for b in piece]
+        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         for i in range(n - 1):
             if (r := rank_of(ids[i], ids[i + 1])) >= 0:
                 queue.push(r, i)
         while (rank := queue.first()) >= 0:
-            entries = queue.take(rank)
-            entries.sort()
+            entries = sorted(queue.take(rank))
             for k, i in enumerate(entries):
                 j = after[i]
                 if ids[i] < 0 or j >= n or rank_of(ids[i], ids[j]) != rank:
@@ -142,43 +154,129 @@ class ByteBpe:
                     break
         return [x for x in ids if x >= 0]
 
-    def piece_ids(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
-            if len(piece) <= 64:
-                if len(self.pieces) >= CHUNK_MEMORY:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
-
-    def chunk_ids(self, chunk: str) -> bytes:
-        ids = self.chunks.get(chunk)
-        if ids is None:
-            ids = b"".join(map(self.piece_ids, self.find(chunk)))
-            if len(chunk) <= 64:
-                if len(self.chunks) >= CHUNK_MEMORY:
-                    self.chunks.clear()
-                self.chunks[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers.
-
-        No pre-token of the pattern crosses a blank that follows a non-blank, except that the
-        blank opens the next one. So a text without two blanks in a row may be cut before every
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids (little-endian uint32) of many pre-tokens with one queue over all their positions.
+
+        Pre-tokens do not touch each other, so all entries of the lowest rank merge at once. Only where a
+        merge makes a pair of a lower rank does the order inside a pre-token matter; those (rare) pre-tokens
+        are merged again on their own.
+        """
+        if not pieces:
+            return []
+        sizes = np.array([len(p) for p in pieces])
+        n = int(sizes.sum())
+        starts = np.cumsum(sizes) - sizes
+        ids = np.append(self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)], -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[starts + sizes - 1] = n
+        before[starts] = -1
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        again = np.zeros(len(pieces), bool)
+        current = np.full(n + 1, -1)  # rank of the pair that starts at each position
+        inner = np.flatnonzero(after[:n] < n)
+        current[inner] = self.pair_ranks(ids[inner], ids[inner + 1])
+        queue = self.queue
+        self._push(inner, current[inner])
+        while (rank := queue.first()) >= 0:
+            i = np.concatenate(queue.take(rank))
+            i = i[current[i] == rank]  # others are stale: the pair has changed since it was queued
+            if not len(i):
+                continue
+            if len(i) > 1:
+                i = np.unique(i)
+                linked = i[1:] == after[i[:-1]]
+                if linked.any():  # of overlapping pairs in a row, every other one from the left
+                    place = np.arange(len(i))
+                    head = np.concatenate(([True], ~linked))
+                    i = i[(place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0]
+            j = after[i]
+            k = after[j]
+            inside = k < n
+            soon = inside & (current[k] == rank)
+            if soon.any():  # between two merges there is a pair of the first one's token and an old one
+                r = self.pair_ranks(np.full(int(soon.sum()), rank), ids[k[soon]])
+                again[owner[i[soon]][(r >= 0) & (r < rank)]] = True
+            ids[i], ids[j] = rank, -1
+            current[i] = current[j] = -1
+            after[i] = k
+            before[k[inside]] = i[inside]
+            left = before[i]
+            fresh = np.concatenate((i[inside], left[left >= 0]))
+            if len(fresh):
+                fresh = np.unique(fresh) if len(fresh) > 1 else fresh
+                r = self.pair_ranks(ids[fresh], ids[after[fresh]])
+                current[fresh] = r
+                low = (r >= 0) & (r < rank)
+                if low.any():
+                    again[owner[fresh[low]]] = True
+                self._push(fresh, r)
+        alive = ids[:n] >= 0
+        counts = np.add.reduceat(alive.astype(np.int64), starts)
+        raw = ids[:n][alive].astype("<u4").tobytes()
+        ends = (np.cumsum(counts) * 4).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        for p in np.flatnonzero(again).tolist():
+            out[p] = np.array(self.merge_one(pieces[p]), "<u4").tobytes()
+        return out
+
+    def _push(self, places: np.ndarray, ranks: np.ndarray) -> None:
+        ok = ranks >= 0
+        places, ranks = places[ok], ranks[ok]
+        if not len(places):
+            return
+        if len(places) == 1:
+            self.queue.push(int(ranks[0]), places)
+            return
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = (np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()
+        push = self.queue.push
+        for rank, a, b in zip(ranks[[0, *cuts]].tolist(), [0, *cuts], [*cuts, len(places)], strict=True):
+            push(rank, places[a:b])
+
+    def learn(self, chunks: list[str]) -> None:
+        """Remember the ids of distinct chunks of text; all their unknown pre-tokens are merged together."""
+        split = [[p.encode() for p in self.find(c)] for c in chunks]
+        ranks = self.ranks
+        unknown = list({p for parts in split for p in parts if p not in ranks})
+        known: dict[bytes, bytes] = {}
+        start = 0
+        while start < len(unknown):
+            end, size = start, 0
+            while end < len(unknown) and size < MERGE_BYTES:
+                size += len(unknown[end])
+                end += 1
+            known.update(zip(unknown[start:end], self.merge(unknown[start:end]), strict=True))
+            start = end
+        for parts in split:
+            for p in parts:
+                if p not in known:
+                    known[p] = ranks[p].to_bytes(4, "little")
+        self.chunks.update(zip(chunks, [b"".join(map(known.__getitem__, parts)) for parts in split], strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        No pre-token of the pattern crosses a blank that follows a non-blank, except that a
+        space opens the next one. So a text without two blanks in a row may be cut before every
         space and its chunks remembered; any other text is matched as a whole.
         """
-        if not text:
-            return b""
-        if _TWO_BLANKS.search(text):
-            return b"".join(map(self.piece_ids, self.find(text)))
-        first, *rest = text.split(" ")
-        get, parts = self.chunks.get, [self.chunk_ids(first)] if first else []
-        for chunk in rest:
-            chunk = " " + chunk
-            parts.append(get(chunk) or self.chunk_ids(chunk))
-        return b"".join(parts)
+        split = []
+        for text in texts:
+            if _TWO_BLANKS.search(text):
+                split.append(self.find(text))
+            else:
+                first, *rest = text.split(" ")
+                split.append([first, *[" " + c for c in rest]] if first else [" " + c for c in rest])
+        unknown = {c for parts in split for c in parts if c not in self.chunks}
+        if len(self.chunks) + len(unknown) > CHUNK_MEMORY:
+            self.chunks.clear()
+            unknown = {c for parts in split for c in parts}
+        self.learn(list(unknown))
+        out = [b"".join(map(self.chunks.__getitem__, parts)) for parts in split]
+        if any(len(c) > LONG_CHUNK for c in unknown):
+            self.chunks.clear()  # do not hold on to very long ones
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocab.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -201,33 +299,41 @@ def _spec(df: DataFrame, ranks_path: str, pattern: str):
     return df.sparkSession.sparkContext.broadcast((key, ranks, pattern))
 
 
+def _parts(batch: pa.RecordBatch, text_column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ROWS rows and about CHARS characters."""
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_numpy())
+    start = 0
+    while start < batch.num_rows:
+        limit = CHARS + (int(sizes[start - 1]) if start else 0)
+        end = min(max(int(np.searchsorted(sizes, limit, "right")), start + 1), start + ROWS)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _mapped(df, ranks_path, pattern, text_col, keep, fields, one):
-    """One pass over ``df``: the ``keep`` columns beside the fields that ``one(coder, text)`` returns."""
+    """One pass over ``df``: the ``keep`` columns beside the fields that ``one(coder, ids)`` returns."""
     shared = _spec(df, ranks_path, pattern)
     n_keep = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared.value)
         for batch in batches:
-            for start in range(0, max(1, batch.num_rows), 500):
-                part = batch.slice(start, 500)
-                rows = [one(coder, t or "") for t in part.column(n_keep).to_pylist()]
+            for part in _parts(batch, n_keep):
+                texts = [t or "" for t in part.column(n_keep).to_pylist()]
+                rows = [one(coder, ids) for ids in coder.encode(texts)]
                 columns = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(fields)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], *columns], names=[f"c{i}" for i in range(n_keep + len(fields))])
-
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import from_arrow_type
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], *columns], names=[*[f"c{i}" for i in range(n_keep)], *[name for name, _ in fields]])
 
     picked = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], df[text_col].cast("string").alias("text_"))
-    out = T.StructType([*[T.StructField(f"c{i}", picked.schema[i].dataType) for i in range(n_keep)], *[T.StructField(f"c{n_keep + i}", from_arrow_type(kind)) for i, (_, kind) in enumerate(fields)]])
-    return map_arrow(picked, run, out).toDF(*keep, *[name for name, _ in fields])
+    return map_arrow(picked, run, kept_schema(picked, n_keep, ", ".join(f"{name} {KINDS[kind]}" for name, kind in fields))).toDF(*keep, *[name for name, _ in fields])
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``ids`` (binary, little-endian uint32) and ``n_tokens`` of every whole text."""
 
-    def one(coder, text):
-        ids = coder.encode(text)
+    def one(coder, ids):
         return ids, len(ids) // 4
 
     return _mapped(df, ranks_path, pattern, text_col, keep, [("ids", pa.binary()), ("n_tokens", pa.int64())], one)
@@ -245,16 +351,14 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", k
             raw = [coder.decode(x or b"") for x in batch.column(n_keep).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_keep], pa.array(raw, pa.binary())], names=[*[f"c{i}" for i in range(n_keep)], "decoded"])
 
-    fields = ", ".join([*[f"c{i} {picked.schema[i].dataType.simpleString()}" for i in range(n_keep)], "decoded binary"])
-    return map_arrow(picked, run, fields).toDF(*keep, "decoded")
+    return map_arrow(picked, run, kept_schema(picked, n_keep, "decoded binary")).toDF(*keep, "decoded")
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Encode every whole text, decode the ids again, in one pass: ``n_tokens``, the SHA-256 of the
     ids as little-endian uint32 and of the decoded bytes. The ids themselves are not shuffled."""
 
-    def one(coder, text):
-        ids = coder.encode(text)
+    def one(coder, ids):
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(coder.decode(ids)).hexdigest()
 
     return _mapped(df, ranks_path, pattern, text_col, keep, [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())], one)
