@@ -3,8 +3,10 @@
 A message becomes at most one order event. The JSON is read with an all-STRING
 schema, so a number sent as text or a date in a number field does not flag
 the whole record; the text is then coerced leniently (bad numbers become 0).
-Only two things make a message an anomaly: it is not a JSON object
-(``malformed_json``) or it has no usable ``event_id`` (``event_id_missing``).
+Three things make a message an anomaly: it is not a JSON object
+(``malformed_json``), it has no usable ``event_id`` (``event_id_missing``), or its
+event time lies outside the years 1 to 9999 (``event_time_out_of_range``; no
+timestamp could hold it, and one such message must not stop the job).
 
 Works unchanged on a streaming DataFrame: every step is a per-row expression.
 """
@@ -21,9 +23,12 @@ from panewise.schema import (
     DEFAULT_EVENT_TIME,
     DEFAULT_STORE_ID,
     DEFAULT_USER_ID,
+    MAX_EVENT_MS,
+    MIN_EVENT_MS,
     RAW_JSON,
     REASON_MALFORMED,
     REASON_MISSING_ID,
+    REASON_TIME_RANGE,
 )
 
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
@@ -57,12 +62,14 @@ def parse_orders(
         | (raw_id == F.lit(""))
         | is_container_json(F.col(value_col), "event_id", raw_id)
     )
+    event_time = lenient_long(F.col("_j.event_time"), DEFAULT_EVENT_TIME)
+    in_range = event_time.between(MIN_EVENT_MS, MAX_EVENT_MS)
     reason = (
         F.when(malformed, F.lit(REASON_MALFORMED))
         .when(missing_id, F.lit(REASON_MISSING_ID))
+        .when(~in_range, F.lit(REASON_TIME_RANGE))
         .otherwise(F.lit(None).cast("string"))
     )
-    event_time = lenient_long(F.col("_j.event_time"), DEFAULT_EVENT_TIME)
     out = staged.select(
         *[c for c in df.columns if keep_value or c != value_col],
         raw_id.alias("event_id"),
@@ -70,7 +77,7 @@ def parse_orders(
         F.coalesce(F.col("_j.store_id"), F.lit(DEFAULT_STORE_ID)).alias("store_id"),
         lenient_double(F.col("_j.amount"), DEFAULT_AMOUNT).alias("amount"),
         event_time.alias("event_time"),
-        ms_to_timestamp(event_time).alias("event_ts"),
+        F.when(in_range, ms_to_timestamp(event_time)).alias("event_ts"),
         reason.alias("reason"),
         *(_default_flags() if flags else []),
         *[F.col("_j")[name].alias(name) for name in extra_fields],

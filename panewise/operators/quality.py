@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panewise.operators.parse import parse_orders
-from panewise.schema import REASON_MALFORMED, REASON_MISSING_ID
+from panewise.schema import REASON_MALFORMED, REASON_MISSING_ID, REASON_TIME_RANGE
 
 
 def quality_report(raw: DataFrame, as_of_ms: int, value_col: str = "value") -> DataFrame:
@@ -20,6 +20,7 @@ def quality_report(raw: DataFrame, as_of_ms: int, value_col: str = "value") -> D
     rules = [
         ("malformed_json", F.col("reason") == F.lit(REASON_MALFORMED)),
         ("event_id_missing", F.col("reason") == F.lit(REASON_MISSING_ID)),
+        ("event_time_out_of_range", F.col("reason") == F.lit(REASON_TIME_RANGE)),
         ("user_id_defaulted", ok & F.col("user_id_defaulted")),
         ("store_id_defaulted", ok & F.col("store_id_defaulted")),
         ("amount_defaulted", ok & F.col("amount_defaulted")),

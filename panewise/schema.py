@@ -45,6 +45,11 @@ DEFAULT_AMOUNT = 0.0
 DEFAULT_EVENT_TIME = 0
 REASON_MALFORMED = "malformed_json"
 REASON_MISSING_ID = "event_id_missing"
+REASON_TIME_RANGE = "event_time_out_of_range"
+# Event times from 0001-01-02 up to 9999-12-30 23:59:59.999 UTC; a day is left at either end for windows.
+# Others (nanoseconds, say) have no timestamp; such messages go to the dead letters instead of stopping the job.
+MIN_EVENT_MS = -62_135_510_400_000
+MAX_EVENT_MS = 253_402_214_399_999
 TIME_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_KEY_FORMAT = "yyyyMMdd"
 

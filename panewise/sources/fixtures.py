@@ -91,6 +91,9 @@ def _raw_value():
     def obj(*parts):
         return F.concat(F.lit("{"), *parts, F.lit("}"))
 
+    def timed(text):
+        return F.concat(F.lit('"event_time":'), text)
+
     idc = F.col("id")
     # Corruption rules, first match wins (FIXTURES.md section 3, "raw").
     return (
@@ -100,6 +103,10 @@ def _raw_value():
         .when(idc % 53 == 0, obj(eid, user, store, F.concat(F.lit('"amount":'), _q(amount), F.lit(",")), et))
         .when(idc % 59 == 0, obj(eid, F.lit('"user_id":null,'), store, amt, et))
         .when(idc % 61 == 0, obj(eid, user, store, amt, F.lit('"event_time":"2024-01-01"')))
+        .when(idc % 67 == 0, obj(eid, user, store, amt, timed((F.col("event_time") * 1_000_000).cast("string"))))
+        .when(idc % 71 == 0, obj(eid, user, store, amt, timed(F.lit("9223372036854775807"))))
+        .when(idc % 73 == 0, obj(eid, user, store, amt, timed(F.lit("-62200000000000000"))))
+        .when(idc % 79 == 0, obj(eid, user, store, amt, timed((F.col("event_time") * 1000).cast("string"))))
         .otherwise(obj(eid, user, store, amt, et))
     )
 

@@ -97,3 +97,15 @@ def test_extra_fields_do_not_leak_into_the_shared_schema(spark):
         assert r.city == "x" and r.reason is None
     assert len(RAW_JSON.fields) == before
     assert "city" not in parse_orders(df).columns
+
+
+def test_event_times_without_a_timestamp_are_dead_letters(spark):
+    """Nanoseconds, the largest long, a very negative and a microsecond time never stop the job."""
+    bad = [1704067200000000000, 9223372036854775807, -62200000000000000, 1704067200000000, 253402214400000, -62135510400001]
+    good = [1704067200000, 0, -1, 253402214399999, -62135510400000]
+    rows = [(f'{{"event_id":"e{i}","event_time":{t}}}',) for i, t in enumerate(bad + good)]
+    parsed = parse_orders(spark.createDataFrame(rows, "value string"))
+    dead = anomalies(parsed).collect()
+    assert len(dead) == len(bad) and {r.reason for r in dead} == {"event_time_out_of_range"}
+    assert sorted(r.event_time for r in valid_orders(parsed).collect()) == sorted(good)
+    assert valid_orders(parsed).filter("event_ts IS NULL").count() == 0
