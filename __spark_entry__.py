@@ -14,6 +14,7 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +34,11 @@ from panewise.operators.late import (  # noqa: E402
 from panewise.operators.parse import anomalies, parse_orders, valid_orders  # noqa: E402
 from panewise.operators.quality import quality_report  # noqa: E402
 from panewise.operators.windows import window_metrics  # noqa: E402
-from panewise.plans.batch import flagship_metrics, run_job  # noqa: E402
+from panewise.plans.batch import backfill, flagship_metrics, replay_range, run_job  # noqa: E402
 from panewise.plans.sql import metrics_sql  # noqa: E402
-from panewise.plans.table import latest_rows  # noqa: E402
+from panewise.plans.table import MetricsTable, latest_rows  # noqa: E402
 from panewise.schema import Params  # noqa: E402
+from panewise.session import ensure_checkpoint_dir, write_shared  # noqa: E402
 from panewise.sources.encode import encode_orders, encode_rows  # noqa: E402
 from panewise.sources.fixtures import (  # noqa: E402
     arrivals_from_events,
@@ -49,6 +51,7 @@ from panewise.sources.fixtures import (  # noqa: E402
 DAY_MS = 86_400_000
 AS_OF_MS = 1_706_659_200_000  # 2024-01-31 00:00:00 UTC, fixed instant for the future-time rule
 LATE_ALERT_THRESHOLD = 2
+APPROX_RSD = 0.05  # standard error of the distinct-user sketch
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -158,6 +161,37 @@ def q_latest_metrics(spark, sf):
     return latest_rows(v1.unionByName(v2).drop("window_start_ms"), ["window_start", "store_id"], ["version"])
 
 
+BACKFILL_FROM_MS, BACKFILL_TO_MS = 1_704_844_800_000, 1_705_276_800_000  # 2024-01-10 to 2024-01-15
+
+
+def _new_table(spark, name):
+    return MetricsTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+
+
+def q_backfill_range(spark, sf):
+    # A table of the whole history, then a replay of a range from which a seventh of the rows is gone.
+    messages = raw_arrivals_from_events(load_events(spark, sf))
+    table = _new_table(spark, "backfill")
+    table.write_batch(run_job(messages).metrics, batch_id=0)
+    low, high = replay_range(BACKFILL_FROM_MS, BACKFILL_TO_MS)
+    replay = messages.filter(F.col("arrival_ms").between(low, high) & (F.col("arrival_ms") / 1000 % 7 != 0))
+    backfill(table, replay, 1, BACKFILL_FROM_MS, BACKFILL_TO_MS)
+    return table.latest().select("window_start", "window_end", "store_id", "order_cnt", "gmv_total", "user_cnt")
+
+
+def q_table_latest(spark, sf):
+    # Two versions, folded; then a later batch of the same stream.
+    m = window_metrics(valid_orders(parse_orders(encode_orders(_orders(spark, sf)))), Params(), keep_window=True)
+    m = write_shared(m.drop("window", "window_end_ms"), "metrics")
+    minute = F.floor(F.col("window_start_ms") / 60_000)
+    table = _new_table(spark, "table")
+    table.write_batch(m, batch_id=0)
+    table.write_batch(m.filter(minute % 2 == 0).withColumn("order_cnt", F.col("order_cnt") + 1), batch_id=1)
+    table.compact("00000000", "99999999")
+    table.write_batch(m.filter(minute % 3 == 0).withColumn("order_cnt", F.col("order_cnt") + 10), batch_id=2, files_per_date=2)
+    return table.latest().select("window_start", "window_end", "store_id", "order_cnt", "gmv_total", "user_cnt", "window_date")
+
+
 def q_late_stats(spark, sf):
     return late_stats(late_events(_classified(spark, sf)), alert_threshold=LATE_ALERT_THRESHOLD)
 
@@ -171,7 +205,15 @@ def q_quality_report(spark, sf):
 
 
 def q_approx_users(spark, sf):
-    return window_metrics(valid_orders(parse_orders(encode_orders(_orders(spark, sf)))), Params(), exact=False)
+    # Daily panes: the sketch beside the exact count. Three standard errors of the sketch, and one user, are allowed.
+    p = Params(size_ms=DAY_MS, slide_ms=DAY_MS)
+    valid = write_shared(valid_orders(parse_orders(encode_orders(_orders(spark, sf)))), "valid")
+    exact = window_metrics(valid, p)
+    sketch = window_metrics(valid, p, exact=False, rsd=APPROX_RSD).select("window_start", "store_id", F.col("user_cnt").alias("approx_cnt"))
+    off = F.abs(F.col("approx_cnt") - F.col("user_cnt"))
+    joined = exact.join(sketch, ["window_start", "store_id"])
+    return joined.withColumn("within_tolerance", off <= 3 * APPROX_RSD * F.col("user_cnt") + 1).drop("approx_cnt").select(
+        "window_start", "window_end", "store_id", "order_cnt", "gmv_total", "user_cnt", "within_tolerance")
 
 
 def q_order_metrics_sql(spark, sf):
@@ -222,6 +264,8 @@ def _job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_metrics": q_job_metrics,
         "job_late_events": q_job_late_events,
         "latest_metrics": q_latest_metrics,
+        "backfill_range": q_backfill_range,
+        "table_latest": q_table_latest,
         "late_stats": q_late_stats,
         "lateness_profile": q_lateness_profile,
         "quality_report": q_quality_report,
@@ -275,6 +319,14 @@ _RAW_VALUE = """
          || CAST(amount AS VARCHAR) || ',"event_time":' || CAST(event_time AS VARCHAR) || '}'
     WHEN id % 61 = 0 THEN '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id
          || '","amount":' || CAST(amount AS VARCHAR) || ',"event_time":"2024-01-01"}'
+    WHEN id % 67 = 0 THEN '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id
+         || '","amount":' || CAST(amount AS VARCHAR) || ',"event_time":' || CAST(event_time * 1000000 AS VARCHAR) || '}'
+    WHEN id % 71 = 0 THEN '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id
+         || '","amount":' || CAST(amount AS VARCHAR) || ',"event_time":' || '9223372036854775807' || '}'
+    WHEN id % 73 = 0 THEN '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id
+         || '","amount":' || CAST(amount AS VARCHAR) || ',"event_time":' || '-62200000000000000' || '}'
+    WHEN id % 79 = 0 THEN '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id
+         || '","amount":' || CAST(amount AS VARCHAR) || ',"event_time":' || CAST(event_time * 1000 AS VARCHAR) || '}'
     ELSE '{"event_id":"' || event_id || '","user_id":"' || user_id || '","store_id":"' || store_id || '","amount":'
          || CAST(amount AS VARCHAR) || ',"event_time":' || CAST(event_time AS VARCHAR) || '}'
   END"""
@@ -303,7 +355,9 @@ p AS (
          coalesce(TRY_CAST(j_event_time AS BIGINT), TRY_CAST(TRY_CAST(j_event_time AS DOUBLE) AS BIGINT), 0)
            AS p_event_time,
          CASE WHEN NOT is_obj THEN 'malformed_json'
-              WHEN j_event_id IS NULL OR j_event_id = '' THEN 'event_id_missing' END AS reason
+              WHEN j_event_id IS NULL OR j_event_id = '' THEN 'event_id_missing'
+              WHEN coalesce(TRY_CAST(j_event_time AS BIGINT), TRY_CAST(TRY_CAST(j_event_time AS DOUBLE) AS BIGINT), 0)
+                   NOT BETWEEN -62135510400000 AND 253402214399999 THEN 'event_time_out_of_range' END AS reason
   FROM x)"""
 
 
@@ -382,6 +436,7 @@ q AS (
   SELECT count(*) AS checked,
          count(*) FILTER (WHERE reason = 'malformed_json') AS malformed_json,
          count(*) FILTER (WHERE reason = 'event_id_missing') AS event_id_missing,
+         count(*) FILTER (WHERE reason = 'event_time_out_of_range') AS event_time_out_of_range,
          count(*) FILTER (WHERE reason IS NULL AND j_user_id IS NULL) AS user_id_defaulted,
          count(*) FILTER (WHERE reason IS NULL AND j_store_id IS NULL) AS store_id_defaulted,
          count(*) FILTER (WHERE reason IS NULL AND TRY_CAST(j_amount AS DOUBLE) IS NULL) AS amount_defaulted,
@@ -392,15 +447,15 @@ q AS (
          count(*) FILTER (WHERE reason IS NULL AND p_event_time > {AS_OF_MS}) AS event_time_future
   FROM p)
 SELECT rule, failed, checked FROM q
-UNPIVOT (failed FOR rule IN (malformed_json, event_id_missing, user_id_defaulted, store_id_defaulted,
+UNPIVOT (failed FOR rule IN (malformed_json, event_id_missing, event_time_out_of_range, user_id_defaulted, store_id_defaulted,
                               amount_defaulted, event_time_defaulted, amount_not_positive, event_time_zero,
                               event_time_future))"""
 
 
-def _job_sql(final: str) -> str:
+def _job_sql(final: str, keep: str = "true") -> str:
     """Raw arrival copies -> parse -> valid -> TTL dedup -> late classification, then ``final``."""
     return f"""WITH {_A},
-rawa AS (SELECT {_RAW_VALUE} AS value, arrival_ms, batch_id, copy_no FROM a),
+rawa AS (SELECT {_RAW_VALUE} AS value, arrival_ms, batch_id, copy_no FROM a WHERE {keep}),
 {_parsed('rawa')},
 a_valid AS (
   SELECT p_event_id AS event_id, p_user_id AS user_id, p_store_id AS store_id, p_amount AS amount,
@@ -427,6 +482,15 @@ d AS (
 {final}"""
 
 
+def _backfill_sql() -> str:
+    final = "," + _metrics("c", where="WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms")
+    inside = f"window_start >= {_ts_text(str(BACKFILL_FROM_MS))} AND window_end <= {_ts_text(str(BACKFILL_TO_MS))}"
+    return f"""
+SELECT * FROM ({_job_sql(final)}) WHERE NOT ({inside})
+UNION ALL
+SELECT * FROM ({_job_sql(final, "arrival_ms / 1000 % 7 <> 0")}) WHERE {inside}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return _job_oracle_sql() | _llm_oracle_sql()
 
@@ -483,6 +547,14 @@ v AS (
   WHERE ((ws // 60000) % 60) % 2 = 0)
 SELECT * FROM v
 QUALIFY row_number() OVER (PARTITION BY window_start, store_id ORDER BY version DESC) = 1""",
+        "backfill_range": _backfill_sql(),
+        "table_latest": f"""WITH {_O},
+m AS (WITH {_metrics('o', with_ws=True)})
+SELECT window_start, window_end, store_id,
+       CASE WHEN (ws // 60000) % 3 = 0 THEN order_cnt + 10 WHEN (ws // 60000) % 2 = 0 THEN order_cnt + 1
+            ELSE order_cnt END AS order_cnt,
+       gmv_total, user_cnt, strftime(epoch_ms(ws), '%Y%m%d') AS window_date
+FROM m""",
         "late_stats": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")},
 l AS (SELECT * FROM c WHERE is_late)
 {_late_stats_sql('l')}""",
@@ -493,5 +565,6 @@ SELECT store_id, count(*) AS rows, max(arrival_ms - event_time) AS max_delay_ms,
        quantile_cont(arrival_ms - event_time, 0.99) AS p99
 FROM a GROUP BY store_id""",
         "quality_report": _quality_sql(),
+        "approx_users": f"SELECT *, true AS within_tolerance FROM (WITH {_O},{_metrics('o', DAY_MS, DAY_MS)})",
         "order_metrics_sql": metrics_o,
     }

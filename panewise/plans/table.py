@@ -2,12 +2,17 @@
 
 The job's table keeps one row per ``(window_start, store_id)`` by re-inserting
 and letting the newest ``update_time`` win. Here every write appends a
-*version* ``(epoch, batch_id)`` into its own partition
-``window_date=<d>/epoch=<e>/batch_id=<n>`` with dynamic partition overwrite:
+*version* ``(epoch, batch_id, folded)`` into its own partition
+``window_date=<d>/epoch=<e>/batch_id=<n>/folded=<f>`` with dynamic partition overwrite:
 a retried micro-batch rewrites exactly the partitions it wrote before, so it
 can never duplicate. ``latest`` keeps the highest version per key with one
 combinable ``max(struct)`` aggregation (no sort, no window). A backfill uses a
-higher ``epoch``; ``compact`` folds old dates into one version.
+higher ``epoch``; a row with ``order_cnt = 0`` is a tombstone: the window exists no more.
+
+``compact`` folds the versions of a day into one that ranks just above the
+highest it has folded and below every later version, so a stream that goes on
+writing still wins, and a retry of an old batch still loses. It reads and deletes
+exactly the version folders listed when it starts; folders that appear meanwhile stay.
 ``update_time`` is recorded for information only and never decides a version.
 """
 
@@ -20,7 +25,7 @@ from pyspark.sql import types as T
 from panewise.functions import date_key
 from panewise.schema import METRIC_ROW
 
-VERSION_COLS = ["epoch", "batch_id"]
+VERSION_COLS = ["epoch", "batch_id", "folded"]
 
 
 def latest_rows(df: DataFrame, key_cols=("window_start", "store_id"), version_cols=VERSION_COLS) -> DataFrame:
@@ -50,29 +55,42 @@ class MetricsTable:
                 T.StructField("window_date", T.StringType(), True),
                 T.StructField("epoch", T.LongType(), True),
                 T.StructField("batch_id", T.LongType(), True),
+                T.StructField("folded", T.LongType(), True),
             ]
         )
 
     def write_batch(self, metrics: DataFrame, batch_id: int, epoch: int = 0, files_per_date: int | None = None) -> None:
-        """Write one version of ``metrics`` (``window_metrics(..., keep_window=True)`` or plain rows)."""
-        if "window_start_ms" in metrics.columns:
+        """Write one version of ``metrics`` (``window_metrics(..., keep_window=True)`` or plain rows).
+
+        ``files_per_date``: that many files for each day, dealt by hash of the row's key; None leaves
+        the files as the plan's last stage has them.
+        """
+        version = (F.lit(int(epoch)), F.lit(int(batch_id)), F.lit(0))
+        self._write(metrics.withColumns(dict(zip(VERSION_COLS, version, strict=True))), files_per_date)
+
+    def _write(self, rows: DataFrame, files_per_date: int | None) -> None:
+        """Rows that carry their version columns."""
+        if "window_start_ms" in rows.columns:
             day = date_key(F.col("window_start_ms"))
         else:
-            day = F.regexp_replace(F.substring("window_start", 1, 10), "-", "")
-        out = metrics.select(
+            day = F.regexp_replace(F.substring_index("window_start", " ", 1), "-", "")
+        out = rows.select(
             "window_start", "window_end", *self.keys, "order_cnt", "gmv_total", "user_cnt",
             F.current_timestamp().alias("update_time"),
             day.alias("window_date"),
-            F.lit(int(epoch)).cast("bigint").alias("epoch"),
-            F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+            *[F.col(c).cast("bigint").alias(c) for c in VERSION_COLS],
         )
         if files_per_date:
-            out = out.repartition(files_per_date, "window_date")
+            salt = F.pmod(F.xxhash64("window_start", *self.keys), F.lit(files_per_date))
+            # a partition holds one salt of some days, so a day has one file for each salt
+            days = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // files_per_date)
+            place = F.pmod(F.xxhash64("window_date"), F.lit(days)) * files_per_date + salt
+            out = out.repartitionById(days * files_per_date, place.cast("int"))
         (
-            out.sortWithinPartitions("window_date", "window_start", *self.keys)
+            out.sortWithinPartitions("window_date", *VERSION_COLS, "window_start", *self.keys)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_date", "epoch", "batch_id")
+            .partitionBy("window_date", *VERSION_COLS)
             .parquet(self.path)
         )
 
@@ -87,33 +105,37 @@ class MetricsTable:
     def latest(self, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
         """Current value per ``(window_start, keys)``; date bounds prune partitions before the aggregation."""
         v = self.versions(date_from, date_to)
-        return latest_rows(v, ["window_start", *self.keys], VERSION_COLS)
+        return latest_rows(v, ["window_start", *self.keys], VERSION_COLS).filter("order_cnt > 0")
 
-    def compact(self, date_from: str, date_to: str, epoch: int) -> None:
-        """Fold every version of the dates into ``epoch``/batch 0, then drop the superseded partitions.
+    def compact(self, date_from: str, date_to: str, files_per_date: int | None = 1) -> None:
+        """Fold every version of the dates that is there now into one, then drop those version folders.
 
-        The new version is written before anything is removed, so a crash in
-        between leaves a readable, still-correct table.
+        The folded version is written before anything is removed, so a crash in
+        between leaves a readable, still-correct table. The file listing of ``found`` is
+        taken once, here; both what is read and what is deleted follow it.
         """
-        cur = self.latest(date_from, date_to).checkpoint()
-        dates = [r[0] for r in cur.select("window_date").distinct().collect()]  # one row per day
-        self.write_batch(cur.drop("update_time", "window_date", "epoch", "batch_id"), batch_id=0, epoch=epoch)
+        found = self.versions(date_from, date_to)
+        listed = [tuple(r) for r in found.select("window_date", *VERSION_COLS).distinct().collect()]  # a row per version and day
+        by_date: dict[str, list[tuple]] = {}
+        for day, *version in listed:
+            by_date.setdefault(day, []).append(tuple(version))
+        by_date = {d: v for d, v in by_date.items() if len(v) > 1}
+        if not by_date:
+            return
+        tops = {d: max(v) for d, v in by_date.items()}
+        target = self.spark.createDataFrame(
+            [(d, e, b, f + 1) for d, (e, b, f) in tops.items()], "day string, to_epoch long, to_batch_id long, to_folded long"
+        )
+        rows = latest_rows(found, ["window_start", *self.keys], VERSION_COLS)
+        rows = rows.join(target, rows["window_date"] == target["day"])
+        self._write(rows.withColumns({c: F.col(f"to_{c}") for c in VERSION_COLS}), files_per_date)
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for d in dates:
-            day_dir = jvm.org.apache.hadoop.fs.Path(f"{self.path}/window_date={d}")
-            fs = day_dir.getFileSystem(conf)
-            for st in fs.listStatus(day_dir):
-                name = st.getPath().getName()
-                if not name.startswith("epoch="):
-                    continue
-                if name != f"epoch={epoch}":
-                    fs.delete(st.getPath(), True)
-                    continue
-                # same epoch: its other micro-batches would outrank batch 0, drop them too
-                for sub in fs.listStatus(st.getPath()):
-                    if sub.getPath().getName().startswith("batch_id=") and sub.getPath().getName() != "batch_id=0":
-                        fs.delete(sub.getPath(), True)
+        for day, versions in by_date.items():
+            for version in versions:
+                parts = "/".join(f"{c}={x}" for c, x in zip(VERSION_COLS, version, strict=True))
+                folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/window_date={day}/{parts}")
+                folder.getFileSystem(conf).delete(folder, True)
 
 
 def write_rows(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panewise") -> SparkSession:
-    """Local session used by tests and the bench. Production jobs bring their own session."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panewise", checkpoint_dir: str | None = None) -> SparkSession:
+    """Local session used by scripts and the bench, with the checkpoint folder its caller names. Jobs bring their own session."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -28,18 +29,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         )
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, resolving it from ``spark.checkpoint.dir``.
 
-    On a cluster the directory must be the shared folder the cluster names in
-    ``spark.checkpoint.dir``; we never invent one there. Only a local-mode session
-    (tests, bench) without that setting gets a fresh scratch folder.
+    On a cluster the folder is given by configuration: one that the driver and all executors
+    share; a cluster session without it is an error. Only a local-mode session (tests, trial runs), where
+    driver and executors are one process, gets a folder of its own if the setting is unset.
     """
     try:
         sc = spark.sparkContext
@@ -50,14 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder"
-            )
-        configured = tempfile.mkdtemp(prefix="panewise-ckpt-", dir=os.environ.get("PANEWISE_SCRATCH", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # a core setting some sessions refuse to change at run time
-            pass
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; iterative operators need a shared checkpoint folder")
+        configured = tempfile.mkdtemp(prefix="panewise-checkpoint-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back: lineage ends there."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
