@@ -1,103 +1,114 @@
-"""T2 (stream form): per-key TTL dedup as a stateful streaming operator.
-
-Per key the state is the accept time with a processing-time TTL. It is
-written only when a row is accepted, so the TTL clock starts at the accept
-and rejected duplicates never extend it; once it expires the key is accepted
-again. All rows of one micro-batch share the batch's processing time, so at
-most one row per key and batch is accepted: the smallest by ``order_cols``
-(arrival order), or the first seen.
-
-Engines (same semantics, different cost):
-
-* ``bucketed`` (default): keys are hashed into ``buckets`` groups of a
-  Row-based ``transformWithState``; a ``MapState`` keeps one TTL'd entry per
-  key. Python runs once per bucket and micro-batch instead of once per key.
-* ``transformWithState``: one group per key, a TTL'd ``ValueState``.
-* ``transformWithStateInPandas``: as above with a pandas frame per key.
-* ``applyInPandasWithState``: the accept time travels with the key's rows;
-  a processing-time timeout removes expired state.
-* ``watermark``: JVM only. ``dropDuplicatesWithinWatermark`` keyed by the id,
+"""T2 (stream form): TTL dedup of a stream by key.
+
+An accepted row starts a clock of ``ttl_ms`` (processing time); rejected duplicates never
+extend it; once it has run out the key is accepted again. All rows of one micro-batch
+share the batch's processing time, so at most one row per key and batch is
+accepted: the smallest by ``order_cols`` (arrival order), ties broken by all other columns, so
+that a retried batch accepts the same rows.
+
+* ``AcceptedIds`` (the staged job): JVM only, inside ``foreachBatch``. The batch's first row per key is a
+  combinable ``min(struct)``; keys accepted within the TTL are an anti-join against a small
+  table of (key, accept time), of which only the hours of the last TTL are read. The accept
+  time of a batch is fixed when it first runs, so a retry judges by the same clock.
+* ``dedup_stream(engine="bucketed")`` (the metrics stream, whose window aggregate needs a streaming
+  plan): keys are hashed into ``BUCKETS`` groups of a ``transformWithState``; a ``MapState`` keeps one
+  entry with a TTL per key. Needs the RocksDB state store provider.
+* ``dedup_stream(engine="watermark")``: JVM only. ``dropDuplicatesWithinWatermark`` keyed by the id,
   with the watermark on the micro-batch's processing time and a delay of
   TTL/2: an id's state expires once a batch starts more than TTL after the
   accept. Bounded divergences: re-acceptance can come up to about two trigger
   intervals after the TTL, and copies inside one micro-batch are not ordered
   by ``order_cols``. It defines the stream's watermark, so it only fits plans
-  without an event-time watermark after it (the staged job, which judges
-  lateness itself).
-
-Per-key pandas frames cost milliseconds each, which is why ``bucketed`` is
-the default. Needs the RocksDB state store provider.
+  without an event-time watermark after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-
-class TTLDedupProcessor(StatefulProcessor):
-    def __init__(self, ttl_ms: int | None, order_cols: tuple[str, ...] = ()):
-        self.ttl_ms = ttl_ms
-        self.order_cols = list(order_cols)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.accepted = handle.getValueState("accepted", "accepted_ms LONG", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.accepted.exists():
-            return
-        best = None
-        for pdf in rows:
-            if pdf.empty:
-                continue
-            cand = pdf.sort_values(self.order_cols, kind="stable").head(1) if self.order_cols else pdf.head(1)
-            if best is None:
-                best = cand
-            elif self.order_cols:
-                both = pd.concat([best, cand], ignore_index=True)
-                best = both.sort_values(self.order_cols, kind="stable").head(1)
-            if not self.order_cols:
-                break  # no arrival order given: the first row seen wins, skip the rest
-        if best is None:
+ENGINES = ("bucketed", "watermark")
+#: State is keyed by the bucket: another number would forget what a checkpoint has accepted, so it is no parameter.
+BUCKETS = 4096
+HOUR_MS = 3_600_000
+
+
+def first_rows(df: DataFrame, key: str, order_cols=()) -> DataFrame:
+    """The first row of each key by ``order_cols``, then by all other columns."""
+    order = [c for c in order_cols if c in df.columns]
+    rest = [c for c in df.columns if c != key and c not in order]
+    first = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return first.select(*[F.col(key) if c == key else F.col("_first")[c].alias(c) for c in df.columns])
+
+
+class AcceptedIds:
+    """Keys accepted by earlier micro-batches, with their accept times, in a table under ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str = "event_id", ttl_ms: int | None = 3_600_000, order_cols=(), clock=None):
+        self.spark, self.path, self.key, self.ttl_ms = spark, path.rstrip("/"), key, ttl_ms
+        self.order_cols = tuple(order_cols)
+        self.clock = clock or (lambda: int(time.time() * 1000))
+
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _hours(self) -> list[int]:
+        """Hours that have accepted keys; one listing."""
+        fs, p = self._fs(f"{self.path}/ids")
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("hour="))
+
+    def accept_time(self, batch_id: int) -> int:
+        """The processing time of a batch: now, or what its first attempt has written."""
+        path = f"{self.path}/clock/batch_id={int(batch_id)}"
+        fs, p = self._fs(path)
+        if fs.exists(p) and (row := self.spark.read.schema("now_ms long").parquet(path).first()) is not None:
+            return row["now_ms"]
+        now = self.clock()
+        self.spark.createDataFrame([(now,)], "now_ms long").coalesce(1).write.mode("overwrite").parquet(path)
+        return now
+
+    def accept(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The rows of ``batch`` that are accepted; their keys are recorded under ``batch_id``."""
+        now = self.accept_time(batch_id)
+        rows = first_rows(batch, self.key, self.order_cols)
+        hours = self._hours()
+        if self.ttl_ms is not None:
+            hours = [h for h in hours if (h + 1) * HOUR_MS > now - self.ttl_ms]
+        if hours:
+            kind = batch.schema[self.key].dataType.simpleString()
+            schema = f"`{self.key}` {kind}, accepted_ms long, hour long, batch_id long"
+            base = f"{self.path}/ids"
+            seen = self.spark.read.option("basePath", base).schema(schema).parquet(*[f"{base}/hour={h}" for h in hours])
+            seen = seen.filter(F.col("batch_id") < int(batch_id))
+            if self.ttl_ms is not None:
+                seen = seen.filter(F.col("accepted_ms") > F.lit(now - self.ttl_ms))
+            rows = rows.join(seen.select(self.key), self.key, "left_anti").select(*batch.columns)
+        rows = rows.persist()
+        ids = rows.select(self.key, F.lit(now).cast("long").alias("accepted_ms"), F.lit(now // HOUR_MS).cast("long").alias("hour"), F.lit(int(batch_id)).cast("long").alias("batch_id"))
+        ids.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("hour", "batch_id").parquet(f"{self.path}/ids")
+        self._forget(now)
+        return rows
+
+    def _forget(self, now: int) -> None:
+        """Drop hours that no TTL can reach any more, with a day to spare for a slow retry."""
+        if self.ttl_ms is None:
             return
-        self.accepted.update((int(timerValues.getCurrentProcessingTimeInMs()),))
-        yield best.reset_index(drop=True)
+        for h in self._hours():
+            if (h + 1) * HOUR_MS < now - self.ttl_ms - 24 * HOUR_MS:
+                fs, p = self._fs(f"{self.path}/ids/hour={h}")
+                fs.delete(p, True)
 
-    def close(self) -> None:
-        pass
-
-
-class TTLDedupRowProcessor(StatefulProcessor):
-    """Row-based twin of ``TTLDedupProcessor`` for ``transformWithState`` (no pandas frame per key)."""
-
-    def __init__(self, ttl_ms: int | None, order_cols: tuple[str, ...] = ()):
-        self.ttl_ms = ttl_ms
-        self.order_cols = list(order_cols)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.accepted = handle.getValueState("accepted", "accepted_ms LONG", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues):
-        if self.accepted.exists():
-            return
-        best = None
-        for r in rows:
-            if not self.order_cols:
-                best = r
-                break
-            if best is None or tuple(r[c] for c in self.order_cols) < tuple(best[c] for c in self.order_cols):
-                best = r
-        if best is None:
-            return
-        self.accepted.update((int(timerValues.getCurrentProcessingTimeInMs()),))
-        yield best
 
-    def close(self) -> None:
-        pass
+def _rank(value):
+    """Nulls first; values of one column compare among themselves."""
+    return (value is not None, value) if not isinstance(value, (dict, list)) else (True, repr(value))
 
 
 class TTLDedupBucketProcessor(StatefulProcessor):
@@ -112,24 +123,22 @@ class TTLDedupBucketProcessor(StatefulProcessor):
         self.key = key
         self.key_type = key_type
         self.ttl_ms = ttl_ms
-        self.order_cols = list(order_cols)
         self.out_cols = list(out_cols)
+        self.rank_cols = [*order_cols, *[c for c in out_cols if c not in order_cols]]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.accepted = handle.getMapState("accepted", f"{self.key} {self.key_type}", "accepted_ms LONG", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         first = {}
-        oc = self.order_cols
         for r in rows:
-            k = r[self.key]
-            cur = first.get(k)
-            if cur is None or (oc and tuple(r[c] for c in oc) < tuple(cur[c] for c in oc)):
-                first[k] = r
+            k, rank = r[self.key], tuple(_rank(r[c]) for c in self.rank_cols)
+            if k not in first or rank < first[k][0]:
+                first[k] = (rank, r)
         if not first:
             return
         now = int(timerValues.getCurrentProcessingTimeInMs())
-        for k, r in first.items():
+        for k, (_, r) in first.items():
             if self.accepted.containsKey((k,)):
                 continue
             self.accepted.updateValue((k,), (now,))
@@ -139,86 +148,16 @@ class TTLDedupBucketProcessor(StatefulProcessor):
         pass
 
 
-def _first_row(pdfs, order_cols):
-    """Earliest row by ``order_cols`` over the group's frames (cheap path for the usual single row)."""
-    best = None
-    for pdf in pdfs:
-        n = len(pdf)
-        if n == 0:
-            continue
-        if not order_cols:
-            return pdf.iloc[:1]
-        cand = pdf if n == 1 else pdf.iloc[[int(pdf[order_cols].apply(tuple, axis=1).values.argmin())]]
-        if best is None or tuple(cand[order_cols].iloc[0]) < tuple(best[order_cols].iloc[0]):
-            best = cand
-    return best
-
-
-def _ttl_group_fn(ttl_ms: int | None, order_cols: list[str]):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        now = int(state.getCurrentProcessingTimeMs())
-        if state.exists:
-            (accepted_ms,) = state.get
-            if ttl_ms is None or now - accepted_ms < ttl_ms:
-                if ttl_ms is not None:
-                    state.setTimeoutDuration(max(1, accepted_ms + ttl_ms - now))
-                return
-        best = _first_row(pdfs, order_cols)
-        if best is None:
-            return
-        state.update((now,))
-        if ttl_ms is not None:
-            state.setTimeoutDuration(ttl_ms)
-        yield best
-
-    return fn
-
-
-def pre_reduce_batch(df: DataFrame, key: str, order_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Keep the earliest row per key inside each Arrow batch of each partition (stateless, before the shuffle).
-
-    Exact for processing-time dedup: all rows of a micro-batch share one
-    processing time, so only a key's earliest row of the batch can be accepted.
-    A hot key then reaches the stateful exchange as at most one row per input
-    batch instead of all its copies.
-    """
-    order = list(order_cols)
-
-    def reduce(batches):
-        for pdf in batches:
-            if len(pdf) > 1:
-                if order:
-                    pdf = pdf.sort_values(order, kind="stable")
-                pdf = pdf.drop_duplicates(subset=[key], keep="first")
-            yield pdf
-
-    return df.mapInPandas(reduce, df.schema)
-
-
 def dedup_stream(
     df: DataFrame,
     key: str = "event_id",
     ttl_ms: int | None = 3_600_000,
     order_cols: tuple[str, ...] = (),
     engine: str = "bucketed",
-    buckets: int = 1024,
-    pre_reduce: bool | None = None,
 ) -> DataFrame:
-    """Streaming TTL dedup keyed by ``key``; output schema = input schema.
-
-    ``engine="bucketed"`` (default) groups keys into ``buckets`` hash buckets so
-    Python is called once per bucket instead of once per key. ``pre_reduce``
-    (default on for the Python engines, off for the JVM ``watermark`` engine)
-    first drops, per input batch, every row that cannot be accepted (see
-    ``pre_reduce_batch``), so copies of a hot key are cut down before the shuffle.
-    """
-    if pre_reduce is None:
-        pre_reduce = engine != "watermark"
-    if pre_reduce:
-        df = pre_reduce_batch(df, key, order_cols)
+    """Streaming TTL dedup keyed by ``key``; output schema = input schema."""
+    if engine not in ENGINES:
+        raise ValueError(f"unknown dedup engine {engine!r}; one of {ENGINES}")
     if engine == "watermark":
         if ttl_ms is None:
             return df.dropDuplicates([key])
@@ -229,34 +168,12 @@ def dedup_stream(
             .dropDuplicatesWithinWatermark([key])
             .drop("_proc_ts")
         )
-    if engine == "bucketed":
-        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(int(buckets)))
-        return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(
-            statefulProcessor=TTLDedupBucketProcessor(
-                key, ttl_ms, tuple(order_cols), df.columns, df.schema[key].dataType.simpleString().upper()
-            ),
-            outputStructType=df.schema,
-            outputMode="Append",
-            timeMode="ProcessingTime",
-        )
-    if engine == "transformWithState":
-        return df.groupBy(key).transformWithState(
-            statefulProcessor=TTLDedupRowProcessor(ttl_ms, tuple(order_cols)),
-            outputStructType=df.schema,
-            outputMode="Append",
-            timeMode="ProcessingTime",
-        )
-    if engine == "transformWithStateInPandas":
-        return df.groupBy(key).transformWithStateInPandas(
-            statefulProcessor=TTLDedupProcessor(ttl_ms, tuple(order_cols)),
-            outputStructType=df.schema,
-            outputMode="Append",
-            timeMode="ProcessingTime",
-        )
-    return df.groupBy(key).applyInPandasWithState(
-        _ttl_group_fn(ttl_ms, list(order_cols)),
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS))
+    return df.withColumn("_dedup_bucket", bucket).groupBy("_dedup_bucket").transformWithState(
+        statefulProcessor=TTLDedupBucketProcessor(
+            key, ttl_ms, tuple(order_cols), df.columns, df.schema[key].dataType.simpleString().upper()
+        ),
         outputStructType=df.schema,
-        stateStructType="accepted_ms LONG",
-        outputMode="append",
-        timeoutConf="ProcessingTimeTimeout" if ttl_ms is not None else "NoTimeout",
+        outputMode="Append",
+        timeMode="ProcessingTime",
     )

@@ -31,9 +31,8 @@ from panewise.operators.late import is_dead, last_window_end
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
 from panewise.operators.windows import aggregate_panes, assign_panes
 from panewise.plans.table import MetricsTable, write_rows
-from panewise.schema import Params
-
-MAX_BROADCAST_PANES = 1_000_000
+from panewise.schema import MAX_EVENT_MS, MIN_EVENT_MS, Params
+from panewise.streaming.dedup import AcceptedIds, dedup_stream
 
 WM_SCHEMA = T.StructType(
     [
@@ -81,7 +80,9 @@ class LateRouter:
         wm = self.spark.read.schema(WM_SCHEMA).parquet(self.path("wm_log"))
         return wm.filter(F.col("batch_id") < batch_id).agg(F.max("max_through_ms")).first()[0]
 
-    def process(self, df: DataFrame, batch_id: int) -> None:
+    def process(self, df: DataFrame, batch_id: int, batch_max: int | None = None) -> None:
+        """Route one batch of deduplicated rows; ``batch_max`` is the largest event time of the batch
+        with its duplicates (they move the watermark too), by default that of ``df``."""
         p = self.params
         df = df.persist()
         try:
@@ -108,7 +109,8 @@ class LateRouter:
                 .partitionBy("event_day", "batch_id")
                 .parquet(self.path("silver"))
             )
-            batch_max, batch_rows = df.agg(F.max("event_time"), F.count(F.lit(1))).first()
+            if batch_max is None:
+                batch_max = df.agg(F.max("event_time")).first()[0]
             through = max([m for m in (mp, batch_max) if m is not None], default=None)
             (
                 self.spark.createDataFrame([(batch_max, through, int(batch_id))], WM_SCHEMA)
@@ -120,7 +122,7 @@ class LateRouter:
             self._through = {int(batch_id): through}
             maxes = [m for m in (mp, batch_max) if m is not None]
             if maxes:
-                fired = self.fire_windows(on_time, mp, max(maxes), max_batch_rows=batch_rows)
+                fired = self.fire_windows(on_time, mp, max(maxes))
                 if fired is not None:
                     self.table.write_batch(fired, batch_id=batch_id, epoch=self.epoch)
         finally:
@@ -134,18 +136,23 @@ class LateRouter:
             reader = reader.schema(self._silver_schema)
         if from_ms is None or to_ms is None:
             return reader.parquet(base)
-        days = _days(from_ms, to_ms)
-        paths = [f"{base}/event_day={d}" for d in days if self._exists(f"silver/event_day={d}")]
-        if not paths:
+        first, last = (_day(ms) for ms in (from_ms, max(from_ms, to_ms)))
+        days = [d for d in self._silver_days() if first <= d <= last]
+        if not days:
             return None
-        return reader.parquet(*paths)
+        return reader.parquet(*[f"{base}/event_day={d}" for d in days])
+
+    def _silver_days(self) -> list[str]:
+        """Days that have silver rows: one listing, whatever the range asked for."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path("silver"))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(n.split("=")[1] for n in names if n.startswith("event_day="))
 
-    def fire_windows(self, batch_rows: DataFrame, max_prev: int | None, max_now: int,
-                     max_batch_rows: int | None = None) -> DataFrame | None:
+    def fire_windows(self, batch_rows: DataFrame, max_prev: int | None, max_now: int) -> DataFrame | None:
         """Windows first closed by this batch, plus closed windows that got allowed-late rows now.
 
-        The panes touched by the batch are broadcast when ``max_batch_rows`` (or a
-        count) proves them small: each row touches at most ``ceil(size / slide)`` panes.
+        Silver is read and expanded once; the windows that the batch touches are marked by one left join.
         """
         p = self.params
         keys = list(p.keys)
@@ -175,37 +182,17 @@ class LateRouter:
         )
         panes = panes.withColumn("_ws", timestamp_to_ms(F.col("window.start")))
         newly = F.lit(True) if newly_from is None else end_ms > F.lit(newly_from)
-        first_fire = panes.filter(newly)
-        per_row = -(-p.size_ms // p.slide_ms)
-        small = (max_batch_rows * per_row <= MAX_BROADCAST_PANES) if max_batch_rows is not None else _small(touched)
-        refire = panes.filter(~newly).join(F.broadcast(touched) if small else touched, ["_ws", *keys], "left_semi")
-        fired = first_fire.unionByName(refire).drop("_ws")
+        marked = panes.join(touched.withColumn("_touched", F.lit(True)), ["_ws", *keys], "left")
+        fired = marked.filter(newly | F.col("_touched")).drop("_ws", "_touched")
         return aggregate_panes(fired, p, keys, keep_window=True).drop("window")
 
 
-def _small(df: DataFrame) -> bool:
-    return df.count() <= MAX_BROADCAST_PANES
-
-
-def _days(from_ms: int, to_ms: int) -> list[str]:
-    """UTC days touched by ``[from_ms, to_ms]`` (a handful: the range is size + bound + lateness wide)."""
+def _day(ms: int) -> str:
+    """UTC day of an event time as the ``event_day`` folders name it."""
     import datetime as _dt
 
-    epoch = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
-    first = (epoch + _dt.timedelta(milliseconds=from_ms)).date()
-    last = (epoch + _dt.timedelta(milliseconds=max(from_ms, to_ms))).date()
-    return [(first + _dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
-
-
-def build_staged_stream(messages: DataFrame, params: Params = Params(), order_cols=("ingest_ms",),
-                        dedup_engine: str = "bucketed"):
-    """Parsed + deduplicated stream for the router, and the dead-letter stream."""
-    from panewise.streaming.dedup import dedup_stream
-
-    parsed = parse_orders(messages)
-    valid = valid_orders(parsed)
-    order = tuple(c for c in order_cols if c in valid.columns)
-    return dedup_stream(valid, "event_id", params.ttl_ms, order, engine=dedup_engine), anomalies(parsed)
+    ms = min(max(ms, MIN_EVENT_MS), MAX_EVENT_MS)
+    return (_dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=ms)).date().isoformat()
 
 
 def start_staged_query(
@@ -217,31 +204,50 @@ def start_staged_query(
     epoch: int = 0,
     order_cols=("ingest_ms",),
     with_dead_letters: bool = False,
-    dedup_engine: str = "bucketed",
+    dedup_engine: str = "table",
+    clock=None,
 ):
-    """Start the staged job: dedup (stateful) -> foreachBatch(route late, write silver, fire windows).
+    """Start the staged job: foreachBatch(dedup, route late, write silver, fire windows).
 
-    With ``with_dead_letters`` a second query on the same source writes the
-    anomalies to ``<root>/anomalies`` (its own checkpoint). ``dedup_engine``
-    selects the dedup operator (``"watermark"`` keeps it in the JVM, see
-    ``streaming.dedup``). Returns the router and the started queries.
+    ``dedup_engine="table"`` (default) keeps accepted ids in a table under ``root`` (``AcceptedIds``, JVM
+    only; ``clock`` gives its processing time); ``"bucketed"`` and ``"watermark"`` dedup in the streaming plan
+    (``dedup_stream``). With ``with_dead_letters`` a second query on the same source writes the
+    anomalies to ``<root>/anomalies`` (its own checkpoint). Returns the router and the started queries.
     """
     spark = messages.sparkSession
     router = LateRouter(spark, root, table, params, epoch)
-    deduped, dead = build_staged_stream(messages, params, order_cols, dedup_engine)
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        router.process(df, batch_id)
+    parsed = parse_orders(messages)
+    stream, dead = valid_orders(parsed), anomalies(parsed)
+    order = tuple(c for c in order_cols if c in stream.columns)
+    if dedup_engine == "table":
+        accepted = AcceptedIds(spark, router.path("accepted"), "event_id", params.ttl_ms, order, clock)
+
+        def sink(df: DataFrame, batch_id: int) -> None:
+            df = df.persist()
+            try:
+                batch_max = df.agg(F.max("event_time")).first()[0]
+                rows = accepted.accept(df, batch_id)
+                try:
+                    router.process(rows, batch_id, batch_max)
+                finally:
+                    rows.unpersist()
+            finally:
+                df.unpersist()
+    else:
+        stream = dedup_stream(stream, "event_id", params.ttl_ms, order, engine=dedup_engine)
+
+        def sink(df: DataFrame, batch_id: int) -> None:
+            router.process(df, batch_id)
 
     def dead_sink(df: DataFrame, batch_id: int) -> None:
         write_rows(df, router.path("anomalies"), batch_id)
 
     queries = []
-    streams = [(deduped, sink, "_checkpoint")]
+    streams = [(stream, sink, "_checkpoint")]
     if with_dead_letters:
         streams.append((dead, dead_sink, "_checkpoint_anomalies"))
-    for stream, fn, ck in streams:
-        w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", os.path.join(root, ck))
+    for one, fn, ck in streams:
+        w = one.writeStream.foreachBatch(fn).option("checkpointLocation", os.path.join(root, ck))
         if trigger_seconds:
             w = w.trigger(processingTime=f"{trigger_seconds} seconds")
         queries.append(w.start())

@@ -100,7 +100,7 @@ def _staged_too_late(spark, scratch):
     assert all(r.order_cnt < 5 for r in table.versions().collect())  # 'old' counted nowhere
 
 
-@pytest.mark.parametrize("dedup_engine", ["bucketed", "watermark"])
+@pytest.mark.parametrize("dedup_engine", ["table", "bucketed"])
 def test_staged_stream_equals_batch_pipeline(spark, scratch, dedup_engine):
     """Staged job over the sf0.001 raw arrivals (junk, duplicates, disorder, very late rows) = batch job."""
     from conftest import SF_SMALL
@@ -174,29 +174,78 @@ def test_append_mode_emits_each_closed_window_once(spark, scratch, exact):
 from panewise.streaming.dedup import dedup_stream  # noqa: E402
 
 
-@pytest.mark.parametrize("engine", ["transformWithState", "transformWithStateInPandas", "applyInPandasWithState",
-                                    "bucketed+pre_reduce"])
-def test_alternative_dedup_engines(spark, scratch, engine):
+@pytest.mark.parametrize("engine", ["bucketed", "watermark"])
+def test_stream_dedup_engines(spark, scratch, engine):
     src = os.path.join(scratch, "in")
     _files(src, [("a", "u1", "s", 1.0, 1000), ("a", "u1", "s", 5.0, 2000), ("b", "u2", "s", 2.0, 3000)])
-    # a hot key: many copies of "h" inside one micro-batch; the earliest (amount 0.0) must win
+    # a hot key: many copies of "h" inside one micro-batch, all with the same arrival time
     hot = os.path.join(src, "part-0009.json")
     with open(hot, "w") as f:
         for i in range(200):
-            f.write(json.dumps({"event_id": "h", "user_id": "u", "store_id": "s", "amount": float(i),
-                                "event_time": M + i}) + "\n")
+            f.write(json.dumps({"event_id": "h", "user_id": "u", "store_id": "s", "amount": float(199 - i),
+                                "event_time": M}) + "\n")
     os.utime(hot, (1_000_100, 1_000_100))
     parsed = valid_orders(parse_orders(read_messages(spark, src, stream=True, files_per_trigger=1)))
-    parsed = parsed.withColumn("ingest_ms", F.col("ingest_ms") * 1000 + F.col("event_time") % 1000)
-    name = engine.split("+")[0]
-    out = dedup_stream(parsed, ttl_ms=3_600_000, order_cols=("ingest_ms",), engine=name,
-                       pre_reduce=engine.endswith("pre_reduce"))
-    q = out.writeStream.format("memory").queryName(f"dedup_{name}").outputMode("append").option(
+    out = dedup_stream(parsed, ttl_ms=3_600_000, order_cols=("ingest_ms",), engine=engine)
+    q = out.writeStream.format("memory").queryName(f"dedup_{engine}").outputMode("append").option(
         "checkpointLocation", os.path.join(scratch, "ck")).start()
     q.processAllAvailable()
     q.stop()
-    got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{name}").collect())
-    assert got == [("a", 1.0), ("b", 2.0), ("h", 0.0)]
+    got = sorted((r.event_id, r.amount) for r in spark.table(f"dedup_{engine}").collect())
+    assert [k for k, _ in got] == ["a", "b", "h"]
+    if engine == "bucketed":
+        assert got == [("a", 1.0), ("b", 2.0), ("h", 0.0)]  # ties: the smallest row
+    with pytest.raises(ValueError):
+        dedup_stream(parsed, engine="bucket")
+
+
+def test_accepted_ids_expire_and_survive_a_retry(spark, scratch):
+    from panewise.streaming.dedup import AcceptedIds
+
+    now = [1_000_000_000]
+    ids = AcceptedIds(spark, os.path.join(scratch, "acc"), "event_id", 10_000, ("ingest_ms",), clock=lambda: now[0])
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "event_id string, ingest_ms long, amount double, big long")
+
+    def accept(n, *rows):
+        return sorted((r.event_id, r.amount, r.big) for r in ids.accept(batch(*rows), n).collect())
+
+    big = 9_007_199_254_740_993  # a nullable long beyond what a double holds
+    assert accept(0, ("a", 5, 2.0, big), ("a", 5, 1.0, big), ("a", 4, 9.0, None), ("b", 1, 1.0, None)) == [("a", 9.0, None), ("b", 1.0, None)]
+    now[0] += 9_999
+    first = accept(1, ("a", 9, 1.0, 1), ("c", 9, 2.0, big), ("c", 9, 1.0, big))
+    assert first == [("c", 1.0, big)]
+    now[0] += 50_000  # a retry much later: judged by the clock of the first attempt
+    assert accept(1, ("c", 9, 2.0, big), ("a", 9, 1.0, 1), ("c", 9, 1.0, big)) == first
+    now[0] = 1_000_000_000 + 10_000
+    assert accept(2, ("a", 1, 7.0, None), ("c", 1, 1.0, None)) == [("a", 7.0, None)]  # exactly the TTL later
+    now[0] += 40 * 3_600_000
+    assert accept(3, ("c", 1, 3.0, None)) == [("c", 3.0, None)]
+    assert len(ids._hours()) == 1  # what no TTL can reach is gone
+
+
+def test_messages_with_any_event_time_never_stop_the_staged_job(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    times = [[0], [1704067200000000000], [M + 1000, 9223372036854775807], [-62200000000000000], [1704067200000000], [M + 200_000]]
+    for i, batch in enumerate(times):
+        path = os.path.join(src, f"part-{i:04d}.json")
+        with open(path, "w") as f:
+            for k, t in enumerate(batch):
+                f.write(json.dumps({"event_id": f"e{i}-{k}", "user_id": "u", "store_id": "s", "amount": 1.0, "event_time": t}) + "\n")
+        os.utime(path, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    router, qs = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1), os.path.join(scratch, "job"),
+                                    table, trigger_seconds=None, with_dead_letters=True)
+    for q in qs:
+        q.processAllAvailable()
+        assert q.exception() is None
+        q.stop()
+    assert {r.reason for r in spark.read.parquet(router.path("anomalies")).collect()} == {"event_time_out_of_range"}
+    assert spark.read.parquet(router.path("anomalies")).count() == 4
+    assert spark.read.parquet(router.path("silver")).count() == 3  # 1970 first, then 2024
+    assert ("2024-01-01 00:00:00", "s") in _latest(table) and ("1970-01-01 00:00:00", "s") in _latest(table)
 
 
 def test_metrics_stream_dead_letters(spark, scratch):
