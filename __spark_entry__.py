@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from panewise.operators.dedup import dedup_first, dedup_ttl  # noqa: E402
+from panewise.operators.firing import firing_log  # noqa: E402
 from panewise.operators.late import (  # noqa: E402
     batch_watermarks,
     classify_late,
@@ -150,15 +151,22 @@ def q_job_late_events(spark, sf):
                        "copy_no", "watermark_ms")
 
 
+def q_firing_log(spark, sf):
+    out = run_job(raw_arrivals_from_events(load_events(spark, sf)))
+    return firing_log(out.classified, out.watermarks)
+
+
 def q_latest_metrics(spark, sf):
     m = window_metrics(
         valid_orders(parse_orders(encode_orders(_orders(spark, sf)))), Params(), keep_window=True
     )
     base = m.drop("window", "window_end_ms")
-    v1 = base.withColumn("version", F.lit(1))
+    # version 2 of the even minutes beside version 1 of all, in one pass over the metrics
     even_minute = (F.floor(F.col("window_start_ms") / 60_000) % 60) % 2 == 0
-    v2 = base.filter(even_minute).withColumn("order_cnt", F.col("order_cnt") + 1).withColumn("version", F.lit(2))
-    return latest_rows(v1.unionByName(v2).drop("window_start_ms"), ["window_start", "store_id"], ["version"])
+    versions = F.when(even_minute, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    v = base.withColumn("version", F.explode(versions))
+    v = v.withColumn("order_cnt", F.col("order_cnt") + F.when(F.col("version") == 2, 1).otherwise(0))
+    return latest_rows(v.drop("window_start_ms"), ["window_start", "store_id"], ["version"])
 
 
 BACKFILL_FROM_MS, BACKFILL_TO_MS = 1_704_844_800_000, 1_705_276_800_000  # 2024-01-10 to 2024-01-15
@@ -263,6 +271,7 @@ def _job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metrics_excluding_late": q_metrics_excluding_late,
         "job_metrics": q_job_metrics,
         "job_late_events": q_job_late_events,
+        "firing_log": q_firing_log,
         "latest_metrics": q_latest_metrics,
         "backfill_range": q_backfill_range,
         "table_latest": q_table_latest,
@@ -538,6 +547,19 @@ SELECT {dedup_cols}, watermark_ms FROM c WHERE is_late""",
             + _metrics("c", where="WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms")
         ),
         "job_late_events": _job_sql(f"SELECT {dedup_cols}, watermark_ms FROM c WHERE is_late"),
+        "firing_log": _job_sql(""",
+p2 AS (SELECT s.*, unnest([pane, pane - 30000]) AS ws FROM (SELECT *, (event_time // 30000) * 30000 AS pane FROM c) s),
+alive AS (SELECT * FROM p2 WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms),
+thr AS (SELECT batch_id, max(bm) OVER (ORDER BY batch_id) AS through FROM pb),
+ff AS (SELECT ws, (SELECT min(batch_id) FROM thr WHERE through >= ws + 70000) AS fire
+       FROM (SELECT DISTINCT ws FROM alive)),
+fires AS (SELECT DISTINCT a.ws, a.store_id, greatest(a.batch_id, ff.fire) AS fb
+          FROM alive a JOIN ff ON a.ws = ff.ws WHERE ff.fire IS NOT NULL)
+SELECT f.fb AS batch_id, """ + _ts_text("f.ws") + " AS window_start, " + _ts_text("f.ws + 60000") + """ AS window_end,
+       f.store_id, count(*) AS order_cnt, floor(sum(a.amount) * 100 + 0.5) / 100 AS gmv_total,
+       count(DISTINCT a.user_id) AS user_cnt
+FROM fires f JOIN alive a ON a.ws = f.ws AND a.store_id = f.store_id AND a.batch_id <= f.fb
+GROUP BY f.fb, f.ws, f.store_id"""),
         "latest_metrics": f"""WITH {_O},
 m AS (WITH {_metrics('o', with_ws=True)}),
 v AS (

@@ -21,19 +21,11 @@ from pyspark.sql import functions as F
 from panewise.functions import ms_to_text, timestamp_to_ms
 from panewise.operators.windows import aggregate_panes, assign_panes
 from panewise.schema import Params
-from panewise.session import ensure_checkpoint_dir
+from panewise.session import write_shared
 
-MAX_BROADCAST_ROWS = 2_000_000
 VALUE_BLOCK = 4096
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``small`` once; broadcast it only if its row count is under ``max_rows``."""
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint()
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 BATCH_BLOCK = 1024
 
 
@@ -46,7 +38,8 @@ def batch_watermarks(
     ids (window partitioned by block), plus the maxima of earlier blocks (the only
     unpartitioned window, over one row per block).
     """
-    per_batch = df.groupBy(batch_col).agg(F.max(time_col).alias("batch_max_ms"))
+    per_batch = df.groupBy(batch_col).agg(F.max(time_col).alias("batch_max_ms"), F.min(time_col).alias("batch_min_ms"))
+    per_batch = write_shared(per_batch, "batches")  # read from both sides of the join below
     per_batch = per_batch.withColumn("_blk", F.floor(F.col(batch_col) / F.lit(BATCH_BLOCK)))
     in_block = Window.partitionBy("_blk").orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
     blocks = per_batch.groupBy("_blk").agg(F.max("batch_max_ms").alias("_bm"))
@@ -57,6 +50,7 @@ def batch_watermarks(
     return joined.select(
         batch_col,
         "batch_max_ms",
+        "batch_min_ms",
         max_prev.alias("max_prev_ms"),
         (max_prev - F.lit(params.bound_ms + 1)).alias("watermark_ms"),
     )
@@ -82,7 +76,8 @@ def classify_late(
 ) -> DataFrame:
     """Attach ``max_prev_ms``, ``watermark_ms`` and ``is_late`` (all windows of the row dead)."""
     wm = watermarks if watermarks is not None else batch_watermarks(df, params, batch_col, time_col)
-    wm = sized_broadcast(wm.select(batch_col, "max_prev_ms", "watermark_ms"))
+    # one row per batch; whether it is broadcast is decided by its bytes at run time
+    wm = write_shared(wm.select(batch_col, "max_prev_ms", "watermark_ms"), "watermarks")
     joined = df.join(wm, batch_col, "left")
     late = is_dead(last_window_end(F.col(time_col), params), F.col("max_prev_ms"), params)
     return joined.withColumn("is_late", late)

@@ -28,6 +28,7 @@ class JobOutputs:
     anomalies: DataFrame
     deduped: DataFrame
     classified: DataFrame
+    watermarks: DataFrame
     late: DataFrame
     metrics: DataFrame
 
@@ -56,12 +57,13 @@ def run_job(
     # The job assigns its watermark before dedup: every valid row moves it, duplicates included.
     watermarks = batch_watermarks(valid, params, batch_col)
     deduped = dedup_ttl(valid, "event_id", arrival_col, params.ttl_ms, max_light=max_light)
-    classified = classify_late(deduped, params, batch_col, watermarks=watermarks)
+    classified = write_shared(classify_late(deduped, params, batch_col, watermarks=watermarks), "classified")
     return JobOutputs(
         parsed=parsed,
         anomalies=anomalies(parsed),
         deduped=deduped,
         classified=classified,
+        watermarks=watermarks,
         late=late_events(classified),
         metrics=metrics_excluding_late(classified, params),
     )
