@@ -125,6 +125,7 @@ def exact_quantiles(df: DataFrame, value_col: str, keys, quantiles=(0.5, 0.95, 0
     """
     keys = list(keys)
     hist = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    hist = write_shared(hist, "histogram")  # read twice below; far smaller than the rows
     # Two-level running sum: per value block (window over one row per block and key),
     # then inside each (key, block); no window partition holds a key's whole histogram.
     hist = hist.withColumn("_blk", F.floor(F.col(value_col) / F.lit(VALUE_BLOCK)))

@@ -20,15 +20,17 @@ def starting_position_options(start_from: str | None, timestamp_ms: int | None =
     ``earliest``/``latest`` map directly; ``timestamp`` with a value maps to
     ``startingTimestamp``; ``timestamp`` without a value sets nothing (the
     source default applies); anything else means ``latest``. A bounded read
-    cannot start at ``latest`` meaningfully, so batch mode maps it to nothing
-    (Spark's batch default ``earliest`` to ``latest``).
+    that starts at ``latest`` would read nothing, and Spark's own default would read the whole
+    topic: batch mode wants ``earliest`` or a timestamp and raises otherwise.
     """
     mode = (start_from or "latest").strip().lower()
+    if batch and not (mode == "earliest" or mode == "timestamp" and timestamp_ms is not None):
+        raise ValueError("a bounded read needs start_from='earliest' or 'timestamp' with timestamp_ms")
     if mode == "earliest":
         return {"startingOffsets": "earliest"}
     if mode == "timestamp":
         return {"startingTimestamp": str(int(timestamp_ms))} if timestamp_ms is not None else {}
-    return {} if batch else {"startingOffsets": "latest"}
+    return {"startingOffsets": "latest"}
 
 
 @dataclass
@@ -71,7 +73,7 @@ def kafka_reader_options(src: KafkaSource, *, batch: bool = False) -> dict:
         opts["kafka.sasl.jaas.config"] = src.sasl_jaas_config
     if src.max_offsets_per_trigger and not batch:
         opts["maxOffsetsPerTrigger"] = str(int(src.max_offsets_per_trigger))
-    opts.update({k if k.startswith("kafka.") else k: str(v) for k, v in src.extra.items()})
+    opts.update({k: str(v) for k, v in src.extra.items()})
     return opts
 
 

@@ -34,7 +34,7 @@ class MetricsStream:
     anomalies: DataFrame
     deduped: DataFrame
     metrics: DataFrame
-    output_mode: str = "update"
+    output_mode: str = "append"
 
 
 def build_metrics_stream(
@@ -42,10 +42,12 @@ def build_metrics_stream(
     params: Params = Params(),
     exact: bool = True,
     order_cols: tuple[str, ...] = ("ingest_ms",),
-    output_mode: str = "update",
+    output_mode: str = "append",
     engine: str = "bucketed",
 ) -> MetricsStream:
-    """``output_mode="append"`` uses the two-level exact distinct count (chained aggregations)."""
+    """``output_mode="append"`` (default) counts distinct users exactly in two chained aggregations: no state row
+    holds a window's users. ``"update"`` re-emits open windows; its exact count keeps all users of a window and
+    store in one state row (``collect_set``), so for busy stores choose ``exact=False`` or the staged job."""
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
     order = tuple(c for c in order_cols if c in valid.columns)

@@ -28,6 +28,10 @@ def test_starting_positions():
     assert starting_position_options("timestamp", None) == {}
     assert starting_position_options("bogus") == {"startingOffsets": "latest"}
     assert starting_position_options(None) == {"startingOffsets": "latest"}
+    assert starting_position_options("timestamp", 5, batch=True) == {"startingTimestamp": "5"}
+    for start in ("latest", None, "timestamp"):  # a bounded read without a start would read the whole topic
+        with pytest.raises(ValueError):
+            starting_position_options(start, batch=True)
 
 
 def test_reader_and_writer_options():
@@ -36,8 +40,8 @@ def test_reader_and_writer_options():
     o = kafka_reader_options(src)
     assert o["kafka.bootstrap.servers"] == "b:9092" and o["subscribe"] == "orders" and o["kafka.group.id"] == "g"
     assert o["startingOffsets"] == "earliest" and o["kafka.security.protocol"] == "SASL_SSL"
-    b = kafka_reader_options(KafkaSource("b", "t", start_from="latest", end_timestamp_ms=5), batch=True)
-    assert "startingOffsets" not in b and b["endingTimestamp"] == "5"
+    b = kafka_reader_options(KafkaSource("b", "t", start_from="earliest", end_timestamp_ms=5), batch=True)
+    assert b["startingOffsets"] == "earliest" and b["endingTimestamp"] == "5"
     w = kafka_writer_options("b", "t", linger_ms=10)
     assert w["kafka.acks"] == "all" and w["kafka.linger.ms"] == "10" and w["topic"] == "t"
     with pytest.raises(ValueError):
@@ -48,7 +52,7 @@ def test_read_kafka_without_connector_explains(spark):
     from panewise.sources.kafka import read_kafka
 
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
-        read_kafka(spark, KafkaSource("localhost:1", "orders"), batch=True)
+        read_kafka(spark, KafkaSource("localhost:1", "orders", start_from="earliest"), batch=True)
 
 
 def test_message_files_roundtrip_and_dead_letter_text(spark, tmp_path):

@@ -37,7 +37,7 @@ def test_replay_counts_out_of_order_row_and_drops_duplicate(spark, scratch):
     src = os.path.join(scratch, "in")
     _files(src, REPLAY)
     table = MetricsTable(spark, os.path.join(scratch, "t"))
-    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1))
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), output_mode="update")
     q = start_metrics_query(st, table, os.path.join(scratch, "ck"), trigger_seconds=None)
     q.processAllAvailable()
     q.stop()
@@ -61,7 +61,7 @@ def test_restart_from_checkpoint_keeps_state(spark, scratch):
     ck = os.path.join(scratch, "ck")
     _files(src, REPLAY[:3])
     for _ in range(2):  # second run: restart on the same checkpoint after more files arrive
-        st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1))
+        st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), output_mode="update")
         q = start_metrics_query(st, table, ck, trigger_seconds=None)
         q.processAllAvailable()
         q.stop()
@@ -248,6 +248,24 @@ def test_messages_with_any_event_time_never_stop_the_staged_job(spark, scratch):
     assert ("2024-01-01 00:00:00", "s") in _latest(table) and ("1970-01-01 00:00:00", "s") in _latest(table)
 
 
+def test_hot_store_in_the_default_stream_has_no_user_set(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    for i, rows in enumerate([[(f"e{k}", f"u{k % 700}", "hot", 1000 + k % 50) for k in range(1500)], [("z", "u", "s", 400_000)], [("y", "u", "s", 401_000)]]):
+        path = os.path.join(src, f"part-{i:04d}.json")
+        with open(path, "w") as f:
+            for e, u, s, off in rows:
+                f.write(json.dumps({"event_id": e, "user_id": u, "store_id": s, "amount": 1.0, "event_time": M + off}) + "\n")
+        os.utime(path, (1_000_000 + i * 10, 1_000_000 + i * 10))
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1))
+    assert "collect_set" not in st.metrics._jdf.queryExecution().logical().toString()
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    q = start_metrics_query(st, table, os.path.join(scratch, "ck"), trigger_seconds=None)
+    q.processAllAvailable()
+    q.stop()
+    assert _latest(table)[("2024-01-01 00:00:00", "hot")] == (1500, 1500.0, 700)
+
+
 def test_metrics_stream_dead_letters(spark, scratch):
     from panewise.streaming.job import start_anomaly_query
 
