@@ -7,8 +7,8 @@ edit distance of one word (one word inserted, deleted or replaced), if both line
 ``MIN_WORDS`` words. The earliest such occurrence is reported and stays.
 
 1. Equal lines become one, with their first occurrence.
-2. Lines within one edit have an equal first or second half (by the length of the shorter), so
-   lines that share no half with any other line need no variants and go no further.
+2. Lines within one edit have an equal beginning or an equal end (a power of two of words, up to
+   half of the shorter line), so lines that share neither with any other line need no variants and go no further.
 3. The rest emit their deletion neighbourhood as hashed keys: the line itself and the
    line without each of its words. Prefix hashes make that linear in the length of a line.
    Two lines that lack the same place and are equal otherwise differ by a replacement; a
@@ -30,6 +30,8 @@ from panewise.llm.common import written
 
 MIN_WORDS = 8
 NO_ID = (1 << 63) - 1
+#: Rows of 40 bytes that may be broadcast; beyond, Spark shuffles both sides.
+BROADCAST_ROWS = 1_000_000
 _BLANKS = "[ \\t\\x0B\\f\\r]+"
 
 
@@ -38,22 +40,23 @@ def words_of(line: Column) -> Column:
 
 
 def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, tag, no, words) of every line that has words; tag tells rows with one id apart."""
+    """(id, tag, no, line) of every line; tag tells rows with one id apart."""
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
     lines = rows.select("id", F.xxhash64("text").alias("tag"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return lines.select("id", "tag", (F.col("no") + 1).alias("no"), words_of(F.col("line")).alias("words")).filter(F.size("words") > 0)
+    return lines.select("id", "tag", (F.col("no") + 1).alias("no"), "line")
 
 
-def _halves(min_words: int) -> Column:
-    """Keys of the first and second half of ``words``, as a line of n words and as the longer of a pair with n - 1."""
-    own = "xxhash64('{0}', {1}, slice(words, {2}, {3}))"
-    first, second = own.format("a", "n", "1", "n div 2"), own.format("b", "n", "n div 2 + 1", "n - n div 2")
-    shorter = own.format("a", "n - 1", "1", "(n - 1) div 2"), own.format("b", "n - 1", "(n - 1) div 2 + 2", "n - 1 - (n - 1) div 2")
-    return F.expr(f"CASE WHEN n > {min_words} THEN array({first}, {second}, {shorter[0]}, {shorter[1]}) WHEN n = {min_words} THEN array({first}, {second}) ELSE cast(array() as array<bigint>) END")
+def _ends(min_words: int) -> Column:
+    """Keys of the first and of the last ``size`` words, for ``size`` the largest power of two up to half of n words,
+    and up to half of n - 1 words, as the longer of a pair: one edit leaves one of both ends alone."""
+    size = "cast(shiftleft(1, cast(floor(log2({0})) as int)) as int)"
+    key = "array(xxhash64('a', slice(words, 1, {0})), xxhash64('b', slice(words, n - {0} + 1, {0})))"
+    own, shorter = size.format("n div 2"), size.format("(n - 1) div 2")
+    return F.expr(f"CASE WHEN n < {min_words} THEN cast(array() as array<bigint>) WHEN n = {min_words} OR {own} = {shorter} THEN {key.format(own)} ELSE concat({key.format(own)}, {key.format(shorter)}) END")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Rows (key, place, n, line): the line itself at place 0, and without each word.
+    """Rows (key, place, line): the line itself at place 0, and without each word; the key covers the number of words left.
 
     ``lines`` is partitioned by ``line``, so the running hashes need no exchange. A word is hashed with its
     place (``a``), and with the place it has once a word before it is gone (``b``); XOR adds them up.
@@ -64,38 +67,42 @@ def _variants(lines: DataFrame) -> DataFrame:
     each = each.withColumn("a", F.expr("xxhash64(word, i + 1)")).withColumn("b", F.expr("xxhash64(word, i)"))
     upto = Window.partitionBy("line").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     each = each.withColumn("sum_a", F.expr("bit_xor(a)").over(upto)).withColumn("sum_b", F.expr("bit_xor(b)").over(upto))
-    less = each.select(F.expr("sum_a ^ a ^ shifted ^ sum_b").alias("key"), (F.col("i") + 1).alias("place"), (F.col("n") - 1).alias("n"), "line")
-    return less.union(rows.select("whole", F.lit(0), "n", "line"))
+    less = each.select(F.expr("xxhash64(sum_a ^ a ^ shifted ^ sum_b, n - 1)").alias("key"), (F.col("i") + 1).alias("place"), "line")
+    return less.union(rows.select(F.expr("xxhash64(whole, n)"), F.lit(0), "line"))
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per removed occurrence: (id, text_tag, line_no, first_id, first_line_no, edits)."""
-    lines = _lines(df, id_col, text_col).withColumn("n", F.size("words"))
-    keyed = lines.select("id", "tag", "no", "n", F.xxhash64("words").alias("line"), F.xxhash64(F.lit("check"), F.col("words")).alias("check"), _halves(min_words).alias("halves"))
-    occur = written(keyed, "lines")
-    distinct = written(occur.groupBy("line", "check").agg(F.min(F.struct("id", "no")).alias("first"), F.first("n").alias("n"), F.first("halves").alias("halves")), "distinct-lines")
-
-    # lines that share a half with another line
-    half = distinct.filter(F.col("n") >= min_words).select("line", F.explode("halves").alias("half"))
-    shared = half.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low <> high").select("half")
-    close = half.join(shared, "half", "left_semi").select("line").distinct()
-    place = distinct.join(close, "line").select("line", "check", "first")
-    place = written(place, "close-lines")
-
-    # their words come from one occurrence, the first
-    found = lines.filter(F.col("n") >= min_words).select("id", "no", "n", "words", F.xxhash64("words").alias("line"), F.xxhash64(F.lit("check"), F.col("words")).alias("check"))
-    found = found.join(place, ["line", "check"]).filter("first.id = id AND first.no = no").dropDuplicates(["line"]).select("line", "n", "words", "first")
+    raw = _lines(df, id_col, text_col)
+    hashed = [F.xxhash64("words").alias("line"), F.xxhash64(F.lit("check"), F.col("words")).alias("check")]
+    lines = raw.select("id", "tag", "no", words_of(F.col("line")).alias("words")).filter(F.size("words") > 0).withColumn("n", F.size("words"))
+    occur = written(lines.select("id", "tag", "no", *hashed, _ends(min_words).alias("ends")), "lines")
+    distinct = written(occur.groupBy("line", "check").agg(F.min(F.struct("id", "no")).alias("first")), "distinct-lines")
+
+    # lines that share an end with another line
+    ends = occur.select("line", F.explode("ends").alias("end"))
+    shared = ends.groupBy("end").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low <> high").select("end")
+    close = ends.join(shared, "end", "left_semi").select("line").distinct()
+    place = written(distinct.join(close, "line").select("line", F.col("first.id").alias("id"), F.col("first.no").alias("no"), "first"), "close-lines")
+
+    # their words come from one occurrence, the first; a broadcast only below a checked number of rows
+    small = place.count() <= BROADCAST_ROWS
+    found = raw.select("id", "no", F.col("line").alias("raw")).join(F.broadcast(place) if small else place, ["id", "no"])
+    found = found.withColumn("words", words_of(F.col("raw"))).filter(F.xxhash64("words") == F.col("line"))
+    found = found.dropDuplicates(["line"]).select("line", F.size("words").alias("n"), "words", "first")
     texts = written(found, "close-words")
-    rows = written(_variants(texts.select("line", "n", "words").repartition("line")), "variants").join(texts.select("line", "first"), "line")
+    variants = written(_variants(texts.select("line", "words", "n").repartition("line")), "variants")
+
+    # only keys that two lines have go on; what is left is about as many rows as there are near repeats
+    met = variants.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low <> high").select("key")
+    rows = written(variants.join(met, "key", "left_semi").join(texts.select("line", "first"), "line"), "near-variants")
 
     # replaced words: the same place is missing; inserted words: one line as it is, the other without a word
-    one = F.struct("first", "line")
-    replaced = rows.filter("place > 0").groupBy("key", "place", "n").agg(F.min(one).alias("least"), F.max("line").alias("high"), F.min("line").alias("low")).filter("low <> high").select("key", "place", "n", "least")
-    by_place = rows.filter("place > 0").join(replaced, ["key", "place", "n"]).select("line", "least")
-    whole = rows.filter("place = 0").groupBy("key", "n").agg(F.min(one).alias("least"))
-    without = rows.filter("place > 0").groupBy("key", "n").agg(F.min(one).alias("least"))
-    longer = rows.filter("place > 0").join(whole, ["key", "n"]).select("line", "least")
-    shorter = rows.filter("place = 0").join(without, ["key", "n"]).select("line", "least")
+    one = F.min(F.struct("first", "line")).alias("least")
+    gone, whole = rows.filter("place > 0"), rows.filter("place = 0")
+    by_place = gone.join(gone.groupBy("key", "place").agg(one), ["key", "place"]).select("line", "least")
+    longer = gone.join(whole.groupBy("key").agg(one), "key").select("line", "least")
+    shorter = whole.join(gone.groupBy("key").agg(one), "key").select("line", "least")
     near = by_place.union(longer).union(shorter).filter("line <> least.line").groupBy("line").agg(F.min("least").alias("least"))
 
     # verify the words, then let every line point at its earliest neighbour or itself
