@@ -30,8 +30,8 @@ from panewise.llm.common import written
 
 MIN_WORDS = 8
 NO_ID = (1 << 63) - 1
-#: Rows of 40 bytes that may be broadcast; beyond, Spark shuffles both sides.
-BROADCAST_ROWS = 1_000_000
+#: Rows of three numbers (about 100 bytes in the hash table) that may be broadcast; beyond, Spark shuffles both sides.
+BROADCAST_ROWS = 250_000
 _BLANKS = "[ \\t\\x0B\\f\\r]+"
 
 
@@ -83,13 +83,13 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ends = occur.select("line", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low <> high").select("end")
     close = ends.join(shared, "end", "left_semi").select("line").distinct()
-    place = written(distinct.join(close, "line").select("line", F.col("first.id").alias("id"), F.col("first.no").alias("no"), "first"), "close-lines")
+    place = written(distinct.join(close, "line").select("line", F.col("first.id").alias("id"), F.col("first.no").alias("no")), "close-lines")
 
     # their words come from one occurrence, the first; a broadcast only below a checked number of rows
     small = place.count() <= BROADCAST_ROWS
     found = raw.select("id", "no", F.col("line").alias("raw")).join(F.broadcast(place) if small else place, ["id", "no"])
     found = found.withColumn("words", words_of(F.col("raw"))).filter(F.xxhash64("words") == F.col("line"))
-    found = found.dropDuplicates(["line"]).select("line", F.size("words").alias("n"), "words", "first")
+    found = found.dropDuplicates(["line"]).select("line", F.size("words").alias("n"), "words", F.struct("id", "no").alias("first"))
     texts = written(found, "close-words")
     variants = written(_variants(texts.select("line", "words", "n").repartition("line")), "variants")
 
