@@ -1,7 +1,8 @@
 """Helpers shared by the operators of this package.
 
 Word hashing works on UTF-8 bytes: a word is a maximal run of bytes other than
-the six ASCII white-space characters, so no decoding is needed. Fixed-size
+the six ASCII white-space characters, so no decoding is needed; all words of a text
+are hashed by a few array operations. Fixed-size
 filters (``IdFilter``) only save shuffle volume: a false positive sends a row
 down the exact path, so results never depend on their size.
 """
@@ -23,10 +24,6 @@ from pyspark.sql import types as T
 from panewise.session import ensure_checkpoint_dir
 
 U64 = np.uint64
-#: Words a worker keeps hashed; the memory is cleared when it is full, results don't change.
-WORD_MEMORY = 400_000
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -86,23 +83,67 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(32))
 
 
-class WordHashes(dict):
-    """word bytes -> 64-bit hash, computed once per distinct word while memory lasts."""
+_STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\r\x0b\x0c")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Bytes hashed at once; a longer text is cut at blanks.
+TEXT_BLOCK = 1 << 18
+_POWERS: list[np.ndarray] = []
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the step and of its inverse modulo 2**64, at least n."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, TEXT_BLOCK)
+        _POWERS[:] = [np.concatenate(([U64(1)], np.cumprod(np.full(size - 1, x, U64)))) for x in (_STEP, pow(_STEP, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
 
-_HASHES = WordHashes()
 
+def word_hashes(text: bytes | None, lower: bool = False) -> np.ndarray:
+    """64-bit hash of every word of a text; ``lower`` folds A-Z.
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), U64, len(words))
+    A polynomial over the bytes of a word, read off running sums over the whole text, so no
+    word is ever cut out.
+    """
+    if not text:
+        return np.empty(0, U64)
+    raw = np.frombuffer(text, np.uint8)
+    if len(raw) > TEXT_BLOCK:
+        out, start = [], 0
+        while start < len(raw):
+            end = min(start + TEXT_BLOCK, len(raw))
+            if end < len(raw) and not _BLANK[raw[end]]:
+                back = np.flatnonzero(_BLANK[raw[start:end]])
+                if len(back):
+                    end = start + int(back[-1]) + 1
+                else:  # one word fills the block: up to its end
+                    ahead = np.flatnonzero(_BLANK[raw[end:]])
+                    end = end + int(ahead[0]) if len(ahead) else len(raw)
+            out.append(_block_hashes(raw[start:end], lower))
+            start = end
+        return np.concatenate(out)
+    return _block_hashes(raw, lower)
+
+
+def _block_hashes(raw: np.ndarray, lower: bool) -> np.ndarray:
+    solid = np.zeros(len(raw) + 2, np.int8)
+    solid[1:-1] = ~_BLANK[raw]
+    turns = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = turns[0::2], turns[1::2]
+    up, down = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, U64)
+    np.cumsum((_LOWER[raw] if lower else raw) * up[: len(raw)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """The distinct values in ascending order."""
+    if len(h) < 2:
+        return h
+    h = np.sort(h)
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def window_hashes(h: np.ndarray, width: int, positions: tuple[int, ...] | None = None) -> np.ndarray:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, hash_words, id_filter, map_arrow, mix, window_hashes, written
+from panewise.llm.common import U64, column_bytes, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 
 #: Fixed masks; 1 counts, 0 is ignored.
 MASKS = ("1101100101", "1110010011", "1011010110", "111111")
@@ -40,8 +40,9 @@ def words_of(text: bytes | None) -> np.ndarray:
     """Hashes of the normalised words of a text."""
     if not text:
         return np.empty(0, U64)
-    text = text.lower() if text.isascii() else text.decode().lower().encode()
-    return hash_words(text.translate(None, _PUNCTUATION).split())
+    if text.isascii():
+        return word_hashes(text.translate(None, _PUNCTUATION), lower=True)
+    return word_hashes(text.decode().lower().encode().translate(None, _PUNCTUATION))
 
 
 def seeds(h: np.ndarray, widths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:

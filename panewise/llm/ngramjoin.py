@@ -6,12 +6,13 @@ Order. Shingles are 64-bit hashes in the global order (commonness, hash). Common
 comes from a fixed-size count sketch over all documents, so passages that many
 documents share stand at the end of every prefix. A wrong estimate costs time, never a link.
 
-Prefixes. Two sets with Jaccard at least t overlap in at least ceil(t * n) of the n shingles of either, so their
-prefixes of n - ceil(t * n) + l shingles share at least l of them, for every l.
-Each document takes the l from 1 to ``MAX_MATCH`` with the least estimated candidate cost: the
-expected number of candidates, the summed frequency of the prefix divided by l, each
-weighted with the cost of a verification, plus the cost of the longer prefix.
-A pair uses the larger l of its two documents and is verified only if that many shingles meet.
+Prefixes. A pair of n and m shingles with a Jaccard of at least t overlaps in at least
+a = ceil(t / (1 + t) * (n + m)) of them, so the first n - a + l shingles of one and the first m - a + l of the
+other share at least l, for every l. Each document takes the l from 1 to ``MAX_MATCH`` of the least
+estimated cost: rows of the join, one for each document that a shingle of the prefix meets, and candidates left to
+verify. Rare shingles meet at random, so l of them leave an l-th of the candidates; common ones come in
+passages that are shared as a whole, so l thins them out only once it exceeds their number. A pair uses the smaller l of its two documents; every joined row must lie in that pair's
+prefixes, l rows must meet, and what is left behind the last one must still suffice for the overlap.
 
 Groups of copies. Within the documents of one shared shingle each is first verified against
 one pivot; components of these links stand for whole groups of near copies. Then all
@@ -26,31 +27,34 @@ Two different sets of the same 64-bit digest and size would be taken for one cla
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, hash_words, id_filter, map_arrow, mix, window_hashes, written
+from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 from panewise.llm.components import components
 
-WIDTH, PERCENT, MAX_MATCH = 5, 75, 4
-#: Cells of the count sketch; its size does not depend on the input.
-SKETCH_LOG2 = 21
+WIDTH, PERCENT, MAX_MATCH = 5, 75, 8
+#: Cells of the count sketch. Fixed, so that what is broadcast is; a larger corpus may take more.
+SKETCH_LOG2 = 23
 SLICES = 64
-#: Cost of verifying a candidate, in prefix shingles, besides its own size.
-VERIFY_COST = 8.0
+#: Cost of verifying a candidate, in rows of a prefix: so much for the pair, and so much for each shingle.
+VERIFY_PAIR, VERIFY_SHINGLE = 60.0, 0.3
+#: Other documents that a shingle the sketch takes for rare is expected to meet.
+RARE = 0.2
 
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
     """Distinct hashes of all ``width``-word shingles, ascending; a shorter text is one shingle, no word none."""
-    words = (text or b"").lower().split()  # bytes: A-Z only, ASCII white space only
-    if not words:
-        return np.empty(0, U64)
-    width = min(width, len(words))
-    return np.unique(mix(window_hashes(hash_words(words), width) + U64(width)))
+    h = word_hashes(text, lower=True)  # A-Z only; ASCII white space only
+    if not len(h):
+        return h
+    width = min(width, len(h))
+    return distinct(mix(window_hashes(h, width) + U64(width)))
 
 
 def set_digest(h: np.ndarray) -> int:
@@ -67,28 +71,34 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
     """One pass: a row (id, n, class) per document, then each task's part of the sketch as rows (slice, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_LOG2, np.uint32)
+        counts, held, size = np.zeros(1 << SKETCH_LOG2, np.uint16), [], 0
+
+        def count() -> None:
+            at, n = np.unique(np.concatenate(held), return_counts=True)
+            counts[at] = np.minimum(counts[at] + n, 65535)  # a task's part saturates; sums do not
+            held.clear()
+
         for batch in batches:
             n, cls = [], []
             for text in column_bytes(batch.column(1)):
                 h = shingles(text, width)
                 n.append(len(h))
                 cls.append(set_digest(h) if len(h) else None)
-                np.add.at(counts, cells(h), 1)
+                if len(h):
+                    held.append(cells(h))
+                    size += len(h)
+                    if size > 1_000_000:
+                        count()
+                        size = 0
             none = pa.nulls(len(n))
-            yield pa.record_batch({"id": batch.column(0), "n": pa.array(n, pa.int64()), "class": pa.array(cls, pa.int64()), "slice": none.cast(pa.int32()), "at": none.cast(pa.binary()), "counts": none.cast(pa.binary())})
-        width_ = len(counts) // SLICES
-        rows = []
-        for i in range(SLICES):
-            part = counts[i * width_ : (i + 1) * width_]
-            at = np.flatnonzero(part)
-            if len(at):
-                few = len(at) < width_ // 2  # positions and counts, or all counts in place
-                rows.append((i, at.astype("<u4").tobytes() if few else None, np.minimum(part[at] if few else part, 65535).astype("<u2").tobytes()))
+            yield pa.record_batch({"id": batch.column(0), "n": pa.array(n, pa.int64()), "class": pa.array(cls, pa.int64()), "slice": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
+        if held:
+            count()
+        rows = [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(counts.reshape(SLICES, -1)) if part.any()]
         none = pa.nulls(len(rows), pa.int64())
-        yield pa.record_batch({"id": none, "n": none, "class": none, "slice": pa.array([r[0] for r in rows], pa.int32()), "at": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
+        yield pa.record_batch({"id": none, "n": none, "class": none, "slice": pa.array([r[0] for r in rows], pa.int32()), "counts": pa.array([r[1] for r in rows], pa.binary())})
 
-    return map_arrow(docs, run, "id long, n long, class long, slice int, at binary, counts binary")
+    return map_arrow(docs, run, "id long, n long, class long, slice int, counts binary")
 
 
 def _sketch(survey: DataFrame) -> np.ndarray:
@@ -98,47 +108,89 @@ def _sketch(survey: DataFrame) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for i, at, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = total.setdefault(i, np.zeros(width, np.float32))
-                own[slice(None) if at is None else np.frombuffer(at, "<u4")] += np.frombuffer(counts, "<u2")
-        yield pa.record_batch({"slice": pa.array(list(total), pa.int32()), "counts": pa.array([x.tobytes() for x in total.values()], pa.binary())})
+                own += np.frombuffer(zlib.decompress(raw.as_buffer()), np.uint16)
+        yield pa.record_batch({"slice": pa.array(list(total), pa.int32()), "counts": pa.array([_packed(x) for x in total.values()], pa.binary())})
 
-    parts = survey.filter("slice IS NOT NULL").select("slice", "at", "counts")
+    parts = survey.filter("slice IS NOT NULL").select("slice", "counts")
     rows = map_arrow(parts.repartition(SLICES // 4, "slice"), add, "slice int, counts binary").collect()
     out = np.zeros((SLICES, width), np.float32)
     for r in rows:
-        out[r["slice"]] = np.frombuffer(r["counts"], np.float32)
+        out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.float16)
     return out.ravel()
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts for the driver: half precision is plenty for an order."""
+    return zlib.compress(np.minimum(counts, 60_000).astype(np.float16).tobytes(), 1)
+
+
 class Prefixes:
     """The order, the prefix and the number of matches of each document."""
 
     def __init__(self, sketch: np.ndarray, percent: int):
-        load = float(sketch.mean()) + 1.0
-        excess = np.maximum(sketch - 2 * load, 0.0)
-        self.level = np.minimum(np.log2(1.0 + excess / load), 30).astype(np.uint8)
-        self.excess = np.minimum(excess, 3e4).astype(np.float16)
+        load = float(sketch.mean(dtype=np.float64))
+        noise = load + 3 * math.sqrt(load) + 3  # what other shingles of its cell may add to a rare one
+        excess = np.where(sketch > noise, sketch - load, 0.0)
+        self.level = np.minimum(np.ceil(np.log2(1.0 + excess)), 30).astype(np.uint8)  # 0: rare
         self.percent = percent
 
-    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Prefix shingles in order, the smallest l whose prefix has each, and the document's own l."""
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, int]:
+        """The longest prefix any pair may ask for, in order, and the document's l."""
         n = len(h)
         least = -(-self.percent * n // 100)
+        level = self.level[cells(h)]
         most = min(MAX_MATCH, least)
-        base = n - least + 1
-        cell = cells(h)
-        level = self.level[cell]
-        size = min(n, base + most - 1)
-        order = np.lexsort((h, level))[:size] if level.any() else np.arange(size)  # h ascends already
-        step = np.maximum(np.arange(size) - base + 2, 1)
-        freq = np.cumsum(self.excess[cell[order]].astype(float) + 0.01)
-        cost = [freq[base + m - 2] / m * (VERIFY_COST + math.sqrt(n)) + m for m in range(1, most + 1)]
-        return h[order], step.astype(np.int32), 1 + int(np.argmin(cost))
+        size = n - least + most
+        hot = level.any()
+        order = np.lexsort((h, level))[:size] if hot else np.arange(size)  # h ascends already
+        need = 1
+        if hot:
+            base = n - least
+            seen = np.exp2(level[order].astype(float))
+        else:
+            base, seen = n - least, np.ones(size)
+        rare = seen == 1
+        rows = np.cumsum(np.where(rare, RARE, seen))  # documents that the prefix meets, one row of the join each
+        n_rare = np.cumsum(rare)
+        last, best = base + np.arange(1, most + 1) - 1, math.inf
+        for m, at in enumerate(last.tolist(), 1):
+            common = seen[at] if at + 1 - n_rare[at] >= m else 0.0  # a passage is shared as a whole: m of its shingles filter nothing
+            cost = m + rows[at] + (VERIFY_PAIR + VERIFY_SHINGLE * n) * (RARE * n_rare[at] / m + common)
+            if cost < best:
+                need, best = m, cost
+        return h[order[: n - least + need]], need
+
+
+def overlap_needed(n: Column, m: Column, percent: int) -> Column:
+    """Shingles a pair of n and m must share."""
+    return F.ceil((n + m) * percent / F.lit(100 + percent)).cast("int")
+
+
+def _in_prefixes(x: str, y: str, percent: int) -> Column:
+    """Whether a shared shingle lies in the prefixes of its pair: places count from 0."""
+    least = overlap_needed(F.col(f"{x}n"), F.col(f"{y}n"), percent)
+    need = F.least(f"{x}need", f"{y}need")
+    return (F.col(f"{x}place") < F.col(f"{x}n") - least + need) & (F.col(f"{y}place") < F.col(f"{y}n") - least + need)
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, met) of joined rows (x_..., y_...): pairs that share l shingles and have enough left behind the last of them."""
+    rows = rows.filter(F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent).filter(_in_prefixes("x_", "y_", percent))
+    first = F.col("x_class") < F.col("y_class")
+    side = {c: (F.when(first, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")), F.when(first, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}"))) for c in ("class", "n", "place")}
+    met = rows.groupBy(side["class"][0].alias("a"), side["class"][1].alias("b")).agg(
+        F.count("*").alias("met"), F.first(F.least("x_need", "y_need")).alias("need"),
+        F.first(side["n"][0]).alias("n"), F.first(side["n"][1]).alias("m"), F.max(side["place"][0]).alias("i"), F.max(side["place"][1]).alias("j"),
+    )
+    least = overlap_needed(F.col("n"), F.col("m"), percent)
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1
+    return met.filter((F.col("met") >= F.least("need", least)) & (F.col("met") + left >= least)).select("a", "b", "met")
 
 
 def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=None) -> DataFrame:
-    """Rows (token, class, n, step, need) of the documents that ``representatives`` lets through."""
+    """Rows (token, class, n, place, need) of the documents that ``representatives`` lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes, reps = shared.value, representatives.value
@@ -155,11 +207,12 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
                 h = shingles(text, width)
                 if not len(h):
                     continue
-                token, step, need = prefixes.of(h)
+                token, need = prefixes.of(h)
+                place = np.arange(len(token), dtype=np.int32)
                 if wanted is not None:
                     hit = wanted.has(token.view(np.int64))
-                    token, step = token[hit], step[hit]
-                rows.append((token, np.full(len(token), set_digest(h), np.int64), np.full(len(token), len(h), np.int32), step, np.full(len(token), need, np.int32)))
+                    token, place = token[hit], place[hit]
+                rows.append((token, np.full(len(token), set_digest(h), np.int64), np.full(len(token), len(h), np.int32), place, np.full(len(token), need, np.int32)))
                 held += len(token)
                 if held > 200_000:
                     yield _rows(rows)
@@ -167,10 +220,10 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
             yield _rows(rows)
 
     def _rows(rows) -> pa.RecordBatch:
-        token, cls, n, step, need = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind) for i, kind in enumerate((U64, np.int64, np.int32, np.int32, np.int32)))
-        return pa.record_batch({"token": pa.array(token.view(np.int64)), "class": pa.array(cls), "n": pa.array(n), "step": pa.array(step), "need": pa.array(need)})
+        token, cls, n, place, need = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind) for i, kind in enumerate((U64, np.int64, np.int32, np.int32, np.int32)))
+        return pa.record_batch({"token": pa.array(token.view(np.int64)), "class": pa.array(cls), "n": pa.array(n), "place": pa.array(place), "need": pa.array(need)})
 
-    return map_arrow(docs, run, "token long, class long, n int, step int, need int")
+    return map_arrow(docs, run, "token long, class long, n int, place int, need int")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -227,10 +280,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = written(_prefix_rows(docs, width, shared, reps, tokens).distinct(), "prefixes")
 
     # 1. every document against the pivot it shares most shingles with
-    pivots = rows.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("top")).filter("pivot <> top").drop("top")
-    star = rows.join(pivots, "token").filter("class <> pivot").groupBy("class", "pivot").agg(F.count("*").alias("k"))
-    star = star.groupBy("class").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
-    first = written(verified(star.select(F.col("pivot").alias("a"), F.col("class").alias("b")), docs, classes, width, percent), "links")
+    fields = ("class", "n", "place", "need")
+    one = F.struct(*fields)
+    pivots = rows.groupBy("token").agg(F.min(one).alias("p"), F.max("class").alias("top")).filter("p.class <> top")
+    pivots = pivots.select("token", *[F.col(f"p.{c}").alias(f"y_{c}") for c in fields])
+    star = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in fields]).join(pivots, "token").filter("x_class <> y_class")
+    star = _candidates(star, percent)  # b is never the pivot of its row: a pivot is the smallest class
+    star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b")
+    first = written(verified(star, docs, classes, width, percent), "links")
     labels = written(components(first), "labels")
 
     # 2. all pairs that could still join two components
@@ -238,21 +295,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sizes = known.groupBy("token", "component").agg(F.count("*").alias("k"))
     largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
     known = written(known.join(largest, "token"), "known")
-    x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "step", "need", "component")])
-    y = known.select("token", "largest", *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "step", "need", "component")])
-    need = F.greatest("x_need", "y_need")
-    need = F.least(need, *[F.ceil(F.col(f"{s}_n") * percent / 100).cast("int") for s in "xy"])
-    pairs = (
-        x.join(y, "token")
-        .filter("x_component <> y_component AND (y_component = largest OR x_class < y_class)")
-        .filter(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
-        .withColumn("need", need)
-        .filter("x_step <= need AND y_step <= need")
-        .groupBy(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b"))
-        .agg(F.count("*").alias("met"), F.max("need").alias("need"))
-        .filter("met >= need")
-        .select("a", "b")
-    )
+    x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in (*fields, "component")])
+    y = known.select("token", "largest", *[F.col(c).alias(f"y_{c}") for c in (*fields, "component")])
+    pairs = x.join(y, "token").filter("x_component <> y_component AND (y_component = largest OR x_class < y_class)")
+    pairs = _candidates(pairs, percent).select("a", "b")
     links = first.union(written(verified(pairs, docs, classes, width, percent), "links"))
     same = prints.filter("class IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("a", "b")
     linked = components(links.union(same))

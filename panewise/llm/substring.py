@@ -33,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, hash_words, id_filter, map_arrow, window_hashes, written
+from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, window_hashes, word_hashes, written
 
 WINDOW, ANCHOR = 13, 4
+#: Low bits of an anchor's hash that hold its place while the smallest is sought.
+PLACE = U64((1 << 20) - 1)
 #: Words of one FM-index.
 SHARD_WORDS = 400_000
 
@@ -185,16 +187,16 @@ def anchors(h: np.ndarray, width: int = WINDOW, anchor: int = ANCHOR) -> tuple[n
     if n <= 0:
         none = np.empty(0, np.int64)
         return np.empty(0, U64), none, none
-    span = width - anchor + 1
-    best, place = grams[:n].copy(), np.arange(n)
-    for j in range(1, span):
-        other = grams[j : j + n]
-        less = other < best
-        best[less] = other[less]
-        place[less] = np.flatnonzero(less) + j
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    # the low bits of a hash give way to the place, so that one minimum finds both; the leftmost of equals wins
+    tagged = (grams & ~PLACE) | (np.arange(len(grams), dtype=U64) & PLACE)
+    span, reach, low = width - anchor + 1, 1, tagged
+    while 2 * reach <= span:
+        low = np.minimum(low[:-reach], low[reach:])
+        reach *= 2
+    low = np.minimum(low[:n], low[span - reach : span - reach + n])
+    first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
     last = np.append(first[1:], n) - 1
-    return best[first], first, last
+    return low[first] & ~PLACE, first, last
 
 
 NO_ID = np.iinfo(np.int64).max
@@ -227,11 +229,11 @@ def _segments(docs: DataFrame, first_of_class, width: int, wanted=None) -> DataF
             for keep, one, tag, text in zip(ok, ids.to_pylist(), batch.column(2).to_pylist(), column_bytes(batch.column(1)), strict=True):
                 if not keep or not text:
                     continue
-                h = hash_words(text.split())
+                h = word_hashes(text)
                 anchor, first, last = anchors(h, width)
                 if wanted is None:
                     if len(anchor):
-                        out.append((np.unique(anchor), one))
+                        out.append((distinct(anchor), one))
                         held += len(anchor)
                 else:
                     hit = np.flatnonzero(wanted.value.has(anchor.view(np.int64)))

@@ -136,22 +136,43 @@ def test_jaccard_threshold_is_exact(frame):
 
 
 def test_prefixes_meet_often_enough():
-    """Every pair that links shares at least l prefix shingles for every l it may be asked for."""
+    """Every pair that links shares at least l shingles in the prefixes its sizes ask for."""
     rng = np.random.default_rng(3)
-    sketch = np.zeros(1 << ngramjoin.SKETCH_LOG2, np.float32)
+    sketch = rng.poisson(3, 1 << ngramjoin.SKETCH_LOG2).astype(np.float32)
     common = rng.integers(0, 2**63, 30).astype(np.uint64) * np.uint64(2)
     sketch[ngramjoin.cells(common)] = 5000
-    prefixes = ngramjoin.Prefixes(sketch, 75)
-    for _ in range(300):
-        n = int(rng.integers(1, 80))
+    prefixes, longer = ngramjoin.Prefixes(sketch, 75), 0
+    for _ in range(400):
+        n = int(rng.integers(1, rng.choice([6, 120])))
         x = np.unique(np.concatenate((rng.integers(0, 2**63, n).astype(np.uint64), common[: rng.integers(0, 30)])))
-        y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.9], rng.integers(0, 2**63, int(n * 0.08)).astype(np.uint64))))
+        y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.95], rng.integers(0, 2**63, int(n * 0.06)).astype(np.uint64))))
         both = len(np.intersect1d(x, y))
         if not len(y) or 100 * both < 75 * (len(x) + len(y) - both):
             continue
-        (a, sa, la), (b, sb, lb) = prefixes.of(x), prefixes.of(y)
-        need = min(max(la, lb), -(-75 * len(x) // 100), -(-75 * len(y) // 100))
-        assert len(np.intersect1d(a[sa <= need], b[sb <= need])) >= need
+        (a, la), (b, lb) = prefixes.of(x), prefixes.of(y)
+        least, need = -(-75 * (len(x) + len(y)) // 175), min(la, lb)
+        longer += need > 1
+        need = min(need, least)
+        shared = np.intersect1d(a[: len(x) - least + need], b[: len(y) - least + need])
+        assert len(shared) >= need
+        i, j = max(np.flatnonzero(np.isin(a, shared))), max(np.flatnonzero(np.isin(b, shared)))
+        assert len(shared) + min(len(x) - i, len(y) - j) - 1 >= least
+    assert longer > 20
+
+
+def test_word_hashes():
+    from panewise.llm import common
+
+    words = ["a", "b", "ab", "ba", "aa", "aaa", "Ünï", "é", "x" * 5000, "A"]
+    text = " \t".join(words * 3).encode()
+    h = common.word_hashes(text)
+    assert len(h) == 30 and len(np.unique(h)) == len(words) and (h[:10] == h[10:20]).all()
+    assert len(np.unique(common.word_hashes(text, lower=True))) == len(words) - 1
+    long = (" ".join(f"w{i % 977}" for i in range(120_000)) + "\n" + "z" * 600_000 + " end").encode()
+    whole = common.word_hashes(long)
+    alone = {w: common.word_hashes(w)[0] for w in set(long.split())}
+    assert (whole == np.array([alone[w] for w in long.split()])).all()
+    assert len(common.word_hashes(b" \n ")) == 0 == len(common.word_hashes(None))
 
 
 def test_jaccard_empty(frame):
