@@ -17,7 +17,9 @@ ids stay separate documents, in no fixed order among themselves; null ids come f
 from __future__ import annotations
 
 import os
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,9 @@ from panewise.llm.common import map_arrow
 #: Most ids of a block; one document longer than that makes a block of its own.
 BLOCK_IDS = 1 << 20
 #: Words a worker remembers; cleared when full.
-WORD_MEMORY = 300_000
+WORD_MEMORY = 900_000
 SAMPLE = 64
+_PUNCTUATION = string.punctuation.encode()
 
 
 class EliasFano:
@@ -94,6 +97,18 @@ class EliasFano:
         return (ones - np.arange(self.n)) << self.low_bits | low
 
 
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
+
+
+def encoder(definition: str, ordinary_specials: bool) -> WordEncoder:
+    """The worker's encoder for a tokenizer file; it lives on from task to task, and so does its memory."""
+    key = (definition, ordinary_specials)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = WordEncoder(definition, ordinary_specials)
+    return _ENCODERS[key]
+
+
 class WordEncoder:
     """Ids of a text by a tokenizers file, remembering the ids of each white-space separated word.
 
@@ -111,23 +126,40 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = ordinary_specials
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.by_word = self._ids(["a b", "  a\tb\r\n\x0b\x0c"]) == [b"".join(self._ids(["a", "b"]))] * 2
+        # a vocabulary without capitals folds them itself; folding them first makes fewer words
+        self.folds = self.by_word and ordinary_specials and self._ids([string.ascii_uppercase, "It'S", "A1b"]) == self._ids([string.ascii_lowercase, "it's", "a1b"])
+        # one that always parts letters from punctuation: a word's tail is a word of its own
+        tails = [*string.punctuation, "...", "!?", "***", "')", '."']
+        self.parts_tails = self.by_word and self._ids([f"ab{t}" for t in tails]) == [a + b for a, b in zip(self._ids(["ab"] * len(tails)), self._ids(tails), strict=True)]
         self.memory: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._ids([t.decode() for t in texts])
-        split = [t.split() for t in texts]  # bytes: ASCII white space only
+        split = [(t.lower() if self.folds else t).split() for t in texts]  # bytes: ASCII letters and white space only
         memory = self.memory
         missing = list({w for words in split for w in words if w not in memory})
         if len(memory) + len(missing) > WORD_MEMORY:
             memory.clear()
             missing = list({w for words in split for w in words})
+        tailed = []
+        if self.parts_tails:
+            for w in missing:
+                stem = w.rstrip(_PUNCTUATION)
+                if stem and len(stem) < len(w) and stem[-1:].isalpha():  # an ASCII letter
+                    tailed.append((w, stem, w[len(stem) :]))
+            whole = {w for w, _, _ in tailed}
+            new = {p for _, *parts in tailed for p in parts if p not in memory}
+            missing = list(new.union(w for w in missing if w not in whole))
         for start in range(0, len(missing), 20_000):
             part = missing[start : start + 20_000]
             memory.update(zip(part, self._ids([w.decode() for w in part]), strict=True))
+        for w, stem, tail in tailed:
+            memory[w] = memory[stem] + memory[tail]
         return [b"".join(map(memory.__getitem__, words)) for words in split]
 
 
@@ -141,17 +173,17 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: st
     shared = df.sparkSession.sparkContext.broadcast(definition)  # a vocabulary file; it does not grow with the data
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(shared.value, ordinary_specials)
+        coder = encoder(shared.value, ordinary_specials)
         end = np.array([end_id], coder.dtype).tobytes()
         part, no = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         runs: list[bytes] = []
-        held = 0
+        held = before = 0
 
         def block() -> pa.RecordBatch:
             ends = np.cumsum([len(r) // coder.dtype.itemsize for r in runs])
             ef = EliasFano.build(ends)
-            return pa.record_batch({"part": pa.array([part], pa.int32()), "block": pa.array([no], pa.int64()), "n_docs": pa.array([len(runs)], pa.int64()), "n_ids": pa.array([int(ends[-1])], pa.int64()), "width": pa.array([coder.dtype.itemsize], pa.int32()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "low_bits": pa.array([ef.low_bits], pa.int32()), "low": pa.array([ef.low.tobytes()], pa.binary()), "high": pa.array([ef.high.tobytes()], pa.binary()), "samples": pa.array([ef.samples.tobytes()], pa.binary()), "ids": pa.array([b"".join(runs)], pa.binary())})
+            return pa.record_batch({"part": pa.array([part], pa.int32()), "block": pa.array([no], pa.int64()), "n_docs": pa.array([len(runs)], pa.int64()), "n_ids": pa.array([int(ends[-1])], pa.int64()), "in_part": pa.array([before], pa.int64()), "width": pa.array([coder.dtype.itemsize], pa.int32()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "low_bits": pa.array([ef.low_bits], pa.int32()), "low": pa.array([ef.low.tobytes()], pa.binary()), "high": pa.array([ef.high.tobytes()], pa.binary()), "samples": pa.array([ef.samples.tobytes()], pa.binary()), "ids": pa.array([b"".join(runs)], pa.binary())})
 
         for batch in batches:
             for start in range(0, batch.num_rows, 300):
@@ -161,7 +193,7 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: st
                     size = len(run) // coder.dtype.itemsize + 1
                     if runs and held + size > block_ids:
                         yield block()
-                        no, held = no + 1, 0
+                        no, held, before = no + 1, 0, before + held
                         ids, runs = [], []
                     ids.append(one)
                     runs.append(run + end)
@@ -174,19 +206,17 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: st
     map_arrow(rows, blocks, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
-BLOCK_SCHEMA = "part int, block long, n_docs long, n_ids long, width int, doc_ids array<bigint>, low_bits int, low binary, high binary, samples binary, ids binary"
+BLOCK_SCHEMA = "part int, block long, n_docs long, n_ids long, in_part long, width int, doc_ids array<bigint>, low_bits int, low binary, high binary, samples binary, ids binary"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The blocks of ``path`` with ``first``, the number of ids before each block."""
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    sizes = blocks.select("part", "block", "n_ids")
-    # parts are written partitions: their totals are few, one row per output task
-    totals = sizes.groupBy("part").agg(F.sum("n_ids").alias("n_part"))
-    before = totals.withColumn("part_first", F.coalesce(F.sum("n_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_part")
-    w = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("in_part", F.coalesce(F.sum("n_ids").over(w), F.lit(0))).join(before, "part").select("part", "block", (F.col("in_part") + F.col("part_first")).alias("first"))
-    return blocks.join(starts, ["part", "block"])
+    # one row per written partition, so this side stays a few MB even with 100,000 of them
+    totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n_part"))
+    before = F.coalesce(F.sum("n_part").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = totals.select("part", before.alias("part_first"))
+    return blocks.join(F.broadcast(parts), "part").withColumn("first", F.col("in_part") + F.col("part_first"))
 
 
 def documents(blocks: DataFrame) -> DataFrame:
