@@ -26,7 +26,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, deque
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -149,36 +150,92 @@ def _close(stack: list[Node], tags: tuple[str, ...]) -> None:
             return
 
 
-def skeleton(node: Node) -> str:
-    """The tree without texts: ``tag(role)[children]``, inline elements left out, repeated brothers once."""
-    parts: list[str] = []
+class Slot:
+    """A node of a skeleton: ``label`` and child slots, found by their label."""
 
-    def walk(children) -> None:
-        for c in children:
-            if isinstance(c, str):
-                continue
-            if c.tag in INLINE and not c.role:
-                walk(c.children)
-                continue
-            if c.tag in VOID:
-                continue
-            one = skeleton(c) if c.role != "-" else f"{c.tag}-[]"
-            if not parts or parts[-1] != one:
-                parts.append(one)
-
-    walk(node.children)
-    return f"{node.tag}{node.role}[{' '.join(_merged(parts))}]"
-
-
-def _merged(parts: list[str]) -> list[str]:
-    """Brothers in a row with the same tag and role become one with the children of the richest."""
-    out: list[str] = []
-    for p in parts:
-        if out and out[-1].partition("[")[0] == p.partition("[")[0]:
-            out[-1] = max(out[-1], p, key=lambda x: (len(x), x))
+    __slots__ = ("label", "children", "at", "path")
+
+    def __init__(self, label: str):
+        self.label, self.children, self.at, self.path = label, [], {}, ""
+
+    def fit(self, labels: list[str]) -> list["Slot"]:
+        """A child slot for each label, in order; where none is left, one is put in, so the child slots of brothers unite."""
+        k, spots = -1, []
+        for one in labels:
+            at = self.at.get(one, ())
+            i = bisect_right(at, k)
+            if i == len(at):
+                break
+            k = at[i]
+            spots.append(self.children[k])
         else:
-            out.append(p)
-    return out
+            return spots
+        k, out, united = 0, [], []
+        for one in labels:
+            at = self.at.get(one, ())
+            i = bisect_left(at, k)
+            if i < len(at):
+                united += self.children[k : at[i] + 1]
+                k = at[i] + 1
+            else:
+                united.append(Slot(one))
+            out.append(united[-1])
+        self.children = united + self.children[k:]
+        self.at = {}
+        for i, c in enumerate(self.children):
+            self.at.setdefault(c.label, []).append(i)
+        return out
+
+
+def elements(node: Node) -> Iterator[Node]:
+    """Child elements, through inline ones."""
+    for c in node.children:
+        if isinstance(c, str) or c.tag in VOID:
+            continue
+        if c.tag in INLINE and not c.role:
+            yield from elements(c)
+        else:
+            yield c
+
+
+def layout(root: Node) -> tuple[str, dict[int, str]]:
+    """The tree without texts, ``tag(role)[children]``, and the path in it of each element (by ``id``).
+
+    Inline elements are left out. Brothers in a row with the same tag and role are one node; its children
+    unite theirs, so that the children of each brother have places in order.
+    """
+    top = Slot(_label(root))
+    place, todo = {id(root): top}, deque([root])
+    while todo:
+        node = todo.popleft()
+        runs: list[tuple[str, list[Node]]] = []
+        for c in elements(node):
+            label = _label(c)
+            if not runs or runs[-1][0] != label:
+                runs.append((label, []))
+            runs[-1][1].append(c)
+        for (_, brothers), slot in zip(runs, place[id(node)].fit([label for label, _ in runs]), strict=True):
+            for c in brothers:
+                place[id(c)] = slot
+                if c.role != "-":
+                    todo.append(c)
+
+    def write(slot: Slot) -> str:
+        for i, c in enumerate(slot.children):
+            c.path = f"{slot.path}/{i}"
+        return f"{slot.label}[{' '.join([write(c) for c in slot.children])}]"
+
+    text = write(top)
+    return text, {k: slot.path for k, slot in place.items()}
+
+
+def _label(node: Node) -> str:
+    tag = node.tag
+    return (tag.replace("[", "(").replace("]", ")") if "[" in tag or "]" in tag else tag) + node.role
+
+
+def skeleton(node: Node) -> str:
+    return layout(node)[0]
 
 
 @lru_cache(5_000)
@@ -241,50 +298,29 @@ def slots(page: str, reference: str) -> dict[str, str]:
     return out
 
 
-def blocks(root: Node) -> list[tuple[str, str]]:
+def blocks(root: Node, place: dict[int, str]) -> list[tuple[str, str]]:
     """(path, text) of the content blocks in page order; the path is that of the block's node in the skeleton."""
-    articles: list[tuple[Node, str, tuple]] = []
-    body: list[tuple[Node, str, tuple]] = []
+    articles: list[Node] = []
+    body: list[Node] = []
 
-    def find(node: Node, path: str, tree: tuple) -> None:
-        for child, p, t in _placed(node, path, tree):
+    def find(node: Node) -> None:
+        for child in elements(node):
             if child.role == "+":
-                articles.append((child, p, t))
+                articles.append(child)
             elif child.role != "-":
                 if child.tag == "body":
-                    body.append((child, p, t))
-                find(child, p, t)
+                    body.append(child)
+                find(child)
 
-    tree = read_skeleton(skeleton(root))
-    find(root, "", tree)
+    find(root)
     out: list[tuple[str, str]] = []
-    for node, path, t in articles or body or [(root, "", tree)]:
-        _collect(node, path, t, out, bool(articles))
+    for node in articles or body or [root]:
+        _collect(node, place, out, bool(articles))
     return out
 
 
-def _placed(node: Node, path: str, tree: tuple) -> Iterator[tuple[Node, str, tuple]]:
-    """Child elements of a node (through inline ones) with their place in the skeleton."""
-    k = -1
-
-    def walk(children):
-        nonlocal k
-        for c in children:
-            if isinstance(c, str) or c.tag in VOID:
-                continue
-            if c.tag in INLINE and not c.role:
-                yield from walk(c.children)
-                continue
-            label = f"{c.tag}{c.role}"
-            if k < 0 or tree[1][k][0] != label:
-                k += 1
-            yield c, f"{path}/{k}", tree[1][k]
-
-    yield from walk(node.children)
-
-
-def _collect(node: Node, path: str, tree: tuple, out: list[tuple[str, str]], in_article: bool) -> None:
-    place = {id(c): (p, t) for c, p, t in _placed(node, path, tree)}
+def _collect(node: Node, place: dict[int, str], out: list[tuple[str, str]], in_article: bool) -> None:
+    path = place[id(node)]
     run: list[str] = []
 
     def flush(at: str) -> None:
@@ -306,7 +342,7 @@ def _collect(node: Node, path: str, tree: tuple, out: list[tuple[str, str]], in_
                 walk(c)
             else:
                 flush(path)
-                _collect(c, *place[id(c)], out, in_article)
+                _collect(c, place, out, in_article)
 
     walk(node)
     flush(path)
@@ -321,9 +357,10 @@ def keyed_blocks(html: str | None, reference: str | None) -> tuple[list[str], li
     if not html:
         return [], []
     root = parse(html)
-    found = blocks(root)
-    place = slots(skeleton(root), reference) if reference else {}
-    return [t for _, t in found], [key_of(place.get(p, f"own {p}"), t) for p, t in found]
+    shape, place = layout(root)
+    found = blocks(root, place)
+    slot = slots(shape, reference) if reference else {}
+    return [t for _, t in found], [key_of(slot.get(p, f"own {p}"), t) for p, t in found]
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -150,3 +150,33 @@ def test_tree_matching():
     assert size == 4 and pairs == ((1, 0), (2, 2))  # r, b with d, and e
     assert html.slots("r[a[] b[c[] d[]] e[]]", "r[b[d[]] x[] e[]]") == {"": "", "/1": "/0", "/1/1": "/0/0", "/2": "/2"}
     assert html.tree_match(a, html.read_skeleton("q[]"))[0] == 0
+
+
+def plain_walk(page):
+    return " ".join(re.sub(r"<[^>]*>", " ", page).split())
+
+
+def test_unlike_brothers_keep_their_texts():
+    by_hand = "<article><div><p>a</p><ul><li>x</li></ul></div><div><table><tbody><tr><td>y</td></tr></tbody></table></div></article>"
+    assert html.keyed_blocks(by_hand, None)[0] == ["a", "x", "y"]
+    rng, n = random.Random(5), 0
+
+    def some(depth):
+        nonlocal n
+        n += 1
+        kind = rng.choice(["p", "h2", "div", "section", "ul", "table", "blockquote"]) if depth else "p"
+        if kind in ("p", "h2"):
+            return f"<{kind}>w{n}</{kind}>"
+        inside = lambda: "".join(some(depth - 1) for _ in range(rng.randrange(4)))
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{inside()}</li>" for _ in range(3)) + "</ul>"
+        if kind == "table":
+            cells = lambda: "".join(f"<{c}>{inside()}</{c}>" for c in rng.choice([("th", "td"), ("td",), ("td", "th", "td")]))
+            return "<table>" + "".join(f"<tr>{cells()}</tr>" for _ in range(3)) + "</table>"
+        return f"<{kind}>{inside()}</{kind}><{kind}>{inside()}</{kind}>"
+
+    for _ in range(200):
+        page = f"<html><body><div>{some(4)}{some(4)}</div><div><article>{some(4)}{some(3)}{some(4)}</article></div></body></html>"
+        article = page[page.index("<article>") :]
+        assert " ".join(html.keyed_blocks(page, html.skeleton(html.parse(by_hand)))[0]) == plain_walk(article)
+    assert html.keyed_blocks("<body><x[y]>t</x[y]></body>", "#[body[]]")[0] == ["t"]
