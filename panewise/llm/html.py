@@ -13,7 +13,9 @@ vary are content.
 
 Content is read from the article (or main) elements, else from the body, without
 elements of other roles: menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles, told by tag, role, class and id, since such parts may vary from page to page too.
+comments, scripts and styles, told by tag, role, whole class or id, since such parts may vary from page to page too.
+A class, an id or a form never hides the page's main element, nor its articles if none stands elsewhere and they
+hold more text than the rest of the page.
 A page of which more than ``MOST_TEMPLATE`` of the text would be template keeps all of it, so that
 copies and near copies of one page on a host stay whole.
 
@@ -50,18 +52,21 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 SAME_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tbody", "thead"), "tbody": ("tbody", "thead", "tr", "td", "th")}
 SCOPES = frozenset("ul ol dl table select article section div body".split())
 # Parts of a page that are not its article.
-DROP_TAGS = frozenset("head script style noscript template iframe object svg canvas nav footer aside form button select textarea dialog menu input".split())
+DROP_TAGS = frozenset("head script style noscript template iframe object svg canvas nav footer aside button select textarea dialog menu input".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 DROP_WORDS = frozenset("ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted promotion recommended related replies share sharing sidebar site-header skip social sponsor sponsored subscribe toolbar widget".split())
+# Known compounds, with hyphens; of other compounds no part counts (has-sidebar, ad-free, social-science).
+DROP_COMPOUNDS = frozenset("ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper banner-ad comment-body comment-form comment-list comments-area comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice cookie-popup disqus-thread left-sidebar main-menu main-nav main-navigation nav-bar nav-menu newsletter-form newsletter-signup page-footer page-navigation post-navigation post-pagination related-articles related-links related-posts right-sidebar share-bar share-buttons share-links sidebar-left sidebar-right site-footer site-nav site-navigation skip-link skip-to-content social-icons social-links social-media social-share top-nav".split())
+DROP_ARTICLES = frozenset("ad advert comment comment-body comments related related-article related-post".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORD = re.compile(r"[a-z]+(?:-header)?")
+_NUMBER = re.compile(r"-?[0-9]+$")
 
 
 @lru_cache(20_000)
 def role(tag: str, attributes: str) -> str:
-    """'-' for a part that is not content, '+' for an article, '' else."""
+    """'-' for a part that is not content, '~' for one by name only (see ``parse``), '*' for the main element, '+' for an article, '' else."""
     words: set[str] = set()
     for name, *values in _ATTRIBUTE.findall(attributes):
         value, name = "".join(values).lower(), name.lower()
@@ -69,21 +74,22 @@ def role(tag: str, attributes: str) -> str:
             if value in DROP_ROLES:
                 return "-"
             if value in ("main", "article"):
-                return "+"
+                return "*" if value == "main" else "+"
         elif name == "hidden" or name == "aria-hidden":
             if name == "hidden" and value in ("", "hidden") or value == "true":
                 return "-"
         else:
             for one in value.split():
-                words.add(one)
-                words.update(_WORD.findall(one))
+                words.add(_NUMBER.sub("", one.replace("_", "-")))
     if tag in DROP_TAGS:
         return "-"
-    if tag in ("article", "main"):
-        return "-" if words & {"comment", "comments", "related", "ad", "advert"} else "+"
+    if tag == "main":
+        return "*"
+    if tag == "article":
+        return "-" if words & DROP_ARTICLES else "+"
     if tag in ("html", "body"):
         return ""
-    return "-" if words & DROP_WORDS else ""
+    return "~" if tag == "form" or words & DROP_WORDS or words & DROP_COMPOUNDS else ""
 
 
 class Node:
@@ -94,9 +100,13 @@ class Node:
 
 
 def parse(html: str) -> Node:
-    """Element tree of a page; unclosed elements end where HTML ends them, unknown end tags are skipped."""
+    """Element tree of a page; unclosed elements end where HTML ends them, unknown end tags are skipped. Roles '~' and '*' are settled."""
     root = Node("#", "")
     stack = [root]
+    named: list[Node] = []
+    main: list[Node] = []
+    holders: dict[int, list[Node]] = {}  # of a named part: the main elements and articles in it
+    free = False  # whether one stands outside
     at, size = 0, len(html)
     for_match = _TOKEN.search
     while at < size:
@@ -124,6 +134,16 @@ def parse(html: str) -> Node:
         attributes = m[3]
         node = Node(name, role(name, attributes if "=" in attributes or "hidden" in attributes else ""))
         stack[-1].children.append(node)
+        if node.role == "~":
+            named.append(node)
+        elif node.role in ("*", "+"):
+            if node.role == "*":
+                main.append(node)
+            above = [n for n in stack if n.role in ("-", "~")]
+            free = free or not above
+            if all(n.role == "~" for n in above):
+                for n in above:
+                    holders.setdefault(id(n), []).append(node)
         if name in VOID or attributes.endswith("/") and name not in INLINE and name not in CLOSES_P:
             continue
         if name in RAW:
@@ -133,9 +153,36 @@ def parse(html: str) -> Node:
             at = end.end() if end else size
             continue
         stack.append(node)
+    _settle(root, named, holders, free)
+    for node in main:
+        node.role = "+"
     return root
 
 
+def _settle(root: Node, named: list[Node], holders: dict[int, list[Node]], free: bool) -> None:
+    """Decide about the parts that only a name marks: '-' unless they hold the main element or the page's articles."""
+    mains = {k for k, held in holders.items() if any(n.role == "*" for n in held)}
+    if holders and not mains and not free:
+        inside = {id(n): n for held in holders.values() for n in held}
+        if _text_size(root, ("-",), inside, True) > _text_size(root, ("-", "~"), inside, False):
+            mains = set(holders)
+    for n in named:
+        n.role = "" if id(n) in mains else "-"
+
+
+def _text_size(root: Node, skipped: tuple[str, ...], articles: dict[int, Node], in_articles: bool) -> int:
+    """Letters of the text in the ``articles``, or outside of them, without elements of the roles ``skipped``."""
+    size, todo = 0, [(root, False)]
+    while todo:
+        node, within = todo.pop()
+        for c in node.children:
+            if isinstance(c, str):
+                size += sum(map(len, c.split())) if within == in_articles else 0
+            elif c.role not in skipped and c.tag != "title":
+                todo.append((c, within or id(c) in articles))
+    return size
+
+
 def _text(node: Node, raw: str) -> None:
     node.children.append(unescape(raw) if "&" in raw else raw)
 

@@ -180,3 +180,20 @@ def test_unlike_brothers_keep_their_texts():
         article = page[page.index("<article>") :]
         assert " ".join(html.keyed_blocks(page, html.skeleton(html.parse(by_hand)))[0]) == plain_walk(article)
     assert html.keyed_blocks("<body><x[y]>t</x[y]></body>", "#[body[]]")[0] == ["t"]
+
+
+def test_class_names_do_not_hide_articles():
+    texts = lambda page: " ".join(html.keyed_blocks(page, None)[0])
+    for name in ("container has-sidebar", "with-sidebar", "no-ads", "ad-free", "share-price", "social-science", "notice-board", "no_ads"):
+        for attribute in ("class", "id"):
+            assert texts(f"<body><div {attribute}='{name}'><article><p>a</p></article></div></body>") == "a"
+            assert texts(f"<article><p>a</p><div {attribute}='{name}'>b</div><p>c</p></article>") == "a b c"
+            assert texts(f"<div>x</div><article {attribute}='{name}'><p>a</p></article>") == "a"
+    for name in ("ad", "sidebar left", "Cookie_Notice", "related-posts", "sidebar-2"):
+        assert texts(f"<article>a<div class='{name}'>b</div>c</article>") == "a c"
+    # an exact name that holds the main element or the only article of weight
+    assert texts("<body><p>x y z</p><div class='sidebar'><div class='ads'>buy</div><main>a</main></div></body>") == "a"
+    assert texts("<form id=aspnet><div class=banner><article>a long one</article></div></form>") == "a long one"
+    assert texts("<body><div>the whole of the content</div><div class='sidebar'><article>teaser</article></div></body>") == "the whole of the content"
+    assert texts("<article>a</article><div class='comments'><article>c c c c c c</article></div>") == "a"
+    assert texts("<div hidden><main>m</main></div><p>a</p><div class='related'><article>r r r</article></div><p>b</p><p>c c c</p>") == "a b c c c"
