@@ -6,7 +6,8 @@ ascending order, one array per order for all languages together, with one column
 of probabilities per language. Scoring is a binary search per character in the top
 order; only characters whose n-gram is unknown go through the lower orders. The
 language with the lowest cross-entropy per character wins. A text is rejected when
-its best cross-entropy lies above the limit calibrated on training rows.
+its best cross-entropy lies above the limit of its length class, calibrated on labelled rows that the
+models were not fitted on.
 
 Training uses at most ``rows_per_lang`` rows of each language (those with the
 smallest hash of their id) and keeps at most ``max_ngrams`` n-grams of an order.
@@ -36,6 +37,10 @@ MAX_NGRAMS = 400_000
 #: Characters scored together.
 BLOCK = 400_000
 SHARPNESS = 6.0
+#: Length classes (scored symbols) of the rejection limit; texts below ``SHORT`` symbols get ``SHORT_MARGIN``.
+CLASSES, SHORT, SHORT_MARGIN = (12, 40, 100, 400, 1600), 40, 2.0
+#: Rows without which a language has too few left-out rows, or a class no limit of its own.
+LEFT_OUT = 100
 UND = "und"
 
 _LETTERS: np.ndarray | None = None
@@ -87,7 +92,7 @@ class KneserNey:
     backoff: list[np.ndarray]
     full: np.ndarray  # log probability of each top-order n-gram, interpolated
     uniform: float
-    limit: float = math.inf
+    limits: tuple[float, ...] = (math.inf,) * (len(CLASSES) + 1)
 
     def places(self, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         h = gram_hashes(s, k)
@@ -177,7 +182,7 @@ class KneserNey:
             # the margin counts for more the longer the text
             weight = SHARPNESS * np.sqrt(np.minimum(sizes[some], 400))[:, None]
             score[some] = 1.0 / np.exp(-weight * (h[some] - low[some, None])).sum(axis=1)
-        accepted = some & (low <= self.limit)
+        accepted = some & (low <= np.array(self.limits)[np.searchsorted(CLASSES, sizes, side="right")])
         return [self.langs[b] if ok else UND for b, ok in zip(best, some, strict=True)], score, np.where(some, low, np.nan), accepted
 
 
@@ -226,26 +231,71 @@ def count_ngrams(sample: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "k", "gram").agg(F.first("ctx").alias("ctx"), F.first("suf").alias("suf"), F.sum("n").alias("n"))
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_lang: int = ROWS_PER_LANG, max_ngrams: int = MAX_NGRAMS, reject_quantile: float = 1.0, reject_margin: float = 1.35) -> KneserNey | None:
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows_per_lang: int = ROWS_PER_LANG, max_ngrams: int = MAX_NGRAMS, reject_quantile: float = 0.999, reject_margin: float = 1.35) -> KneserNey | None:
     """Models of all languages of ``df``; None if there is nothing to learn from.
 
-    The limit of rejection is the ``reject_quantile`` of the best cross-entropies of the training
-    texts with at least 40 scored symbols, times ``reject_margin``; short texts vary more, so their limit
-    in ``predict`` is the same and the margin covers them.
+    The limit of rejection of a length class is the ``reject_quantile`` of the best cross-entropies of all
+    labelled rows that took no part in the fit, times ``reject_margin`` (``SHORT_MARGIN`` for short texts, which
+    vary more), and at least that of longer texts. If a language has too few rows beyond its sample, models of
+    four fifths of the sample are fitted for the limits.
     """
     sample = training_sample(df, text_col, lang_col, id_col, rows_per_lang)
+    thin = df.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).groupBy(lang_col).count().filter(F.col("count") < rows_per_lang + LEFT_OUT)
+    limits = None
+    if not thin.isEmpty():
+        part = sample.filter("pmod(h, 5) > 0")
+        limits = _limits(_fitted(part, max_ngrams), df, part, text_col, lang_col, reject_quantile, reject_margin)
+    model = _fitted(sample, max_ngrams)
+    if model is None:
+        return None
+    limits = limits or _limits(model, df, sample, text_col, lang_col, reject_quantile, reject_margin)
+    # a handful of rows, all of them learnt
+    model.limits = limits or _limits(model, df, None, text_col, lang_col, reject_quantile, reject_margin) or model.limits
+    return model
+
+
+def _fitted(sample: DataFrame, max_ngrams: int) -> KneserNey | None:
     counts = count_ngrams(sample)
     w = Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram")
     t = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_ngrams).drop("r").toArrow().to_pandas()  # bounded: max_ngrams per language and order
-    if not len(t):
+    return assemble(t) if len(t) else None
+
+
+def _limits(model: KneserNey | None, df: DataFrame, learnt: DataFrame | None, text_col: str, lang_col: str, quantile: float, margin: float) -> tuple[float, ...] | None:
+    """Limit of each length class from the labelled rows of the model's languages whose text is not in ``learnt``; None without such rows."""
+    if model is None:
         return None
-    model = assemble(t)
-    texts = [r["text"] for r in sample.select("text").collect()]  # bounded: rows_per_lang per language
-    h, sizes = model.entropies(texts)
-    some = h.min(axis=1)[sizes >= 40]
-    if len(some):
-        model.limit = float(np.quantile(some, reject_quantile) * reject_margin)
-    return model
+    known = np.sort(np.array([r[0] for r in learnt.select(F.xxhash64("text")).distinct().collect()] if learnt is not None else [], np.int64))  # bounded: rows_per_lang per language
+    shared = df.sparkSession.sparkContext.broadcast((model, known))
+    rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isin(model.langs) & F.col("text").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, known = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, 400):
+                part = batch.slice(start, 400)
+                part = part.filter(pa.array(~np.isin(part.column(1).to_numpy(), known), pa.bool_()))
+                h, sizes = model.entropies(part.column(0).to_pylist())
+                some = sizes > 0
+                yield pa.record_batch({"size": pa.array(np.searchsorted(CLASSES, sizes[some], side="right").astype(np.int32)), "low": pa.array(h[some].min(axis=1))})
+
+    scored = map_arrow(rows.select("text", F.xxhash64("text").alias("h")), run, "size int, low double")
+    found = {r["size"]: r for r in scored.groupBy("size").agg(F.count("*").alias("n"), F.percentile_approx("low", quantile, 100_000).alias("q")).collect()}  # one row per class
+    shared.destroy()
+    if not found:
+        return None
+    places = range(len(CLASSES) + 1)
+    limits = [0.0] * len(places)
+    for c in places:
+        # a class of few rows is at least as wide as the next shorter one that has rows, else the next longer one
+        shorter, longer = [k for k in found if k < c], [k for k in found if k > c]
+        beside = found[max(shorter)]["q"] if shorter else found[min(longer)]["q"] if longer else 0.0
+        limits[c] = max(found[c]["q"], beside if found[c]["n"] < LEFT_OUT else 0.0) if c in found else beside
+    widest = 0.0
+    for c in reversed(places):
+        widest = max(widest, limits[c])
+        limits[c] = widest * (SHORT_MARGIN if c <= CLASSES.index(SHORT) else margin)
+    return tuple(limits)
 
 
 def assemble(t: pd.DataFrame) -> KneserNey:

@@ -100,3 +100,16 @@ def test_held_out_accuracy_and_rejection(spark):
     model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
     _, _, _, ok = model.predict(["жжжж щщщщ ёёёё ъъъ ыыы " * 20, "zxqj vwkq xzzq jqxv " * 20])
     assert not ok.any()
+
+
+def test_documents_out_of_the_sample_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, rows_per_lang=60)
+    learnt = {r["text"] for r in langid.training_sample(docs, "text", "lang", "doc_id", 60).select("text").collect()}
+    texts = [r["text"] for r in docs.select("text").collect() if r["text"] not in learnt]
+    _, sizes = model.entropies(texts)
+    ok = model.predict(texts)[3]
+    assert len(texts) > 500 and ok[sizes > 0].sum() >= 0.999 * (sizes > 0).sum() and ok[(sizes > 0) & (sizes < 100)].all()
+    assert model.predict(["A.", "Re."])[3].all()
+    assert not model.predict(["жжжж щщщщ ёёёё ъъъ ыыы " * 20, "zxqj vwkq xzzq jqxv " * 20])[3].any()
+    assert list(model.limits) == sorted(model.limits, reverse=True)
