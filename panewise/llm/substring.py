@@ -15,10 +15,11 @@ in a document with a smaller id. Windows are judged on the input.
    The words of all segments then stream backwards through the index: backward search gives
    each window's matching statistic (how many words from its end back still occur elsewhere)
    and, where it reaches the window, the suffix interval, whose smallest document decides.
-   A shard takes whole anchors up to ``SHARD_WORDS``; a larger anchor is split over
-   several indexes, and its windows are searched in each of them.
+   A shard takes whole anchors up to ``SHARD_WORDS``.
+4. An anchor whose segments have more words than that (common words in many contexts) goes to no shard: the
+   whole windows of its distinct segments are the keys, and Spark aggregates their smallest documents.
 
-Words are compared by 64-bit hashes, relabelled to dense symbols in a shard.
+Words are compared by 64-bit hashes, relabelled to dense symbols in a shard, windows of step 4 by 128 bits of them.
 A null id counts as larger than all others. Null texts have no words. Rows with one id do not take
 from each other: each loses only what documents with smaller ids have.
 """
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, window_hashes, word_hashes, written
+from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 
 WINDOW, ANCHOR = 13, 4
 #: Low bits of an anchor's hash that hold its place while the smallest is sought.
@@ -265,6 +266,35 @@ def _segments(docs: DataFrame, first_of_class, width: int, wanted=None) -> DataF
     return map_arrow(docs, run, "anchor long, doc long, tag long, first int, seg long, words binary")
 
 
+def _heavy(occur: DataFrame, shard_words: int) -> DataFrame:
+    """Anchors with more than ``shard_words`` words in all their segments, copies counted: at most one for as many words."""
+    return occur.groupBy("anchor").agg(F.sum(F.length("words") / 8 + 1).alias("n")).filter(F.col("n") > shard_words).select("anchor")
+
+
+def _distinct(occur: DataFrame) -> DataFrame:
+    return occur.groupBy("seg").agg(F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.min("doc").alias("doc"))
+
+
+def _decide_windows(segments: DataFrame, width: int) -> DataFrame:
+    """As ``_decide``, with whole windows as keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 5_000):
+                part = batch.slice(start, 5_000)
+                words = [np.frombuffer(raw, U64) for raw in part.column(1).to_pylist()]
+                sizes = np.array([len(w) - width + 1 for w in words])
+                a, b = (np.concatenate([window_hashes(f(w), width) for w in words]).view(np.int64) for f in (np.asarray, mix))
+                place = np.arange(len(a)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                seg, doc = (np.repeat(part.column(i).to_numpy(), sizes) for i in (0, 2))
+                yield pa.record_batch({"seg": pa.array(seg), "place": pa.array(place.astype(np.int32)), "a": pa.array(a), "b": pa.array(b), "doc": pa.array(doc)})
+
+    windows = written(map_arrow(segments.select("seg", "words", "doc"), run, "seg long, place int, a long, b long, doc long"), "heavy-windows")
+    best = windows.groupBy("a", "b").agg(F.min("doc").alias("best"))
+    rows = windows.join(best, ["a", "b"]).groupBy("seg").agg(F.sort_array(F.collect_list(F.struct("place", "best"))).alias("rows"))  # one segment's windows
+    return rows.select("seg", F.col("rows.best").alias("smallest"))
+
+
 def _decide(segments: DataFrame, width: int, shard_words: int) -> DataFrame:
     """(seg, smallest): the smallest document of each window of the distinct segments of a shard."""
 
@@ -304,8 +334,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = _segments(docs, is_rep, width).groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low <> high").select("anchor")
     wanted = send(id_filter(shared, 25))
     occur = written(_segments(docs, is_rep, width, wanted), "segments")
-    distinct = occur.groupBy("seg").agg(F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.min("doc").alias("doc"))
-    decided = _decide(distinct, width, shard_words)
+    heavy = written(_heavy(occur, shard_words), "heavy")
+    if heavy.isEmpty():
+        decided = _decide(_distinct(occur), width, shard_words)
+    else:
+        decided = _decide(_distinct(occur.join(heavy, "anchor", "left_anti")), width, shard_words)
+        decided = decided.union(_decide_windows(_distinct(occur.join(heavy, "anchor", "left_semi")), width))
     hits = occur.select("seg", "doc", "tag", "first").join(decided, "seg")
     hits = hits.withColumn("hit", F.expr("filter(sequence(0, size(smallest) - 1), i -> smallest[i] < doc)")).filter("size(hit) > 0")
     hits = hits.select("doc", "tag", F.expr("transform(hit, i -> first + i)").alias("at"))

@@ -7,6 +7,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panewise.llm import decontam, embdup, linedup, ngramjoin, substring
 from panewise.llm.common import IdFilter, id_filter
@@ -94,6 +95,22 @@ def test_repeats_against_brute_force(frame, prose):
     assert substring.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_repeats_of_a_frequent_run(frame, prose, monkeypatch):
+    # the run with the smallest hash is the anchor of all windows that hold it, in whatever context
+    hot = min((prose(5000 + i, 4) for i in range(3000)), key=lambda t: int(substring.window_hashes(substring.word_hashes(t.encode()), 4)[0]))
+    rows = [(i, f"{prose(i, 10)} {hot} {prose(1000 + i // 2, 12)} {hot} {prose(2000 + i % 7, 14)}") for i in range(80)]
+    sizes, decide = [], substring._decide
+
+    def spy(segments, width, shard_words):
+        sizes.extend(segments.groupBy("anchor").agg(F.sum(F.length("words") / 8 + 1)).collect())
+        return decide(segments, width, shard_words)
+
+    monkeypatch.setattr(substring, "_decide", spy)
+    got = sorted(map(tuple, substring.remove_repeats(frame(rows, "doc_id long, text string"), shard_words=300).collect()), key=repr)
+    assert got == sorted(repeats(rows), key=repr) and sum(r[2] for r in got) > 0
+    assert sizes and max(n for _, n in sizes) <= 300
+
+
 # ------------------------------------------------------------ n-gram join
 
 
