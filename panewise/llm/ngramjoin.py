@@ -238,11 +238,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
         for batch in batches:
             ok = np.asarray(batch.column(0).is_valid())
             ok[ok] = wanted.value.has(batch.column(0).drop_null().to_numpy())
-            yield batch.filter(pa.array(ok))
-
-    found = map_arrow(docs, texts, "id long, text string").dropDuplicates(["id"])
-    rows = pairs.join(found.select(F.col("id").alias("rb"), F.col("text").alias("tb")), "rb").drop("rb")
-    rows = rows.join(found.select(F.col("id").alias("ra"), F.col("text").alias("ta")), "ra").select("a", "b", "ta", "tb")
+            text = batch.column(1).filter(pa.array(ok))
+            sets = [shingles(t, width) for t in column_bytes(text)]
+            yield pa.record_batch({"class": pa.array([set_digest(h) if len(h) else None for h in sets], pa.int64()), "text": text})
+
+    # by class, since an id may have several texts
+    found = map_arrow(docs, texts, "class long, text string").dropDuplicates(["class"])
+    rows = pairs.select("a", "b").join(found.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
+    rows = rows.join(found.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, h = None, np.empty(0, U64)

@@ -145,6 +145,17 @@ def test_jaccard_against_brute_force(frame, prose):
     assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect()), key=repr) == want
 
 
+def test_jaccard_of_ids_with_several_texts(frame, prose):
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    rows = []
+    for i in range(0, 200, 10):
+        texts = [prose(7000 + i + j, 60) for j in range(4)]
+        rows += [(i, t) for t in texts] + [(i + 1 + j, near(t)) for j, t in enumerate(texts)] + [(i, None), (i, ""), (None, texts[0])]
+    got = sorted(map(tuple, ngramjoin.near_duplicates(frame(rows, "doc_id long, text string")).collect()), key=repr)
+    want, links = jaccard_groups(rows)
+    assert got == want and links >= 80
+
+
 def test_jaccard_threshold_is_exact(frame):
     # sets of 7 and 6 shingles: 6 of 7 shared; and 3 of 4 exactly at the threshold
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g"), (3, "p q r s t u v"), (4, "p q r s t u v w")]
