@@ -11,7 +11,8 @@ replaced one by one, so a family name alone corefers with the full name; so are
 
 Collision checks: surrogates of a type must differ from each other and from every real entity of
 that type. Of entities that collide, the one with the smallest hash keeps its surrogate, the
-others try again with the next attempt; from ``WIDEN`` attempts on a surrogate grows by a keyed suffix, so the
+others try again with the next attempt; from ``WIDEN`` attempts on a surrogate grows by a keyed suffix (an IPv4
+address is drawn from all unicast and multicast ones, whatever the length of their octets), so the
 loop ends even when a format has too few values.
 
 Null texts stay null. Rows without entities are untouched and not shuffled. Rows that repeat
@@ -125,7 +126,8 @@ def _surrogates(entities: DataFrame, key: str) -> DataFrame:
     e = e.withColumn("surrogate", F.when(F.col("kind").startswith("name"), name).otherwise(F.col("surrogate")))
     # out of room: a keyed suffix makes the format longer
     wide = F.expr("array_join(transform(slice(noise, 100, attempt), x -> substring('0123456789', x % 10 + 1, 1)), '')")
-    grown = F.when(F.col("kind") == "email", F.concat(wide, "surrogate")).when(F.col("kind").startswith("name"), F.concat("surrogate", F.expr("array_join(transform(slice(noise, 60, 1 + attempt div 4), x -> substring('aeioulnrst', x % 10 + 1, 1)), '')"))).when(F.col("kind") == "ip", F.col("surrogate")).otherwise(F.concat("surrogate", wide))
+    address = F.expr("concat_ws('.', cast(1 + noise[100] % 239 as string), cast(noise[101] as string), cast(noise[102] as string), cast(noise[103] as string))")
+    grown = F.when(F.col("kind") == "email", F.concat(wide, "surrogate")).when(F.col("kind").startswith("name"), F.concat("surrogate", F.expr("array_join(transform(slice(noise, 60, 1 + attempt div 4), x -> substring('aeioulnrst', x % 10 + 1, 1)), '')"))).when(F.col("kind") == "ip", address).otherwise(F.concat("surrogate", wide))
     return e.withColumn("surrogate", F.when(F.col("attempt") < WIDEN, F.col("surrogate")).otherwise(grown)).select("kind", "form", "attempt", "surrogate")
 
 

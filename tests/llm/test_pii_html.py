@@ -88,6 +88,15 @@ def test_surrogates_are_distinct_and_keyed(frame):
     assert other[0].text != out[0].text
 
 
+def test_more_addresses_than_the_format_holds(frame):
+    octets = [f"{n // 1000 % 10}.{n // 100 % 10}.{n // 10 % 10}.{n % 10}" for n in range(1000, 10000)]  # all of them but those with 0 in front
+    rows = [(i, " ".join(octets[i::90])) for i in range(90)]
+    out = run_pii(frame, rows)
+    new = dict(pair for i, t in rows for pair in zip(t.split(), out[i].text.split(), strict=True))
+    assert len(new) == len(set(new.values())) == 9000 and not set(new) & set(new.values())
+    assert all(re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", a) and max(map(int, a.split("."))) < 256 for a in new.values())
+
+
 def test_pii_empty(frame):
     df = frame([(1, "x")], "doc_id long, text string").limit(0)
     assert pii.replace_entities(df, "k").count() == 0
