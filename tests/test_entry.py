@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_entry(spark):

@@ -103,7 +103,7 @@ def _staged_too_late(spark, scratch):
 @pytest.mark.parametrize("dedup_engine", ["table", "bucketed"])
 def test_staged_stream_equals_batch_pipeline(spark, scratch, dedup_engine):
     """Staged job over the sf0.001 raw arrivals (junk, duplicates, disorder, very late rows) = batch job."""
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from panewise.operators.dedup import dedup_first
     from panewise.operators.late import batch_watermarks, classify_late, metrics_excluding_late
     from panewise.sources.fixtures import load_events, raw_arrivals_from_events

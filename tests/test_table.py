@@ -96,7 +96,7 @@ FROM, TO = 1_704_844_800_000, 1_705_017_600_000  # 2024-01-10 to 2024-01-12
 
 
 def test_backfill_replaces_the_whole_windows_of_a_range_only(spark, scratch):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from panewise.plans.batch import backfill, replay_range, run_job
     from panewise.sources.fixtures import load_events, raw_arrivals_from_events
 
