@@ -51,6 +51,14 @@ def kept_schema(df: DataFrame, n: int, ddl: str) -> T.StructType:
     return T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema.fields[:n]), *T.StructType.fromDDL(ddl).fields])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors and the driver share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, substring, tokenfile
+from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, runs, substring, tokenfile
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -78,6 +78,33 @@ def op10_line_dedup(spark, sf):
     return linedup.repeated_lines(table(spark, sf, "documents")).drop("text_tag")
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the ids has words repeated with a period, from a word on up to the text's end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select("doc_id", "text", (h % 10 == 0).alias("_chosen"), F.floor(h / 10).alias("_g"))
+    words = F.when(F.col("_chosen"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    docs = docs.withColumn("_words", words).withColumn("_n", F.size("_words"))
+    docs = docs.withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    docs = docs.withColumn("_p", (F.floor((F.col("_n") - F.col("_a")) / (F.col("_g") % 8 + 3)) + 1).cast("int"))
+    turns = F.ceil((F.col("_n") - F.col("_a")) / F.col("_p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("_words", F.col("_a") + 1, F.col("_p")), turns))
+    text = F.concat_ws(" ", F.slice("_words", 1, F.col("_a")), F.slice(tail, 1, F.col("_n") - F.col("_a")))
+    return docs.select("doc_id", F.when(F.col("_n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf):
+    """doc_id, n_runs, the longest run, digests of runs and collapsed text of every document."""
+    out = runs.periodic_runs(planted_periods(table(spark, sf, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.withColumn("_best", best)
+    length, period = -F.col("_best.less"), F.col("_best.period")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("_best.start").alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
@@ -90,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": op8_html_extraction,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_line_dedup": op10_line_dedup,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
