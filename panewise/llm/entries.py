@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, runs, substring, tokenfile
+from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, runs, substring, tokenfile, warczip
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -105,6 +105,34 @@ def op11_periodic_runs(spark, sf):
     )
 
 
+def page_of(uri: str) -> Column:
+    """The page id in a record id that ``warczip.write`` made."""
+    return F.regexp_extract(uri, "^urn:x-page:(-?[0-9]+):", 1).try_cast("long")
+
+
+def op12_warc_archive(spark, sf):
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, read back from the written packages."""
+    path = shared_path(spark, "warc")
+    warczip.write(table(spark, sf, "pages"), path)
+    out = warczip.read(spark, path, with_payload=False)
+    return out.select(page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
+
+
+OP12_SQL = """
+WITH bits AS (
+  SELECT page_id, html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS b,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+         + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
@@ -118,8 +146,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_line_dedup": op10_line_dedup,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_warc_archive": op12_warc_archive,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": linedup.ORACLE_SQL}
+    return {"op10_line_dedup": linedup.ORACLE_SQL, "op12_warc_archive": OP12_SQL}
