@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import bpe, decontam, embdup, html, langid, linedup, ngramjoin, pii, runs, substring, tokenfile, warczip
+from panewise.llm import bpe, decontam, embdup, hardneg, html, langid, linedup, ngramjoin, pii, runs, substring, tokenfile, warczip
 from panewise.llm.common import shared_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -133,6 +133,34 @@ SELECT page_id, payload_bytes,
 FROM bits"""
 
 
+def op13_hard_negatives(spark, sf):
+    """anchor_id, positive_id, rank, negative_id, positive_score, negative_score; every hundredth id is an anchor."""
+    rows = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+  FROM v a JOIN v ON v.vec_id <> a.vec_id
+  WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
@@ -147,8 +175,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_line_dedup": op10_line_dedup,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_warc_archive": op12_warc_archive,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": linedup.ORACLE_SQL, "op12_warc_archive": OP12_SQL}
+    return {"op10_line_dedup": linedup.ORACLE_SQL, "op12_warc_archive": OP12_SQL, "op13_hard_negatives": OP13_SQL}
