@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from panewise.operators.asof import asof_join  # noqa: E402
 from panewise.operators.dedup import dedup_first, dedup_ttl  # noqa: E402
 from panewise.operators.firing import firing_log  # noqa: E402
 from panewise.operators.late import (  # noqa: E402
@@ -136,6 +137,15 @@ def q_late_events(spark, sf):
     return late_events(_classified(spark, sf))
 
 
+def q_late_asof_metrics(spark, sf):
+    # Each late event with the metrics its store showed then: of the newest window that ends at or before the watermark.
+    c = write_shared(_classified(spark, sf), "classified")
+    m = metrics_excluding_late(c.withColumn("event_ts", F.timestamp_millis("event_time")), Params(), keep_window=True)
+    m = m.select("store_id", "window_end_ms", "window_end", "order_cnt", "gmv_total", "user_cnt")
+    late = late_events(c).select("event_id", "copy_no", "store_id", "event_time", "watermark_ms")
+    return asof_join(late, m, "watermark_ms", "window_end_ms", by=["store_id"])
+
+
 def q_metrics_excluding_late(spark, sf):
     c = _classified(spark, sf).withColumn("event_ts", F.timestamp_millis("event_time"))
     return metrics_excluding_late(c, Params())
@@ -268,6 +278,7 @@ def _job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_ttl_split": q_dedup_ttl_split,
         "classify_late": q_classify_late,
         "late_events": q_late_events,
+        "late_asof_metrics": q_late_asof_metrics,
         "metrics_excluding_late": q_metrics_excluding_late,
         "job_metrics": q_job_metrics,
         "job_late_events": q_job_late_events,
@@ -540,6 +551,12 @@ QUALIFY row_number() OVER (PARTITION BY event_id
         "classify_late": f"WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")}\nSELECT * FROM c",
         "late_events": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")}
 SELECT {dedup_cols}, watermark_ms FROM c WHERE is_late""",
+        "late_asof_metrics": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")},
+m AS (WITH {_metrics('c', where='WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms', with_ws=True)})
+SELECT c.event_id, c.copy_no, c.store_id, c.event_time, c.watermark_ms, m.ws + 60000 AS window_end_ms, m.window_end,
+       m.order_cnt, m.gmv_total, m.user_cnt
+FROM c ASOF LEFT JOIN m ON c.store_id = m.store_id AND c.watermark_ms >= m.ws + 60000
+WHERE c.is_late""",
         "metrics_excluding_late": f"""WITH {_A}{_DEDUP_TTL}{_CLASSIFIED.format(pre="a")},
 {_metrics('c', where='WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms')}""",
         "job_metrics": _job_sql(

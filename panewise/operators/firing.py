@@ -7,7 +7,8 @@ carries the window's metrics over all rows up to that batch.
 Scale: rows are first aggregated to (window, key, batch); distinct users enter as the batch
 in which a user is first seen, so running sums give the exact distinct count. Running sums are windows
 over the batches of one (window, key), of which there are as many as the lateness admits. The batch that fires a
-window is found by an equi-join on spans of time: each batch covers the event times by which it moved the maximum.
+window is found by an as-of join: the running maximum of the batches, taken only where it moves, against the distinct window
+ends. Its work is in proportion to those two, whatever the span of time and the trigger.
 """
 
 from __future__ import annotations
@@ -16,28 +17,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panewise.functions import half_up_round, ms_to_text, timestamp_to_ms
+from panewise.operators.asof import asof_join
 from panewise.operators.late import is_dead
 from panewise.operators.windows import assign_panes
 from panewise.schema import Params
 
-#: Width of the join's spans; a batch that moves the maximum far covers many.
-SPAN_MS = 30 * 86_400_000
+#: Width of a slot of the as-of join: a few hundred window ends, and the batches of that time.
+SLOT_MS = 6 * 3_600_000
 
 
-def _first_batches(ends: DataFrame, watermarks: DataFrame, params: Params, batch_col: str) -> DataFrame:
-    """(end_ms, fire_batch) for the distinct ends that some batch reaches."""
-    w = watermarks.select(
-        F.col(batch_col).alias("fire_batch"),
-        # before the first batch nothing has been seen: it covers all of its own event times
-        F.coalesce("max_prev_ms", F.col("batch_min_ms") - F.lit(params.size_ms)).alias("_from"),
-        F.col("max_prev_ms").isNull().alias("_opens"),
-        F.greatest("max_prev_ms", "batch_max_ms").alias("_to"),
-    ).filter("_opens OR _to > _from")
-    span = lambda c: F.floor(c / F.lit(SPAN_MS)).cast("bigint")
-    w = w.withColumn("_span", F.explode(F.sequence(span(F.col("_from")), span(F.col("_to")))))
-    e = ends.select("end_ms").distinct().withColumn("_at", F.col("end_ms") + F.lit(params.bound_ms)).withColumn("_span", span(F.col("_at")))
-    hit = (F.col("_at") <= F.col("_to")) & (F.col("_opens") | (F.col("_at") > F.col("_from")))
-    return e.join(w, "_span").filter(hit).groupBy("end_ms").agg(F.min("fire_batch").alias("fire_batch"))
+def first_firings(ends: DataFrame, watermarks: DataFrame, params: Params = Params(), batch_col: str = "batch_id") -> DataFrame:
+    """(end_ms, fire_batch) for the distinct ends that some batch reaches: the first whose running maximum is the end plus the bound."""
+    reached = F.greatest("max_prev_ms", "batch_max_ms")
+    moves = watermarks.filter(F.col("max_prev_ms").isNull() | (F.col("batch_max_ms") > F.col("max_prev_ms")))
+    moves = moves.select(reached.alias("_reached"), F.col(batch_col).alias("fire_batch"))
+    at = ends.select("end_ms").distinct().withColumn("_at", F.col("end_ms") + F.lit(params.bound_ms))
+    hit = asof_join(at, moves, "_at", "_reached", direction="forward", ties="min", slot_ms=SLOT_MS)
+    return hit.filter("fire_batch IS NOT NULL").select("end_ms", "fire_batch")
 
 
 def firing_log(classified: DataFrame, watermarks: DataFrame, params: Params = Params(), keys=None, batch_col: str = "batch_id") -> DataFrame:
@@ -52,7 +48,7 @@ def firing_log(classified: DataFrame, watermarks: DataFrame, params: Params = Pa
     each = sums.join(users, [*pane, "_b"], "left")
     so_far = Window.partitionBy(*pane).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     each = each.select(*pane, "_b", *[F.sum(F.coalesce(c, F.lit(0))).over(so_far).alias(c) for c in ("_n", "_g", "_u")])
-    fired = each.join(_first_batches(each, watermarks, params, batch_col), "end_ms")
+    fired = each.join(first_firings(each, watermarks, params, batch_col), "end_ms")
     fired = fired.withColumn("_fire", F.greatest("_b", "fire_batch"))
     last = fired.groupBy(*pane, "_fire").agg(F.max_by(F.struct("_n", "_g", "_u"), "_b").alias("m"))
     return last.select(
