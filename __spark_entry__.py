@@ -35,8 +35,24 @@ from panewise.operators.late import (  # noqa: E402
 )
 from panewise.operators.parse import anomalies, parse_orders, valid_orders  # noqa: E402
 from panewise.operators.quality import quality_report  # noqa: E402
+from panewise.operators.sketches import (  # noqa: E402
+    RANK_TOLERANCE,
+    USER_TOLERANCE,
+    delay_sketches,
+    merge_delay_sketches,
+    merge_user_sketches,
+    user_sketches,
+)
+from panewise.operators.slices import (  # noqa: E402
+    dimension_metrics,
+    sliced_metrics,
+    slices,
+    to_windows,
+    window_metrics_of,
+)
 from panewise.operators.windows import window_metrics  # noqa: E402
 from panewise.plans.batch import backfill, flagship_metrics, replay_range, run_job  # noqa: E402
+from panewise.plans.partials import PartialsTable, UserDictionary, late_partials, on_time_partials  # noqa: E402
 from panewise.plans.sql import metrics_sql  # noqa: E402
 from panewise.plans.table import MetricsTable, latest_rows  # noqa: E402
 from panewise.schema import Params  # noqa: E402
@@ -50,7 +66,7 @@ from panewise.sources.fixtures import (  # noqa: E402
     raw_messages_from_events,
 )
 
-DAY_MS = 86_400_000
+HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 AS_OF_MS = 1_706_659_200_000  # 2024-01-31 00:00:00 UTC, fixed instant for the future-time rule
 LATE_ALERT_THRESHOLD = 2
 APPROX_RSD = 0.05  # standard error of the distinct-user sketch
@@ -234,6 +250,81 @@ def q_approx_users(spark, sf):
         "window_start", "window_end", "store_id", "order_cnt", "gmv_total", "user_cnt", "within_tolerance")
 
 
+def _valid(spark, sf):
+    return valid_orders(parse_orders(encode_orders(_orders(spark, sf))))
+
+
+def _shared(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_order_metrics_slices(spark, sf):
+    return sliced_metrics(_valid(spark, sf))
+
+
+def q_order_metrics_rollup(spark, sf):
+    # Slices of 30 s with user numbers, stored once; hours and days are merged from them, users exactly.
+    valid = write_shared(_valid(spark, sf), "valid")
+    numbers = UserDictionary(spark, _shared(spark, "users"))
+    numbers.extend(valid.select("user_id"), 0)
+    stored = write_shared(slices(numbers.numbered(valid), numbered=True), "slices")
+    out = []
+    for width in (HOUR_MS, DAY_MS):
+        p = Params(size_ms=width, slide_ms=width)
+        out.append(window_metrics_of(to_windows(stored, p), p).withColumn("width_ms", F.lit(width).cast("bigint")))
+    return out[0].unionByName(out[1])
+
+
+def q_order_metrics_dimensions(spark, sf):
+    cat = F.concat(F.lit("cat_"), (F.get_json_object("props", "$.k").cast("bigint") % 4).cast("string"))
+    fields = ["event_id", "user_id", "store_id", "amount", "event_time", "category"]
+    orders = orders_from_events(load_events(spark, sf), extra={"category": cat})
+    parsed = valid_orders(parse_orders(encode_orders(orders, fields), extra_fields=("category",)))
+    p = Params(size_ms=HOUR_MS, slide_ms=HOUR_MS // 2)
+    return dimension_metrics(parsed, [["store_id"], ["category"], ["store_id", "category"]], p)
+
+
+def q_late_merge(spark, sf):
+    # On-time rows are stored as partial metrics; the late rows come as a second source and are merged when read.
+    c = write_shared(_classified(spark, sf), "classified")
+    numbers = UserDictionary(spark, _shared(spark, "users"))
+    numbers.extend(c.filter("NOT is_late").select("user_id"), 0)
+    table = PartialsTable(spark, _shared(spark, "partials"))
+    table.write(on_time_partials(numbers.numbered(c)), "on_time", 0)
+    numbers.extend(c.filter("is_late").select("user_id"), 1)
+    table.write(late_partials(numbers.numbered(c)), "late", 0)
+    return table.metrics()
+
+
+def q_users_rollup(spark, sf):
+    # Hourly user sketches, stored; days are unions of them. Beside the exact counts: within three standard errors.
+    valid = write_shared(_valid(spark, sf), "valid")
+    stored = write_shared(user_sketches(valid), "sketches")
+    out = []
+    for width in (HOUR_MS, DAY_MS):
+        p = Params(size_ms=width, slide_ms=width)
+        exact = window_metrics(valid, p)
+        near = merge_user_sketches(stored, width).select("window_start", "store_id", F.col("order_cnt").alias("n"), F.col("user_cnt").alias("about"))
+        good = (F.abs(F.col("about") - F.col("user_cnt")) <= USER_TOLERANCE * F.col("user_cnt") + 1) & (F.col("n") == F.col("order_cnt"))
+        joined = exact.join(near, ["window_start", "store_id"], "left").withColumn("within_tolerance", F.coalesce(good, F.lit(False)))
+        out.append(joined.drop("about", "n").withColumn("width_ms", F.lit(width).cast("bigint")))
+    return out[0].unionByName(out[1])
+
+
+def q_lateness_sketch(spark, sf):
+    # Hourly delay sketches, stored and merged; each quantile's true rank, from the rows, is near the one asked for.
+    a = _arrivals(spark, sf)
+    stored = write_shared(delay_sketches(a), "delays")
+    merged = merge_delay_sketches(stored)
+    delay = F.col("arrival_ms") - F.col("event_time")
+    joined = a.select("store_id", delay.alias("d")).join(merged, "store_id")
+    checks = []
+    for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        below, upto = F.avg((F.col("d") < F.col(name)).cast("int")), F.avg((F.col("d") <= F.col(name)).cast("int"))
+        checks.append(((below <= q + RANK_TOLERANCE) & (upto >= q - RANK_TOLERANCE)).alias(f"{name}_near"))
+    return joined.groupBy("store_id", "rows", "max_delay_ms").agg(*checks)
+
+
 def q_order_metrics_sql(spark, sf):
     return metrics_sql(valid_orders(parse_orders(encode_orders(_orders(spark, sf)))))
 
@@ -291,6 +382,12 @@ def _job_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_report": q_quality_report,
         "approx_users": q_approx_users,
         "order_metrics_sql": q_order_metrics_sql,
+        "order_metrics_slices": q_order_metrics_slices,
+        "order_metrics_rollup": q_order_metrics_rollup,
+        "order_metrics_dimensions": q_order_metrics_dimensions,
+        "late_merge": q_late_merge,
+        "users_rollup": q_users_rollup,
+        "lateness_sketch": q_lateness_sketch,
     }
 
 
@@ -502,6 +599,27 @@ d AS (
 {final}"""
 
 
+def _rollup_sql(extra: str = "") -> str:
+    """Hours and days in one result."""
+    one = lambda width: f"SELECT *, {width}::BIGINT AS width_ms{extra} FROM (WITH {_O},{_metrics('o', width, width)})"
+    return f"{one(HOUR_MS)} UNION ALL {one(DAY_MS)}"
+
+
+def _dimensions_sql() -> str:
+    parts = []
+    for level, store, cat in ((1, "store_id", "NULL"), (2, "NULL", "category"), (0, "store_id", "category")):
+        parts.append(f"""
+SELECT {_ts_text('ws')} AS window_start, {_ts_text(f'ws + {HOUR_MS}')} AS window_end, {level} AS grouping_id, {store} AS store_id,
+       {cat} AS category, count(*) AS order_cnt, floor(sum(amount) * 100 + 0.5) / 100 AS gmv_total, count(DISTINCT user_id) AS user_cnt
+FROM panes GROUP BY ws, {", ".join(c for c in (store, cat) if c != "NULL")}""")
+    return f"""WITH {_O},
+oc AS (SELECT *, 'cat_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 AS VARCHAR) AS category FROM o),
+panes AS (
+  SELECT s.*, unnest([pane, pane - {HOUR_MS // 2}]) AS ws
+  FROM (SELECT *, (event_time // {HOUR_MS // 2}) * {HOUR_MS // 2} AS pane FROM oc) s)
+{" UNION ALL ".join(parts)}"""
+
+
 def _backfill_sql() -> str:
     final = "," + _metrics("c", where="WHERE max_prev_ms IS NULL OR ws + 60000 + 15000 > max_prev_ms")
     inside = f"window_start >= {_ts_text(str(BACKFILL_FROM_MS))} AND window_end <= {_ts_text(str(BACKFILL_TO_MS))}"
@@ -606,4 +724,12 @@ FROM a GROUP BY store_id""",
         "quality_report": _quality_sql(),
         "approx_users": f"SELECT *, true AS within_tolerance FROM (WITH {_O},{_metrics('o', DAY_MS, DAY_MS)})",
         "order_metrics_sql": metrics_o,
+        "order_metrics_slices": metrics_o,
+        "order_metrics_rollup": _rollup_sql(),
+        "order_metrics_dimensions": _dimensions_sql(),
+        "late_merge": f"WITH {_A}{_DEDUP_TTL},{_metrics('d')}",
+        "users_rollup": _rollup_sql(", true AS within_tolerance"),
+        "lateness_sketch": f"""WITH {_A}
+SELECT store_id, count(*) AS rows, max(arrival_ms - event_time) AS max_delay_ms, true AS p50_near, true AS p95_near, true AS p99_near
+FROM a GROUP BY store_id""",
     }
