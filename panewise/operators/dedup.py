@@ -87,7 +87,8 @@ def _fold_light(df: DataFrame, key: str, time_col: str, ttl_ms: int) -> DataFram
     )
 
     def step(acc, x):
-        take = acc["last"].isNull() | ((x[time_col] - acc["last"]) >= ttl)
+        # times ascend, so a difference beyond the largest long is longer than any TTL
+        take = acc["last"].isNull() | F.coalesce(F.try_subtract(x[time_col], acc["last"]) >= ttl, F.lit(True))
         return F.when(
             take, F.struct(x[time_col].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))
         ).otherwise(acc)
@@ -114,7 +115,8 @@ def _chain_heavy(df: DataFrame, key: str, time_col: str, ttl_ms: int) -> DataFra
     # first time in that slot from the probe on, else the first time of a later slot.
     null = F.lit(None).cast("bigint")
     reals = times.select("_k", F.col("_t").alias("_pos"), F.lit(0).alias("_kind"), F.col("_t").alias("_val"), null.alias("_src"))
-    probes = times.select("_k", (F.col("_t") + ttl).alias("_pos"), F.lit(1).alias("_kind"), null.alias("_val"),
+    # a time whose TTL ends beyond the largest long has no next accept
+    probes = times.filter(F.try_add("_t", ttl).isNotNull()).select("_k", (F.col("_t") + ttl).alias("_pos"), F.lit(1).alias("_kind"), null.alias("_val"),
                           F.col("_t").alias("_src"))
     marks = reals.unionByName(probes).withColumn("_slot", F.floor(F.col("_pos") / slot).cast("bigint"))
     slots = marks.groupBy("_k", "_slot").agg(F.min("_val").alias("_m"))
@@ -137,8 +139,9 @@ def _chain_heavy(df: DataFrame, key: str, time_col: str, ttl_ms: int) -> DataFra
              .checkpoint())
 
     # Pointer doubling: jumps[j] maps a time to the accept 2^j steps later. Accepts of a key are a TTL apart.
-    span = times.groupBy("_k").agg((F.floor((F.max("_t") - F.min("_t")) / ttl) + 1).alias("_n"), F.count(F.lit(1)).alias("_c"))
-    longest = span.agg(F.max(F.least("_n", "_c"))).first()[0] or 1
+    reach = F.coalesce(F.try_subtract(F.max("_t"), F.min("_t")), F.lit(_MAX_LONG))
+    span = times.groupBy("_k").agg(F.floor(reach / ttl).alias("_n"), F.count(F.lit(1)).alias("_c"))
+    longest = (span.agg(F.max(F.least("_n", "_c"))).first()[0] or 0) + 1
     levels = max(1, math.ceil(math.log2(max(2, longest))))
     jumps = [links]
     for _ in range(1, levels):

@@ -25,8 +25,6 @@ from panewise.schema import Params
 def _distinct_users(df: DataFrame, exact: bool, rsd: float):
     if not exact:
         return F.approx_count_distinct("user_id", rsd).cast("bigint")
-    if df.isStreaming:
-        return F.size(F.collect_set("user_id")).cast("bigint")
     return F.count_distinct("user_id").cast("bigint")
 
 
@@ -51,7 +49,6 @@ def window_metrics(
     rsd: float = 0.05,
     ts_col: str = "event_ts",
     keep_window: bool = False,
-    streaming_distinct: str = "collect_set",
 ) -> DataFrame:
     """Parsed events -> one metric row per (window, keys).
 
@@ -59,13 +56,12 @@ def window_metrics(
     ``order_cnt, gmv_total, user_cnt``; with ``keep_window`` also the window
     struct and ``window_start_ms, window_end_ms`` (for versioned writes).
 
-    ``streaming_distinct="two_level"`` (append-mode streams only) chains two
-    stateful aggregations, (window, keys, user) then (window, keys), so no state
-    row holds a window's whole user set; ``collect_set`` works in every mode.
+    Of a stream, the exact form chains two stateful aggregations, (window, keys, user) then (window, keys), which
+    append mode allows; for update mode see ``user_metrics``.
     """
     win = F.window(F.col(ts_col), params.size, params.slide).alias("window")
     keys = list(keys or params.keys)
-    if df.isStreaming and exact and streaming_distinct == "two_level":
+    if df.isStreaming and exact:
         per_user = df.groupBy(win, *keys, "user_id").agg(
             F.count(F.lit(1)).alias("_c"), F.sum("amount").alias("_g")
         )
@@ -78,6 +74,23 @@ def window_metrics(
     return _finish(df.groupBy(win, *keys), df, params, keys, exact, rsd, keep_window)
 
 
+def user_metrics(df: DataFrame, params: Params = Params(), keys=None, ts_col: str = "event_ts") -> DataFrame:
+    """Parsed events -> one row per (window, keys, user): the grain of an update-mode stream.
+
+    ``gmv_total`` is the plain sum, rounded only when users are summed up (``MetricsTable.latest``); ``user_cnt`` is 1, for
+    the rows without user 0.
+    """
+    keys = list(keys or params.keys)
+    agg = df.groupBy(F.window(F.col(ts_col), params.size, params.slide).alias("window"), *keys, "user_id").agg(
+        F.count(F.lit(1)).alias("order_cnt"), F.sum("amount").alias("gmv_total")
+    )
+    start_ms, end_ms = (timestamp_to_ms(F.col(f"window.{x}")) for x in ("start", "end"))
+    return agg.select(
+        ms_to_text(start_ms).alias("window_start"), ms_to_text(end_ms).alias("window_end"), *keys, "user_id", "order_cnt", "gmv_total",
+        F.col("user_id").isNotNull().cast("bigint").alias("user_cnt"), start_ms.alias("window_start_ms"), end_ms.alias("window_end_ms"),
+    )
+
+
 def _finish(grouped, df, params, keys, exact, rsd, keep_window):
     keys = list(keys or params.keys)
     agg = grouped.agg(

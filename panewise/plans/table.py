@@ -14,16 +14,21 @@ highest it has folded and below every later version, so a stream that goes on
 writing still wins, and a retry of an old batch still loses. It reads and deletes
 exactly the version folders listed when it starts; folders that appear meanwhile stay.
 ``update_time`` is recorded for information only and never decides a version.
+
+Rows of the user grain (an update-mode stream's ``user_metrics``) are versioned by (window, keys, user) in a folder
+beside the table, and ``latest`` sums their newest versions: a changed user is one row to write, and the exact
+distinct count is a count of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panewise.functions import date_key
+from panewise.functions import date_key, half_up_round
 from panewise.schema import METRIC_ROW
+from panewise.session import path_exists
 
 VERSION_COLS = ["epoch", "batch_id", "folded"]
 
@@ -44,6 +49,11 @@ class MetricsTable:
         self.path = path.rstrip("/")
         self.keys = list(keys)
 
+    @property
+    def by_user(self) -> MetricsTable:
+        """The rows of this table that are kept by user."""
+        return MetricsTable(self.spark, f"{self.path}_by_user", [*self.keys, "user_id"])
+
     @property
     def schema(self) -> T.StructType:
         fields = [f for f in METRIC_ROW.fields if f.name != "store_id"]
@@ -65,11 +75,14 @@ class MetricsTable:
         ``files_per_date``: that many files for each day, dealt by hash of the row's key; None leaves
         the files as the plan's last stage has them.
         """
+        if "user_id" in metrics.columns and "user_id" not in self.keys:
+            self.by_user.write_batch(metrics, batch_id, epoch, files_per_date)
+            return
         version = (F.lit(int(epoch)), F.lit(int(batch_id)), F.lit(0))
-        self._write(metrics.withColumns(dict(zip(VERSION_COLS, version, strict=True))), files_per_date)
+        self._write(metrics.withColumns(dict(zip(VERSION_COLS, version, strict=True))), None if files_per_date is None else F.lit(int(files_per_date)))
 
-    def _write(self, rows: DataFrame, files_per_date: int | None) -> None:
-        """Rows that carry their version columns."""
+    def _write(self, rows: DataFrame, files_per_date: Column | None) -> None:
+        """Rows that carry their version columns; ``files_per_date`` may differ from row to row only by the day."""
         if "window_start_ms" in rows.columns:
             day = date_key(F.col("window_start_ms"))
         else:
@@ -79,13 +92,13 @@ class MetricsTable:
             F.current_timestamp().alias("update_time"),
             day.alias("window_date"),
             *[F.col(c).cast("bigint").alias(c) for c in VERSION_COLS],
+            *([files_per_date.alias("_files")] if files_per_date is not None else []),
         )
-        if files_per_date:
-            salt = F.pmod(F.xxhash64("window_start", *self.keys), F.lit(files_per_date))
-            # a partition holds one salt of some days, so a day has one file for each salt
-            days = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // files_per_date)
-            place = F.pmod(F.xxhash64("window_date"), F.lit(days)) * files_per_date + salt
-            out = out.repartitionById(days * files_per_date, place.cast("int"))
+        if files_per_date is not None:
+            salt = F.pmod(F.xxhash64("window_start", *self.keys), F.greatest(F.col("_files").cast("long"), F.lit(1)))
+            # the files of a day go to partitions one after another, at most all of them
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            out = out.repartitionById(n, F.pmod(F.hash("window_date") + salt, F.lit(n)).cast("int")).drop("_files")
         (
             out.sortWithinPartitions("window_date", *VERSION_COLS, "window_start", *self.keys)
             .write.mode("overwrite")
@@ -104,31 +117,51 @@ class MetricsTable:
 
     def latest(self, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
         """Current value per ``(window_start, keys)``; date bounds prune partitions before the aggregation."""
+        if not path_exists(self.spark, self.by_user.path):
+            return self._latest_here(date_from, date_to)
+        users = self.by_user._latest_here(date_from, date_to)
+        summed = users.groupBy("window_start", "window_end", *self.keys).agg(
+            F.sum("order_cnt").alias("order_cnt"), half_up_round(F.sum("gmv_total"), 2).alias("gmv_total"), F.sum("user_cnt").alias("user_cnt"),
+            *[F.max(c).alias(c) for c in ("update_time", "window_date", *VERSION_COLS)],
+        ).select(*self.schema.names)
+        return summed.unionByName(self._latest_here(date_from, date_to)) if path_exists(self.spark, self.path) else summed
+
+    def _latest_here(self, date_from: str | None, date_to: str | None) -> DataFrame:
         v = self.versions(date_from, date_to)
         return latest_rows(v, ["window_start", *self.keys], VERSION_COLS).filter("order_cnt > 0")
 
-    def compact(self, date_from: str, date_to: str, files_per_date: int | None = 1) -> None:
+    def compact(self, date_from: str, date_to: str, rows_per_file: int = 1_000_000) -> None:
         """Fold every version of the dates that is there now into one, then drop those version folders.
 
+        A day gets a file for about every ``rows_per_file`` rows of its versions, dealt by hash of the row's key, so a
+        day of many rows is the work of many tasks. Rows kept by user are folded likewise.
+
         The folded version is written before anything is removed, so a crash in
         between leaves a readable, still-correct table. The file listing of ``found`` is
         taken once, here; both what is read and what is deleted follow it.
         """
+        if "user_id" not in self.keys and path_exists(self.spark, self.by_user.path):
+            self.by_user.compact(date_from, date_to, rows_per_file)
+        if not path_exists(self.spark, self.path):
+            return
         found = self.versions(date_from, date_to)
-        listed = [tuple(r) for r in found.select("window_date", *VERSION_COLS).distinct().collect()]  # a row per version and day
+        listed = [tuple(r) for r in found.groupBy("window_date", *VERSION_COLS).count().collect()]  # a row per version and day
         by_date: dict[str, list[tuple]] = {}
-        for day, *version in listed:
+        sizes: dict[str, int] = {}
+        for day, *version, n in listed:
             by_date.setdefault(day, []).append(tuple(version))
+            sizes[day] = sizes.get(day, 0) + n
         by_date = {d: v for d, v in by_date.items() if len(v) > 1}
         if not by_date:
             return
         tops = {d: max(v) for d, v in by_date.items()}
         target = self.spark.createDataFrame(
-            [(d, e, b, f + 1) for d, (e, b, f) in tops.items()], "day string, to_epoch long, to_batch_id long, to_folded long"
+            [(d, e, b, f + 1, -(-sizes[d] // rows_per_file)) for d, (e, b, f) in tops.items()],
+            "day string, to_epoch long, to_batch_id long, to_folded long, to_files long",
         )
         rows = latest_rows(found, ["window_start", *self.keys], VERSION_COLS)
         rows = rows.join(target, rows["window_date"] == target["day"])
-        self._write(rows.withColumns({c: F.col(f"to_{c}") for c in VERSION_COLS}), files_per_date)
+        self._write(rows.withColumns({c: F.col(f"to_{c}") for c in VERSION_COLS}), F.col("to_files"))
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for day, versions in by_date.items():

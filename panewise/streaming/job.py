@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
-from panewise.operators.windows import window_metrics
+from panewise.operators.windows import user_metrics, window_metrics
 from panewise.plans.table import MetricsTable, write_rows
 from panewise.schema import Params
 from panewise.streaming.dedup import dedup_stream
@@ -46,15 +46,17 @@ def build_metrics_stream(
     engine: str = "bucketed",
 ) -> MetricsStream:
     """``output_mode="append"`` (default) counts distinct users exactly in two chained aggregations: no state row
-    holds a window's users. ``"update"`` re-emits open windows; its exact count keeps all users of a window and
-    store in one state row (``collect_set``), so for busy stores choose ``exact=False`` or the staged job."""
+    holds a window's users. ``"update"`` re-emits open windows; its exact form keeps and emits one row per window, store and
+    user, which the table keeps by user and sums when it is read."""
     parsed = parse_orders(messages)
     valid = valid_orders(parsed)
     order = tuple(c for c in order_cols if c in valid.columns)
     deduped = dedup_stream(valid, "event_id", params.ttl_ms, order, engine=engine)
     timed = deduped.withWatermark("event_ts", params.delay)
-    distinct = "two_level" if output_mode == "append" else "collect_set"
-    metrics = window_metrics(timed, params, exact=exact, keep_window=True, streaming_distinct=distinct).drop("window")
+    if exact and output_mode != "append":
+        metrics = user_metrics(timed, params)
+    else:
+        metrics = window_metrics(timed, params, exact=exact, keep_window=True).drop("window")
     return MetricsStream(parsed, anomalies(parsed), deduped, metrics, output_mode)
 
 

@@ -15,6 +15,11 @@ so routing is done per micro-batch against a persisted watermark log:
   windows are recomputed from silver (bounded by ``size + bound + lateness``
   behind the watermark) and written as a new table version.
 
+* Late rows are counted as they come (A7): one small row per (store, hour of the watermark) and batch. ``late_stats``
+  sums them; a (store, hour) is in the alert table once, under the batch whose rows brought it to the threshold.
+* With ``partials`` (T5, S10) every batch also adds its partial metrics to a ``PartialsTable``: the (row, window) pairs
+  that were open under ``on_time``, the others under ``late``, so that corrected metrics are read without any replay.
+
 Every write replaces only partitions keyed by this ``batch_id``.
 """
 
@@ -26,14 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panewise.functions import timestamp_to_ms, utc_date
+from panewise.functions import ms_to_text, timestamp_to_ms, utc_date
 from panewise.operators.late import is_dead, last_window_end
 from panewise.operators.parse import anomalies, parse_orders, valid_orders
 from panewise.operators.windows import aggregate_panes, assign_panes
+from panewise.plans.partials import PartialsTable, UserDictionary, late_partials, on_time_partials
 from panewise.plans.table import MetricsTable, write_rows
 from panewise.schema import MAX_EVENT_MS, MIN_EVENT_MS, Params
+from panewise.session import path_exists
 from panewise.streaming.dedup import AcceptedIds, dedup_stream
 
+HOUR_MS = 3_600_000
 WM_SCHEMA = T.StructType(
     [
         T.StructField("max_event_ms", T.LongType(), True),
@@ -46,21 +54,22 @@ WM_SCHEMA = T.StructType(
 class LateRouter:
     """Per-micro-batch routing and firing for deduplicated, parsed order events."""
 
-    def __init__(self, spark: SparkSession, root: str, table: MetricsTable, params: Params = Params(), epoch: int = 0):
+    def __init__(self, spark: SparkSession, root: str, table: MetricsTable, params: Params = Params(), epoch: int = 0, alert_threshold: int = 10, with_partials: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.table = table
         self.params = params
         self.epoch = epoch
+        self.alert_threshold = alert_threshold
+        self.partials = PartialsTable(spark, self.path("partials"), params) if with_partials else None
+        self.users = UserDictionary(spark, self.path("users")) if with_partials else None
         self._through: dict[int, int | None] = {}  # running max by batch id, mirrors wm_log
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _exists(self, name: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return path_exists(self.spark, self.path(name))
 
     def max_before(self, batch_id: int) -> int | None:
         """Max event time over all batches before ``batch_id``.
@@ -95,6 +104,10 @@ class LateRouter:
             judged = judged.withColumn("is_late", late)
 
             write_rows(judged.filter("is_late").drop("is_late", "max_prev_ms", "event_ts"), self.path("late"), batch_id)
+            if mp is not None:
+                self._count_late(judged.filter("is_late"), mp, batch_id)
+            if self.partials is not None:
+                self._add_partials(judged, batch_id)
             on_time = judged.filter(~F.col("is_late")).drop("is_late", "watermark_ms")
             silver_rows = (
                 on_time.withColumn("event_day", utc_date(F.col("event_time")))
@@ -128,6 +141,43 @@ class LateRouter:
         finally:
             df.unpersist()
 
+    def _count_late(self, late: DataFrame, max_prev: int, batch_id: int) -> None:
+        """This batch's late counters, and alerts for what reaches the threshold now. A batch has one watermark, so one hour."""
+        hour = (max_prev - self.params.bound_ms - 1) // HOUR_MS * HOUR_MS
+        keys = list(self.params.keys)
+        lateness = F.col("watermark_ms") - F.col("event_time")
+        counted = late.groupBy(*keys).agg(F.count(F.lit(1)).alias("late_cnt"), F.sum(lateness).alias("lateness_sum"), F.max(lateness).alias("max_lateness_ms"))
+        folder = f"{self.path('late_counts')}/hour_ms={hour}"
+        counted.write.mode("overwrite").parquet(f"{folder}/batch_id={int(batch_id)}")
+        counts = self.spark.read.schema(self._counts_schema()).option("basePath", self.path("late_counts")).parquet(folder)
+        counts = counts.filter(F.col("batch_id") <= int(batch_id)).groupBy(*keys).agg(
+            F.sum("late_cnt").alias("late_cnt"), F.sum(F.when(F.col("batch_id") < int(batch_id), F.col("late_cnt")).otherwise(0)).alias("_before"))
+        new = counts.filter((F.col("late_cnt") >= self.alert_threshold) & (F.col("_before") < self.alert_threshold))
+        new = new.select(*keys, ms_to_text(F.lit(hour).cast("bigint")).alias("bucket_start"), "late_cnt")
+        write_rows(new, self.path("late_alerts"), batch_id)
+
+    def _counts_schema(self) -> str:
+        return ", ".join(f"`{k}` string" for k in self.params.keys) + ", late_cnt long, lateness_sum long, max_lateness_ms long, hour_ms long, batch_id long"
+
+    def late_stats(self, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
+        """A7 from the counters, for the hours in ``[from_ms, to_ms)``: the rows of ``operators.late.late_stats``."""
+        keys = list(self.params.keys)
+        counts = self.spark.read.schema(self._counts_schema()).parquet(self.path("late_counts"))
+        for bound, keep in ((from_ms, F.col("hour_ms") >= F.lit(from_ms)), (to_ms, F.col("hour_ms") < F.lit(to_ms))):
+            counts = counts if bound is None else counts.filter(keep)
+        total = counts.groupBy(*keys, "hour_ms").agg(F.sum("late_cnt").alias("late_cnt"), F.sum("lateness_sum").alias("_sum"), F.max("max_lateness_ms").alias("max_lateness_ms"))
+        return total.select(*keys, ms_to_text(F.col("hour_ms")).alias("bucket_start"), "late_cnt", (F.col("_sum") / F.col("late_cnt")).alias("avg_lateness_ms"), "max_lateness_ms", (F.col("late_cnt") >= self.alert_threshold).alias("alert"))
+
+    def late_alerts(self) -> DataFrame:
+        """One row per (keys, hour) that has reached the threshold, with the count at that batch."""
+        return self.spark.read.parquet(self.path("late_alerts"))
+
+    def _add_partials(self, judged: DataFrame, batch_id: int) -> None:
+        self.users.extend(judged.select("user_id"), batch_id)
+        numbered = self.users.numbered(judged.select("user_id", *self.params.keys, "amount", "event_time", "max_prev_ms"))
+        self.partials.write(on_time_partials(numbered, self.params), "on_time", batch_id)
+        self.partials.write(late_partials(numbered, self.params), "late", batch_id)
+
     def silver(self, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
         """Silver rows; with bounds only the ``event_day`` directories in range are listed and read."""
         base = self.path("silver")
@@ -206,16 +256,19 @@ def start_staged_query(
     with_dead_letters: bool = False,
     dedup_engine: str = "table",
     clock=None,
+    alert_threshold: int = 10,
+    with_partials: bool = False,
 ):
     """Start the staged job: foreachBatch(dedup, route late, write silver, fire windows).
 
     ``dedup_engine="table"`` (default) keeps accepted ids in a table under ``root`` (``AcceptedIds``, JVM
     only; ``clock`` gives its processing time); ``"bucketed"`` and ``"watermark"`` dedup in the streaming plan
     (``dedup_stream``). With ``with_dead_letters`` a second query on the same source writes the
-    anomalies to ``<root>/anomalies`` (its own checkpoint). Returns the router and the started queries.
+    anomalies to ``<root>/anomalies`` (its own checkpoint). ``with_partials`` keeps partial metrics, late rows
+    included (``router.partials``). Returns the router and the started queries.
     """
     spark = messages.sparkSession
-    router = LateRouter(spark, root, table, params, epoch)
+    router = LateRouter(spark, root, table, params, epoch, alert_threshold, with_partials)
     parsed = parse_orders(messages)
     stream, dead = valid_orders(parsed), anomalies(parsed)
     order = tuple(c for c in order_cols if c in stream.columns)

@@ -64,6 +64,16 @@ def test_key_size_never_changes_the_answer(spark):
         assert got == _brute(rows, 3_600_000) and len(got) == 7
 
 
+def test_extreme_times_in_both_paths(spark):
+    top, low = (1 << 63) - 1, -(1 << 63)
+    rows = [("a", 100, 1), ("a", top, 2), ("b", low, 1), ("b", low + 3_600_000, 2), ("b", top - 3_600_000, 3), ("b", top, 4), ("c", top - 1, 1), ("c", top, 2), ("d", low, 1), ("d", top, 2), ("d", 0, 3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for ttl in (1, 3_600_000):
+        for max_light in (0, 1000):
+            got = sorted(map(tuple, dedup_ttl(df, ttl_ms=ttl, max_light=max_light).collect()), key=repr)
+            assert got == _brute(rows, ttl)
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-20, 50)), st.integers(0, 3)),

@@ -266,6 +266,120 @@ def test_hot_store_in_the_default_stream_has_no_user_set(spark, scratch):
     assert _latest(table)[("2024-01-01 00:00:00", "hot")] == (1500, 1500.0, 700)
 
 
+def _write_file(src, i, rows):
+    os.makedirs(src, exist_ok=True)
+    path = os.path.join(src, f"part-{i:04d}.json")
+    with open(path, "w") as f:
+        for e, u, s, off in rows:
+            f.write(json.dumps({"event_id": e, "user_id": u, "store_id": s, "amount": 0.1, "event_time": M + off}) + "\n")
+    os.utime(path, (1_000_000 + i * 10, 1_000_000 + i * 10))
+
+
+def test_hot_store_in_update_mode_is_kept_by_user(spark, scratch):
+    """Open windows are emitted again and again; a state row holds one user, the table sums users exactly."""
+    src = os.path.join(scratch, "in")
+    _write_file(src, 0, [(f"e{k}", f"u{k % 700}", "hot", 1000 + k % 50) for k in range(1500)])
+    _write_file(src, 1, [(f"f{k}", f"u{k % 900}", "hot", 2000) for k in range(1000)] + [("n", "u1", "cold", 2000)])
+    _write_file(src, 2, [("g", "u5", "hot", 3000)])
+    st = build_metrics_stream(read_messages(spark, src, stream=True, files_per_trigger=1), output_mode="update")
+    plan = st.metrics._jdf.queryExecution().logical().toString()
+    assert "collect_set" not in plan and "user_id" in st.metrics.columns
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    ck = os.path.join(scratch, "ck")
+    q = start_metrics_query(st, table, ck, trigger_seconds=None)
+    q.processAllAvailable()
+    q.stop()
+    want = {("2024-01-01 00:00:00", "hot"): (2501, 250.1, 900), ("2024-01-01 00:00:00", "cold"): (1, 0.1, 1)}
+    got = {k: v for k, v in _latest(table).items() if k[0] == "2024-01-01 00:00:00"}
+    assert got == want
+    assert table.by_user.versions().filter("batch_id = 2").count() == 2  # one user changed: a row for each of its windows
+    state = spark.read.format("statestore").option("operatorId", 0).load(ck)
+    assert state.filter("key.store_id = 'hot'").count() == 2 * 900  # a row per window and user
+    table.compact("20240101", "20240101", rows_per_file=500)
+    table.by_user.compact("20240101", "20240101")  # nothing left to fold
+    assert {k: v for k, v in _latest(table).items() if k[0] == "2024-01-01 00:00:00"} == want
+    assert len([f for f in table.by_user.versions().inputFiles() if "20240101" in f]) > 3
+
+
+def test_closed_windows_leave_the_state_and_a_stop_before_the_commit_counts_nothing_twice(spark, scratch):
+    """T7, T8 by Spark's state reader: a batch fails after its sink has written, and is run again."""
+    src, ck = os.path.join(scratch, "in"), os.path.join(scratch, "ck")
+    _files(src, REPLAY[:4])
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+    messages = read_messages(spark, src, stream=True, files_per_trigger=1)
+    write, calls = table.write_batch, []
+
+    def fails_once(df, batch_id, epoch=0):
+        write(df, batch_id=batch_id, epoch=epoch)
+        calls.append(batch_id)
+        if batch_id == 3 and calls.count(3) == 1:
+            raise RuntimeError("lost between sink and commit")
+
+    table.write_batch = fails_once
+    q = start_metrics_query(build_metrics_stream(messages, output_mode="update"), table, ck, trigger_seconds=None)
+    with pytest.raises(Exception, match="lost between sink and commit"):
+        q.processAllAvailable()
+    metadata = spark.read.format("state-metadata").load(ck).collect()
+    assert {r.operatorId for r in metadata} >= {0, 1}
+    q = start_metrics_query(build_metrics_stream(messages, output_mode="update"), table, ck, trigger_seconds=None)
+    q.processAllAvailable()
+    windows = lambda: {r.w for r in spark.read.format("statestore").option("operatorId", 0).load(ck).selectExpr("unix_millis(key.window.end) AS w").collect()}
+    assert calls == [0, 1, 2, 3, 3]
+    assert _latest(table)[("2024-01-01 00:01:00", "s")] == (3, 3.0, 3)
+    assert table.by_user.versions().count() == table.by_user.versions().select("window_start", "user_id", "batch_id").distinct().count()
+    open_before = windows()
+    assert M + 120_000 in open_before
+    _files(src, [("z", "u9", "s", 1.0, 400_000), ("y", "u9", "s", 1.0, 401_000)], start=4)
+    q.processAllAvailable()
+    q.stop()
+    # z moved the watermark to 385 s: every window that ends by then is gone, its own two and none else are there
+    assert windows() == {M + 420_000, M + 450_000}
+    assert _latest(table)[("2024-01-01 00:01:00", "s")] == (3, 3.0, 3)
+
+
+def test_late_counters_and_partials_of_the_staged_job(spark, scratch):
+    """A7 and T5/S10 in the stream: counters equal the batch statistics, partial metrics the recomputation with all rows."""
+    from panewise.operators.late import batch_watermarks, classify_late, late_events, late_stats, metrics_excluding_late
+
+    src = os.path.join(scratch, "in")
+    batches, k = [], 0
+    for i in range(5):
+        rows = []
+        for j in range(40):
+            off = i * 1_800_000 + j * 1000 if j % 5 else max(0, (i - 1 - j % 3)) * 1_800_000 + j * 500
+            rows.append((f"e{k}", f"u{k % 17}", "ab"[k % 2], off))
+            k += 1
+        batches.append(rows)
+        _write_file(src, i, rows)
+    table = MetricsTable(spark, os.path.join(scratch, "t"))
+
+    def run(root):
+        router, qs = start_staged_query(read_messages(spark, src, stream=True, files_per_trigger=1), root, table, trigger_seconds=None, alert_threshold=4, with_partials=True)
+        for q in qs:
+            q.processAllAvailable()
+            q.stop()
+        return router
+
+    router = run(os.path.join(scratch, "job"))
+    flat = [(e, u, s, 0.1, M + off, b) for b, rows in enumerate(batches) for e, u, s, off in rows]
+    df = spark.createDataFrame(flat, "event_id string, user_id string, store_id string, amount double, event_time long, batch_id long")
+    c = classify_late(df, watermarks=batch_watermarks(df))
+    want = sorted(map(tuple, late_stats(late_events(c), alert_threshold=4).collect()))
+    assert sorted(map(tuple, router.late_stats().collect())) == want and len(want) > 3 and any(r[-1] for r in want)
+    alerts = [(r.store_id, r.bucket_start) for r in router.late_alerts().collect()]
+    assert sorted(alerts) == sorted((r[0], r[1]) for r in want if r[-1])
+    # a batch that runs again writes the same counters and the same alerts
+    first = [r for r in flat if r[-1] == 4]
+    again = spark.createDataFrame(first, df.schema).withColumn("event_ts", F.timestamp_millis("event_time")).drop("batch_id")
+    router._through = {}
+    router.process(again, 4)
+    assert sorted(map(tuple, router.late_stats().collect())) == want
+    assert sorted((r.store_id, r.bucket_start) for r in router.late_alerts().collect()) == sorted(alerts)
+    timed = c.withColumn("event_ts", F.timestamp_millis("event_time"))
+    assert sorted(map(tuple, router.partials.metrics().collect())) == sorted(map(tuple, window_metrics(timed).collect()))
+    assert sorted(map(tuple, router.partials.metrics(sources=["on_time"]).collect())) == sorted(map(tuple, metrics_excluding_late(timed).collect()))
+
+
 def test_metrics_stream_dead_letters(spark, scratch):
     from panewise.streaming.job import start_anomaly_query
 
