@@ -15,7 +15,10 @@ passages that are shared as a whole, so l thins them out only once it exceeds th
 prefixes, l rows must meet, and what is left behind the last one must still suffice for the overlap.
 
 Groups of copies. Within the documents of one shared shingle each is first verified against
-one pivot; components of these links stand for whole groups of near copies. Then all
+one pivot; components of these links stand for whole groups of near copies. Rounds with other pivots follow,
+for the shingles whose documents still lie in several components: each shingle offers a few of its documents, each
+document is verified against the few it shares most with. They end when few pairs are left or a round takes few
+away, whatever the number of rounds. Then all
 pairs whose documents lie in different components are joined (a pair inside
 one component cannot change it), so no group of similar documents is expanded into all pairs.
 
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
@@ -44,6 +47,8 @@ SKETCH_LOG2 = 23
 SLICES = 64
 #: Cost of verifying a candidate, in rows of a prefix: so much for the pair, and so much for each shingle.
 VERIFY_PAIR, VERIFY_SHINGLE = 60.0, 0.3
+#: Pivots of a shingle and of a document in a round. Rounds go on while the pairs left are more than so many per row and fall below that part.
+PIVOTS, FEW_PAIRS, PROGRESS = 4, 2, 0.8
 #: Other documents that a shingle the sketch takes for rare is expected to meet.
 RARE = 0.2
 
@@ -226,26 +231,28 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
     return map_arrow(docs, run, "token long, class long, n int, place int, need int")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole shingle sets reach the threshold, compared by one document of each class."""
-    spark = pairs.sparkSession
-    rep = classes.select("class", "rep")
-    pairs = pairs.join(rep.select(F.col("class").alias("a"), F.col("rep").alias("ra")), "a").join(rep.select(F.col("class").alias("b"), F.col("rep").alias("rb")), "b")
-    pairs = written(pairs, "pairs")
-    wanted = spark.sparkContext.broadcast(id_filter(pairs.select(F.explode(F.array("ra", "rb")).alias("id"))))
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(class, text) of one document of each class that the one column of ``wanted`` names."""
+    spark = docs.sparkSession
+    ids = classes.join(wanted.toDF("class").distinct(), "class", "left_semi").select("rep")
+    held = spark.sparkContext.broadcast(id_filter(ids))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = np.asarray(batch.column(0).is_valid())
-            ok[ok] = wanted.value.has(batch.column(0).drop_null().to_numpy())
+            ok[ok] = held.value.has(batch.column(0).drop_null().to_numpy())
             text = batch.column(1).filter(pa.array(ok))
             sets = [shingles(t, width) for t in column_bytes(text)]
             yield pa.record_batch({"class": pa.array([set_digest(h) if len(h) else None for h in sets], pa.int64()), "text": text})
 
     # by class, since an id may have several texts
-    found = map_arrow(docs, texts, "class long, text string").dropDuplicates(["class"])
-    rows = pairs.select("a", "b").join(found.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
-    rows = rows.join(found.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    return map_arrow(docs, texts, "class long, text string").dropDuplicates(["class"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose whole shingle sets reach the threshold; ``texts`` has a text of each class."""
+    rows = pairs.select("a", "b").join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
+    rows = rows.join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, h = None, np.empty(0, U64)
@@ -262,6 +269,34 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return map_arrow(rows, compare, "a long, b long")
 
 
+FIELDS = ("class", "n", "place", "need")
+
+
+def _open_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the shingles whose documents still lie in several components, with their component and the shingle's ``largest``."""
+    labels = components(links).withColumnRenamed("node", "class")
+    known = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("met"), F.max("k").alias("most"))
+    return written(known.join(largest.filter("parts > 1").drop("parts"), "token"), "known")
+
+
+def _pivot_pairs(known: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components to verify: for each document the ``PIVOTS`` with which it shares most.
+
+    Each shingle offers ``PIVOTS`` of its documents, others every turn. Their pairs need not pass the prefix filters: every
+    document brings at most ``PIVOTS`` of them, and what is not found here is left to the exact join.
+    """
+    one = F.struct("class", "n", "component")
+    offered = [F.min_by(one, F.xxhash64("class", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS)]
+    pivots = known.groupBy("token").agg(F.array_distinct(F.array(*offered)).alias("p")).select("token", F.explode("p").alias("p"))
+    met = known.join(pivots, "token").filter("component <> p.component").filter(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent)
+    met = met.groupBy("class", F.col("p.class").alias("pivot")).agg(F.count("*").alias("met"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("met"), F.xxhash64("pivot", F.lit(turn))))
+    best = met.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS)
+    return best.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for every row: component_id is the smallest id reachable by links.
 
@@ -283,26 +318,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = written(_prefix_rows(docs, width, shared, reps, tokens).distinct(), "prefixes")
 
     # 1. every document against the pivot it shares most shingles with
-    fields = ("class", "n", "place", "need")
-    one = F.struct(*fields)
+    one = F.struct(*FIELDS)
     pivots = rows.groupBy("token").agg(F.min(one).alias("p"), F.max("class").alias("top")).filter("p.class <> top")
-    pivots = pivots.select("token", *[F.col(f"p.{c}").alias(f"y_{c}") for c in fields])
-    star = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in fields]).join(pivots, "token").filter("x_class <> y_class")
+    pivots = pivots.select("token", *[F.col(f"p.{c}").alias(f"y_{c}") for c in FIELDS])
+    star = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in FIELDS]).join(pivots, "token").filter("x_class <> y_class")
     star = _candidates(star, percent)  # b is never the pivot of its row: a pivot is the smallest class
-    star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b")
-    first = written(verified(star, docs, classes, width, percent), "links")
-    labels = written(components(first), "labels")
-
-    # 2. all pairs that could still join two components
-    known = rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    known = written(known.join(largest, "token"), "known")
-    x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in (*fields, "component")])
-    y = known.select("token", "largest", *[F.col(c).alias(f"y_{c}") for c in (*fields, "component")])
+    star = written(star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b"), "pairs")
+    texts = _texts(docs, classes, star.select(F.explode(F.array("a", "b"))), width)
+    links = written(verified(star, texts, width, percent), "links")
+    known = _open_rows(rows, links)
+    texts = written(_texts(docs, classes, known.select("class"), width), "texts")
+
+    # 2. other pivots, until few pairs are left or few documents find a link
+    turn, before = 0, math.inf
+    while True:
+        size = known.agg(F.count("*").alias("rows"), F.sum(F.when(F.col("component") != F.col("largest"), F.col("met")).otherwise(0)).alias("pairs")).first()
+        if not size["rows"] or size["pairs"] <= FEW_PAIRS * size["rows"] or size["pairs"] > PROGRESS * before:
+            break
+        turn, before = turn + 1, size["pairs"]
+        links = links.union(written(verified(_pivot_pairs(known, turn, percent), texts, width, percent), "links"))
+        known = _open_rows(known.select("token", *FIELDS), links)
+
+    # 3. all pairs that could still join two components
+    x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in (*FIELDS, "component")])
+    y = known.select("token", "largest", *[F.col(c).alias(f"y_{c}") for c in (*FIELDS, "component")])
     pairs = x.join(y, "token").filter("x_component <> y_component AND (y_component = largest OR x_class < y_class)")
     pairs = _candidates(pairs, percent).select("a", "b")
-    links = first.union(written(verified(pairs, docs, classes, width, percent), "links"))
+    links = links.union(written(verified(pairs, texts, width, percent), "links"))
     same = prints.filter("class IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("a", "b")
     linked = components(links.union(same))
     member = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -145,6 +145,29 @@ def test_jaccard_against_brute_force(frame, prose):
     assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect()), key=repr) == want
 
 
+def test_rounds_of_pivots_change_no_result(frame, prose, monkeypatch):
+    """Copies around the threshold, most of them unlike most others: every number of rounds gives the same groups."""
+    rng, base = random.Random(12), prose(99, 90).split()
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(2, 7)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    df = frame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, ngramjoin.near_duplicates(df).collect()))
+    rounds = []
+    pivots = ngramjoin._pivot_pairs
+    monkeypatch.setattr(ngramjoin, "_pivot_pairs", lambda *a: rounds.append(a[1]) or pivots(*a))
+    monkeypatch.setattr(ngramjoin, "FEW_PAIRS", 0)
+    monkeypatch.setattr(ngramjoin, "PROGRESS", 1)
+    assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect())) == want
+    sets = [{tuple(t.lower().split()[k : k + 5]) for k in range(86)} for _, t in rows]
+    links = [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    label = closure(range(120), links)
+    assert {r[0]: r[2] for r in want} == label and rounds and len(set(label.values())) > 3
+
+
 def test_jaccard_of_ids_with_several_texts(frame, prose):
     near = lambda t: t.rsplit(" ", 1)[0] + " other"
     rows = []
