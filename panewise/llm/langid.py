@@ -369,14 +369,16 @@ def predict(df: DataFrame, model: KneserNey | None, text_col: str = "text", keep
     """
     n_keep = len(keep)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    picked = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], df[text_col].cast("string").alias("text_"))
+    # a text that is kept travels once
+    own = keep.index(text_col) if text_col in keep and dict(df.dtypes)[text_col] == "string" else n_keep
+    picked = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], *([df[text_col].cast("string").alias("text_")] if own == n_keep else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for start in range(0, max(1, batch.num_rows), 400):
                 part = batch.slice(start, 400)
-                texts = part.column(n_keep).to_pylist()
+                texts = part.column(own).to_pylist()
                 if model is None:
                     lang, score, low, ok = [UND] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan), np.zeros(len(texts), bool)
                 else:

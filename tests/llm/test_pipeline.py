@@ -105,7 +105,7 @@ def test_odd_tables(spark, tmp_path):
 
 def test_registered_queries():
     names = list(entries.queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     import __spark_entry__
 
     assert {*names, "pipeline"} <= set(__spark_entry__.queries())
