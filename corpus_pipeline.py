@@ -25,9 +25,10 @@ RANKS = "byte_bpe_50k.tiktoken"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows of ``docs``; texts that the models reject go."""
     model = langid.fit(docs)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), "text")  # the columns travel as one, whatever their names
-    kept = langid.predict(packed, model, keep=("row",)).filter("accepted")
-    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select(F.struct(*others).alias("row"), "text") if others else docs  # the other columns travel as one, whatever their names
+    kept = langid.predict(packed, model, keep=("row", "text") if others else ("text",)).filter("accepted")
+    return kept.select(*[F.col(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
