@@ -9,6 +9,8 @@ down the exact path, so results never depend on their size.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
@@ -51,6 +53,14 @@ def kept_schema(df: DataFrame, n: int, ddl: str) -> T.StructType:
     return T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema.fields[:n]), *T.StructType.fromDDL(ddl).fields])
 
 
+def give_back() -> None:
+    """Return memory that this worker has freed to the system; workers live on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (in any case of letters)."""
     taken = {c.lower() for c in df.columns}

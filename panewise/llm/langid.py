@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panewise.llm.common import U64, kept_schema, map_arrow, mix
+from panewise.llm.common import U64, give_back, kept_schema, map_arrow, mix
 
 ORDER = 5
 #: Bounds of the training sample and of the model (see the module docstring).
 ROWS_PER_LANG = 600
 MAX_NGRAMS = 400_000
 #: Characters scored together.
-BLOCK = 400_000
+BLOCK = 100_000
 SHARPNESS = 6.0
 #: Length classes (scored symbols) of the rejection limit; texts below ``SHORT`` symbols get ``SHORT_MARGIN``.
 CLASSES, SHORT, SHORT_MARGIN = (12, 40, 100, 400, 1600), 40, 2.0
@@ -270,6 +270,7 @@ def _limits(model: KneserNey | None, df: DataFrame, learnt: DataFrame | None, te
     rows = df.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(F.col("lang").isin(model.langs) & F.col("text").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         model, known = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, 400):
@@ -374,6 +375,7 @@ def predict(df: DataFrame, model: KneserNey | None, text_col: str = "text", keep
     picked = df.select(*[df[c].alias(f"c{i}") for i, c in enumerate(keep)], *([df[text_col].cast("string").alias("text_")] if own == n_keep else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         model = shared.value
         for batch in batches:
             for start in range(0, max(1, batch.num_rows), 400):
