@@ -48,7 +48,7 @@ SLICES = 64
 #: Cost of verifying a candidate, in rows of a prefix: so much for the pair, and so much for each shingle.
 VERIFY_PAIR, VERIFY_SHINGLE = 60.0, 0.3
 #: Pivots of a shingle and of a document in a round. Rounds go on while the pairs left are more than so many per row and fall below that part.
-PIVOTS, FEW_PAIRS, PROGRESS = 4, 2, 0.8
+PIVOTS, FEW_PAIRS, PROGRESS = 4, 2, 0.5
 #: Other documents that a shingle the sketch takes for rare is expected to meet.
 RARE = 0.2
 

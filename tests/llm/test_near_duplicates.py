@@ -160,7 +160,6 @@ def test_rounds_of_pivots_change_no_result(frame, prose, monkeypatch):
     pivots = ngramjoin._pivot_pairs
     monkeypatch.setattr(ngramjoin, "_pivot_pairs", lambda *a: rounds.append(a[1]) or pivots(*a))
     monkeypatch.setattr(ngramjoin, "FEW_PAIRS", 0)
-    monkeypatch.setattr(ngramjoin, "PROGRESS", 1)
     assert sorted(map(tuple, ngramjoin.near_duplicates(df).collect())) == want
     sets = [{tuple(t.lower().split()[k : k + 5]) for k in range(86)} for _, t in rows]
     links = [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
