@@ -126,8 +126,12 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = ordinary_specials
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.by_word = self._ids(["a b", "  a\tb\r\n\x0b\x0c"]) == [b"".join(self._ids(["a", "b"]))] * 2
+        # tokens that the library cuts out of a text before it splits it; words with one go to the library as they are
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_word = self.by_word and not any(t.split() != [t] for t in added)
+        self.added = tuple(t.lower().encode() for t in added)
         # a vocabulary without capitals folds them itself; folding them first makes fewer words
-        self.folds = self.by_word and ordinary_specials and self._ids([string.ascii_uppercase, "It'S", "A1b"]) == self._ids([string.ascii_lowercase, "it's", "a1b"])
+        self.folds = self.by_word and self._ids([string.ascii_uppercase, "It'S", "A1b"]) == self._ids([string.ascii_lowercase, "it's", "a1b"])
         # one that always parts letters from punctuation: a word's tail is a word of its own
         tails = [*string.punctuation, "...", "!?", "***", "')", '."']
         self.parts_tails = self.by_word and self._ids([f"ab{t}" for t in tails]) == [a + b for a, b in zip(self._ids(["ab"] * len(tails)), self._ids(tails), strict=True)]
@@ -137,10 +141,20 @@ class WordEncoder:
         code = "H" if self.dtype.itemsize == 2 else "I"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _has_added(self, lowered: bytes) -> bool:
+        return any(t in lowered for t in self.added)
+
+    def _folded(self, text: bytes) -> bytes:
+        """``text`` in small letters, unless that could make an added token of other letters."""
+        if not self.folds:
+            return text
+        low = text.lower()
+        return text if self._has_added(low) else low
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._ids([t.decode() for t in texts])
-        split = [(t.lower() if self.folds else t).split() for t in texts]  # bytes: ASCII letters and white space only
+        split = [self._folded(t).split() for t in texts]  # bytes: ASCII letters and white space only
         memory = self.memory
         missing = list({w for words in split for w in words if w not in memory})
         if len(memory) + len(missing) > WORD_MEMORY:
@@ -150,7 +164,7 @@ class WordEncoder:
         if self.parts_tails:
             for w in missing:
                 stem = w.rstrip(_PUNCTUATION)
-                if stem and len(stem) < len(w) and stem[-1:].isalpha():  # an ASCII letter
+                if stem and len(stem) < len(w) and stem[-1:].isalpha() and not self._has_added(w.lower()):  # an ASCII letter
                     tailed.append((w, stem, w[len(stem) :]))
             whole = {w for w, _, _ in tailed}
             new = {p for _, *parts in tailed for p in parts if p not in memory}
@@ -163,10 +177,10 @@ class WordEncoder:
         return [b"".join(map(memory.__getitem__, words)) for words in split]
 
 
-def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", ordinary_specials: bool = True, block_ids: int = BLOCK_IDS) -> None:
+def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", ordinary_specials: bool = False, block_ids: int = BLOCK_IDS) -> None:
     """Encode every whole text, append ``end_id`` to each document, and write blocks in ascending id order to ``path``.
 
-    ``ordinary_specials``: strings of special tokens inside a text are text.
+    A special token written in a text gets its own id, as in the library; with ``ordinary_specials`` it is text like any other.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()

@@ -91,17 +91,22 @@ def test_elias_fano():
         tokenfile.EliasFano.build(np.array([2, 1]))
 
 
-def test_token_file(spark, frame, prose):
-    texts = [*odd_texts(), prose(1, 3000), "Mixed CASE Ünï don't 123 !!", None, "é á"]
+SPECIAL = ["hello <|endoftext|> world", "Hello<|endoftext|>World.", "<|EndOfText|> A <|ENDOFTEXT|>", "a<|startoftext|><|endoftext|>!", "<|endoftext", "<| endoftext |>", "É<|endoftext|>É..", "<|endoftext|>\n<|endoftext|>"]
+
+
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_token_file(spark, frame, prose, ordinary):
+    texts = [*odd_texts(), prose(1, 3000), "Mixed CASE Ünï don't 123 !!", None, "é á", *SPECIAL]
     rows = [(3 * i, t) for i, t in enumerate(texts)]
     df = frame(rows, "doc_id long, text string", extra=("start", "ids"))
     path = shared_path(spark, "test-tokens")
-    tokenfile.write(df, path, WORDS, 1, block_ids=700)
+    tokenfile.write(df, path, WORDS, 1, block_ids=700, **({"ordinary_specials": True} if ordinary else {}))
     blocks = tokenfile.read(spark, path)
     got = {r.doc_id: r for r in tokenfile.digests(blocks).collect()}
     whole = {r.doc_id: bytes(r.ids) for r in tokenfile.documents(blocks).collect()}
     library, start = Tokenizer.from_file(WORDS), 0
-    library.encode_special_tokens = True
+    if ordinary:
+        library.encode_special_tokens = True
     for i, t in rows:
         ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
