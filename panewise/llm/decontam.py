@@ -88,18 +88,18 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     """One row per document and item that overlap: (id, item, n_match, n_differ, doc_start, item_start, item_words)."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
-    items = written(benchmark_items(benchmark, item_col, item_text_col), "items")
+    items = written(benchmark_items(benchmark, item_col, item_text_col).withColumn("item_tag", F.xxhash64("words")), "items")
     widths = tuple(sorted(r["n"] for r in items.filter(F.col("n") < SPAN).select("n").distinct().collect()))  # at most SPAN values
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, raw, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for item, raw, n, tag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h, at = seeds(np.frombuffer(raw, U64), (n,) if n < SPAN else ())
                 if n < SPAN:  # whole items only
                     h, at = h[-1:], at[-1:]
-                yield pa.record_batch({"seed": pa.array(h.view(np.int64)), "item": pa.array([item] * len(h), pa.int64()), "words": pa.array([raw] * len(h), pa.binary()), "item_at": pa.array(at.astype(np.int32))})
+                yield pa.record_batch({"seed": pa.array(h.view(np.int64)), "item": pa.array([item] * len(h), pa.int64()), "item_tag": pa.array([tag] * len(h), pa.int64()), "item_at": pa.array(at.astype(np.int32))})
 
-    grams = map_arrow(items, item_seeds, "seed long, item long, words binary, item_at int").withColumn("item_tag", F.xxhash64("words"))
+    grams = map_arrow(items.select("item", "words", "n", "item_tag"), item_seeds, "seed long, item long, item_tag long, item_at int")
     known = spark.sparkContext.broadcast(id_filter(grams.select("seed"), 22))
 
     def doc_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +115,9 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
             at = np.concatenate([a for _, a, _ in out]) if out else np.empty(0, np.int64)
             yield pa.record_batch({"seed": pa.array(h.view(np.int64)), "id": batch.column(0).take(pa.array(rows)), "tag": batch.column(2).take(pa.array(rows)), "doc_at": pa.array(at.astype(np.int32))})
 
-    hits = map_arrow(docs, doc_seeds, "seed long, id long, tag long, doc_at int").join(grams.select("seed", "item", "item_tag", "item_at"), "seed")
-    found = hits.select("id", "tag", "item", "item_tag", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    hits = map_arrow(docs, doc_seeds, "seed long, id long, tag long, doc_at int").join(grams, "seed")
+    # at most as many alignments as document and item have words
+    found = hits.groupBy("id", "tag", "item", "item_tag").agg(F.collect_set(F.col("doc_at") - F.col("item_at")).alias("shifts"))
     found = written(found, "hits")
     marked = spark.sparkContext.broadcast(id_filter(found.select("tag")))
 
@@ -125,21 +126,20 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
             yield batch.filter(pa.array(marked.value.has(batch.column(2).to_numpy()), pa.bool_()))
 
     texts = map_arrow(docs, candidates, "id long, text string, tag long").dropDuplicates(["tag"]).select("tag", "text")
-    words = items.select("item", "words", "n").withColumn("item_tag", F.xxhash64("words"))
-    rows = found.join(words, ["item", "item_tag"]).join(texts, "tag").select("id", "tag", "item", "shift", "words", "text")
+    rows = found.join(items.select("item", "item_tag", "words"), ["item", "item_tag"]).join(texts, "tag").select("id", "tag", "item", "shifts", "words", "text")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, doc = None, np.empty(0, U64)
         for batch in batches:
             out = []
-            ids, tags, item_ids, shifts, raws = (batch.column(i).to_pylist() for i in range(5))
+            ids, tags, item_ids, shift_lists, raws = (batch.column(i).to_pylist() for i in range(5))
             for i, text in enumerate(column_bytes(batch.column(5))):
                 if text != last:
                     last, doc = text, words_of(text)
                 item = np.frombuffer(raws[i], U64)
-                n, a, b = overlap(doc, item, shifts[i])
+                n, less, at, start = max((n, a + n - b, -a - shift, -a) for shift in shift_lists[i] for n, a, b in (overlap(doc, item, shift),))
                 if n >= min(min_match, len(item)):
-                    out.append((ids[i], tags[i], item_ids[i], n, b - a - n, a + shifts[i], a, len(item)))
+                    out.append((ids[i], tags[i], item_ids[i], n, -less, -at, -start, len(item)))
             kinds = [pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 5]
             yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["id", "tag", "item", "n_match", "n_differ", "doc_start", "item_start", "item_words"])
 

@@ -328,6 +328,16 @@ def test_decontamination(frame, prose):
     assert decontam.overlaps(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_by_a_very_long_item(frame, prose):
+    item = [f"{w}{i % 13}" for i, w in enumerate(prose(7, 20_000).split())]
+    part = item[9_000:9_040]
+    docs = [(1, " ".join(item)), (2, "and " + " ".join([*part[:20], "other", *part[21:]]) + " or"), (3, prose(8, 500)), (4, "so so " * 5_000)]
+    df = frame(docs, "doc_id long, text string")
+    bench = frame([(1, " ".join(item)), (2, "so " * 300)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_match, r.n_differ, r.doc_start, r.item_start) for r in decontam.overlaps(df, bench).collect()}
+    assert got == {(1, 1): (20_000, 0, 0, 0), (2, 1): (39, 1, 1, 9_000), (4, 2): (300, 0, 0, 0)}
+
+
 # ------------------------------------------------------------ lines
 
 
