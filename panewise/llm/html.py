@@ -59,7 +59,7 @@ DROP_WORDS = frozenset("ad ads advert advertisement adverts advertising banner b
 DROP_COMPOUNDS = frozenset("ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper banner-ad comment-body comment-form comment-list comments-area comments-list comments-section cookie-banner cookie-bar cookie-consent cookie-notice cookie-popup disqus-thread left-sidebar main-menu main-nav main-navigation nav-bar nav-menu newsletter-form newsletter-signup page-footer page-navigation post-navigation post-pagination related-articles related-links related-posts right-sidebar share-bar share-buttons share-links sidebar-left sidebar-right site-footer site-nav site-navigation skip-link skip-to-content social-icons social-links social-media social-share top-nav".split())
 DROP_ARTICLES = frozenset("ad advert comment comment-body comments related related-article related-post".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NUMBER = re.compile(r"-?[0-9]+$")
 
@@ -200,10 +200,10 @@ def _close(stack: list[Node], tags: tuple[str, ...]) -> None:
 class Slot:
     """A node of a skeleton: ``label`` and child slots, found by their label."""
 
-    __slots__ = ("label", "children", "at", "path")
+    __slots__ = ("label", "children", "at", "no")
 
     def __init__(self, label: str):
-        self.label, self.children, self.at, self.path = label, [], {}, ""
+        self.label, self.children, self.at, self.no = label, [], {}, 0
 
     def fit(self, labels: list[str]) -> list["Slot"]:
         """A child slot for each label, in order; where none is left, one is put in, so the child slots of brothers unite."""
@@ -236,17 +236,21 @@ class Slot:
 
 def elements(node: Node) -> Iterator[Node]:
     """Child elements, through inline ones."""
-    for c in node.children:
-        if isinstance(c, str) or c.tag in VOID:
-            continue
-        if c.tag in INLINE and not c.role:
-            yield from elements(c)
-        else:
+    todo = [iter(node.children)]
+    while todo:
+        for c in todo[-1]:
+            if isinstance(c, str) or c.tag in VOID:
+                continue
+            if c.tag in INLINE and not c.role:
+                todo.append(iter(c.children))
+                break
             yield c
+        else:
+            todo.pop()
 
 
-def layout(root: Node) -> tuple[str, dict[int, str]]:
-    """The tree without texts, ``tag(role)[children]``, and the path in it of each element (by ``id``).
+def layout(root: Node) -> tuple[str, dict[int, int]]:
+    """The tree without texts, ``tag(role)[children]``, and for each element (by ``id``) the number of its node in it, from 0 in page order.
 
     Inline elements are left out. Brothers in a row with the same tag and role are one node; its children
     unite theirs, so that the children of each brother have places in order.
@@ -267,13 +271,22 @@ def layout(root: Node) -> tuple[str, dict[int, str]]:
                 if c.role != "-":
                     todo.append(c)
 
-    def write(slot: Slot) -> str:
-        for i, c in enumerate(slot.children):
-            c.path = f"{slot.path}/{i}"
-        return f"{slot.label}[{' '.join([write(c) for c in slot.children])}]"
-
-    text = write(top)
-    return text, {k: slot.path for k, slot in place.items()}
+    text: list[str] = []
+    left: list[Slot | str] = [top]
+    no = 0
+    while left:
+        one = left.pop()
+        if isinstance(one, str):
+            text.append(one)
+            continue
+        one.no, no = no, no + 1
+        text.append(one.label + "[")
+        left.append("]")
+        for i in range(len(one.children) - 1, -1, -1):
+            left.append(one.children[i])
+            if i:
+                left.append(" ")
+    return "".join(text), {k: slot.no for k, slot in place.items()}
 
 
 def _label(node: Node) -> str:
@@ -285,117 +298,144 @@ def skeleton(node: Node) -> str:
     return layout(node)[0]
 
 
-@lru_cache(5_000)
-def read_skeleton(text: str) -> tuple:
-    """(label, children) of a skeleton."""
-    at = 0
-
-    def node() -> tuple:
-        nonlocal at
-        end = text.index("[", at)
-        label, at = text[at:end], end + 1
-        children = []
-        while text[at] != "]":
-            if text[at] == " ":
-                at += 1
-            children.append(node())
-        at += 1
-        return label, tuple(children)
-
-    return node()
-
-
-@lru_cache(50_000)
-def tree_match(a: tuple, b: tuple) -> tuple[int, tuple]:
-    """Simple tree matching: the number of matched nodes, and for each matched child pair (i, j)."""
-    if a[0] != b[0]:
-        return 0, ()
-    m, n = len(a[1]), len(b[1])
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    gain = [[0] * n for _ in range(m)]
-    for i in range(m):
-        for j in range(n):
-            gain[i][j] = tree_match(a[1][i], b[1][j])[0]
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + gain[i][j])
-    pairs, i, j = [], m, n
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
+class Tree:
+    """A node of a skeleton that was read: ``no`` is its number in it, from 0 in page order."""
+
+    __slots__ = ("label", "children", "no")
+
+    def __init__(self, label: str, no: int):
+        self.label, self.no = label, no
+        self.children: list[Tree] = []
+
+
+_OPEN = re.compile(r"([^\[\] ]*)\[|\]")
+
+
+def read_skeleton(text: str) -> Tree:
+    top = Tree("", -1)
+    stack, no = [top], 0
+    for m in _OPEN.finditer(text):
+        if m[1] is None:
+            stack.pop()
         else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return best[m][n] + 1, tuple(reversed(pairs))
+            node = Tree(m[1], no)
+            no += 1
+            stack[-1].children.append(node)
+            stack.append(node)
+    return top.children[0]
 
 
-@lru_cache(20_000)
-def slots(page: str, reference: str) -> dict[str, str]:
-    """Path of each node of the page's skeleton -> path of the reference node aligned with it."""
-    out: dict[str, str] = {}
+def _matches(a: Tree, b: Tree) -> dict[tuple[int, int], tuple[int, tuple]]:
+    """By the numbers of each pair of nodes that simple tree matching compares: the number of matched nodes, and the matched child pairs."""
+    found: dict[tuple[int, int], tuple[int, tuple]] = {}
+    todo = [(a, b, False)] if a.label == b.label else []
+    while todo:
+        x, y, ready = todo.pop()
+        if not ready:
+            todo.append((x, y, True))
+            todo += [(c, d, False) for c in x.children for d in y.children if c.label == d.label]
+            continue
+        m, n = len(x.children), len(y.children)
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i, c in enumerate(x.children):
+            row, above = best[i + 1], best[i]
+            for j, d in enumerate(y.children):
+                gain = found[c.no, d.no][0] if c.label == d.label else 0
+                row[j + 1] = max(above[j + 1], row[j], above[j] + gain)
+        pairs, i, j = [], m, n
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+        found[x.no, y.no] = best[m][n] + 1, tuple(reversed(pairs))
+    return found
+
+
+def tree_match(a: Tree, b: Tree) -> tuple[int, tuple]:
+    """Simple tree matching: the number of matched nodes, and for each matched child pair (i, j)."""
+    return _matches(a, b).get((a.no, b.no), (0, ()))
 
-    def walk(a: tuple, b: tuple, path_a: str, path_b: str) -> None:
-        out[path_a] = path_b
-        for i, j in tree_match(a, b)[1]:
-            walk(a[1][i], b[1][j], f"{path_a}/{i}", f"{path_b}/{j}")
 
+@lru_cache(5_000)
+def slots(page: str, reference: str) -> tuple[int | str, ...]:
+    """For each node of the page's skeleton the number of the reference node aligned with it, else a digest of its place below the next one that is."""
     p, r = read_skeleton(page), read_skeleton(reference)
-    if tree_match(p, r)[0]:
-        walk(p, r, "", "")
-    return out
+    found = _matches(p, r)
+    out: dict[int, int | str] = {}
+    todo: list[tuple[Tree, Tree | None, int | str]] = [(p, r if found else None, "")]
+    while todo:
+        x, y, place = todo.pop()
+        out[x.no] = place if y is None else y.no
+        pair = dict(found[x.no, y.no][1]) if y else {}
+        seen: Counter = Counter()
+        for i, c in enumerate(x.children):
+            if i in pair:
+                todo.append((c, y.children[pair[i]], ""))
+            else:
+                todo.append((c, None, hashlib.blake2b(f"{out[x.no]}/{c.label}/{seen[c.label]}".encode(), digest_size=8).hexdigest()))
+                seen[c.label] += 1
+    return tuple(out[i] for i in range(len(out)))
 
 
-def blocks(root: Node, place: dict[int, str]) -> list[tuple[str, str]]:
-    """(path, text) of the content blocks in page order; the path is that of the block's node in the skeleton."""
+def blocks(root: Node, place: dict[int, int]) -> list[tuple[int, str]]:
+    """(number, text) of the content blocks in page order; the number is that of the block's node in the skeleton."""
     articles: list[Node] = []
     body: list[Node] = []
-
-    def find(node: Node) -> None:
-        for child in elements(node):
-            if child.role == "+":
-                articles.append(child)
-            elif child.role != "-":
-                if child.tag == "body":
-                    body.append(child)
-                find(child)
-
-    find(root)
-    out: list[tuple[str, str]] = []
+    todo = [elements(root)]
+    while todo:
+        child = next(todo[-1], None)
+        if child is None:
+            todo.pop()
+        elif child.role == "+":
+            articles.append(child)
+        elif child.role != "-":
+            if child.tag == "body":
+                body.append(child)
+            todo.append(elements(child))
+    out: list[tuple[int, str]] = []
     for node in articles or body or [root]:
         _collect(node, place, out, bool(articles))
     return out
 
 
-def _collect(node: Node, place: dict[int, str], out: list[tuple[str, str]], in_article: bool) -> None:
-    path = place[id(node)]
+def _collect(top: Node, place: dict[int, int], out: list[tuple[int, str]], in_article: bool) -> None:
     run: list[str] = []
 
-    def flush(at: str) -> None:
+    def flush(at: int) -> None:
         text = " ".join("".join(run).split())
         if text:
             out.append((at, text))
         run.clear()
 
-    def walk(n: Node) -> None:
-        for c in n.children:
+    todo = [(iter(top.children), place[id(top)], True)]
+    while todo:
+        children, at, block = todo[-1]
+        for c in children:
             if isinstance(c, str):
                 run.append(c)
             elif c.tag in VOID:
                 if c.tag in ("br", "hr"):
                     run.append(" ")
             elif c.role == "-" or c.tag == "title" or c.tag == "header" and not in_article:
-                flush(path)
+                flush(at)
             elif c.tag in INLINE and not c.role:
-                walk(c)
+                todo.append((iter(c.children), at, False))
+                break
             else:
-                flush(path)
-                _collect(c, place, out, in_article)
-
-    walk(node)
-    flush(path)
+                flush(at)
+                todo.append((iter(c.children), place[id(c)], True))
+                break
+        else:
+            if block:
+                flush(at)
+            todo.pop()
 
 
-def key_of(slot: str, text: str) -> int:
+def key_of(slot: int | str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{slot}\0{text}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
@@ -406,8 +446,8 @@ def keyed_blocks(html: str | None, reference: str | None) -> tuple[list[str], li
     root = parse(html)
     shape, place = layout(root)
     found = blocks(root, place)
-    slot = slots(shape, reference) if reference else {}
-    return [t for _, t in found], [key_of(slot.get(p, f"own {p}"), t) for p, t in found]
+    slot = slots(shape, reference) if reference else None
+    return [t for _, t in found], [key_of(slot[no] if slot else f"own {no}", t) for no, t in found]
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -157,7 +157,9 @@ def test_tree_matching():
     b = html.read_skeleton("r[b[d[]] x[] e[]]")
     size, pairs = html.tree_match(a, b)
     assert size == 4 and pairs == ((1, 0), (2, 2))  # r, b with d, and e
-    assert html.slots("r[a[] b[c[] d[]] e[]]", "r[b[d[]] x[] e[]]") == {"": "", "/1": "/0", "/1/1": "/0/0", "/2": "/2"}
+    places = html.slots("r[a[] b[c[] d[]] e[]]", "r[b[d[]] x[] e[]]")  # r a b c d e: numbers of r b d x e
+    assert {i: at for i, at in enumerate(places) if isinstance(at, int)} == {0: 0, 2: 1, 4: 2, 5: 4}
+    assert len(set(places)) == 6
     assert html.tree_match(a, html.read_skeleton("q[]"))[0] == 0
 
 
@@ -191,6 +193,23 @@ def test_unlike_brothers_keep_their_texts():
     assert html.keyed_blocks("<body><x[y]>t</x[y]></body>", "#[body[]]")[0] == ["t"]
 
 
+def test_deep_pages(frame):
+    deep = lambda tag, n, close=True: f"<{tag}>" * n + "deep" + (f"</{tag}>" * n if close else "")
+    pages = [f"<article><p>a</p>{deep(tag, n, close)}<p>z</p></article>" for tag in ("div", "b", "blockquote", "ul><li") for n in (500, 5_000) for close in (True, False) if tag != "ul><li" or not close]
+    pages += [deep("div", 50_000, False), deep("i", 50_000, False), "<article>" + "<div><b>" * 5_000 + "deep"]
+    rows = [(i, "http://deep.example/", p.replace("<p>a", f"<p>a{i}").replace("deep", f"deep{i}").replace("<p>z", f"<p>z{i}")) for i, p in enumerate(pages)]
+    out = run_html(frame, rows)
+    for i, _, p in rows:
+        assert out[i].text == plain_walk(p) if "<b>" * 9 not in p and "<i>" not in p else out[i].text.replace(" ", "") == plain_walk(p).replace(" ", "")
+
+
+def test_unclosed_quotes():
+    texts = lambda page: " ".join(html.keyed_blocks(page, None)[0])
+    assert texts('<article><p title="abc>x</p><p>y</p></article>') == "x y"
+    assert texts("<article><p title='>'>x</p><a href=\"it's\">y</a></article>") == "x y"
+    assert texts("<article>" + "<p title='" * 20_000) == ""
+
+
 def test_class_names_do_not_hide_articles():
     texts = lambda page: " ".join(html.keyed_blocks(page, None)[0])
     for name in ("container has-sidebar", "with-sidebar", "no-ads", "ad-free", "share-price", "social-science", "notice-board", "no_ads"):
