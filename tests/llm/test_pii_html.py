@@ -97,6 +97,50 @@ def test_more_addresses_than_the_format_holds(frame):
     assert all(re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", a) and max(map(int, a.split("."))) < 256 for a in new.values())
 
 
+def ends_like(name, gender):
+    script = "_cyrillic" if re.search("[а-я]", name) else ""
+    return name in pii.GIVEN[gender + script] or name.endswith(pii.ENDINGS[gender + script])
+
+
+def test_names_are_one_to_one_and_keep_their_gender(frame):
+    """Brute force over all names: the mapping is a function, one to one, and meets no real name."""
+    rng = random.Random(8)
+    name = lambda i: "Q" + "".join("aeiou"[i // 5**k % 5] + "xzvwq"[i // 5**k % 5] for k in range(4))
+    given = {"Mr": [name(i) for i in range(150)], "Ms": [name(i) for i in range(150, 300)], "Dr": [name(i) for i in range(300, 350)]}
+    given["Mr"] += ["Adam", "Tom", "Anna"]  # real names that stand in the lists
+    given["Ms"] += ["Emma", "Vera", "Anna"]
+    family = [name(i) for i in range(350, 450)] + ["Adam", "Bomemo"]
+    people = [(t, g, rng.choice(family)) for t, names in given.items() for g in names] + [("Mr", "Иваныч", "Петров"), ("Госпожа", "Аннушка", "Петрова")]
+    people += [("Dr", g, f) for t, g, f in people if t in ("Mr", "Ms") and g != "Anna"]  # neutral titles of known persons
+    rng.shuffle(people)
+    rows = [(i, f"{t} {g} {f}") for i, (t, g, f) in enumerate(people)]
+    out = run_pii(frame, rows)
+    gender = {}
+    for t, g, _ in people:
+        if t != "Dr":
+            gender.setdefault(g, set()).add("f" if t in ("Ms", "Госпожа") else "m")
+    new = {}
+    for i, (t, g, f) in enumerate(people):
+        title, a, b = out[i].text.split()
+        own = next(iter(gender.get(g, {"n"}))) if t == "Dr" else "f" if t in ("Ms", "Госпожа") else "m"
+        assert title == t and new.setdefault(("given", own, g), a) == a and new.setdefault(("family", f), b) == b
+        if own != "n":
+            assert ends_like(a, own) and not ends_like(a, "mf"[own == "m"])
+        assert bool(re.search("[а-я]", a)) == bool(re.search("[а-я]", g))
+    assert len(set(new.values())) == len(new)
+    assert not set(new.values()) & {x for _, g, f in people for x in (g, f)}
+
+
+def test_bare_names_initials_and_a_clashing_column(frame):
+    rows = [(1, "Mr. J. Brown met Mr Alex Smith. Smith left, then Dr Alex Smith; Alex too, not Smithson or smith."), (2, "Smith and Alex stay here.")]
+    df = frame(rows, "doc_id long, text string", extra=("n_entities", "N_entities_2"))
+    out = {r.doc_id: r for r in pii.replace_entities(df, "k").collect()}
+    assert out[1].n_entities == "extra" and out[1].n_entities_3 == 3 and out[2].text == rows[1][1] and out[2].n_entities_3 == 0
+    m = re.fullmatch(r"Mr\. ([A-Z])\. (\w+) met Mr (\w+) (\w+)\. (\w+) left, then Dr (\w+) (\w+); (\w+) too, not Smithson or smith\.", out[1].text)
+    _, brown, alex, smith, alone, again, family, bare = m.groups()
+    assert smith == alone == family and alex == again == bare and len({brown, alex, smith, "Brown", "Alex", "Smith"}) == 6 and ends_like(alex, "m")
+
+
 def test_pii_empty(frame):
     df = frame([(1, "x")], "doc_id long, text string").limit(0)
     assert pii.replace_entities(df, "k").count() == 0
