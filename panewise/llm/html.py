@@ -4,20 +4,21 @@ Trees. A page is parsed into a tree of elements; brothers with the same tag and
 that follow each other are one repeated node, so a tree is small however long its
 page. The skeleton of a page is this tree without texts.
 
-Template. The most frequent skeleton of a host is its reference tree. The skeletons of the
-host's other pages are aligned with it by simple tree matching (the largest number of node
+Template. A layout is the pages of a host with the same structural elements (``FRAME``) in the same order of first
+appearance. Its most frequent skeleton is its reference tree. The skeletons of the
+layout's other pages are aligned with it by simple tree matching (the largest number of node
 pairs that keeps parents and order), which gives each text a slot: the reference node it
-stands in, or a node of its own. Over all pages of the host, a text that fills the same
-slot in most of at least ``MIN_PAGES`` different pages is constant: it belongs to the template. Texts that
-vary are content.
+stands in, or a node of its own. A text that fills a slot on most of the layout's pages that fill it at all
+is constant: it belongs to the template. Texts that vary are content. Most means that the lower end of the 95 % (Wilson)
+interval of its share is above one half, which is one rule for hosts of any size: all of four pages, seven of eight,
+just over half of very many. Pages with the same title and first heading (without one, content)
+are versions of one page and have one vote, so that copies and edited copies of a page stay whole.
 
 Content is read from the article (or main) elements, else from the body, without
 elements of other roles: menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts and styles, told by tag, role, whole class or id, since such parts may vary from page to page too.
 A class, an id or a form never hides the page's main element, nor its articles if none stands elsewhere and they
 hold more text than the rest of the page.
-A page of which more than ``MOST_TEMPLATE`` of the text would be template keeps all of it, so that
-copies and near copies of one page on a host stay whole.
 
 Character references are decoded; white space inside a block is one space; blocks follow in page
 order, joined by one space. Null, empty and broken html give what can be read, at worst an
@@ -35,12 +36,15 @@ from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panewise.llm.common import kept_schema, map_arrow, ship, written
 
-MIN_PAGES, MOST, MOST_TEMPLATE = 8, 0.6, 0.3
+#: Squared normal quantile of the 95 % interval; fewer votes than LEAST_VOTES cannot put its lower end above one half.
+Z2, LEAST_VOTES = 3.84, 4
+#: Elements whose order of first appearance tells the layouts of a host apart.
+FRAME = r"(?i)<(nav|header|main|article|section|aside|form|footer)\b"
 #: Reference trees and template texts are broadcast up to this many bytes, else joined by host.
 BROADCAST_BYTES = 16 << 20
 
@@ -439,15 +443,56 @@ def key_of(slot: int | str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{slot}\0{text}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def keyed_blocks(html: str | None, reference: str | None) -> tuple[list[str], list[int]]:
-    """Texts of the content blocks of a page and the keys of (slot, text)."""
-    if not html:
-        return [], []
-    root = parse(html)
+def _slotted(root: Node, reference: str | None) -> list[tuple[int | str, str]]:
+    """(slot, text) of the content blocks."""
     shape, place = layout(root)
     found = blocks(root, place)
     slot = slots(shape, reference) if reference else None
-    return [t for _, t in found], [key_of(slot[no] if slot else f"own {no}", t) for no, t in found]
+    return [(slot[no] if slot else f"own {no}", t) for no, t in found]
+
+
+def keyed_blocks(html: str | None, reference: str | None) -> tuple[list[str], list[int]]:
+    """Texts of the content blocks of a page and the keys of (slot, text)."""
+    found = _slotted(parse(html), reference) if html else []
+    return [t for _, t in found], [key_of(slot, t) for slot, t in found]
+
+
+def heading(root: Node) -> tuple[str, str]:
+    """The texts of the page's title and of its first h1, empty if none."""
+    seen: dict[str, str] = {}
+    todo = [root]
+    while todo and len(seen) < 2:
+        node = todo.pop()
+        if node.tag in ("title", "h1") and node.tag not in seen:
+            seen[node.tag] = " ".join("".join(_strings(node)).split())
+        todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    return seen.get("title", ""), seen.get("h1", "")
+
+
+def _strings(node: Node) -> Iterator[str]:
+    todo: list[Node | str] = [node]
+    while todo:
+        one = todo.pop()
+        if isinstance(one, str):
+            yield one
+        else:
+            todo += reversed(one.children)
+
+
+def votes(html: str, reference: str) -> set[tuple[int, int | None, int]]:
+    """(slot, key of slot and text, page) of a page's content blocks, and (slot, null, page) of the slots it fills; all hashed."""
+    root = parse(html)
+    found = _slotted(root, reference)
+    if not found:
+        return set()
+    title, first = heading(root)
+    page = key_of(title, first or "\0".join(text for _, text in found))
+    out: set[tuple[int, int | None, int]] = set()
+    for slot, text in found:
+        place = key_of(slot, "")
+        out.add((place, None, page))
+        out.add((place, key_of(slot, text), page))
+    return out
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -455,7 +500,8 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     spark = df.sparkSession
     ship(spark)
     host = F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), r"//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
-    pages = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
+    frame = F.coalesce(F.array_join(F.array_distinct(F.transform(F.regexp_extract_all(F.col(html_col).cast("string"), F.lit(FRAME)), F.lower)), " "), F.lit(""))
+    pages = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), F.concat_ws("\n", host, frame).alias("host"))  # a layout: host and frame
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
@@ -472,28 +518,29 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
         return pa.record_batch({"host": pa.array([h for h, _ in count], pa.string()), "shape": pa.array([s for _, s in count], pa.string()), "n": pa.array(list(count.values()), pa.int64())})
 
     shape = map_arrow(pages.select("host", "html"), shapes, "host string, shape string, n long").groupBy("host", "shape").agg(F.sum("n").alias("n"))
-    reference = written(shape.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("shape"), F.sum("n").alias("pages")).filter(F.col("pages") >= MIN_PAGES), "references")
+    reference = written(shape.groupBy("host").agg(F.max_by("shape", F.struct("n", "shape")).alias("shape"), F.sum("n").alias("pages")).filter(F.col("pages") >= LEAST_VOTES), "references")
 
     def fills(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter = Counter()
+        seen: set[tuple] = set()
         for batch in batches:
             for h, html, shape_ in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if shape_ is None or not html:
-                    continue
-                _, keys = keyed_blocks(html, shape_)
-                count.update((h, k) for k in set(keys))
-            if len(count) > 200_000:
-                yield _filled(count)
-                count.clear()
-        yield _filled(count)
-
-    def _filled(count: Counter) -> pa.RecordBatch:
-        return pa.record_batch({"host": pa.array([h for h, _ in count], pa.string()), "key": pa.array([k for _, k in count], pa.int64()), "n": pa.array(list(count.values()), pa.int64())})
-
-    filled = map_arrow(_beside(pages.select("host", "html"), reference.select("host", "shape")), fills, "host string, key long, n long").groupBy("host", "key").agg(F.sum("n").alias("n"))
-    constant = filled.filter(F.col("n") >= MIN_PAGES).join(reference.select("host", "pages"), "host").filter(F.col("n") >= MOST * F.col("pages"))
-    # at most 1 / MOST keys for each block of a page
-    template = written(reference.join(constant.groupBy("host").agg(F.collect_set("key").alias("keys")), "host", "left").select("host", F.struct("shape", F.coalesce("keys", F.array().cast("array<bigint>")).alias("keys")).alias("shape")), "templates")
+                if shape_ is not None and html:
+                    seen.update((h, *vote) for vote in votes(html, shape_))
+                if len(seen) > 200_000:
+                    yield _filled(seen)
+                    seen.clear()
+        yield _filled(seen)
+
+    def _filled(seen: set[tuple]) -> pa.RecordBatch:
+        h, slot, key, page = zip(*seen, strict=True) if seen else ((), (), (), ())
+        return pa.record_batch({"host": pa.array(h, pa.string()), "slot": pa.array(slot, pa.int64()), "key": pa.array(key, pa.int64()), "page": pa.array(page, pa.int64())})
+
+    filled = map_arrow(_beside(pages.select("host", "html"), reference.select("host", "shape")), fills, "host string, slot long, key long, page long")
+    filled = written(filled.distinct().groupBy("host", "slot", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_VOTES), "fills")
+    slot = filled.filter("key IS NULL").select("host", "slot", F.col("n").alias("of"))
+    constant = filled.filter("key IS NOT NULL").join(slot, ["host", "slot"]).filter(_mostly(F.col("n"), F.col("of")))
+    # a page has few constant keys: each fills its slot on more than half of the pages that fill it
+    template = written(reference.join(constant.groupBy("host").agg(F.collect_set("key").alias("keys")), "host").select("host", F.struct("shape", "keys").alias("shape")), "templates")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -502,8 +549,6 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                 texts, keys = keyed_blocks(html, own["shape"] if own else None)
                 known = set(own["keys"]) if own else ()
                 kept = [t for t, k in zip(texts, keys, strict=True) if k not in known]
-                if sum(map(len, texts)) - sum(map(len, kept)) > MOST_TEMPLATE * sum(map(len, texts)):
-                    kept = texts
                 out.append(" ".join(kept))
                 left.append(len(texts) - len(kept))
             yield pa.record_batch({"id": batch.column(0), "url": batch.column(1), "text": pa.array(out, pa.string()), "n_chars": pa.array([len(t) for t in out], pa.int64()), "n_template": pa.array(left, pa.int64())})
@@ -512,6 +557,12 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
     return map_arrow(joined, read, kept_schema(joined, 2, "text string, n_chars long, n_template long")).withColumnRenamed("id", id_col)
 
 
+def _mostly(n: Column, of: Column) -> Column:
+    """Whether the lower end of the Wilson interval of the share n / of is above one half."""
+    p = n / of
+    return (p + Z2 / (2 * of) - F.sqrt(Z2 * (p * (1 - p) / of + Z2 / (4 * of * of)))) / (1 + Z2 / of) > 0.5
+
+
 def _beside(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     """``pages`` with the host's row: a broadcast join below ``BROADCAST_BYTES``, else a join by host that splits hot hosts (AQE)."""
     size = hosts.select(F.sum(F.length(F.to_json(F.struct("host", "shape"))))).first()[0] or 0

@@ -189,6 +189,34 @@ def test_template_texts_of_a_host_go(frame, prose):
     assert all("terms" in out[200 + i].text and out[200 + i].n_template == 0 for i in range(12))
 
 
+def test_templates_of_small_hosts_copies_and_layouts(frame, prose):
+    notice = "These words stand on every page of this site, whatever its article says, and are longer than it."
+    short = "<html><head><title>{0}</title></head><body><article><h1>{0}</h1><p>{1}</p><p>{2}</p></article></body></html>"
+    aside = "<html><head><title>{0}</title></head><body><aside>x</aside><article><h1>{0}</h1><p>{1}</p><p>{2}</p></article></body></html>"
+    page = lambda form, i, host, text, first=notice: (i, f"http://{host}/{i}", form.format(prose(i, 5), first, text))
+    rows = [page(short, i, "small", prose(i, 8)) for i in range(4)]  # more than half of each page is template
+    rows += [page(short, 10 + i, "three", prose(10 + i, 8)) for i in range(3)]
+    rows += [(20 + i, "http://edited/", short.format("one title", prose(20, 30), prose(20, 40) + f" edit {i}")) for i in range(12)]  # near copies
+    rows += [(40 + i, "http://copies/", short.format("another title", notice, prose(40, 40))) for i in range(12)]
+    rows += [page(aside, 60 + i, "two", prose(60 + i, 20)) for i in range(6)]  # two layouts: the notice is on one only
+    rows += [page(short, 80 + i, "two", prose(80 + i, 20), prose(180 + i, 20)) for i in range(14)]
+    rows += [(100 + i, "http://quoted/", short.format(prose(100 + i, 5), notice if i < 4 else prose(200 + i, 9), prose(300 + i, 9))) for i in range(9)]  # on 4 of 9
+    out = run_html(frame, rows)
+    for i in range(4):
+        assert out[i].text == f"{prose(i, 5)} {prose(i, 8)}" and out[i].n_template == 1
+    for i in range(6):
+        assert out[60 + i].text == f"{prose(60 + i, 5)} {prose(60 + i, 20)}"
+    whole = {i: " ".join([r[2].split("<h1>")[1].replace("</h1><p>", " ").replace("</p><p>", " ").split("</p>")[0]]) for i, *r in ((x[0], *x) for x in rows)}
+    for i in [10, 11, 12, *range(20, 32), *range(40, 52), *range(80, 94), *range(100, 109)]:
+        assert out[i].text == whole[i] and out[i].n_template == 0
+
+
+def test_mostly_is_one_rule_for_all_sizes(spark):
+    cases = [(3, 3), (4, 4), (4, 5), (5, 5), (6, 8), (7, 8), (55, 100), (61, 100), (5_100, 10_000), (4_900, 10_000)]
+    got = spark.createDataFrame(cases, "n long, of long").select(html._mostly(F.col("n"), F.col("of"))).collect()
+    assert [r[0] for r in got] == [False, True, False, True, False, True, False, True, True, False]
+
+
 def test_templates_joined_by_host_are_the_same(frame, monkeypatch, prose):
     rows = [(i, f"http://h.example/{i}", f"<article><p>always the same words</p><p>{prose(i, 60)}</p></article>") for i in range(10)]
     want = run_html(frame, rows)
