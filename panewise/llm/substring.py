@@ -11,10 +11,12 @@ in a document with a smaller id. Windows are judged on the input.
    that occur in one document only are dropped before any text is moved.
 3. In a shard, equal segments become one with their smallest document. The distinct
    segments are concatenated, and an FM-index is built over them: the BWT from suffixes sorted by
-   their first words, symbol counts, and rank over a wavelet matrix of bit vectors.
+   their first words, symbol counts, and rank over a wavelet matrix of bit vectors. The suffixes themselves are
+   not kept: what the search needs of them, their documents, stays as numbers of few bytes with range minima.
    The words of all segments then stream backwards through the index: backward search gives
-   each window's matching statistic (how many words from its end back still occur elsewhere)
-   and, where it reaches the window, the suffix interval, whose smallest document decides.
+   a window's matching statistic (how many words from its end back still occur elsewhere).
+   Where it reaches the window, the smallest document of the suffix interval decides; where it falls short, that
+   many words and the one before occur nowhere else, and neither does any later window that holds them, so those are skipped.
    A shard takes whole anchors up to ``SHARD_WORDS``.
 4. An anchor whose segments have more words than that (common words in many contexts) goes to no shard: the
    whole windows of its distinct segments are the keys, and Spark aggregates their smallest documents.
@@ -89,13 +91,52 @@ class WaveletMatrix:
         return i - self.first[symbol]
 
 
+class RangeMinimum:
+    """Smallest value of ranges: values as numbers of as few bytes as they need, and a sparse table over the minima of blocks of 64."""
+
+    def __init__(self, values: np.ndarray):
+        self.names, rank = np.unique(values, return_inverse=True)
+        self.rank = rank.astype(np.min_scalar_type(len(self.names)))
+        padded = np.full(-(-len(rank) // 64) * 64, len(self.names), self.rank.dtype)
+        padded[: len(rank)] = self.rank
+        self.table = [padded.reshape(-1, 64).min(axis=1)]
+        while 2 << len(self.table) - 1 <= len(self.table[0]):
+            half = 1 << len(self.table) - 1
+            self.table.append(np.minimum(self.table[-1][:-half], self.table[-1][half:]))
+
+    def smallest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest value of each range [low, high), none of them empty."""
+        out = self.rank[low]
+        first, last = -(-low // 64), high // 64
+        size = np.maximum(last - first, 0)  # whole blocks inside
+        for k, table in enumerate(self.table):
+            some = np.flatnonzero(size >> k == 1)
+            out[some] = np.minimum(out[some], np.minimum(table[first[some]], table[last[some] - (1 << k)]))
+        whole = size > 0
+        self._scan(out, np.arange(len(low)), low, np.where(whole, first * 64, high))
+        some = np.flatnonzero(whole)
+        self._scan(out, some, last[some] * 64, high[some])
+        return self.names[out]
+
+    def _scan(self, out: np.ndarray, which: np.ndarray, at: np.ndarray, to: np.ndarray) -> None:
+        """Takes in the values of ranges of fewer than 128, one place of all of them at a time."""
+        while True:
+            go = at < to
+            if not go.any():
+                return
+            which, at, to = which[go], at[go], to[go]
+            out[which] = np.minimum(out[which], self.rank[at])
+            at = at + 1
+
+
 class FmIndex:
     """FM-index over concatenated segments, each followed by the separator 0; suffixes are sorted by their first ``depth`` symbols.
 
-    Patterns must be shorter than ``depth`` and hold no separator.
+    Patterns must be shorter than ``depth`` and hold no separator. ``owners`` gives a value for each
+    place of the text; ``smallest`` then finds the smallest one of a suffix interval. The suffixes are not kept.
     """
 
-    def __init__(self, text: np.ndarray, n_symbols: int, depth: int):
+    def __init__(self, text: np.ndarray, n_symbols: int, depth: int, owners: np.ndarray | None = None):
         n = len(text)
         rank, step = text.astype(np.int64), 1
         order = np.argsort(rank, kind="stable")
@@ -108,7 +149,7 @@ class FmIndex:
             fresh = np.empty(n, np.int64)
             fresh[order] = np.concatenate(([0], np.cumsum(sorted_[1:] != sorted_[:-1])))
             rank, step = fresh, step * 2
-        self.suffixes = order
+        self.owners = None if owners is None else RangeMinimum(owners[order])
         self.counts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=n_symbols))))
         self.bwt = WaveletMatrix(text[order - 1], n_symbols)
 
@@ -141,6 +182,36 @@ class FmIndex:
             low[live], high[live] = lo, hi
         return match, low, high
 
+    def smallest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest owner of each suffix interval."""
+        return self.owners.smallest(low, high)
+
+    def shared(self, words: np.ndarray, ends: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(place in ``ends``, low, high) of the windows that occur ``least`` times or more, and how many were searched; ``ends`` rise.
+
+        In each round one window of ``width`` in a row is searched. If its statistic m falls short, the m + 1 words before its end are
+        too rare, and so is every window that holds them: those that end up to ``width - 1 - m`` words later are left out.
+        """
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        todo, searched = np.arange(len(ends)), 0
+        while len(todo):
+            e = ends[todo]
+            begin = np.maximum.accumulate(np.where(np.concatenate(([True], e[1:] != e[:-1] + 1)), np.arange(len(e)), 0))
+            probe = (np.arange(len(e)) - begin) % width == 0
+            at = e[probe]
+            searched += len(at)
+            match, low, high = self.search(words, at, width, least)
+            hit = match == width
+            found.append((todo[probe][hit], low[hit], high[hit]))
+            edge = np.zeros(len(words) + width + 1, np.int64)
+            edge[at[~hit]] += 1
+            np.subtract.at(edge, at[~hit] + width - match[~hit], 1)
+            todo = todo[~probe & (np.cumsum(edge)[e] == 0)]
+        if not found:
+            none = np.empty(0, np.int64)
+            return none, none, none, 0
+        return *(np.concatenate(x) for x in zip(*found, strict=True)), searched
+
 
 def smallest_documents(segments: list[np.ndarray], docs: np.ndarray, width: int, shard_words: int = SHARD_WORDS) -> list[np.ndarray]:
     """For every window of every segment the smallest document that has it; ``docs`` is the smallest document of each segment."""
@@ -162,18 +233,11 @@ def smallest_documents(segments: list[np.ndarray], docs: np.ndarray, width: int,
     single = part[-1] == 0
     for p in range(int(part[-1]) + 1):
         inside = part[owner] == p
-        index = FmIndex(words[inside], int(words.max()) + 1, width + 1)
+        index = FmIndex(words[inside], int(words.max()) + 1, width + 1, docs[owner[inside]])
         # in its own index every window occurs at least once
-        _, low, high = index.search(words, ends, width, 2 if single else 1)
-        found = np.flatnonzero(high > low)
-        if not len(found):
-            continue
-        at = docs[owner[inside]][index.suffixes]
-        pairs, back = np.unique(low[found], return_index=True)
-        edges = np.empty(2 * len(pairs), np.int64)
-        edges[0::2], edges[1::2] = pairs, high[found][back]
-        smallest = np.minimum.reduceat(np.append(at, np.iinfo(np.int64).max), edges)[0::2]
-        best[found] = np.minimum(best[found], smallest[np.searchsorted(pairs, low[found])])
+        found, low, high, _ = index.shared(words, ends, width, 2 if single else 1)
+        pairs, first, back = np.unique(low, return_index=True, return_inverse=True)
+        best[found] = np.minimum(best[found], index.smallest(pairs, high[first])[back])
     cuts = np.cumsum([len(w) for w in windows])[:-1]
     return np.split(best, cuts)
 

@@ -66,6 +66,32 @@ def test_matching_statistics():
     assert (high - low).tolist() == [2, 0, 2]
 
 
+def test_range_minima():
+    rng = np.random.default_rng(3)
+    for n, values in ((1, 5), (64, 3), (700, 10**12), (5_000, 400)):
+        x = rng.integers(-values, values, n)
+        low = rng.integers(0, n, 600)
+        high = np.minimum(low + 1 + rng.integers(0, rng.choice([3, 70, n], 600)), n)
+        got = substring.RangeMinimum(x).smallest(low, high)
+        assert got.tolist() == [x[a:b].min() for a, b in zip(low, high, strict=True)]
+
+
+def test_statistics_skip_windows_without_loss():
+    rng = np.random.default_rng(8)
+    for letters, width, least in ((2, 6, 2), (4, 5, 2), (9, 4, 2), (40, 5, 1)):
+        segments = [rng.integers(1, letters + 1, rng.integers(width, 60)) for _ in range(30)]
+        text = np.concatenate([np.append(x, 0) for x in segments])
+        starts = np.cumsum([0] + [len(x) + 1 for x in segments])
+        ends = np.concatenate([np.arange(a + width - 1, a + len(x)) for a, x in zip(starts, segments)])
+        index = substring.FmIndex(text[: len(text) // 2] if least == 1 else text, letters + 1, width + 1)
+        match, low, high = index.search(text, ends, width, least)
+        places, lo, hi, searched = index.shared(text, ends, width, least)
+        order = np.argsort(places)
+        assert places[order].tolist() == np.flatnonzero(match == width).tolist()
+        assert lo[order].tolist() == low[match == width].tolist() and hi[order].tolist() == high[match == width].tolist()
+        assert letters < 9 or searched < len(ends)  # with few words nearly every window is shared
+
+
 def repeats(rows, width=13):
     first = defaultdict(lambda: 1 << 63)
     words = [(i if i is not None else (1 << 63) - 1, (t or "").encode().split()) for i, t in rows]
