@@ -4,15 +4,18 @@ Vectors are compared only with vectors of the same label and length. Equal vecto
 form a class; one of each goes on, with the size of its class.
 
 Every unit vector is rotated by one random orthogonal matrix and kept as its sign
-code o (entries +-1/sqrt(D)) with the correction factor f = <v, o>. For
-another unit vector q, <q, o> / f estimates <q, v> without bias over the rotations. As
-q and v deviate from o in directions orthogonal to it, <q, v> lies within
-f s +- sqrt(1 - f^2) sqrt(1 - s^2) with s = <q, o>: this confidence interval holds for
-certain (Cauchy-Schwarz), so pairs whose upper bound misses the threshold are skipped without loss, and only
-the others are computed exactly, in double precision.
+code o (entries +-1/sqrt(D)) with the correction factor f = <v, o>. The vector it is compared with, q, is rotated too
+and rounded at random to ``BITS`` bits a component, kept as bit planes, so that s = <q, o> comes from population
+counts of ``plane AND code``, and s / f estimates <q, v> without bias over the rotations and roundings. The angles of q, v and o
+obey the triangle inequality, and rounding moves s by at most |q - q'|; so a cosine of t or more needs an estimate of at least
+
+    (cos(acos f + acos t) - |q - q'|) / f
+
+for certain. Pairs with a lower estimate are skipped without loss; for a pair the limit is a number of bits, so that it is decided in integers. Only
+the others, unless their interval misses the threshold, are computed exactly, in double precision.
 
 A label's classes are dealt into blocks by hash, and each pair of blocks is one small
-group: codes of one side against the vectors of the other as a matrix product. A
+group: codes of one side against the planes of the other. A
 group returns link counts per vector and a spanning forest, never its pairs. Blocks make a label of any size a
 matter of many bounded tasks; the work on a label is quadratic in its distinct
 vectors, as any exact comparison of all pairs is.
@@ -37,6 +40,8 @@ from panewise.llm.components import components
 THRESHOLD = 0.93
 #: Distinct vectors of a block, about.
 BLOCK = 1500
+#: Bits of a component of the rounded side; codes compared in one array.
+BITS, PIECE = 4, 64
 #: Allows for rounding in single precision.
 SLACK = 1e-4
 
@@ -53,32 +58,82 @@ def codes(unit: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(x >= 0, axis=1), np.abs(x).sum(axis=1) / np.sqrt(unit.shape[1])
 
 
-def decoded(bits: np.ndarray, dim: int) -> np.ndarray:
-    """The code vectors of unit length, in rotated space."""
-    return (np.unpackbits(bits, axis=1)[:, :dim].astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dim))
+def _words(packed: np.ndarray) -> np.ndarray:
+    """Rows of packed bits as 64-bit words, filled up with zeros."""
+    out = np.zeros((*packed.shape[:-1], -(-packed.shape[-1] // 8) * 8), np.uint8)
+    out[..., : packed.shape[-1]] = packed
+    return out.view(np.uint64)
+
+
+class Planes:
+    """Rotated unit vectors, rounded at random to ``low + step * level`` and kept as the bit planes of their levels."""
+
+    def __init__(self, query: np.ndarray):
+        self.dim = query.shape[1]
+        self.low = query.min(axis=1)
+        span = query.max(axis=1) - self.low
+        self.step = np.where(span > 1e-9, span / ((1 << BITS) - 1), 1.0)
+        level = ((query - self.low[:, None]) / self.step[:, None] + np.random.default_rng(3).random(query.shape)).astype(np.int64)
+        level = np.minimum(level, (1 << BITS) - 1)
+        rounded = self.low[:, None] + self.step[:, None] * level
+        self.total, self.error = rounded.sum(axis=1), np.linalg.norm(query - rounded, axis=1)
+        self.planes = [np.ascontiguousarray(_words(np.packbits((level >> p) & 1, axis=1)).T) for p in range(BITS)]
+
+    def weighed(self, words: np.ndarray) -> np.ndarray:
+        """For all (code, query) the sum of the query's levels at the ones of the code."""
+        shape = len(words), len(self.low)
+        out = np.zeros(shape, np.uint16 if self.dim << BITS < 1 << 16 else np.uint32)
+        both, count = np.empty(shape, np.uint64), np.empty(shape, np.uint8)
+        for plane in reversed(self.planes):
+            out <<= 1
+            for w in range(words.shape[1]):
+                np.bitwise_and(words[:, w, None], plane[w], out=both)
+                out += np.bitwise_count(both, out=count)
+        return out
+
+    def products(self, weighed: np.ndarray, ones: np.ndarray, which=slice(None)) -> np.ndarray:
+        """<q', o> from the weighed ones; ``which`` are the queries."""
+        return (2 * (self.low[which] * ones + self.step[which] * weighed) - self.total[which]) / np.sqrt(self.dim)
+
+    def limits(self, least: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """For all (code, query) the weighed ones that <q, o> >= least needs."""
+        root = np.sqrt(self.dim)
+        code = np.stack((least, np.ones(len(least)), ones), axis=1)
+        query = np.stack((root / 2 / self.step, (self.total - root * self.error) / 2 / self.step, -self.low / self.step))
+        return code.astype(np.float32) @ query.astype(np.float32)
+
+
+def _upper(s: np.ndarray, error: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """Certain upper bounds of <q, v> from s = <q', o>."""
+    own = np.arccos(np.minimum(factor, 1))
+    return np.cos(np.maximum(0, np.maximum(np.arccos(np.clip(s + error, -1, 1)) - own, own - np.arccos(np.clip(s - error, -1, 1)))))
 
 
 def estimate(bits: np.ndarray, factor: np.ndarray, query: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Unbiased estimates of <query, v> and certain upper bounds; queries are rotated unit vectors."""
-    s = decoded(bits, dim) @ query.T.astype(np.float32)
-    f = factor.astype(np.float32)[:, None]
-    upper = f * s + np.sqrt(np.maximum(1 - f * f, 0)) * np.sqrt(np.maximum(1 - s * s, 0))
-    return s / f, upper
+    planes, words = Planes(query), _words(bits)
+    s = planes.products(planes.weighed(words), np.bitwise_count(words).sum(axis=1, dtype=np.int64)[:, None])
+    return s / factor[:, None], _upper(s, planes.error, factor[:, None])
 
 
 def close_pairs(left: np.ndarray, bits: np.ndarray, factor: np.ndarray, right: np.ndarray, turn: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with an exact cosine of at least ``threshold``; ``left`` are vectors, ``bits`` and ``factor`` their codes."""
-    dim = left.shape[1]
     left, right = left.astype(float), right.astype(float)
     norm_l, norm_r = np.linalg.norm(left, axis=1), np.linalg.norm(right, axis=1)
-    turned = (right / norm_r[:, None]) @ turn
+    planes, words = Planes((right / norm_r[:, None]) @ turn), _words(bits)
+    ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+    wanted = np.clip(threshold - SLACK, -1, 1)
+    least = np.cos(np.minimum(np.arccos(np.minimum(factor, 1)) + np.arccos(wanted), np.pi)) - SLACK
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for start in range(0, len(left), 512):
-        own = slice(start, start + 512)
-        _, upper = estimate(bits[own], factor[own], turned, dim)
-        i, j = np.nonzero(upper >= threshold - SLACK)
+    for start in range(0, len(left), PIECE):
+        own = slice(start, start + PIECE)
+        weighed = planes.weighed(words[own])
+        i, j = np.divmod(np.flatnonzero(weighed >= planes.limits(least[own], ones[own])), len(right))
         for a in range(0, len(i), 100_000):
-            p, q = i[a : a + 100_000] + start, j[a : a + 100_000]
+            p, q = i[a : a + 100_000], j[a : a + 100_000]
+            s = planes.products(weighed[p, q], ones[own][p], q)
+            open_ = _upper(s, planes.error[q], factor[own][p]) >= wanted
+            p, q = p[open_] + start, q[open_]
             cosine = np.einsum("ij,ij->i", left[p], right[q]) / (norm_l[p] * norm_r[q])
             good = cosine >= threshold
             found.append((p[good], q[good]))

@@ -412,3 +412,29 @@ def test_lines_of_repeated_rows(frame):
     got = sorted(map(tuple, linedup.repeated_lines(df).drop("text_tag").collect()), key=repr)
     assert got == [(2, 2, 1, 1, 0), (None, 1, 1, 1, 0)]
     assert sorted(r.text for r in linedup.dedup_lines(df).collect()) == [line, line, "x", "y"]
+
+
+def test_close_pairs_lose_none():
+    rng = np.random.default_rng(12)
+    for dim, threshold in ((1, 0.93), (2, 0.5), (24, 0.93), (64, 0.93), (100, 0.8), (300, 0.93), (64, -0.2)):
+        v = rng.standard_normal((150, dim))
+        w = np.concatenate((v[:100] + rng.choice([0.0, 0.1, 0.35, 0.5], (100, 1)) * rng.standard_normal((100, dim)), rng.standard_normal((50, dim)), np.ones((1, dim)), v[:1] * 1e-200))
+        turn = embdup.rotation(dim)
+        unit = v / np.linalg.norm(v, axis=1)[:, None]
+        bits, factor = embdup.codes(unit, turn)
+        i, j = embdup.close_pairs(v, bits, factor, w / np.abs(w).max(axis=1, keepdims=True), turn, threshold)
+        cosine = unit @ (w / np.abs(w).max(axis=1, keepdims=True) / np.linalg.norm(w / np.abs(w).max(axis=1, keepdims=True), axis=1)[:, None]).T
+        sure = cosine >= threshold + 1e-9
+        got = np.zeros(cosine.shape, bool)
+        got[i, j] = True
+        assert got[sure].all() and not got[cosine < threshold - 1e-9].any() and sure.any()
+
+
+def test_estimates_leave_few_pairs_to_compute():
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((600, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    turn = embdup.rotation(64)
+    bits, factor = embdup.codes(v, turn)
+    _, upper = embdup.estimate(bits, factor, v @ turn, 64)
+    assert ((upper >= 0.93) & ~np.eye(600, dtype=bool)).mean() < 0.01
