@@ -5,7 +5,7 @@ holds positions of a doubly linked list of parts; a three-level bitmap of
 non-empty buckets gives the lowest rank by find-first-set in constant time. An
 entry whose pair has changed since it was queued is stale and skipped. The cost
 is linear in the pushes, so one very long pre-token is no worse than many short
-ones; short ones share a queue. Chunks are remembered per worker, in a bounded memory.
+ones; short ones share a queue. Chunks are remembered per worker, in a bounded memory that lets go of those not met lately.
 
 Null text counts as empty. Repeated and tied rows each get their own result row;
 other columns of the input are not looked at.
@@ -22,16 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panewise.llm.common import kept_schema, map_arrow
+from panewise.llm.common import give_back, kept_schema, map_arrow, parts
 
-#: Chunks and pre-tokens a worker remembers; cleared when full.
-CHUNK_MEMORY = 900_000
+#: Chunks a worker remembers: those met lately, and as many met before them.
+CHUNK_MEMORY = 150_000
 #: A chunk of more characters is not remembered.
 LONG_CHUNK = 2_000
 #: Bytes of pre-tokens merged together (one longer pre-token goes alone); slots of the memory of pair ranks.
-MERGE_BYTES, PAIR_LOG2 = 1 << 20, 18
-#: Documents encoded together, and characters at most (one longer text goes alone).
-ROWS, CHARS = 2_000, 8_000_000
+MERGE_BYTES, PAIR_LOG2 = 1 << 19, 18
+#: Documents encoded together, and bytes at most (one longer text goes alone).
+ROWS, CHARS = 2_000, 4_000_000
 KINDS = {pa.binary(): "binary", pa.int64(): "long", pa.string(): "string"}
 _TWO_BLANKS = re.compile(r"\s\s")
 
@@ -103,7 +103,8 @@ class ByteBpe:
         self.queue = RankQueue(size)
         self.pair_keys = np.full(1 << PAIR_LOG2, -1, np.int64)  # a direct-mapped memory of pair ranks
         self.pair_values = np.full(1 << PAIR_LOG2, -1, np.int64)
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}  # met lately
+        self.older: dict[str, bytes] = {}
 
     def pair_rank(self, a: int, b: int) -> int:
         return self.ranks.get(self.vocab[a] + self.vocab[b], -1)
@@ -268,14 +269,17 @@ class ByteBpe:
             else:
                 first, *rest = text.split(" ")
                 split.append([first, *[" " + c for c in rest]] if first else [" " + c for c in rest])
-        unknown = {c for parts in split for c in parts if c not in self.chunks}
-        if len(self.chunks) + len(unknown) > CHUNK_MEMORY:
-            self.chunks.clear()
-            unknown = {c for parts in split for c in parts}
-        self.learn(list(unknown))
-        out = [b"".join(map(self.chunks.__getitem__, parts)) for parts in split]
-        if any(len(c) > LONG_CHUNK for c in unknown):
-            self.chunks.clear()  # do not hold on to very long ones
+        chunks, older = self.chunks, self.older
+        unknown = set().union(*split).difference(chunks)
+        known = unknown.intersection(older)
+        chunks.update([(c, older[c]) for c in known])
+        self.learn(list(unknown - known))
+        out = [b"".join(map(chunks.__getitem__, parts)) for parts in split]
+        for c in unknown:
+            if len(c) > LONG_CHUNK:
+                del chunks[c]
+        if len(chunks) > CHUNK_MEMORY:
+            self.chunks, self.older = {}, chunks
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -300,16 +304,7 @@ def _spec(df: DataFrame, ranks_path: str, pattern: str):
 
 
 def _parts(batch: pa.RecordBatch, text_column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of at most ROWS rows and about CHARS characters."""
-    import pyarrow.compute as pc
-
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_numpy())
-    start = 0
-    while start < batch.num_rows:
-        limit = CHARS + (int(sizes[start - 1]) if start else 0)
-        end = min(max(int(np.searchsorted(sizes, limit, "right")), start + 1), start + ROWS)
-        yield batch.slice(start, end - start)
-        start = end
+    return parts(batch, text_column, ROWS, CHARS)
 
 
 def _mapped(df, ranks_path, pattern, text_col, keep, fields, one):
@@ -319,6 +314,7 @@ def _mapped(df, ranks_path, pattern, text_col, keep, fields, one):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared.value)
+        give_back()
         for batch in batches:
             for part in _parts(batch, n_keep):
                 texts = [t or "" for t in part.column(n_keep).to_pylist()]

@@ -61,6 +61,19 @@ def give_back() -> None:
         trim(0)
 
 
+def parts(batch: pa.RecordBatch, column: int, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``rows`` rows and ``size`` bytes in that string column; one longer text goes alone."""
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        limit = size + (int(sizes[start - 1]) if start else 0)
+        end = min(max(int(np.searchsorted(sizes, limit, "right")), start + 1), start + rows)
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (in any case of letters)."""
     taken = {c.lower() for c in df.columns}

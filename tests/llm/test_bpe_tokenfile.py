@@ -79,6 +79,30 @@ def test_round_trip_frame(frame, reference):
     assert bpe.round_trip(df.limit(0), RANKS, P.PATTERN).count() == 0
 
 
+def test_chunk_memory_is_bounded_and_keeps_what_is_met(reference, prose, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_MEMORY", 500)
+    coder, learned = bpe.ByteBpe(bpe.load_ranks(RANKS), P.PATTERN), []
+    learn = coder.learn
+    monkeypatch.setattr(coder, "learn", lambda chunks: learned.extend(chunks) or learn(chunks))
+    long = "x" * (bpe.LONG_CHUNK + 1)
+    for part in range(30):
+        texts = [f"always here w{part}a{i} z{part}b{i}" for i in range(100)] + [f"always {long}"] * (part == 7)
+        for text, ids in zip(texts, coder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+        assert len(coder.chunks) + len(coder.older) <= 2 * (500 + 203)
+    assert learned.count(" here") == learned.count("always") == 1  # rare chunks go, and a very long one takes none along
+    assert not any(long in c for c in (*coder.chunks, *coder.older))
+
+
+def test_parts_of_a_batch_are_small():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"id": pa.array(range(40)), "text": pa.array(["word " * 50_000] * 39 + ["y" * 9_000_000])})
+    parts = list(bpe._parts(batch, 1))
+    assert sum(p.num_rows for p in parts) == 40
+    assert all(p.num_rows == 1 or p.num_rows * 250_000 <= 4_000_000 for p in parts)  # what a worker holds follows the part
+
+
 def test_elias_fano():
     rng = random.Random(1)
     for values in ([], [0], [5], [0, 0, 0], [1, 1, 2, 1 << 40], sorted(rng.randrange(10**6) for _ in range(1000)), list(range(300))):
