@@ -16,8 +16,8 @@ prefixes, l rows must meet, and what is left behind the last one must still suff
 
 Groups of copies. Within the documents of one shared shingle each is first verified against
 one pivot; components of these links stand for whole groups of near copies. Rounds with other pivots follow,
-for the shingles whose documents still lie in several components: each shingle offers a few of its documents, each
-document is verified against the few it shares most with. They end when few pairs are left or a round takes few
+for the shingles whose documents still lie in several components: each shingle offers a few of its documents, the one
+with the most widely shared prefix among them, and each document is verified against the few it shares most with. They end when few pairs are left or a round takes few
 away, whatever the number of rounds. Then all
 pairs whose documents lie in different components are joined (a pair inside
 one component cannot change it), so no group of similar documents is expanded into all pairs.
@@ -141,6 +141,10 @@ class Prefixes:
         self.level = np.minimum(np.ceil(np.log2(1.0 + excess)), 30).astype(np.uint8)  # 0: rare
         self.percent = percent
 
+    def centre(self, token: np.ndarray) -> int:
+        """How much of a prefix others share: 1000 times the mean level of its shingles."""
+        return int(1000 * self.level[cells(token)].mean()) if len(token) else 0
+
     def of(self, h: np.ndarray) -> tuple[np.ndarray, int]:
         """The longest prefix any pair may ask for, in order, and the document's l."""
         n = len(h)
@@ -195,7 +199,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=None) -> DataFrame:
-    """Rows (token, class, n, place, need) of the documents that ``representatives`` lets through."""
+    """Rows (token, class, n, place, need, centre) of the documents that ``representatives`` lets through; ``centre`` is 0 without ``tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes, reps = shared.value, representatives.value
@@ -213,11 +217,12 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
                 if not len(h):
                     continue
                 token, need = prefixes.of(h)
-                place = np.arange(len(token), dtype=np.int32)
+                place, centre = np.arange(len(token), dtype=np.int32), 0
                 if wanted is not None:
+                    centre = prefixes.centre(token)
                     hit = wanted.has(token.view(np.int64))
                     token, place = token[hit], place[hit]
-                rows.append((token, np.full(len(token), set_digest(h), np.int64), np.full(len(token), len(h), np.int32), place, np.full(len(token), need, np.int32)))
+                rows.append((token, np.full(len(token), set_digest(h), np.int64), np.full(len(token), len(h), np.int32), place, np.full(len(token), need, np.int32), np.full(len(token), centre, np.int32)))
                 held += len(token)
                 if held > 200_000:
                     yield _rows(rows)
@@ -225,10 +230,10 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
             yield _rows(rows)
 
     def _rows(rows) -> pa.RecordBatch:
-        token, cls, n, place, need = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind) for i, kind in enumerate((U64, np.int64, np.int32, np.int32, np.int32)))
-        return pa.record_batch({"token": pa.array(token.view(np.int64)), "class": pa.array(cls), "n": pa.array(n), "place": pa.array(place), "need": pa.array(need)})
+        token, cls, n, place, need, centre = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind) for i, kind in enumerate((U64, np.int64, np.int32, np.int32, np.int32, np.int32)))
+        return pa.record_batch({"token": pa.array(token.view(np.int64)), "class": pa.array(cls), "n": pa.array(n), "place": pa.array(place), "need": pa.array(need), "centre": pa.array(centre)})
 
-    return map_arrow(docs, run, "token long, class long, n int, place int, need int")
+    return map_arrow(docs, run, "token long, class long, n int, place int, need int, centre int")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -284,11 +289,14 @@ def _open_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
 def _pivot_pairs(known: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different components to verify: for each document the ``PIVOTS`` with which it shares most.
 
-    Each shingle offers ``PIVOTS`` of its documents, others every turn. Their pairs need not pass the prefix filters: every
+    Each shingle offers ``PIVOTS`` of its documents, others every turn: one whose prefix is most widely shared, since the
+    copies of a text differ least from one with few changes of its own, and others by chance. Their pairs need not pass the prefix filters: every
     document brings at most ``PIVOTS`` of them, and what is not found here is left to the exact join.
     """
     one = F.struct("class", "n", "component")
-    offered = [F.min_by(one, F.xxhash64("class", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS)]
+    offered = [F.min_by(one, F.xxhash64("class", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS - 1)]
+    central = F.when(F.pmod(F.xxhash64("class"), F.lit(turn)) == 0, F.col("centre")).otherwise(-1)  # the first turn all, then ever fewer
+    offered.append(F.max_by(one, F.struct(central, F.xxhash64("class", F.lit(turn)))))
     pivots = known.groupBy("token").agg(F.array_distinct(F.array(*offered)).alias("p")).select("token", F.explode("p").alias("p"))
     met = known.join(pivots, "token").filter("component <> p.component").filter(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent)
     met = met.groupBy("class", F.col("p.class").alias("pivot")).agg(F.count("*").alias("met"))
@@ -337,7 +345,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         turn, before = turn + 1, size["pairs"]
         links = links.union(written(verified(_pivot_pairs(known, turn, percent), texts, width, percent), "links"))
-        known = _open_rows(known.select("token", *FIELDS), links)
+        known = _open_rows(known.select("token", *FIELDS, "centre"), links)
 
     # 3. all pairs that could still join two components
     x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in (*FIELDS, "component")])

@@ -193,6 +193,46 @@ def test_rounds_of_pivots_change_no_result(frame, prose, monkeypatch):
     assert {r[0]: r[2] for r in want} == label and rounds and len(set(label.values())) > 3
 
 
+def test_pivots_hold_the_centre_of_a_group(spark):
+    # 300 copies with changes of their own share 20 shingles with the text (class 0) they were made from; 30 lie in no component yet
+    rows = [(t, c, 100, c if c > 270 else 0, 5000 if c == 0 else 4000 + c % 700) for t in range(20) for c in range(301)]
+    known = spark.createDataFrame(rows, "token long, class long, n int, component long, centre int")
+    pairs = {(r.a, r.b) for r in ngramjoin._pivot_pairs(known, 1, 75).collect()}
+    assert {(0, c) for c in range(271, 301)} <= pairs
+    assert len(pairs) <= ngramjoin.PIVOTS * 301
+
+
+def test_few_pairs_of_a_large_group_are_verified(frame, prose, monkeypatch):
+    words = prose(3, 150).split()
+
+    def copy(i):  # the text with changed words of its own; the more, the fewer other copies it links with
+        own = list(words)
+        for k in range(i % 5):
+            own[(i * 37 + k * 31) % 150] = f"own{i}x{k}"
+        return " ".join(own)
+
+    rows = [(1000 - i, copy(i)) for i in range(260)]
+    seen, verified = [], ngramjoin.verified
+    monkeypatch.setattr(ngramjoin, "verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    df = frame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngramjoin.near_duplicates(df).collect()}
+    sets = {i: set(ngramjoin.shingles(t.encode(), 5).tolist()) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i in sets}
+    assert sum(seen) <= 10 * len(rows)
+
+
 def test_jaccard_of_ids_with_several_texts(frame, prose):
     near = lambda t: t.rsplit(" ", 1)[0] + " other"
     rows = []
