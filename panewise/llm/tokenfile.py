@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panewise.llm.common import map_arrow
+from panewise.llm.common import map_arrow, parts
 
 #: Most ids of a block; one document longer than that makes a block of its own.
 BLOCK_IDS = 1 << 20
 #: Words a worker remembers; cleared when full.
 WORD_MEMORY = 900_000
+#: Documents encoded together, and bytes at most (one longer text goes alone); words the library gets as one text.
+ROWS, TEXT_BYTES, JOINED = 1_200, 4_000_000, 500
 SAMPLE = 64
 _PUNCTUATION = string.punctuation.encode()
 
@@ -135,46 +137,74 @@ class WordEncoder:
         # one that always parts letters from punctuation: a word's tail is a word of its own
         tails = [*string.punctuation, "...", "!?", "***", "')", '."']
         self.parts_tails = self.by_word and self._ids([f"ab{t}" for t in tails]) == [a + b for a, b in zip(self._ids(["ab"] * len(tails)), self._ids(tails), strict=True)]
+        self.between = self._separator()
         self.memory: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _separator(self) -> tuple[bytes, int] | None:
+        """A token that the library cuts out of a text before anything else, to part the words of one call; none if it would not."""
+        if not self.by_word or self.tokenizer.encode_special_tokens:
+            return None
+        words = ["a", "b1", "it's", "...", "<|", "é", "|>", "<", "c"]
+        alone = self._ids(words)
+        for no, t in self.tokenizer.get_added_tokens_decoder().items():
+            if t.special and not (t.single_word or t.lstrip or t.rstrip or t.normalized):
+                token = np.array([no], self.dtype).tobytes()
+                if self._ids([t.content.join(words)]) == [token.join(alone)]:
+                    return t.content.encode(), no
+        return None
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words without added tokens: many words a call, since the library takes longer to begin one than to encode a word."""
+        if self.between is None:
+            return self._ids([w.decode() for w in words])
+        text, no = self.between
+        groups, out = [words[i : i + JOINED] for i in range(0, len(words), JOINED)], []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([text.join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            cuts = np.flatnonzero(ids == no)
+            if len(cuts) != len(group) - 1:
+                out += self._ids([w.decode() for w in group])
+                continue
+            raw, ends = ids.tobytes(), cuts * self.dtype.itemsize
+            starts = [0, *(ends + self.dtype.itemsize).tolist()]
+            out += [raw[a:b] for a, b in zip(starts, [*ends.tolist(), len(raw)], strict=True)]
+        return out
+
     def _has_added(self, lowered: bytes) -> bool:
         return any(t in lowered for t in self.added)
 
-    def _folded(self, text: bytes) -> bytes:
-        """``text`` in small letters, unless that could make an added token of other letters."""
-        if not self.folds:
-            return text
-        low = text.lower()
-        return text if self._has_added(low) else low
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._ids([t.decode() for t in texts])
-        split = [self._folded(t).split() for t in texts]  # bytes: ASCII letters and white space only
-        memory = self.memory
-        missing = list({w for words in split for w in words if w not in memory})
+        lowered = [t.lower() for t in texts]  # bytes: ASCII letters only
+        added = [self._has_added(low) for low in lowered]  # folding could make an added token of other letters
+        split = [(low if self.folds and not has else t).split() for t, low, has in zip(texts, lowered, added, strict=True)]
+        memory, some_added = self.memory, any(added)
+        words = set().union(*split)
+        missing = list(words.difference(memory))
         if len(memory) + len(missing) > WORD_MEMORY:
             memory.clear()
-            missing = list({w for words in split for w in words})
+            missing = list(words)
         tailed = []
         if self.parts_tails:
             for w in missing:
                 stem = w.rstrip(_PUNCTUATION)
-                if stem and len(stem) < len(w) and stem[-1:].isalpha() and not self._has_added(w.lower()):  # an ASCII letter
+                if stem and len(stem) < len(w) and stem[-1:].isalpha() and not (some_added and self._has_added(w.lower())):  # an ASCII letter
                     tailed.append((w, stem, w[len(stem) :]))
             whole = {w for w, _, _ in tailed}
             new = {p for _, *parts in tailed for p in parts if p not in memory}
             missing = list(new.union(w for w in missing if w not in whole))
         for start in range(0, len(missing), 20_000):
             part = missing[start : start + 20_000]
-            memory.update(zip(part, self._ids([w.decode() for w in part]), strict=True))
+            memory.update(zip(part, self._ids([w.decode() for w in part]) if some_added else self._word_ids(part), strict=True))
         for w, stem, tail in tailed:
             memory[w] = memory[stem] + memory[tail]
-        return [b"".join(map(memory.__getitem__, words)) for words in split]
+        near = {w: memory[w] for w in words}  # a few of the memory's words, found again and again
+        return [b"".join(map(near.__getitem__, one)) for one in split]
 
 
 def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", ordinary_specials: bool = False, block_ids: int = BLOCK_IDS) -> None:
@@ -200,8 +230,7 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: st
             return pa.record_batch({"part": pa.array([part], pa.int32()), "block": pa.array([no], pa.int64()), "n_docs": pa.array([len(runs)], pa.int64()), "n_ids": pa.array([int(ends[-1])], pa.int64()), "in_part": pa.array([before], pa.int64()), "width": pa.array([coder.dtype.itemsize], pa.int32()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "low_bits": pa.array([ef.low_bits], pa.int32()), "low": pa.array([ef.low.tobytes()], pa.binary()), "high": pa.array([ef.high.tobytes()], pa.binary()), "samples": pa.array([ef.samples.tobytes()], pa.binary()), "ids": pa.array([b"".join(runs)], pa.binary())})
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 300):
-                rows = batch.slice(start, 300)
+            for rows in parts(batch, 1, ROWS, TEXT_BYTES):
                 texts = [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in rows.column(1)]
                 for one, run in zip(rows.column(0).to_pylist(), coder.encode(texts), strict=True):
                     size = len(run) // coder.dtype.itemsize + 1

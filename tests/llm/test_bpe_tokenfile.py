@@ -139,6 +139,21 @@ def test_token_file(spark, frame, prose, ordinary):
     assert len(got) == len(rows)
 
 
+def test_added_tokens_are_sought_once_a_text(monkeypatch):
+    with open(WORDS, encoding="utf-8") as f:
+        coder = tokenfile.WordEncoder(f.read(), False)
+    calls, has = [], coder._has_added
+    monkeypatch.setattr(coder, "_has_added", lambda text: calls.append(text) or has(text))
+    texts = [" ".join(f"Word{chr(97 + i)}{chr(97 + j)}{k}ab," for j in range(26)) for k in range(2) for i in range(26)]
+    library = Tokenizer.from_file(WORDS)
+    for mixed in (texts, [*texts, *SPECIAL, "New<|endoftext|>. Newer."]):
+        calls.clear()
+        got = [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in mixed])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in mixed]
+        if mixed is texts:
+            assert len(calls) == len(texts)
+
+
 def test_token_file_empty_and_repeated(spark, frame):
     df = frame([(5, "b"), (5, "b"), (None, "a"), (1, None)], "doc_id long, text string")
     path = shared_path(spark, "test-tokens")
