@@ -158,7 +158,37 @@ def word_hashes(text: bytes | None, lower: bool = False) -> np.ndarray:
     return _block_hashes(raw, lower)
 
 
+def column_word_hashes(column: pa.Array, lower: bool = False, size: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, bounds) of some texts at a time: text i has the words ``bounds[i]`` to ``bounds[i + 1]``.
+
+    Texts are joined by a blank up to ``size`` bytes, so that short ones share the array operations; a longer text goes alone.
+    """
+    held, n = [], 0
+    for text in column_bytes(column):
+        text = text or b""
+        if held and n + len(text) > size:
+            yield _joined_hashes(held, lower)
+            held, n = [], 0
+        held.append(text)
+        n += len(text) + 1
+    if held:
+        yield _joined_hashes(held, lower)
+
+
+def _joined_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    if len(texts) == 1:
+        h = word_hashes(texts[0], lower)
+        return h, np.array([0, len(h)])
+    h, starts = _block_words(np.frombuffer(b" ".join(texts), np.uint8), lower)
+    return h, np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+
+
 def _block_hashes(raw: np.ndarray, lower: bool) -> np.ndarray:
+    return _block_words(raw, lower)[0]
+
+
+def _block_words(raw: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word."""
     solid = np.zeros(len(raw) + 2, np.int8)
     solid[1:-1] = ~_BLANK[raw]
     turns = np.flatnonzero(solid[1:] != solid[:-1])
@@ -166,7 +196,7 @@ def _block_hashes(raw: np.ndarray, lower: bool) -> np.ndarray:
     up, down = _powers(len(raw))
     sums = np.zeros(len(raw) + 1, U64)
     np.cumsum((_LOWER[raw] if lower else raw) * up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xC2B2AE3D27D4EB4F)), starts
 
 
 def distinct(h: np.ndarray) -> np.ndarray:

@@ -22,7 +22,9 @@ away, whatever the number of rounds. Then all
 pairs whose documents lie in different components are joined (a pair inside
 one component cannot change it), so no group of similar documents is expanded into all pairs.
 
-Verification compares the whole shingle sets. Results: ids that are null, and texts without
+Verification first compares bit strings: each document has as many bins as shingles, up to a power of two, and a bit for each
+that holds an odd number of them. Every bin whose bits differ holds a shingle of one document alone, so pairs with
+too many of those are no links. For the rest it compares the whole shingle sets. Results: ids that are null, and texts without
 words, link with nothing; rows that repeat an id and a text get the same result.
 Two different sets of the same 64-bit digest and size would be taken for one class (chance 2**-64 a pair).
 """
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
+from panewise.llm.common import U64, column_bytes, column_word_hashes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 from panewise.llm.components import components
 
 WIDTH, PERCENT, MAX_MATCH = 5, 75, 8
@@ -55,25 +57,52 @@ RARE = 0.2
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
     """Distinct hashes of all ``width``-word shingles, ascending; a shorter text is one shingle, no word none."""
-    h = word_hashes(text, lower=True)  # A-Z only; ASCII white space only
+    return _sets(word_hashes(text, lower=True), width)  # A-Z only; ASCII white space only
+
+
+def _sets(h: np.ndarray, width: int) -> np.ndarray:
     if not len(h):
         return h
     width = min(width, len(h))
     return distinct(mix(window_hashes(h, width) + U64(width)))
 
 
+def column_shingles(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """``shingles`` of every text of a string column."""
+    for h, bounds in column_word_hashes(column, lower=True):
+        every = mix(window_hashes(h, width) + U64(width))
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield distinct(every[start : end - width + 1]) if end - start >= width else _sets(h[start:end], width)
+
+
 def set_digest(h: np.ndarray) -> int:
     """64-bit digest of a set, whatever the order of its members."""
     with np.errstate(over="ignore"):
         return int((mix(mix(h ^ U64(0xA0761D6478BD642F)).sum(keepdims=True) + U64(len(h)))).view(np.int64)[0])
 
 
+def parities(h: np.ndarray) -> bytes:
+    """A bit for each of a power of two of bins, at least as many as there are members: whether it holds an odd number of them."""
+    size = max(64, 1 << (len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h & U64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Members that are in one set only: at least the bins whose parities differ. The longer ``parities`` are folded."""
+    a, b = (np.frombuffer(p, np.uint64) for p in (x, y))
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def cells(h: np.ndarray) -> np.ndarray:
     return (h >> U64(64 - SKETCH_LOG2)).astype(np.int64)
 
 
 def _survey(docs: DataFrame, width: int) -> DataFrame:
-    """One pass: a row (id, n, class) per document, then each task's part of the sketch as rows (slice, counts)."""
+    """One pass: a row (id, n, class, bits) per document, then each task's part of the sketch as rows (slice, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, size = np.zeros(1 << SKETCH_LOG2, np.uint16), [], 0
@@ -84,11 +113,11 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            n, cls = [], []
-            for text in column_bytes(batch.column(1)):
-                h = shingles(text, width)
+            n, cls, bits = [], [], []
+            for h in column_shingles(batch.column(1), width):
                 n.append(len(h))
                 cls.append(set_digest(h) if len(h) else None)
+                bits.append(parities(h) if len(h) else None)
                 if len(h):
                     held.append(cells(h))
                     size += len(h)
@@ -96,14 +125,14 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
                         count()
                         size = 0
             none = pa.nulls(len(n))
-            yield pa.record_batch({"id": batch.column(0), "n": pa.array(n, pa.int64()), "class": pa.array(cls, pa.int64()), "slice": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
+            yield pa.record_batch({"id": batch.column(0), "n": pa.array(n, pa.int64()), "class": pa.array(cls, pa.int64()), "bits": pa.array(bits, pa.binary()), "slice": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
         if held:
             count()
         rows = [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(counts.reshape(SLICES, -1)) if part.any()]
         none = pa.nulls(len(rows), pa.int64())
-        yield pa.record_batch({"id": none, "n": none, "class": none, "slice": pa.array([r[0] for r in rows], pa.int32()), "counts": pa.array([r[1] for r in rows], pa.binary())})
+        yield pa.record_batch({"id": none, "n": none, "class": none, "bits": pa.nulls(len(rows), pa.binary()), "slice": pa.array([r[0] for r in rows], pa.int32()), "counts": pa.array([r[1] for r in rows], pa.binary())})
 
-    return map_arrow(docs, run, "id long, n long, class long, slice int, counts binary")
+    return map_arrow(docs, run, "id long, n long, class long, bits binary, slice int, counts binary")
 
 
 def _sketch(survey: DataFrame) -> np.ndarray:
@@ -137,8 +166,10 @@ class Prefixes:
     def __init__(self, sketch: np.ndarray, percent: int):
         load = float(sketch.mean(dtype=np.float64))
         noise = load + 3 * math.sqrt(load) + 3  # what other shingles of its cell may add to a rare one
-        excess = np.where(sketch > noise, sketch - load, 0.0)
-        self.level = np.minimum(np.ceil(np.log2(1.0 + excess)), 30).astype(np.uint8)  # 0: rare
+        self.level = np.empty(len(sketch), np.uint8)  # 0: rare
+        for i in range(0, len(sketch), 1 << 17):  # a slice at a time: the driver holds no copies of the sketch
+            part = sketch[i : i + (1 << 17)]
+            self.level[i : i + len(part)] = np.minimum(np.ceil(np.log2(1.0 + np.where(part > noise, part - load, 0.0))), 30)
         self.percent = percent
 
     def centre(self, token: np.ndarray) -> int:
@@ -210,10 +241,7 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
             known = np.flatnonzero(np.asarray(ids.is_valid()))
             ok[known] = reps.has(ids.drop_null().to_numpy())
             held, rows = 0, []
-            for keep, text in zip(ok, column_bytes(batch.column(1)), strict=True):
-                if not keep:
-                    continue
-                h = shingles(text, width)
+            for h in column_shingles(batch.column(1).filter(pa.array(ok)), width):
                 if not len(h):
                     continue
                 token, need = prefixes.of(h)
@@ -236,24 +264,45 @@ def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=No
     return map_arrow(docs, run, "token long, class long, n int, place int, need int, centre int")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(class, text) of one document of each class that the one column of ``wanted`` names."""
-    spark = docs.sparkSession
-    ids = classes.join(wanted.toDF("class").distinct(), "class", "left_semi").select("rep")
-    held = spark.sparkContext.broadcast(id_filter(ids))
+def _texts(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(class, text) of the documents that the one column of ``ids`` names, once a class."""
+    held = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = np.asarray(batch.column(0).is_valid())
             ok[ok] = held.value.has(batch.column(0).drop_null().to_numpy())
             text = batch.column(1).filter(pa.array(ok))
-            sets = [shingles(t, width) for t in column_bytes(text)]
-            yield pa.record_batch({"class": pa.array([set_digest(h) if len(h) else None for h in sets], pa.int64()), "text": text})
+            yield pa.record_batch({"class": pa.array([set_digest(h) if len(h) else None for h in column_shingles(text, width)], pa.int64()), "text": text})
 
     # by class, since an id may have several texts
     return map_arrow(docs, texts, "class long, text string").dropDuplicates(["class"])
 
 
+def _close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes, with their documents, that may still reach the threshold: their ``bits`` differ in no more places than it allows.
+
+    A necessary condition, so no link is lost; it spares the texts of pairs that share a passage only.
+    """
+    rows = pairs.select("a", "b").join(classes.select(F.col("class").alias("b"), F.col("rep").alias("id_b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
+    rows = rows.join(classes.select(F.col("class").alias("a"), F.col("rep").alias("id_a"), "n", F.col("bits").alias("x")), "a")
+    rows = rows.select("a", "b", "id_a", "id_b", (F.col("n") + F.col("m") - 2 * overlap_needed(F.col("n"), F.col("m"), percent)).alias("most"), "x", "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [least_difference(x, y) <= most for most, x, y in zip(batch.column(4).to_pylist(), column_bytes(batch.column(5)), column_bytes(batch.column(6)), strict=True)]
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(good, pa.bool_()))
+
+    return map_arrow(rows, compare, "a long, b long, id_a long, id_b long")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold. Texts are fetched only for those that their bits leave open."""
+    close = written(_close_pairs(pairs, classes, percent), "pairs")
+    texts = _texts(docs, close.select(F.explode(F.array("id_a", "id_b"))), width)
+    return written(verified(close, texts, width, percent), "links")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole shingle sets reach the threshold; ``texts`` has a text of each class."""
     rows = pairs.select("a", "b").join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b")
@@ -314,8 +363,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     survey = written(_survey(docs, width), "survey")
-    prints = survey.filter("slice IS NULL").select("id", "n", "class")
-    classes = written(prints.filter("class IS NOT NULL AND id IS NOT NULL").groupBy("class").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "classes")
+    prints = survey.filter("slice IS NULL").select("id", "n", "class", "bits")
+    classes = written(prints.filter("class IS NOT NULL AND id IS NOT NULL").groupBy("class").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     # a document is searched under the class it represents; one id with several texts takes part with each
     send = spark.sparkContext.broadcast
     shared = send(Prefixes(_sketch(survey), percent))
@@ -331,11 +380,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pivots = pivots.select("token", *[F.col(f"p.{c}").alias(f"y_{c}") for c in FIELDS])
     star = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in FIELDS]).join(pivots, "token").filter("x_class <> y_class")
     star = _candidates(star, percent)  # b is never the pivot of its row: a pivot is the smallest class
-    star = written(star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b"), "pairs")
-    texts = _texts(docs, classes, star.select(F.explode(F.array("a", "b"))), width)
-    links = written(verified(star, texts, width, percent), "links")
+    star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
+    links = _links(star, docs, classes, width, percent)
     known = _open_rows(rows, links)
-    texts = written(_texts(docs, classes, known.select("class"), width), "texts")
 
     # 2. other pivots, until few pairs are left or few documents find a link
     turn, before = 0, math.inf
@@ -344,7 +391,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not size["rows"] or size["pairs"] <= FEW_PAIRS * size["rows"] or size["pairs"] > PROGRESS * before:
             break
         turn, before = turn + 1, size["pairs"]
-        links = links.union(written(verified(_pivot_pairs(known, turn, percent), texts, width, percent), "links"))
+        links = links.union(_links(_pivot_pairs(known, turn, percent), docs, classes, width, percent))
         known = _open_rows(known.select("token", *FIELDS, "centre"), links)
 
     # 3. all pairs that could still join two components
@@ -352,7 +399,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     y = known.select("token", "largest", *[F.col(c).alias(f"y_{c}") for c in (*FIELDS, "component")])
     pairs = x.join(y, "token").filter("x_component <> y_component AND (y_component = largest OR x_class < y_class)")
     pairs = _candidates(pairs, percent).select("a", "b")
-    links = links.union(written(verified(pairs, texts, width, percent), "links"))
+    links = links.union(_links(pairs, docs, classes, width, percent))
     same = prints.filter("class IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a <> b").select("a", "b")
     linked = components(links.union(same))
     member = classes.join(linked.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +35,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_take_one_step(spark, monkeypatch):
+    """Links that name the smallest node already need no second step to tell that nothing changes."""
+    from panewise.llm import components as module
+
+    steps, written = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: steps.append(name) or written(df, name))
+    got = {r.node: r.component for r in components(spark.createDataFrame([(i % 5, i) for i in range(5, 90)], "a long, b long")).collect()}
+    assert got == {i: i % 5 for i in range(90)} and len(steps) == 2
+
+
 def test_id_filter_has_no_false_negatives(spark):
     ids = [random.Random(1).randrange(-(2**62), 2**62) for _ in range(1)] + list(range(-500, 500))
     f = id_filter(spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long"), 16)
@@ -233,6 +244,40 @@ def test_few_pairs_of_a_large_group_are_verified(frame, prose, monkeypatch):
     assert sum(seen) <= 10 * len(rows)
 
 
+def test_texts_of_a_shared_passage_are_not_fetched(frame, prose, monkeypatch):
+    """Documents that share 40 of 120 words link with nothing; bits tell, so that hardly a pair is joined with its texts."""
+    passage, rows = prose(40, 40), []
+    for i in range(60):
+        rows.append((i, f"{passage} {prose(800 + i, 80)}"))
+    rows.append((60, rows[7][1] + " more"))
+    seen, verified = [], ngramjoin.verified
+    monkeypatch.setattr(ngramjoin, "verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    got = sorted(map(tuple, ngramjoin.near_duplicates(frame(rows, "doc_id long, text string")).collect()), key=repr)
+    want, _ = jaccard_groups(rows)
+    assert got == want and 1 <= sum(seen) <= 3
+
+
+def test_bits_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        x, y, both = (rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64) for _ in range(3))
+        x, y = np.unique(np.concatenate([x, both])), np.unique(np.concatenate([y[: rng.integers(1, 40)], both]))
+        assert ngramjoin.least_difference(ngramjoin.parities(x), ngramjoin.parities(y)) <= len(np.setxor1d(x, y))
+    assert ngramjoin.least_difference(ngramjoin.parities(x), ngramjoin.parities(x)) == 0
+    far = rng.integers(0, 2**63, (2, 500)).astype(np.uint64)
+    assert ngramjoin.least_difference(*(ngramjoin.parities(h) for h in far)) > 1000 - 2 * 429  # 429 of 500 and 500 must be shared
+
+
+def test_shingles_of_a_column(prose):
+    rng = random.Random(6)
+    texts = [None, "", " \n", "one", "one two three four", "É a b c d", prose(1, 9_000)] + [prose(i, rng.randrange(1, 300)) + rng.choice(["", " ", "\n"]) for i in range(300)]
+    rng.shuffle(texts)
+    for column in (pa.array(texts), pa.array(["left out", *texts])[1:], pa.array([], pa.string())):
+        got = list(ngramjoin.column_shingles(column, 5))
+        assert len(got) == len(column)
+        assert all(np.array_equal(g, ngramjoin.shingles(t.encode() if t is not None else None, 5)) for g, t in zip(got, column.to_pylist(), strict=True))
+
+
 def test_jaccard_of_ids_with_several_texts(frame, prose):
     near = lambda t: t.rsplit(" ", 1)[0] + " other"
     rows = []
