@@ -14,6 +14,9 @@ verify. Rare shingles meet at random, so l of them leave an l-th of the candidat
 passages that are shared as a whole, so l thins them out only once it exceeds their number. A pair uses the smaller l of its two documents; every joined row must lie in that pair's
 prefixes, l rows must meet, and what is left behind the last one must still suffice for the overlap.
 
+Shingles that several prefixes hold are found first, from five bytes of each beyond its bucket; only these are kept, one row a class.
+They are then dealt by shingle once for each step, which finds pivots, components and offers within a shingle by windows.
+
 Groups of copies. Within the documents of one shared shingle each is first verified against
 one pivot; components of these links stand for whole groups of near copies. Rounds with other pivots follow,
 for the shingles whose documents still lie in several components: each shingle offers a few of its documents, the one
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, column_bytes, column_word_hashes, distinct, id_filter, map_arrow, mix, window_hashes, word_hashes, written
+from panewise.llm.common import U64, as_signed, column_bytes, column_word_hashes, distinct, drop_written, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 from panewise.llm.components import components
 
 WIDTH, PERCENT, MAX_MATCH = 5, 75, 8
@@ -51,6 +54,9 @@ SLICES = 64
 VERIFY_PAIR, VERIFY_SHINGLE = 60.0, 0.3
 #: Pivots of a shingle and of a document in a round. Rounds go on while the pairs left are more than so many per row and fall below that part.
 PIVOTS, FEW_PAIRS, PROGRESS = 4, 2, 0.5
+#: Groups in which the shingles of all prefixes are counted, each by one task.
+BUCKETS_LOG2 = 10
+BUCKETS = 1 << BUCKETS_LOG2
 #: Other documents that a shingle the sketch takes for rare is expected to meet.
 RARE = 0.2
 
@@ -128,7 +134,7 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch({"id": batch.column(0), "n": pa.array(n, pa.int64()), "class": pa.array(cls, pa.int64()), "bits": pa.array(bits, pa.binary()), "slice": none.cast(pa.int32()), "counts": none.cast(pa.binary())})
         if held:
             count()
-        rows = [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(counts.reshape(SLICES, -1)) if part.any()]
+        rows = [(i, packed_counts(part)) for i, part in enumerate(counts.reshape(SLICES, -1)) if part.any()]
         none = pa.nulls(len(rows), pa.int64())
         yield pa.record_batch({"id": none, "n": none, "class": none, "bits": pa.nulls(len(rows), pa.binary()), "slice": pa.array([r[0] for r in rows], pa.int32()), "counts": pa.array([r[1] for r in rows], pa.binary())})
 
@@ -144,7 +150,7 @@ def _sketch(survey: DataFrame) -> np.ndarray:
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = total.setdefault(i, np.zeros(width, np.float32))
-                own += np.frombuffer(zlib.decompress(raw.as_buffer()), np.uint16)
+                own += unpacked_counts(raw.as_buffer())
         yield pa.record_batch({"slice": pa.array(list(total), pa.int32()), "counts": pa.array([_packed(x) for x in total.values()], pa.binary())})
 
     parts = survey.filter("slice IS NOT NULL").select("slice", "counts")
@@ -155,6 +161,16 @@ def _sketch(survey: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A task's counts, their low bytes before their high ones, which are nearly all zero."""
+    return zlib.compress(counts.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def unpacked_counts(raw: bytes) -> np.ndarray:
+    low, high = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(2, -1).astype(np.uint16)
+    return low | high << 8
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """Counts for the driver: half precision is plenty for an order."""
     return zlib.compress(np.minimum(counts, 60_000).astype(np.float16).tobytes(), 1)
@@ -229,39 +245,107 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     return met.filter((F.col("met") >= F.least("need", least)) & (F.col("met") + left >= least)).select("a", "b", "met")
 
 
-def _prefix_rows(docs: DataFrame, width: int, shared, representatives, tokens=None) -> DataFrame:
-    """Rows (token, class, n, place, need, centre) of the documents that ``representatives`` lets through; ``centre`` is 0 without ``tokens``."""
+def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefixes: Prefixes, reps) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(shingles, prefix, need) of every document with words that ``reps`` lets through."""
+    for batch in batches:
+        ids = batch.column(0)
+        ok = np.zeros(len(ids), bool)
+        known = np.flatnonzero(np.asarray(ids.is_valid()))
+        ok[known] = reps.has(ids.drop_null().to_numpy())
+        for h in column_shingles(batch.column(1).filter(pa.array(ok)), width):
+            if len(h):
+                yield (h, *prefixes.of(h))
+
+
+def trimmed(token: np.ndarray) -> np.ndarray:
+    """The upper bits of shingles, for which five bytes in each of ``BUCKETS`` are enough."""
+    return token >> U64(64 - BUCKETS_LOG2 - 40)
+
+
+def packed_tokens(token: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Trimmed shingles as (buckets, five bytes for each shingle of a bucket); what comes more than once is kept twice."""
+    token, k = np.unique(token, return_counts=True)
+    token = np.repeat(token, np.minimum(k, 2))
+    raw = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    bucket, start = np.unique(token >> U64(40), return_index=True)
+    ends = [*start[1:].tolist(), len(token)]
+    return bucket.astype(np.int32), [raw[5 * i : 5 * j] for i, j in zip(start.tolist(), ends, strict=True)]
+
+
+def repeated_tokens(bucket: int, packed: list[bytes]) -> np.ndarray:
+    """The trimmed shingles of a bucket that come more than once, ascending."""
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 5)
+    token = np.zeros((len(raw), 8), np.uint8)
+    token[:, :5] = raw
+    token = np.sort(token.view("<u8").ravel()) + (U64(bucket) << U64(40))
+    return distinct(token[1:][token[1:] == token[:-1]])
+
+
+def _shared_tokens(docs: DataFrame, width: int, shared, representatives) -> DataFrame:
+    """(token): trimmed shingles that the prefixes of several documents hold, and by chance a few more."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, token, _ in _prefixes(batches, width, shared.value, representatives.value):
+            held.append(trimmed(token))
+            size += len(token)
+            if size > 1_000_000:
+                yield _packed_rows(held)
+                held, size = [], 0
+        if held:
+            yield _packed_rows(held)
+
+    def _packed_rows(held) -> pa.RecordBatch:
+        bucket, packed = packed_tokens(np.concatenate(held))
+        return pa.record_batch({"bucket": pa.array(bucket), "packed": pa.array(packed, pa.binary())})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes, reps = shared.value, representatives.value
-        wanted = tokens.value if tokens is not None else None
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
         for batch in batches:
-            ids = batch.column(0)
-            ok = np.zeros(len(ids), bool)
-            known = np.flatnonzero(np.asarray(ids.is_valid()))
-            ok[known] = reps.has(ids.drop_null().to_numpy())
-            held, rows = 0, []
-            for h in column_shingles(batch.column(1).filter(pa.array(ok)), width):
-                if not len(h):
-                    continue
-                token, need = prefixes.of(h)
-                place, centre = np.arange(len(token), dtype=np.int32), 0
-                if wanted is not None:
-                    centre = prefixes.centre(token)
-                    hit = wanted.has(token.view(np.int64))
-                    token, place = token[hit], place[hit]
-                rows.append((token, np.full(len(token), set_digest(h), np.int64), np.full(len(token), len(h), np.int32), place, np.full(len(token), need, np.int32), np.full(len(token), centre, np.int32)))
-                held += len(token)
-                if held > 200_000:
-                    yield _rows(rows)
-                    held, rows = 0, []
+            for bucket, raw in zip(batch.column(0).to_pylist(), column_bytes(batch.column(1)), strict=True):
+                if bucket != last and held:
+                    yield pa.record_batch({"token": as_signed(repeated_tokens(last, held))})
+                    held = []
+                last = bucket
+                held.append(raw)
+        if held:
+            yield pa.record_batch({"token": as_signed(repeated_tokens(last, held))})
+
+    sent = map_arrow(docs, send, "bucket int, packed binary")
+    return map_arrow(sent.repartition("bucket").sortWithinPartitions("bucket"), meet, "token long")
+
+
+def _class_prefixes(docs: DataFrame, width: int, shared, representatives, tokens) -> DataFrame:
+    """A row (class, n, need, centre, token, place) of each document that ``representatives`` lets through: the shingles of its prefix that ``tokens`` holds, and their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefixes, wanted = shared.value, tokens.value
+        held, rows = 0, []
+        for h, token, need in _prefixes(batches, width, prefixes, representatives.value):
+            place = np.flatnonzero(wanted.has(trimmed(token).view(np.int64))).astype(np.int32)
+            if not len(place):
+                continue
+            rows.append((set_digest(h), len(h), need, prefixes.centre(token), token[place], place))
+            held += len(place)
+            if held > 200_000:
+                yield _rows(rows)
+                held, rows = 0, []
+        if rows:
             yield _rows(rows)
 
     def _rows(rows) -> pa.RecordBatch:
-        token, cls, n, place, need, centre = (np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind) for i, kind in enumerate((U64, np.int64, np.int32, np.int32, np.int32, np.int32)))
-        return pa.record_batch({"token": pa.array(token.view(np.int64)), "class": pa.array(cls), "n": pa.array(n), "place": pa.array(place), "need": pa.array(need), "centre": pa.array(centre)})
+        cls, n, need, centre, token, place = zip(*rows, strict=True)
+        ends = pa.array(np.cumsum([0, *map(len, place)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (as_signed(np.concatenate(token)), pa.array(np.concatenate(place)))]
+        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), *(pa.array(x, pa.int32()) for x in (n, need, centre)), *lists], names=["class", "n", "need", "centre", "token", "place"])
+
+    return map_arrow(docs, run, "class long, n int, need int, centre int, token array<long>, place array<int>")
 
-    return map_arrow(docs, run, "token long, class long, n int, place int, need int, centre int")
+
+def _by_token(rows: DataFrame, *more: str) -> DataFrame:
+    """One row for each shingle of ``rows`` of classes, without repeats, dealt by shingle: what looks at one shingle alone moves nothing again."""
+    flat = rows.select("class", "n", "need", *more, F.inline(F.arrays_zip("token", "place")))
+    return flat.select("token", *FIELDS, *more).repartition("token").distinct()
 
 
 def _texts(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -284,9 +368,10 @@ def _close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFram
 
     A necessary condition, so no link is lost; it spares the texts of pairs that share a passage only.
     """
+    # both sides name the same columns anew, so that Spark deals the classes once
     rows = pairs.select("a", "b").join(classes.select(F.col("class").alias("b"), F.col("rep").alias("id_b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
-    rows = rows.join(classes.select(F.col("class").alias("a"), F.col("rep").alias("id_a"), "n", F.col("bits").alias("x")), "a")
-    rows = rows.select("a", "b", "id_a", "id_b", (F.col("n") + F.col("m") - 2 * overlap_needed(F.col("n"), F.col("m"), percent)).alias("most"), "x", "y")
+    rows = rows.join(classes.select(F.col("class").alias("a"), F.col("rep").alias("id_a"), F.col("n").alias("l"), F.col("bits").alias("x")), "a")
+    rows = rows.select("a", "b", "id_a", "id_b", (F.col("l") + F.col("m") - 2 * overlap_needed(F.col("l"), F.col("m"), percent)).alias("most"), "x", "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,13 +411,17 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 FIELDS = ("class", "n", "place", "need")
 
 
-def _open_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of the shingles whose documents still lie in several components, with their component and the shingle's ``largest``."""
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     labels = components(links).withColumnRenamed("node", "class")
-    known = rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("largest"), F.count("*").alias("parts"), F.sum("k").alias("met"), F.max("k").alias("most"))
-    return written(known.join(largest.filter("parts > 1").drop("parts"), "token"), "known")
+    return rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """Rows, dealt by shingle, of the shingles whose documents lie in several components, with the shingle's ``largest`` and how many it ``met``."""
+    every = Window.partitionBy("token")
+    rows = rows.withColumn("k", F.count("*").over(Window.partitionBy("token", "component")))
+    rows = rows.select("*", F.max(F.struct("k", "component")).over(every)["component"].alias("largest"), F.count("*").over(every).alias("met"), F.max("k").over(every).alias("most"))
+    return written(rows.filter("most < met").drop("k", "most"), "known")
 
 
 def _pivot_pairs(known: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -342,24 +431,38 @@ def _pivot_pairs(known: DataFrame, turn: int, percent: int) -> DataFrame:
     copies of a text differ least from one with few changes of its own, and others by chance. Their pairs need not pass the prefix filters: every
     document brings at most ``PIVOTS`` of them, and what is not found here is left to the exact join.
     """
-    one = F.struct("class", "n", "component")
-    offered = [F.min_by(one, F.xxhash64("class", F.lit(PIVOTS * turn + i))) for i in range(PIVOTS - 1)]
+    one, every = F.struct("class", "n", "component"), Window.partitionBy("token")
+    offered = [F.min_by(one, F.xxhash64("class", F.lit(PIVOTS * turn + i))).over(every) for i in range(PIVOTS - 1)]
     central = F.when(F.pmod(F.xxhash64("class"), F.lit(turn)) == 0, F.col("centre")).otherwise(-1)  # the first turn all, then ever fewer
-    offered.append(F.max_by(one, F.struct(central, F.xxhash64("class", F.lit(turn)))))
-    pivots = known.groupBy("token").agg(F.array_distinct(F.array(*offered)).alias("p")).select("token", F.explode("p").alias("p"))
-    met = known.join(pivots, "token").filter("component <> p.component").filter(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent)
-    met = met.groupBy("class", F.col("p.class").alias("pivot")).agg(F.count("*").alias("met"))
+    offered.append(F.max_by(one, F.struct(central, F.xxhash64("class", F.lit(turn)))).over(every))
+    fits = lambda p: (F.col("component") != p["component"]) & (F.least("n", p["n"]) * 100 >= F.greatest("n", p["n"]) * percent)
+    met = known.select("token", "class", "n", "component", "centre").repartition("token")  # before the offers are formed, which are wider
+    met = met.select("class", "n", "component", F.array_distinct(F.array(*offered)).alias("p"))
+    met = met.select("class", F.explode(F.filter("p", fits)["class"]).alias("pivot")).groupBy("class", "pivot").agg(F.count("*").alias("met"))
     rank = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("met"), F.xxhash64("pivot", F.lit(turn))))
     best = met.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS)
     return best.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for every row: component_id is the smallest id reachable by links.
 
     ``id`` keeps the name ``id_col``. Rows whose id is null have a null component. If rows with
     the same id hold different texts, all their links count for that id.
     """
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # shuffle files of a step go with it, not when the driver happens to collect garbage
+    try:
+        return _near_duplicates(df, id_col, text_col, width, percent)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     survey = written(_survey(docs, width), "survey")
@@ -368,21 +471,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # a document is searched under the class it represents; one id with several texts takes part with each
     send = spark.sparkContext.broadcast
     shared = send(Prefixes(_sketch(survey), percent))
-    reps = send(id_filter(classes.select("rep")))
-    every = _prefix_rows(docs, width, shared, reps)
-    met = every.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    tokens = send(id_filter(met.select("token"), 25))
-    rows = written(_prefix_rows(docs, width, shared, reps, tokens).distinct(), "prefixes")
+    # the more representatives, the longer their filter, up to 16 MiB: a copy that slips through makes its shingles look shared
+    reps = send(id_filter(classes.select("rep"), min(27, max(23, (8 * classes.count()).bit_length()))))
+    tokens = send(id_filter(_shared_tokens(docs, width, shared, reps), 25))
+    prefixes = written(_class_prefixes(docs, width, shared, reps, tokens), "prefixes")
 
     # 1. every document against the pivot it shares most shingles with
-    one = F.struct(*FIELDS)
-    pivots = rows.groupBy("token").agg(F.min(one).alias("p"), F.max("class").alias("top")).filter("p.class <> top")
-    pivots = pivots.select("token", *[F.col(f"p.{c}").alias(f"y_{c}") for c in FIELDS])
-    star = rows.select("token", *[F.col(c).alias(f"x_{c}") for c in FIELDS]).join(pivots, "token").filter("x_class <> y_class")
+    star = _by_token(prefixes).withColumn("p", F.min(F.struct(*FIELDS)).over(Window.partitionBy("token"))).filter("class <> p.class")
+    star = star.select(*[F.col(c).alias(f"x_{c}") for c in FIELDS], *[F.col(f"p.{c}").alias(f"y_{c}") for c in FIELDS])
     star = _candidates(star, percent)  # b is never the pivot of its row: a pivot is the smallest class
     star = star.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
     links = _links(star, docs, classes, width, percent)
-    known = _open_rows(rows, links)
+    known = _open_rows(_by_token(_labelled(prefixes, links), "centre", "component"))
+    drop_written(prefixes)
 
     # 2. other pivots, until few pairs are left or few documents find a link
     turn, before = 0, math.inf
@@ -392,7 +493,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             break
         turn, before = turn + 1, size["pairs"]
         links = links.union(_links(_pivot_pairs(known, turn, percent), docs, classes, width, percent))
-        known = _open_rows(known.select("token", *FIELDS, "centre"), links)
+        last, known = known, _open_rows(_labelled(known.select("token", *FIELDS, "centre"), links).repartition("token"))
+        drop_written(last)
 
     # 3. all pairs that could still join two components
     x = known.filter("component <> largest").select("token", *[F.col(c).alias(f"x_{c}") for c in (*FIELDS, "component")])

@@ -268,6 +268,45 @@ def test_bits_bound_the_difference():
     assert ngramjoin.least_difference(*(ngramjoin.parities(h) for h in far)) > 1000 - 2 * 429  # 429 of 500 and 500 must be shared
 
 
+def test_ngramjoin_shared_shingles_are_found_from_packed_ones():
+    rng = np.random.default_rng(6)
+    parts = [ngramjoin.trimmed(rng.integers(0, 2**64, 5000, dtype=np.uint64)) for _ in range(3)]
+    parts[1][:40], parts[2][:70] = parts[0][:40], parts[0][30:100]
+    parts[2][100:103] = parts[2][100]  # several documents of one part
+    sent = {}
+    for part in parts:
+        for bucket, raw in zip(*ngramjoin.packed_tokens(part), strict=True):
+            sent.setdefault(int(bucket), []).append(raw)
+    assert sum(map(len, (b"".join(x) for x in sent.values()))) <= 5 * 15_000
+    got = np.concatenate([ngramjoin.repeated_tokens(bucket, raw) for bucket, raw in sent.items()])
+    assert sorted(got.tolist()) == sorted({*parts[0][:100].tolist(), int(parts[2][100])})
+    counts = np.array([0, 1, 255, 256, 65535, 0], np.uint16)
+    assert ngramjoin.unpacked_counts(ngramjoin.packed_counts(counts)).tolist() == counts.tolist()
+
+
+def test_ngramjoin_deals_rows_once_a_step(spark, frame, prose, monkeypatch):
+    """Pivots, components and offers of a shingle need no further exchange of its rows; no shuffle files or tables of a step are left over."""
+    plans, written = {}, ngramjoin.written
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(ngramjoin, "written", seen)
+    monkeypatch.setattr(ngramjoin, "FEW_PAIRS", 0)
+    words = [prose(i, 60).split() for i in range(4)]
+    rows = [(10 * k + i, " ".join([*text[: 50 - i], f"w{k}x{i}", *text[50 - i :]])) for k, text in enumerate(words) for i in range(5)]
+    before = spark.conf.get(ngramjoin.CLEANUP, "false")
+    got = {r.doc_id: r.component_id for r in ngramjoin.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    sets = {i: set(ngramjoin.shingles(t.encode(), 5).tolist()) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert links and got == closure(sets, links)
+    assert spark.conf.get(ngramjoin.CLEANUP, "false") == before
+    assert "hashpartitioning" not in plans["prefixes"]  # shared shingles are kept one row a class, where they are found
+    # rows by class and their labels, these labels' own step, then once by shingle
+    assert sum("hashpartitioning(token" in line for line in plans["known"].splitlines()) == 1, plans["known"]
+
+
 def test_shingles_of_a_column(prose):
     rng = random.Random(6)
     texts = [None, "", " \n", "one", "one two three four", "É a b c d", prose(1, 9_000)] + [prose(i, rng.randrange(1, 300)) + rng.choice(["", " ", "\n"]) for i in range(300)]
