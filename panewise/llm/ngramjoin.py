@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panewise.llm.common import U64, as_signed, column_bytes, column_word_hashes, distinct, drop_written, id_filter, map_arrow, mix, window_hashes, word_hashes, written
+from panewise.llm.common import U64, as_signed, column_bytes, column_word_hashes, distinct, drop_written, give_back, id_filter, map_arrow, mix, window_hashes, word_hashes, written
 from panewise.llm.components import components
 
 WIDTH, PERCENT, MAX_MATCH = 5, 75, 8
@@ -111,6 +111,7 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
     """One pass: a row (id, n, class, bits) per document, then each task's part of the sketch as rows (slice, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         counts, held, size = np.zeros(1 << SKETCH_LOG2, np.uint16), [], 0
 
         def count() -> None:
@@ -127,7 +128,7 @@ def _survey(docs: DataFrame, width: int) -> DataFrame:
                 if len(h):
                     held.append(cells(h))
                     size += len(h)
-                    if size > 1_000_000:
+                    if size > 250_000:
                         count()
                         size = 0
             none = pa.nulls(len(n))
@@ -247,6 +248,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefixes: Prefixes, reps) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(shingles, prefix, need) of every document with words that ``reps`` lets through."""
+    give_back()
     for batch in batches:
         ids = batch.column(0)
         ok = np.zeros(len(ids), bool)
@@ -289,7 +291,7 @@ def _shared_tokens(docs: DataFrame, width: int, shared, representatives) -> Data
         for _, token, _ in _prefixes(batches, width, shared.value, representatives.value):
             held.append(trimmed(token))
             size += len(token)
-            if size > 1_000_000:
+            if size > 250_000:
                 yield _packed_rows(held)
                 held, size = [], 0
         if held:
@@ -353,6 +355,7 @@ def _texts(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             ok = np.asarray(batch.column(0).is_valid())
             ok[ok] = held.value.has(batch.column(0).drop_null().to_numpy())
