@@ -87,11 +87,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spare_driver(spark: SparkSession) -> bool:
+    """Collect the garbage of the driver's JVM once it holds half of its largest heap, which then shrinks; whether it did so."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # Spark Connect: the server sees to its own heap
+        return False
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if 2 * runtime.totalMemory() <= runtime.maxMemory():
+        return False
+    jvm.java.lang.System.gc()
+    return True
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    spare_driver(spark)  # plans and results of the steps so far
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -386,5 +386,6 @@ def predict(df: DataFrame, model: KneserNey | None, text_col: str = "text", keep
                 else:
                     lang, score, low, ok = model.predict(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_keep], pa.array(lang, pa.string()), pa.array(score), pa.array(low, from_pandas=True), pa.array(ok)], names=[*[f"c{i}" for i in range(n_keep)], "lang_pred", "score", "cross_entropy", "accepted"])
+        give_back()  # the next stages may leave this worker idle
 
     return map_arrow(picked, run, kept_schema(picked, n_keep, "lang_pred string, score double, cross_entropy double, accepted boolean")).toDF(*keep, "lang_pred", "score", "cross_entropy", "accepted")

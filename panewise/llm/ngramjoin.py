@@ -350,6 +350,17 @@ def _by_token(rows: DataFrame, *more: str) -> DataFrame:
     return flat.select("token", *FIELDS, *more).repartition("token").distinct()
 
 
+def _by_class(known: DataFrame) -> DataFrame:
+    """The rows of ``_open_rows`` as one row a class again, in the form of ``_class_prefixes``: what is looked up for a class is looked up once.
+
+    As many parts as any shuffle has, however few bytes: each row becomes one for each shingle afterwards.
+    """
+    own = [F.first(c).alias(c) for c in ("n", "need", "centre")]
+    parts = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = known.select("class", "n", "need", "centre", "token", "place").repartition(parts, "class").groupBy("class").agg(*own, F.collect_list(F.struct("token", "place")).alias("held"))  # one document's prefix
+    return packed.select("class", "n", "need", "centre", F.col("held.token").alias("token"), F.col("held.place").alias("place"))
+
+
 def _texts(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(class, text) of the documents that the one column of ``ids`` names, once a class."""
     held = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
@@ -415,6 +426,7 @@ FIELDS = ("class", "n", "place", "need")
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of one class each, with its component."""
     labels = components(links).withColumnRenamed("node", "class")
     return rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
@@ -496,7 +508,7 @@ def _near_duplicates(df: DataFrame, id_col: str, text_col: str, width: int, perc
             break
         turn, before = turn + 1, size["pairs"]
         links = links.union(_links(_pivot_pairs(known, turn, percent), docs, classes, width, percent))
-        last, known = known, _open_rows(_labelled(known.select("token", *FIELDS, "centre"), links).repartition("token"))
+        last, known = known, _open_rows(_by_token(_labelled(_by_class(known), links), "centre", "component"))
         drop_written(last)
 
     # 3. all pairs that could still join two components

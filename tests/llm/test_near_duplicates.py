@@ -562,3 +562,45 @@ def test_estimates_leave_few_pairs_to_compute():
     bits, factor = embdup.codes(v, turn)
     _, upper = embdup.estimate(bits, factor, v @ turn, 64)
     assert ((upper >= 0.93) & ~np.eye(600, dtype=bool)).mean() < 0.01
+
+
+def test_rounds_look_components_up_once_a_class(spark, frame, prose, monkeypatch):
+    """A further round joins one row of each class with its component, not one of each shingle, and finds what no round finds."""
+    base = prose(1, 60).split()
+    rows = [(i, " ".join([*base[: i % 30], f"own{i}", *base[i % 30 :]])) for i in range(60)]
+    docs = frame(rows, "doc_id long, text string")
+    result = lambda: {(r.doc_id, r.n_shingles, r.component_id) for r in ngramjoin.near_duplicates(docs).collect()}
+    monkeypatch.setattr(ngramjoin, "FEW_PAIRS", float("inf"))
+    want = result()
+    looked, labelled = [], ngramjoin._labelled
+
+    def spy(rows, links):
+        looked.append((rows.count(), rows.select("class").distinct().count()))
+        return labelled(rows, links)
+
+    monkeypatch.setattr(ngramjoin, "_labelled", spy)
+    monkeypatch.setattr(ngramjoin, "FEW_PAIRS", -1)
+    assert result() == want
+    assert len(looked) > 1 and looked[-1][0] > 0
+    assert all(n == classes for n, classes in looked)
+
+
+def test_open_rows_packed_by_class_stay_the_same(spark):
+    rng = random.Random(6)
+    flat = {(rng.randrange(50), c, 100 + c, rng.randrange(9), 2 + c % 3, 10 * c) for c in range(20) for _ in range(5)}
+    known = spark.createDataFrame([(*r, 0, 0, 1) for r in flat], "token long, class long, n int, place int, need int, centre int, component long, largest long, met long")
+    packed = ngramjoin._by_class(known)
+    assert packed.count() == 20
+    assert {tuple(r) for r in ngramjoin._by_token(packed, "centre").collect()} == flat
+
+
+@pytest.mark.parametrize(("held", "most", "collects"), [(300, 750, False), (376, 750, True)])
+def test_driver_collects_garbage_beyond_half_of_its_heap(held, most, collects):
+    from types import SimpleNamespace as Box
+
+    from panewise.llm.common import spare_driver
+
+    calls = []
+    lang = Box(Runtime=Box(getRuntime=lambda: Box(totalMemory=lambda: held, maxMemory=lambda: most)), System=Box(gc=lambda: calls.append(1)))
+    assert spare_driver(Box(sparkContext=Box(_jvm=Box(java=Box(lang=lang))))) == collects
+    assert len(calls) == collects
