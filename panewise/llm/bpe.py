@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from panewise.llm.common import give_back, kept_schema, map_arrow, parts
+from panewise.llm.common import give_back, kept_in_worker, kept_schema, map_arrow, parts
 
 #: Chunks a worker remembers: those met lately, and as many met before them.
 CHUNK_MEMORY = 150_000
@@ -286,7 +286,7 @@ class ByteBpe:
         return b"".join(map(self.vocab.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODERS: dict[str, ByteBpe] = {}
+_CODERS: dict[str, ByteBpe] = kept_in_worker()
 
 
 def _coder(ranks_by_key: tuple[str, dict[bytes, int], str]) -> ByteBpe:
@@ -314,7 +314,7 @@ def _mapped(df, ranks_path, pattern, text_col, keep, fields, one):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(shared.value)
-        give_back()
+        give_back(_CODERS)
         for batch in batches:
             for part in _parts(batch, n_keep):
                 texts = [t or "" for t in part.column(n_keep).to_pylist()]

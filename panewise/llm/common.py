@@ -53,8 +53,21 @@ def kept_schema(df: DataFrame, n: int, ddl: str) -> T.StructType:
     return T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema.fields[:n]), *T.StructType.fromDDL(ddl).fields])
 
 
-def give_back() -> None:
-    """Return memory that this worker has freed to the system; workers live on from stage to stage."""
+#: What operators keep in a worker from task to task.
+_KEPT: list[dict] = []
+
+
+def kept_in_worker() -> dict:
+    """A dictionary that lives from task to task, until the worker turns to another operator."""
+    _KEPT.append({})
+    return _KEPT[-1]
+
+
+def give_back(own: dict | None = None) -> None:
+    """Return memory that this worker has freed to the system; workers live on from stage to stage. Of what operators keep, only ``own`` stays."""
+    for kept in _KEPT:
+        if kept is not own:
+            kept.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):

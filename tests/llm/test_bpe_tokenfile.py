@@ -163,3 +163,13 @@ def test_token_file_empty_and_repeated(spark, frame):
     path = shared_path(spark, "test-tokens")
     tokenfile.write(df.limit(0), path, WORDS, 1)
     assert tokenfile.digests(tokenfile.read(spark, path)).count() == 0
+
+
+def test_worker_drops_the_coder_when_it_turns_to_another_operator():
+    from panewise.llm.common import give_back
+
+    bpe._coder(("key", bpe.load_ranks(RANKS), P.PATTERN))
+    give_back(bpe._CODERS)
+    assert list(bpe._CODERS) == ["key"]
+    give_back()
+    assert not bpe._CODERS
